@@ -5,8 +5,9 @@ from __future__ import annotations
 
 def queries() -> dict:
     from .sharding import op3_sharding
+    from .substring_dedup import op4_substring_dedup, op8_suffix_array_dedup
 
-    return {"op3_sharding": op3_sharding}
+    return {"op3_sharding": op3_sharding, "op4_substring_dedup": op4_substring_dedup, "op8_suffix_array_dedup": op8_suffix_array_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -63,3 +63,11 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     for c in columns:
         new[1:] |= c[1:] != c[:-1]
     return np.flatnonzero(new)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the cleaner drop shuffle files of finished steps whose results have been stored."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
