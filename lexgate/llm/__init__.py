@@ -4,11 +4,19 @@ from __future__ import annotations
 
 
 def queries() -> dict:
+    from .bpe import op5_bpe
+    from .line_dedup import op6_line_dedup
+    from .near_dedup import op9_near_dedup
+    from .packing import op2_packing
+    from .quality_rules import op10_quality_rules
     from .sharding import op3_sharding
     from .substring_dedup import op4_substring_dedup, op8_suffix_array_dedup
 
-    return {"op3_sharding": op3_sharding, "op4_substring_dedup": op4_substring_dedup, "op8_suffix_array_dedup": op8_suffix_array_dedup}
+    found = (op2_packing, op3_sharding, op4_substring_dedup, op5_bpe, op6_line_dedup, op8_suffix_array_dedup, op9_near_dedup, op10_quality_rules)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .line_dedup import OP6_SQL
+
+    return {"op6_line_dedup": OP6_SQL}
