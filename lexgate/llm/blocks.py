@@ -138,7 +138,11 @@ def combine(lots: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
     order = np.lexsort((place, doc, content))
     grams, content, doc, place = (c[order] for c in (grams, content, doc, place))
     heads = run_starts(grams, content)
+    later = np.ones(len(grams), dtype=bool)
+    later[heads] = False
     place[heads] |= np.minimum(np.diff(np.append(heads, len(grams))), 2)
+    # a later copy needs no comparison: it is dealt out by its place, not to the task of its gram
+    grams[later] = mix64(mix64(doc[later].view(np.uint64)) + place[later].view(np.uint64)).view(np.int64)
     return [grams, content, doc, place]
 
 
@@ -181,7 +185,7 @@ def judge(blocks: DataFrame, all_copies: bool) -> DataFrame:
                 now = [np.concatenate(x) for x in zip(held, now, strict=True)]
             heads = run_starts(*now[:2])
             later = np.ones(len(now[0]), dtype=bool)
-            later[heads] = False
+            later[heads] = now[3][heads] & 3 == 0
             sizes = np.diff(np.append(heads, len(later)))
             more = (sizes > 1) | (now[3][heads] & 3 > 1)
             more[0] |= many
