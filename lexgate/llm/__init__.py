@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def queries() -> dict:
     from .bpe import op5_bpe
+    from .fingerprints import op1_fingerprints
     from .line_dedup import op6_line_dedup
     from .near_dedup import op9_near_dedup
     from .packing import op2_packing
@@ -12,7 +13,7 @@ def queries() -> dict:
     from .sharding import op3_sharding
     from .substring_dedup import op4_substring_dedup, op8_suffix_array_dedup
 
-    found = (op2_packing, op3_sharding, op4_substring_dedup, op5_bpe, op6_line_dedup, op8_suffix_array_dedup, op9_near_dedup, op10_quality_rules)
+    found = (op1_fingerprints, op2_packing, op3_sharding, op4_substring_dedup, op5_bpe, op6_line_dedup, op8_suffix_array_dedup, op9_near_dedup, op10_quality_rules)
     return {f.__name__: f for f in found}
 
 
