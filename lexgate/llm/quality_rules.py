@@ -179,18 +179,23 @@ def fit_trees(x: np.ndarray, y: np.ndarray, signs: np.ndarray, trees: int = 60,
     return model
 
 
-def fit_from_labels(stats: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id") -> Trees | None:
-    """Trees from at most MAX_TRAINING_ROWS labelled rows; None if there are no labels of both kinds.
+def labelled_sample(labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id") -> DataFrame:
+    """doc_id and y of at most MAX_TRAINING_ROWS labelled rows, drawn by a hash of the id. Null labels and ids are ignored."""
+    usable = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).dropna()
+    return usable.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "y").limit(MAX_TRAINING_ROWS)
+
+
+def fit_from_labels(stats: DataFrame, sample: DataFrame) -> Trees | None:
+    """Trees from a labelled sample of bounded size; None if there are no labels of both kinds.
 
     A fifth of the rows is held out; the verdict's threshold is the highest score that keeps KEEP_GOOD
-    of the good held-out rows, and 0 (even odds) at most. Null labels and ids are ignored.
+    of the good held-out rows, and 0 (even odds) at most.
     """
-    chosen = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).dropna().orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "y").limit(MAX_TRAINING_ROWS)
     # the sample is bounded by MAX_TRAINING_ROWS, so it may be broadcast and its statistics collected
-    sample = stats.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id", "y").limit(MAX_TRAINING_ROWS).select("features", "y").collect()
-    if len({r.y for r in sample}) < 2:
+    rows = stats.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id", F.lit(8)), "doc_id", "y").limit(MAX_TRAINING_ROWS).select("features", "y").collect()
+    if len({r.y for r in rows}) < 2:
         return None
-    x, y = np.array([r.features for r in sample]), np.array([float(r.y > 0) for r in sample])
+    x, y = np.array([r.features for r in rows]), np.array([float(r.y > 0) for r in rows])
     held = np.arange(len(y)) % 5 == 0
     if len({*y[~held]}) < 2:
         held[:] = False
@@ -224,7 +229,26 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     are ignored; an empty table gives no rows.
     """
     stats = stored(statistics(keyed_text(docs, id_col, text_col)), "quality-stats")
-    return judged(stats, fit_from_labels(stats, labels)).drop("features")
+    return judged(stats, fit_from_labels(stats, labelled_sample(labels))).drop("features")
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that quality_rules keeps; texts are measured where they lie."""
+    sample = stored(labelled_sample(labels), "labelled")
+    chosen = keyed_text(docs, id_col, text_col).join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
+    model = fit_from_labels(statistics(chosen), sample)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [measure(t.as_py()) for t in batch.column(at)]
+            base = np.array([f[0] for f in found]).reshape(-1, len(STATS))
+            good = (base[:, 0] >= 20) & (100 * base[:, 4] <= 30 * base[:, 0])
+            if model is not None and len(found):
+                good &= model.score(np.array([f[1] for f in found])) >= model.least
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def _masked(docs: DataFrame, found: DataFrame, width: int) -> DataFrame:
 
 
 def _mask(n: int, spans: list | None) -> np.ndarray:
-    if not spans:
+    if spans is None or not len(spans):
         return np.zeros(n, dtype=bool)
     return blocks.covered(n, np.array([s["start"] for s in spans]), np.array([s["n"] for s in spans]))
 
@@ -87,6 +88,28 @@ def dedup_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
     return spans.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
+def strip_repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of docs, the text without what repeated_bytes finds; a character goes when all its bytes are in spans."""
+
+    @F.pandas_udf("string")
+    def strip(text: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for t, found in zip(text, spans, strict=True):
+            if t and found is not None and len(found):
+                raw = np.frombuffer(t.encode(), dtype=np.uint8)
+                begins = np.flatnonzero((raw & 0xC0) != 0x80)
+                gone = np.minimum.reduceat(_mask(len(raw), found), begins)
+                t = raw[np.repeat(~gone, np.diff(np.append(begins, len(raw))))].tobytes().decode()
+            out.append(t)
+        return pd.Series(out, dtype=object)
+
+    rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
+    found = blocks.spans(_rounds(rows, words.decode_bytes, words.bytes_as_units, words.cut_bytes, length, 32, (8, 1), all_copies=False), length)
+    found = found.select(F.col("doc_id").alias("id_"), F.col("spans").alias("spans_"))
+    joined = docs.join(found, F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID)) == F.col("id_"), "left")
+    return joined.select(*[strip(docs[c], F.col("spans_")).alias(c) if c == text_col else docs[c] for c in docs.columns])
+
+
 def repeated_words(docs: DataFrame, window: int = 35, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Word spans of windows whose word sequence also starts anywhere else, the same document included.
 
