@@ -1,11 +1,74 @@
 """Corpus pipeline: quality rules, line dedup, near-dedup, suffix-array dedup, packing."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexgate.llm.common import stored
+from lexgate.llm.line_dedup import dedup_lines
+from lexgate.llm.near_dedup import near_duplicates
+from lexgate.llm.packing import pack_documents
+from lexgate.llm.quality_rules import keep_quality
+from lexgate.llm.substring_dedup import strip_repeated_bytes
+
+#: A document that is left with less than this share of its characters was boilerplate.
+LEAST_LEFT = 0.25
+_BLANK = " \t\n\x0b\x0c\r"
+
+
+def _worded(docs: DataFrame) -> DataFrame:
+    """Rows that still hold a word, with n_chars of the new text."""
+    return docs.where(F.length(F.trim("text", F.lit(_BLANK))) > 0).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep; the rules learn from the labels of the same folder."""
+    return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without cross-site boilerplate lines; what was little else goes."""
+    columns, out = docs.columns, dedup_lines(docs)
+    touched = F.col("n_removed_") > 0
+    out = out.where(~touched | (F.length("text") >= F.lit(LEAST_LEFT) * F.col("n_chars")))
+    return _worded(out.select(*columns))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of the least id, of each group of near-duplicates (five words, similarity 0.8)."""
+    groups = near_duplicates(docs)
+    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without byte strings of 100 that start earlier; texts without a word left go."""
+    return _worded(strip_repeated_bytes(docs)).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents in sequences of at most 1024 tokens."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("minhash near-dedup", near_stage),
+    ("suffix-array dedup", suffix_stage),
+    ("packing", packing_stage),
+]
+
+#: Trees, packing and suffix ranks have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result but the last is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(docs, "stage")
     return docs
