@@ -18,8 +18,10 @@ from .words import codes_of_texts
 
 #: 32 bands of 8 minima: a pair of similarity 0.85 is missed with a chance of 4e-5; see README.
 BANDS, ROWS = 32, 8
-#: Members of a bucket that are compared with all others of the bucket in one round.
-CENTRES = 32
+#: Members of a bucket that are compared with all others of other components in one round, and members that one task group takes.
+CENTRES = BLOCK = 256
+#: Cells of a set's histogram; see signatures().
+CELLS = 256
 _NULL_ID = -(2**63)
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,21 +66,51 @@ def _sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
     return (shingle_set(w, width) for w in codes_of_texts([(t or "").encode().lower() for t in texts]))  # bytes.lower() is A-Z only
 
 
+def histogram(shingles: np.ndarray) -> np.ndarray:
+    """Elements in each of CELLS cells of the hash range, 255 at most.
+
+    Two sets differ in as many elements at least as their histograms differ, so a pair whose histograms
+    differ by more than the threshold allows is settled without the sets.
+    """
+    return np.minimum(np.bincount((shingles & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8)
+
+
+def most_difference(n_a, n_b, percent: int):
+    """The largest symmetric difference of sets of these sizes with 100 * intersection >= percent * union."""
+    return (n_a + n_b) * (100 - percent) / (100 + percent)
+
+
 def signatures(rows: DataFrame, width: int, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
-    """doc_id, n (set size), same (128-bit name of the set), bands (keys), for doc_id and text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    """doc_id, n (set size), same (128-bit name of the set), bands (keys), cells (histogram), for doc_id and text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64())), ("cells", pa.binary())])
     a, b = _universal(bands * per_band)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, same, keys = [], [], []
+            n, same, keys, cells = [], [], [], []
             for shingles in _sets(batch.column(1).to_pylist(), width):
+                some = len(shingles) > 0
                 n.append(len(shingles))
-                same.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-                keys.append(band_keys(minima(shingles, a, b), per_band) if len(shingles) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], schema=schema)
+                same.append(xxhash.xxh3_128_digest(shingles.tobytes()) if some else None)
+                keys.append(band_keys(minima(shingles, a, b), per_band) if some else [])
+                cells.append(histogram(shingles).tobytes() if some else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(cells, pa.binary())], schema=schema)
+
+    return rows.mapInArrow(run, "doc_id long, n long, same binary, bands array<long>, cells binary")
 
-    return rows.mapInArrow(run, "doc_id long, n long, same binary, bands array<long>")
+
+def _may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes and histograms allow the similarity."""
+    left = sketches.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("cells").alias("cells_a"))
+    right = sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("cells").alias("cells_b"))
+
+    @F.pandas_udf("boolean")
+    def near(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        p = np.frombuffer(b"".join(x), dtype=np.uint8).reshape(-1, CELLS).astype(np.int16)
+        q = np.frombuffer(b"".join(y), dtype=np.uint8).reshape(-1, CELLS)
+        return pd.Series(np.abs(p - q).sum(axis=1) <= most_difference(n.to_numpy(), m.to_numpy(), percent))
+
+    return pairs.join(right, "b").join(left, "a").where(near("cells_a", "cells_b", "n_a", "n_b")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -97,7 +129,60 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * both >= percent * (len(p) + len(q) - both))
         return pd.Series(out)
 
-    return pairs.join(right, "b").join(left, "a").where(alike("set_a", "set_b")).select("a", "b")
+    return pairs.join(right, "b").join(left, "a").where(alike("set_a", "set_b")).select("a", "b").distinct()
+
+
+def _neighbours(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each bucket's least member and of neighbours in the order of the next band's key: two for each member."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            bucket, doc, n, head, head_n = (batch.column(i).to_numpy() for i in range(5))
+            if not len(bucket):
+                continue
+            if last is not None:
+                bucket, doc, n = (np.append(x, y) for x, y in zip(last, (bucket, doc, n), strict=True))
+                head, head_n = np.append(doc[0], head), np.append(n[0], head_n)
+            near = bucket[1:] == bucket[:-1]
+            a, b = np.append(doc[:-1][near], head), np.append(doc[1:][near], doc)
+            n_a, n_b = np.append(n[:-1][near], head_n), np.append(n[1:][near], n)
+            fits = (a != b) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[fits]), pa.array(np.maximum(a, b)[fits])], schema=schema)
+            last = (bucket[-1:], doc[-1:], n[-1:])
+
+    ordered = members.repartitionByRange("bucket", "next", "doc_id").sortWithinPartitions("bucket", "next", "doc_id")
+    return ordered.select("bucket", "doc_id", "n", "head", "head_n").mapInArrow(run, "a long, b long").distinct()
+
+
+def _compared(open_: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a chosen member and a member of another component that their histograms allow.
+
+    Members are dealt by hash into groups of about BLOCK, and the chosen members of a bucket go to each of its
+    groups. A pair counts in the first band that it shares only.
+    """
+    columns = ["bucket", "block", "band", "doc_id", "n", "component", "bands", "cells"]
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    busy = open_.join(chosen.select("bucket").distinct(), "bucket", "left_semi")
+    everyone = busy.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).select(*columns, F.lit(False).alias("centre"))
+    centres = open_.join(chosen.select("bucket", "doc_id"), ["bucket", "doc_id"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*columns, F.lit(True).alias("centre"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [np.empty((0, 2), dtype=np.int64)]
+        keys = np.stack(pdf["bands"].to_numpy())
+        cells = np.frombuffer(b"".join(pdf["cells"]), dtype=np.uint8).reshape(-1, CELLS).astype(np.int16)
+        doc, n, part, centre = (pdf[c].to_numpy() for c in ("doc_id", "n", "component", "centre"))
+        rest = np.flatnonzero(~centre)
+        for i in np.flatnonzero(centre):
+            at = rest[(part[rest] != part[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))]
+            at = at[(keys[at] == keys[i]).argmax(axis=1) == pdf["band"].iloc[0]] if len(at) else at
+            if len(at):
+                at = at[np.abs(cells[at] - cells[i]).sum(axis=1) <= most_difference(n[at], n[i], percent)]
+                found.append(np.stack([np.minimum(doc[at], doc[i]), np.maximum(doc[at], doc[i])], axis=1))
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+    return everyone.unionByName(centres).groupBy("bucket", "block").applyInPandas(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,10 +191,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     Returns doc_id, n_shingles, component_id (the least id that is reachable by links).
 
     Documents with equal sets are one class with its least id as representative. Representatives meet in
-    buckets of equal band keys. In a bucket the first member is compared with all others, then
-    rounds of CENTRES further members with those of other components, until each bucket is one component or
-    all its pairs have been compared: pairs grow in proportion to the members in each round, and no bucket is
-    cut. Links are confirmed on full sets.
+    buckets of equal band keys. First each member is held against the bucket's least member and its
+    neighbour in the order of another band. In buckets that then still have several components, the members
+    outside the largest one are compared with all members of other components, CENTRES of a bucket in each round,
+    until none is left: every pair of a bucket ends in one component or has been compared, and no bucket
+    is cut. Links are confirmed on full sets.
 
     Null or empty text and text without words: an empty set, linked with nothing. Null ids count as the
     least id. Rows that share an id are one document, their links are joined. Extra columns are ignored; an
@@ -118,12 +204,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     spark = docs.sparkSession
     rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
     named = stored(signatures(rows, width), "signatures")
-    full = named.where("n > 0")
-    classes = full.groupBy("same").agg(F.min(F.struct("doc_id", "n", "bands")).alias("r")).select("same", "r.*")
-    buckets = classes.select("doc_id", "n", F.explode("bands").alias("bucket"))
-    busy = buckets.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1")
-    order = Window.partitionBy("bucket").orderBy("doc_id")
-    members = stored(buckets.join(busy, "bucket").withColumn("rank", F.row_number().over(order) - 1), "members")
+    classes = named.where("n > 0").groupBy("same").agg(F.min(F.struct("doc_id", "n", "bands", "cells")).alias("r")).select("same", "r.*")
+    classes = stored(classes, "classes")
+    following = F.concat(F.slice("bands", 2, BANDS - 1), F.slice("bands", 1, 1))
+    buckets = classes.select("doc_id", "n", F.posexplode(F.arrays_zip(F.col("bands").alias("bucket"), following.alias("next"))).alias("band", "k"))
+    buckets = buckets.select("doc_id", "n", "band", "k.bucket", "k.next")
+    busy = buckets.groupBy("bucket").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "n")).alias("h")).where("m > 1")
+    members = stored(buckets.join(busy, "bucket").select("bucket", "band", "next", "doc_id", "n", "m", F.col("h.doc_id").alias("head"), F.col("h.n").alias("head_n")), "members")
+    sketches = classes.select("doc_id", "n", "cells")
     wanted = members.select("doc_id").distinct()
 
     def set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,30 +221,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
     sets = stored(rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(set_bytes, "doc_id long, shingles binary"), "sets")
     free_shuffles(spark)
-    links, labels, low, high = None, None, 0, 1
+    links = stored(_verified(_may_link(_neighbours(members, percent), sketches, percent), sets, percent), "links")
+    labels = stored(connected_components(links), "components")
+
+    def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
+        of = labels.select(F.col("node").alias(column), F.col("component").alias("c_"))
+        return df.join(of, column, "left").withColumn(name, F.coalesce("c_", column)).drop("c_")
+
+    parts = labelled(members.select("bucket", "doc_id"), "doc_id", "component").groupBy("bucket", "component").agg(F.count("*").alias("k"), F.min("doc_id").alias("d"))
+    mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("d", F.struct("k", -F.col("d"))).alias("anchor")).where("parts > 1").select("bucket", "anchor")
+    short = F.transform("bands", lambda b: b.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("bands")
+    open_ = members.select("bucket", "band", "doc_id", "n", "m").join(mixed, "bucket").join(classes.select("doc_id", short, "cells"), "doc_id")
+    open_ = open_.withColumn("mark", F.lit(None).cast("long"))
     while True:
-        state = members
-        if labels is not None:
-            state = state.join(labels, state["doc_id"] == labels["node"], "left").select(members["*"], F.coalesce("component", members["doc_id"]).alias("component"))
-            mixed = state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("rank").alias("last")).where((F.col("x") != F.col("y")) & (F.col("last") > low))
-            mixed = stored(mixed.select("bucket"), "mixed")
-            if not mixed.limit(1).count():
-                break
-            state = state.join(mixed, "bucket", "left_semi")
-        else:
-            state = state.withColumn("component", F.col("doc_id"))
-        centre = state.where((F.col("rank") >= low) & (F.col("rank") < high)).select("bucket", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("rank").alias("r_a"))
-        pairs = (
-            state.join(centre, "bucket")
-            .where("rank > r_a and component != c_a and doc_id != a")
-            .where(100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a"))
-            .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b"))
-            .distinct()
-        )
-        found = stored(_verified(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        labels = stored(connected_components(links), "components")
-        low, high = high, high + CENTRES
+        state = stored(labelled(labelled(open_, "doc_id", "component"), "anchor", "main"), "state")
+        order = Window.partitionBy("bucket").orderBy("doc_id")
+        chosen = state.where((F.col("component") != F.col("main")) & (F.col("mark").isNull() | (F.col("doc_id") > F.col("mark")))).select("bucket", "doc_id")
+        chosen = stored(chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= CENTRES), "chosen")
+        if not chosen.limit(1).count():
+            break
+        fresh = stored(_verified(_compared(state, chosen, percent), sets, percent), "links")
+        if fresh.limit(1).count():
+            links = links.unionByName(fresh)
+            labels = stored(connected_components(links), "components")
+        after = chosen.groupBy("bucket").agg(F.max("doc_id").alias("mark"), F.count("*").alias("k")).where(F.col("k") == CENTRES).drop("k")
+        open_ = state.drop("component", "main", "mark").join(after, "bucket")
     chosen = classes.select("same", F.col("doc_id").alias("head"))
     out = named.select("doc_id", "n", "same").join(chosen, "same", "left").join(labels, F.col("head") == labels["node"], "left")
     component = F.coalesce("component", "head", "doc_id")
