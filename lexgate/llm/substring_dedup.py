@@ -20,7 +20,8 @@ _NULL_ID = -(2**63)
 
 def _rounds(docs: DataFrame, decode_docs, decode_part, cutter, width: int, gram: int, cells: tuple[int, ...], all_copies: bool) -> DataFrame:
     """Repeated runs of windows (doc_id, start, nwin): blocks first, then ever smaller cells of what is left in doubt."""
-    spark = docs.sparkSession
+    spark, gram = docs.sparkSession, min(gram, max(1, width // 2))
+    cells = tuple(c for c in cells if c == 1 or c <= width // 2)
     judged = stored(blocks.judge(blocks.blocks_of(docs, decode_docs, width, gram), all_copies), "judged")
     free_shuffles(spark)
     found = [judged.where(~F.col("doubt"))]
@@ -61,7 +62,7 @@ def repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 32, id_col: s
     same order of equality as a dense rank and needs no global numbering.
 
     Returns doc_id, text, spans. Null text counts as empty, null ids as the least id; rows that share an
-    id are one document to the order (no row is an earlier copy of itself). Texts shorter than `length`
+    id are one document: no row is an earlier copy of another, and all get the spans found for the id. Texts shorter than `length`
     have no spans. Extra columns are ignored; an empty table gives no rows.
     """
     rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
@@ -120,7 +121,7 @@ def repeated_words(docs: DataFrame, window: int = 35, gram: int = 12, id_col: st
     factor ends (a block whose gram is indexed with other content) each window is looked up by itself.
 
     Returns doc_id, text, spans (start and n in words). Null text has no words. Null ids count as the least
-    id; rows that share an id are judged as different occurrences. Documents with fewer words than the window
+    id; rows that share an id are different occurrences, and all get the spans found for the id. Documents with fewer words than the window
     have no spans. Extra columns are ignored; an empty table gives no rows.
     """
     rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
