@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     is cut. Links are confirmed on full sets.
 
     Null or empty text and text without words: an empty set, linked with nothing. Null ids count as the
-    least id. Rows that share an id are one document, their links are joined. Extra columns are ignored; an
+    least id. Rows that share an id are grouped each by its own text. Extra columns are ignored; an
     empty table gives no rows.
     """
     spark = docs.sparkSession
