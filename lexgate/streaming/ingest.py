@@ -12,7 +12,8 @@ from ..sources.files import decoded
 
 def source_stream(spark: SparkSession, folder: str, max_bytes: int = fx.MAX_FILE_BYTES) -> DataFrame:
     """A stream of Markdown files as source rows. Spark's file source leaves out names that start with _ or . and takes a path once."""
-    raw = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.[mM][dD]").option("recursiveFileLookup", "true").load(folder)
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    raw = spark.readStream.schema(schema).format("binaryFile").option("pathGlobFilter", "*.[mM][dD]").option("recursiveFileLookup", "true").load(folder)
     name = F.regexp_extract("path", r"([^/]*)\z", 1)
     kept = raw.where(~F.lower(name).endswith("_cleaned.md"))
     text = F.when(F.col("length") <= max_bytes, decoded("content"))
