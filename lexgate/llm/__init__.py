@@ -19,6 +19,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from .line_dedup import OP6_SQL
+    from .oracles import ORACLES
 
-    return {"op6_line_dedup": OP6_SQL}
+    return dict(ORACLES)
