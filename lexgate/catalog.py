@@ -323,7 +323,7 @@ def _cache_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     chunks = cache.with_identity(base, "m", "https://h/", True)
     k = F.col("doc_id") % 6
     prompt = F.when(k == 0, "now").when(k == 1, "alias").otherwise("old")
-    stored = chunks.where(k <= 3).withColumns({"body": F.col("text"), "output_sha256": F.when(F.col("doc_id") % 12 == 0, "broken").otherwise(tx.sha256("text")), "prompt_sha256": prompt, "prompt_identity_version": F.when(k == 1, F.lit(2)).cast("int")})
+    stored = chunks.withColumns({"body": F.col("text"), "output_sha256": F.when(F.col("doc_id") % 12 == 0, "broken").otherwise(tx.sha256("text")), "prompt_sha256": prompt, "prompt_identity_version": F.when(k == 1, F.lit(2)).cast("int")})
     return chunks.drop("text"), stored.drop("doc_id", "text")
 
 
@@ -382,17 +382,18 @@ def policy_reclassify(spark, sf_dir):
 
 # ---- batches
 
+# batch b3 is over, the others are not
 _FILES = (
     "SELECT 'b' || CAST(doc_id % 7 AS VARCHAR) AS batch_id, doc_id AS ord, 'p' || CAST(doc_id % 500 AS VARCHAR) AS path, "
-    "CASE doc_id % 6 WHEN 0 THEN 'pending' WHEN 1 THEN 'running' WHEN 2 THEN 'succeeded' WHEN 3 THEN 'failed' WHEN 4 THEN 'skipped' ELSE 'interrupted' END AS status FROM documents WHERE doc_id % 7 != 3 OR doc_id % 6 IN (2, 3, 4)"
+    "CASE CASE WHEN doc_id % 7 = 3 THEN 2 + doc_id % 3 ELSE doc_id % 6 END WHEN 0 THEN 'pending' WHEN 1 THEN 'running' WHEN 2 THEN 'succeeded' WHEN 3 THEN 'failed' WHEN 4 THEN 'skipped' ELSE 'interrupted' END AS status FROM documents"
 )
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
-    status = F.element_at(F.array(*map(F.lit, fx.FILE_STATUSES)), (i % 6 + 1).cast("int"))
-    docs = _table(spark, sf_dir, "documents").where((i % 7 != 3) | (i % 6).isin(2, 3, 4))
-    return docs.select(F.concat(F.lit("b"), (i % 7).cast("string")).alias("batch_id"), i.alias("ord"), F.concat(F.lit("p"), (i % 500).cast("string")).alias("path"), status.alias("status"))
+    place = F.when(i % 7 == 3, i % 3 + 3).otherwise(i % 6 + 1)
+    status = F.element_at(F.array(*map(F.lit, fx.FILE_STATUSES)), place.cast("int"))
+    return _table(spark, sf_dir, "documents").select(F.concat(F.lit("b"), (i % 7).cast("string")).alias("batch_id"), i.alias("ord"), F.concat(F.lit("p"), (i % 500).cast("string")).alias("path"), status.alias("status"))
 
 
 _COUNTS = "SELECT batch_id, count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in fx.FILE_STATUSES) + f" FROM ({_FILES}) GROUP BY batch_id"

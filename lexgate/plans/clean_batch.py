@@ -68,12 +68,19 @@ def judged(replies: DataFrame, config: Config) -> DataFrame:
     return scored.withColumn("failure_stage", stage)
 
 
-def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.Transport, batch_id: str | None = None) -> dict[str, DataFrame]:
+def failed_candidates(spark: SparkSession, config: Config) -> DataFrame:
+    """Stored replies that were refused, the newest of each identity."""
+    found = spark.read.parquet(f"{config.store}/failed_candidates/version=*").where("body is not null")
+    return found.dropDuplicates([*cache.IDENTITY, "prompt_sha256", "quality_policy_sha256"])
+
+
+def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.Transport, batch_id: str | None = None, accept_failed: bool = False) -> dict[str, DataFrame]:
     """Clean the sources and store every table as a version of its own under config.store.
 
     Returns files (one row for each source with its status), results, failed, documents and review. Pieces
     whose identity has a stored reply are not sent again; their replies are judged anew under the current
-    thresholds.
+    thresholds. With accept_failed nothing is sent: refused replies of the same work, prompt and policy stand,
+    marked for review, and pieces without one fail.
     """
     batch_id, policy = batch_id or new_batch_id(), quality.policy_sha256(config.thresholds)
     keep = lambda df, name: spark.read.schema(df.schema).parquet(write_version(df, f"{config.store}/{name}", batch_id))
@@ -84,11 +91,20 @@ def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.
     chunks = keep(cache.with_identity(parts, config.model, config.base_url, config.strict), "chunks")
     known = stored_results(spark, config)
     todo = cache.pending(chunks, known, config.prompt_sha256, config.prompt_aliases)
-    replies = keep(transport.clean(todo, how, config.workers), "replies")
+    if accept_failed:
+        taken = cache.accepted_candidates(todo, failed_candidates(spark, config), config.prompt_sha256, policy)
+        found = keep(taken.select(*cache.IDENTITY, F.col("body").alias("reply")), "accepted")
+        replies = todo.join(found, cache._same(todo, found), "left").select(*(todo[c] for c in todo.columns), "reply", F.when(F.col("reply").isNull(), "no candidate to accept").alias("error"), F.lit(None).cast("string").alias("partial"))
+        replies = keep(replies, "replies")
+    else:
+        replies = keep(transport.clean(todo, how, config.workers), "replies")
     identity = [c for c in chunks.columns if c != "chunk"]
     usable = cache.usable(known, config.prompt_sha256, config.prompt_aliases).select(*cache.IDENTITY, F.col("body").alias("reply")).dropDuplicates(cache.IDENTITY)
     reused = chunks.join(usable, cache._same(chunks, usable)).select(*(chunks[c] for c in chunks.columns), "reply", F.lit(None).cast("string").alias("error"))
-    seen = keep(judged(replies.select(*chunks.columns, "reply", "error").unionByName(reused), config), "judged")
+    seen = judged(replies.select(*chunks.columns, "reply", "error").unionByName(reused), config)
+    if accept_failed:
+        seen = seen.withColumn("warnings", F.when(F.col("failure_stage").isNotNull(), F.array_append("warnings", F.lit("accepted by a user"))).otherwise(F.col("warnings"))).withColumn("failure_stage", F.lit(None).cast("string"))
+    seen = keep(seen, "judged")
     passed = seen.where("failure_stage is null")
     results = passed.select(*identity, "chunk", F.col("reply").alias("body"), tx.sha256("reply").alias("output_sha256"), "warnings", F.lit(config.prompt_sha256).alias("prompt_sha256"), F.lit(fx.PROMPT_VERSION).alias("prompt_identity_version"), F.lit(policy).alias("quality_policy_sha256"), F.col("quality.review_required").alias("review_required"))
     keep(results.select(*[f.name for f in spark.createDataFrame([], RESULTS).schema]), "chunk_results")

@@ -158,6 +158,8 @@ def test_whole_run_and_reuse(spark, tmp_path):
     assert {r.rel_path: r.text for r in second["documents"].collect()} == {r.rel_path: r.text for r in first["documents"].collect()}
     spoiled = clean_batch.run(spark, sources, clean_batch.Config(store=str(tmp_path), prompt_sha256="q", strict=False, max_chars=300), transport.Scripted(lambda chunk: chunk.replace("5", "6")))
     assert [r.failure_stage for r in spoiled["failed"].collect()] == ["quality"]
+    taken = clean_batch.run(spark, sources, clean_batch.Config(store=str(tmp_path), prompt_sha256="q", strict=False, max_chars=300), transport.Identity(), accept_failed=True)
+    assert taken["results"].where("rel_path = 'd.md'").first().body == "short text 6"
     counts = clean_batch.summary(first["files"]).first()
     assert counts.batch_status == "completed_with_failures" and counts.percent == 100
     paths = [r.path for r in sinks.export_documents(first["documents"], str(tmp_path / "out")).collect()]
@@ -173,3 +175,32 @@ def test_ingest(spark, tmp_path):
         ingest(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "check")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "table")).count() == expected
         (tmp_path / "in" / name).write_text("two")
+
+
+def test_job_options(tmp_path):
+    from lexgate.plans import job
+
+    options = lambda *a: job.checked(job.parser().parse_args(a))
+    assert options("--no-strict", "--retry-failed", "--accept-failed").retry_failed == "latest"
+    for bad in (["--workers", "11"], ["--accept-failed"], ["--batch-status", "--dry-run"], ["--resume-batch", "--retry-failed"], ["--resume-batch", "x"], ["--max-chars", "0"], ["--workers", "2", "--dry-run"], ["--retry-failed", "--selection-file", "f"]):
+        with pytest.raises(ValueError):
+            options(*bad)
+    assert job.base_url(" https://h/v1/ ") == "https://h/v1" and job.base_url("http://127.0.0.1:8/") == "http://127.0.0.1:8" and job.base_url("") == ""
+    for bad in ("ftp://h", "http://h/", "https://u:p@h", "https://h?k=1"):
+        with pytest.raises(ValueError):
+            job.base_url(bad)
+
+
+def test_job(spark, tmp_path, capsys):
+    from lexgate.plans import job
+
+    (tmp_path / "input").mkdir()
+    (tmp_path / "input" / "a.md").write_text("hello there")
+    (tmp_path / "input" / "b.md").write_bytes(b"\xff\xff")
+    base = ["--base-dir", str(tmp_path), "--no-strict"]
+    assert job.main([*base, "--dry-run"]) == 0 and '"pieces": 1' in capsys.readouterr().out
+    assert job.main(base) == 2
+    assert job.main([*base, "--batch-status"]) == 0 and '"failed": 1' in capsys.readouterr().out
+    assert len(list((tmp_path / "output").rglob("*_cleaned.md"))) == 1
+    (tmp_path / "input" / "b.md").write_text("now fine")
+    assert job.main([*base, "--retry-failed"]) == 0 and job.main(["--workers", "0"]) == 1
