@@ -220,7 +220,8 @@ def finer(parts: DataFrame, decode: Callable[[bytes], np.ndarray], width: int, g
 
     Cells lie on a grid that starts at the block's anchor, so equal windows fall into the same cell of their
     blocks. The first key of a cell is its core, the width - cell + 1 units that every window of that
-    place holds; the second is the whole content. With cell = 1 both name one window.
+    place holds; the second is the whole content. With cell = 1 the keys are the pair of names of a
+    window's halves (they overlap by one unit where the width is odd), as in prefix doubling.
     """
 
     def cells(owners: list[int], starts: list[int], codes: list[np.ndarray]) -> tuple[np.ndarray, ...]:
@@ -240,8 +241,11 @@ def finer(parts: DataFrame, decode: Callable[[bytes], np.ndarray], width: int, g
         low = top - cell + 1
         begin, end = np.maximum(low, 0), np.minimum(top, nwin[which] - 1)
         base = begins[which]
-        core = content_hash(roll, base + top, base + low + width)
-        whole = content_hash(roll, base + begin, base + end + width)
+        if cell == 1:  # the rank of the first half and the rank at the offset where the second half ends
+            half = (width + 1) // 2
+            core, whole = content_hash(roll, base + begin, base + begin + half), content_hash(roll, base + begin + width - half, base + begin + width)
+        else:
+            core, whole = content_hash(roll, base + top, base + low + width), content_hash(roll, base + begin, base + end + width)
         return core.view(np.int64), whole.view(np.int64), np.array(owners, dtype=np.int64)[which], pack(np.array(starts, dtype=np.int64)[which] + begin, end - begin + 1, 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

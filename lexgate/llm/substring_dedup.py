@@ -30,7 +30,8 @@ def _rounds(docs: DataFrame, decode_docs, decode_part, cutter, width: int, gram:
     for cell in cells:
         fresh = blocks.cut_parts(docs, doubt, cutter, width) if parts is None else blocks.recut(parts, doubt, cutter, width)
         parts = stored(fresh, "parts") if cell != cells[-1] else fresh
-        judged = stored(blocks.judge(blocks.finer(parts, decode_part, width, gram, cell), all_copies), "judged")
+        judged = blocks.judge(blocks.finer(parts, decode_part, width, gram, cell), all_copies)
+        judged = stored(judged if cell != cells[-1] else judged.where(~F.col("doubt")), "judged")
         free_shuffles(spark)
         found.append(judged.where(~F.col("doubt")))
         doubt = judged.where("doubt")
