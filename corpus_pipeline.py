@@ -12,8 +12,6 @@ from lexgate.llm.packing import pack_documents
 from lexgate.llm.quality_rules import keep_quality
 from lexgate.llm.substring_dedup import strip_repeated_bytes
 
-#: A document that is left with less than this share of its characters was boilerplate.
-LEAST_LEFT = 0.25
 _BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -28,11 +26,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate lines; what was little else goes."""
-    columns, out = docs.columns, dedup_lines(docs)
-    touched = F.col("n_removed_") > 0
-    out = out.where(~touched | (F.length("text") >= F.lit(LEAST_LEFT) * F.col("n_chars")))
-    return _worded(out.select(*columns))
+    """Texts without cross-site boilerplate lines; texts without a word left go."""
+    return _worded(dedup_lines(docs).select(*docs.columns))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

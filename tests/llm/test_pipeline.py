@@ -42,3 +42,18 @@ def test_stages(spark, folder, tmp_path):
     before, rows = seen["packing"]
     check_packing(rows, {d: np.append(bpe.load(bpe.default_path()).encode(t), 0).astype("<u4") for d, t in before.items()})
     assert sorted(r.length for r in corpus_pipeline.run(spark, folder).collect()) == sorted(r.length for r in rows)
+
+
+def test_line_stage_keeps_every_document_that_holds_a_word(spark):
+    licence = [f"clause {i} of a long licence that stands on very many sites" for i in range(20)]
+    rows = [(i, "\n".join([*licence, f"own {i}"]), f"s{i}") for i in range(14)] + [(20, "\n".join(licence), "s1"), (21, "  \n", "s2"), (22, "nothing shared", "s3"), (23, None, "s4")]
+    docs = spark.createDataFrame([(d, t, s, None if d in (3, 22) or t is None else len(t)) for d, t, s in rows], "doc_id long, text string, source string, n_chars long")
+    sites = {line: {s for _, t, s in rows for x in (t or "").split("\n") if x == line} for line in licence}
+    assert all(len(s) >= 10 for s in sites.values())
+    wanted = {}
+    for d, t, _ in rows:
+        kept = "\n".join(x for x in (t or "").split("\n") if x not in sites or d == 0)
+        if WORD.search(kept):
+            wanted[d] = (kept, len(kept))
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert got == wanted and set(got) == {*range(14), 22}
