@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,8 @@ from .common import documents, free_shuffles, keyed_text, mix64, stored
 from .components import connected_components
 from .words import codes_of_texts
 
-#: 32 bands of 8 minima: a pair of similarity 0.85 is missed with a chance of 4e-5; see README.
-BANDS, ROWS = 32, 8
+#: Hash minima of a set (more only where the threshold needs more bands), the most of a band, and the chance at most that a pair at the threshold shares no band.
+MINIMA, ROWS, MISSED = 256, 8, 4e-5
 #: Members of a bucket that are compared with all others of other components in one round, and members that one task group takes.
 CENTRES = BLOCK = 256
 #: Cells of a set's histogram; see signatures().
@@ -54,6 +55,17 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and minima in each, as many in a band as the chance MISSED allows a pair of similarity percent / 100."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be in 1 to 100, not {percent}")
+    for rows in range(ROWS, 0, -1):
+        bands, apart = MINIMA // rows, 1 - (percent / 100) ** rows
+        if apart**bands <= MISSED:
+            return bands, rows
+    return math.ceil(math.log(MISSED) / math.log(1 - percent / 100)), 1
+
+
 def band_keys(least: np.ndarray, rows: int) -> np.ndarray:
     grid = least.reshape(-1, rows).astype(np.uint64)
     key = np.arange(len(grid), dtype=np.uint64) + np.uint64(1)
@@ -80,7 +92,7 @@ def most_difference(n_a, n_b, percent: int):
     return (n_a + n_b) * (100 - percent) / (100 + percent)
 
 
-def signatures(rows: DataFrame, width: int, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
+def signatures(rows: DataFrame, width: int, bands: int, per_band: int) -> DataFrame:
     """doc_id, n (set size), same (128-bit name of the set), bands (keys), cells (histogram), for doc_id and text."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64())), ("cells", pa.binary())])
     a, b = _universal(bands * per_band)
@@ -195,7 +207,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     neighbour in the order of another band. In buckets that then still have several components, the members
     outside the largest one are compared with all members of other components, CENTRES of a bucket in each round,
     until none is left: every pair of a bucket ends in one component or has been compared, and no bucket
-    is cut. Links are confirmed on full sets.
+    is cut. Bands follow percent, so a pair at the threshold shares none with chance MISSED at most. Links are confirmed on full sets.
 
     Null or empty text and text without words: an empty set, linked with nothing. Null ids count as the
     least id. Rows that share an id are grouped each by its own text. Extra columns are ignored; an
@@ -203,10 +215,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     """
     spark = docs.sparkSession
     rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
-    named = stored(signatures(rows, width), "signatures")
+    bands, per_band = banding(percent)
+    named = stored(signatures(rows, width, bands, per_band), "signatures")
     classes = named.where("n > 0").groupBy("same").agg(F.min(F.struct("doc_id", "n", "bands", "cells")).alias("r")).select("same", "r.*")
     classes = stored(classes, "classes")
-    following = F.concat(F.slice("bands", 2, BANDS - 1), F.slice("bands", 1, 1))
+    following = F.concat(F.slice("bands", 2, bands - 1), F.slice("bands", 1, 1))
     buckets = classes.select("doc_id", "n", F.posexplode(F.arrays_zip(F.col("bands").alias("bucket"), following.alias("next"))).alias("band", "k"))
     buckets = buckets.select("doc_id", "n", "band", "k.bucket", "k.next")
     busy = buckets.groupBy("bucket").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "n")).alias("h")).where("m > 1")

@@ -402,6 +402,22 @@ def test_near_duplicates(docs, texts, width, percent):
     assert {d: (r.n_shingles, r.component_id) for d, r in got.items()} == brute_near(texts, width, percent)
 
 
+def test_bands_follow_the_threshold():
+    for percent in range(1, 101):
+        bands, rows = near_dedup.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 4e-5
+    assert near_dedup.banding(85) == (32, 8) and near_dedup.banding(80) == (42, 6)
+    with pytest.raises(ValueError):
+        near_dedup.banding(0)
+
+
+@pytest.mark.parametrize(("percent", "shared", "pairs"), [(80, 8, 3000), (50, 2, 300)])
+def test_pairs_at_the_threshold(spark, percent, shared, pairs):
+    rows = [(2 * i + k, " ".join([*(f"w{i}x{j}" for j in range(shared)), f"own{i}x{k}"])) for i in range(pairs) for k in (0, 1)]
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, percent))
+    assert [d for d, r in got.items() if r.component_id != d - d % 2] == []
+
+
 def test_large_group_of_near_copies(spark, monkeypatch):
     """Members of one bucket that are no neighbours of its least member, with small rounds."""
     monkeypatch.setattr(near_dedup, "CENTRES", 4)
