@@ -25,8 +25,9 @@ _PLACE = np.uint64((1 << 21) - 1)
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 #: place packs the first window (high bits), the number of windows (16 bits) and the copies in one lot: 0 a later copy, 1, or 2 for more.
-BLOCKS = "gram long, content long, doc_id long, place long"
-_ARROW = pa.schema([("gram", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())])
+#: row tells rows that share an id apart; rows equal in id and row are one document.
+BLOCKS = "gram long, content long, doc_id long, place long, row long"
+_ARROW = pa.schema([("gram", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("row", pa.int64())])
 
 
 def pack(start: np.ndarray, nwin: np.ndarray, copies: np.ndarray | int) -> np.ndarray:
@@ -116,76 +117,107 @@ def _pieces(docs: Iterator[tuple[int, np.ndarray]], width: int) -> Iterator[tupl
         yield ids, starts, parts
 
 
-def block_table(ids: np.ndarray, documents: Iterator[np.ndarray], width: int, gram: int) -> list[np.ndarray]:
-    """All blocks of some documents. Copies inside this lot are told at once, so a hot block sends one full row a lot."""
+def block_table(ids: np.ndarray, documents: Iterator[np.ndarray], width: int, gram: int, keys: np.ndarray | None = None, all_copies: bool = False) -> list[np.ndarray]:
+    """All blocks of some documents (keys: the row of each, 0 for none). Copies inside this lot are told at once, so a hot block sends one full row a lot."""
     lots: list[tuple[np.ndarray, ...]] = []
-    for own, starts, parts in _pieces(zip(ids.tolist(), documents, strict=True), width):
+    keys = np.zeros(len(ids), dtype=np.int64) if keys is None else keys
+    for own, starts, parts in _pieces(zip(range(len(ids)), documents, strict=True), width):
         codes = np.concatenate(parts)
         sizes = np.array([len(p) for p in parts])
         ends = np.cumsum(sizes)
         first, nwin, grams, content = _blocks(codes, ends, width, gram)
         piece = np.searchsorted(ends, first, "right")
         start = first - (ends - sizes)[piece] + np.array(starts, dtype=np.int64)[piece]
-        lots.append((grams.view(np.int64), content.view(np.int64), np.array(own, dtype=np.int64)[piece], pack(start, nwin, 0)))
-    return combine(lots)
+        of = np.array(own, dtype=np.int64)[piece]
+        lots.append((grams.view(np.int64), content.view(np.int64), ids[of], pack(start, nwin, 0), keys[of]))
+    return combine(lots, all_copies)
 
 
-def combine(lots: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+def combine(lots: list[tuple[np.ndarray, ...]], all_copies: bool) -> list[np.ndarray]:
     """Sort rows of one lot by content, and mark the copies in it."""
     if not lots:
-        return [np.empty(0, dtype=np.int64)] * 4
-    grams, content, doc, place = (np.concatenate(c) for c in zip(*lots, strict=True))
-    order = np.lexsort((place, doc, content))
-    grams, content, doc, place = (c[order] for c in (grams, content, doc, place))
-    heads = run_starts(grams, content)
-    later = np.ones(len(grams), dtype=bool)
-    later[heads] = False
-    place[heads] |= np.minimum(np.diff(np.append(heads, len(grams))), 2)
+        return [np.empty(0, dtype=np.int64)] * 5
+    columns = [np.concatenate(c) for c in zip(*lots, strict=True)]
+    order = np.lexsort((columns[3], columns[4], columns[2], columns[1]))
+    columns = [c[order] for c in columns]
+    heads = run_starts(*columns[:2])
+    if all_copies:
+        later = np.ones(len(order), dtype=bool)
+        later[heads] = False
+        columns[3][heads] |= np.minimum(np.diff(np.append(heads, len(later))), 2)
+    else:
+        later, first = later_copies(columns, heads)
+        keep = later | first  # the same place of equal rows counts once
+        columns, later = [c[keep] for c in columns], later[keep]
+        columns[3][~later] |= 1
+    grams, content, doc, place, row = columns
     # a later copy needs no comparison: it is dealt out by its place, not to the task of its gram
-    grams[later] = mix64(mix64(doc[later].view(np.uint64)) + place[later].view(np.uint64)).view(np.int64)
-    return [grams, content, doc, place]
+    grams[later] = mix64(mix64(mix64(doc[later].view(np.uint64)) + place[later].view(np.uint64)) + row[later].view(np.uint64)).view(np.int64)
+    return [grams, content, doc, place, row]
 
 
-def blocks_of(docs: DataFrame, decode: Callable[[pa.RecordBatch], tuple[np.ndarray, Iterator[np.ndarray]]], width: int, gram: int) -> DataFrame:
-    """Blocks of a table of doc_id and text. `decode` gives ids and unit codes of a batch."""
+def later_copies(columns: list[np.ndarray], heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For blocks sorted by content, document, row and place: which have an earlier copy, and which are the first of their row.
+
+    An earlier copy starts in a document of a smaller id, or earlier in the same row. Rows that share
+    an id hold no earlier copies of each other.
+    """
+    n = len(columns[0])
+    runs = run_starts(*columns[:3], columns[4])
+    first = np.zeros(n, dtype=bool)
+    first[runs] = True
+    start = unpack(columns[3])[0]
+    later = columns[2] != np.repeat(columns[2][heads], np.diff(np.append(heads, n)))
+    later |= start != np.repeat(start[runs], np.diff(np.append(runs, n)))
+    return later, first
+
+
+def blocks_of(docs: DataFrame, decode: Callable[[pa.RecordBatch], tuple[np.ndarray, Iterator[np.ndarray]]], width: int, gram: int, all_copies: bool) -> DataFrame:
+    """Blocks of a table of doc_id, text and row. `decode` gives ids and unit codes of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = block_table(*decode(batch), width, gram)
+            columns = block_table(*decode(batch), width, gram, batch.column(2).to_numpy(), all_copies)
             if len(columns[0]):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ARROW)
 
     return docs.mapInArrow(run, BLOCKS)
 
 
-#: What judge() returns: rows whose whole block is repeated, and (doubt) the first row of each content whose gram has other content too.
-JUDGED = "doc_id long, start long, nwin int, doubt boolean"
-_JUDGED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("nwin", pa.int32()), ("doubt", pa.bool_())])
+#: What judge() returns: rows whose whole block is repeated, and (doubt) those without an earlier copy whose gram has, or may have, other content too.
+JUDGED = "doc_id long, start long, nwin int, doubt boolean, row long"
+_JUDGED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("nwin", pa.int32()), ("doubt", pa.bool_()), ("row", pa.int64())])
 
 
 def judge(blocks: DataFrame, all_copies: bool) -> DataFrame:
-    """Compare blocks of the same gram in a sorted stream that carries one row from batch to batch.
+    """Compare blocks of the same gram in a sorted stream that carries two rows at most from batch to batch.
 
-    Repeated rows are those whose content also occurs elsewhere (all_copies) or earlier (otherwise).
+    Repeated rows are those whose content also occurs elsewhere (all_copies) or earlier (otherwise, see
+    later_copies). Where several rows of one id hold a content first, all but one are in doubt in any case.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None  # first row of the last content, as columns of one value
+        held: list[np.ndarray] | None = None  # first block of the last content, and of its last row if that is another
         known, many = False, False  # whether its gram has other content; whether its content has other rows
 
         def rows(columns: list[np.ndarray], pick: np.ndarray, doubt: bool) -> pa.RecordBatch:
             start, nwin, _ = unpack(columns[3][pick])
-            return pa.RecordBatch.from_arrays([pa.array(columns[2][pick]), pa.array(start), pa.array(nwin.astype(np.int32)), pa.array(np.full(len(start), doubt))], schema=_JUDGED)
+            return pa.RecordBatch.from_arrays([pa.array(columns[2][pick]), pa.array(start), pa.array(nwin.astype(np.int32)), pa.array(np.full(len(start), doubt)), pa.array(columns[4][pick])], schema=_JUDGED)
 
         for batch in batches:
             now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if not len(now[0]):
                 continue
+            fresh = np.arange(len(now[0]) + (len(held[0]) if held else 0)) >= (len(held[0]) if held else 0)
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now, strict=True)]
             heads = run_starts(*now[:2])
-            later = np.ones(len(now[0]), dtype=bool)
-            later[heads] = now[3][heads] & 3 == 0
+            if all_copies:
+                later, first = np.ones(len(now[0]), dtype=bool), None
+                later[heads] = False
+            else:
+                later, first = later_copies(now, heads)
+            later = (later | (now[3] & 3 == 0)) & fresh
             sizes = np.diff(np.append(heads, len(later)))
             more = (sizes > 1) | (now[3][heads] & 3 > 1)
             more[0] |= many
@@ -196,26 +228,33 @@ def judge(blocks: DataFrame, all_copies: bool) -> DataFrame:
             doubt[:-1] |= twin
             if later.any():
                 yield rows(now, later, False)
+            if not all_copies:
+                first = first & fresh & ~later
+                first[heads] = False
+                if first.any():
+                    yield rows(now, first, True)
             done = heads[:-1]
             if all_copies and more[:-1].any():
                 yield rows(now, done[more[:-1]], False)
             if doubt[:-1].any():
                 yield rows(now, done[doubt[:-1]], True)
-            held, known, many = [c[heads[-1] : heads[-1] + 1] for c in now], bool(doubt[-1]), bool(more[-1])
+            carry = heads[-1:] if all_copies else np.unique([heads[-1], run_starts(*now[:3], now[4])[-1]])
+            held, known, many = [c[carry] for c in now], bool(doubt[-1]), bool(more[-1])
         if held is not None:
             if all_copies and many:
                 yield rows(held, np.array([0]), False)
             if known:
                 yield rows(held, np.array([0]), True)
 
-    return blocks.repartition("gram").sortWithinPartitions("gram", "content", "doc_id", "place").mapInArrow(run, JUDGED)
+    return blocks.repartition("gram").sortWithinPartitions("gram", "content", "doc_id", "row", "place").mapInArrow(run, JUDGED)
 
 
 #: Parts of documents that need a finer look: first unit, and the units as bytes.
-PARTS = "doc_id long, start long, content binary"
+PARTS = "doc_id long, start long, content binary, row long"
+_PARTS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("content", pa.binary()), ("row", pa.int64())])
 
 
-def finer(parts: DataFrame, decode: Callable[[bytes], np.ndarray], width: int, gram: int, cell: int) -> DataFrame:
+def finer(parts: DataFrame, decode: Callable[[bytes], np.ndarray], width: int, gram: int, cell: int, all_copies: bool) -> DataFrame:
     """Cells of up to `cell` windows of doubtful blocks, in the form of blocks for another judge().
 
     Cells lie on a grid that starts at the block's anchor, so equal windows fall into the same cell of their
@@ -224,7 +263,7 @@ def finer(parts: DataFrame, decode: Callable[[bytes], np.ndarray], width: int, g
     window's halves (they overlap by one unit where the width is odd), as in prefix doubling.
     """
 
-    def cells(owners: list[int], starts: list[int], codes: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    def cells(owners: list[int], starts: list[int], codes: list[np.ndarray], keys: list[int]) -> tuple[np.ndarray, ...]:
         joined, sizes = np.concatenate(codes), np.array([len(c) for c in codes])
         begins = np.cumsum(sizes) - sizes
         roll = Roller(joined)
@@ -246,53 +285,53 @@ def finer(parts: DataFrame, decode: Callable[[bytes], np.ndarray], width: int, g
             core, whole = content_hash(roll, base + begin, base + begin + half), content_hash(roll, base + begin + width - half, base + begin + width)
         else:
             core, whole = content_hash(roll, base + top, base + low + width), content_hash(roll, base + begin, base + end + width)
-        return core.view(np.int64), whole.view(np.int64), np.array(owners, dtype=np.int64)[which], pack(np.array(starts, dtype=np.int64)[which] + begin, end - begin + 1, 0)
+        return core.view(np.int64), whole.view(np.int64), np.array(owners, dtype=np.int64)[which], pack(np.array(starts, dtype=np.int64)[which] + begin, end - begin + 1, 0), np.array(keys, dtype=np.int64)[which]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lots, held, owners, starts, codes = [], 0, [], [], []
-            for doc_id, start, content in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            lots, held, owners, starts, codes, keys = [], 0, [], [], [], []
+            for doc_id, start, content, row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 unit = decode(content)
                 if held and held + len(unit) > BUFFER:
-                    lots.append(cells(owners, starts, codes))
-                    held, owners, starts, codes = 0, [], [], []
+                    lots.append(cells(owners, starts, codes, keys))
+                    held, owners, starts, codes, keys = 0, [], [], [], []
                 owners.append(doc_id)
                 starts.append(start)
                 codes.append(unit)
+                keys.append(row)
                 held += len(unit)
             if held:
-                lots.append(cells(owners, starts, codes))
+                lots.append(cells(owners, starts, codes, keys))
             if lots:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in combine(lots)], schema=_ARROW)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in combine(lots, all_copies)], schema=_ARROW)
 
     return parts.mapInArrow(run, BLOCKS)
 
 
 def cut_parts(docs: DataFrame, places: DataFrame, cutter: Callable[[bytes, list[tuple[int, int]]], list[bytes]], width: int) -> DataFrame:
-    """The content of places (doc_id, start, nwin) of documents (doc_id, text), as PARTS."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("content", pa.binary())])
+    """The content of places (doc_id, row, start, nwin) of documents (doc_id, row, text), as PARTS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts, contents = [], [], []
-            for doc_id, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            ids, starts, contents, keys = [], [], [], []
+            for doc_id, text, wanted, row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = text.encode() if isinstance(text, str) else text
                 ids += [doc_id] * len(wanted)
+                keys += [row] * len(wanted)
                 starts += [w["start"] for w in wanted]
                 contents += cutter(raw, [(w["start"], w["n"]) for w in wanted])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(contents, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(contents, pa.binary()), pa.array(keys, pa.int64())], schema=_PARTS)
 
-    return docs.join(spans(places, width), "doc_id").select("doc_id", "text", "spans").mapInArrow(run, PARTS)
+    return docs.join(spans(places, width), ["doc_id", "row"]).select("doc_id", "text", "spans", "row").mapInArrow(run, PARTS)
 
 
 def recut(parts: DataFrame, places: DataFrame, cutter: Callable[[bytes, list[tuple[int, int]]], list[bytes]], width: int) -> DataFrame:
     """The content of smaller places inside stored parts, found by document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("content", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts, contents = [], [], []
-            for doc_id, held, wanted in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            ids, starts, contents, keys = [], [], [], []
+            for doc_id, held, wanted, row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 held.sort(key=lambda p: p["start"])
                 firsts = np.array([p["start"] for p in held])
                 by_part: dict[int, list[tuple[int, int]]] = {}
@@ -301,17 +340,18 @@ def recut(parts: DataFrame, places: DataFrame, cutter: Callable[[bytes, list[tup
                     by_part.setdefault(k, []).append((w["start"] - held[k]["start"], w["n"]))
                 for k, places_in in by_part.items():
                     ids += [doc_id] * len(places_in)
+                    keys += [row] * len(places_in)
                     starts += [held[k]["start"] + p[0] for p in places_in]
                     contents += cutter(held[k]["content"], places_in)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(contents, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(contents, pa.binary()), pa.array(keys, pa.int64())], schema=_PARTS)
 
-    by_doc = parts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "content")).alias("held"))
-    return by_doc.join(spans(places, width), "doc_id").select("doc_id", "held", "spans").mapInArrow(run, PARTS)
+    by_doc = parts.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "content")).alias("held"))
+    return by_doc.join(spans(places, width), ["doc_id", "row"]).select("doc_id", "held", "spans", "row").mapInArrow(run, PARTS)
 
 
-def spans(judged: DataFrame, width: int) -> DataFrame:
-    """Repeated windows as unit spans of each document: doc_id, begins, lengths (arrays in no order)."""
-    return judged.groupBy("doc_id").agg(F.collect_list(F.struct("start", (F.col("nwin") + F.lit(width - 1)).alias("n"))).alias("spans"))
+def spans(judged: DataFrame, width: int, by: tuple[str, ...] = ("doc_id", "row")) -> DataFrame:
+    """Repeated windows as unit spans of each document: doc_id, row, begins, lengths (arrays in no order)."""
+    return judged.groupBy(*by).agg(F.collect_list(F.struct("start", (F.col("nwin") + F.lit(width - 1)).alias("n"))).alias("spans"))
 
 
 def covered(n: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -19,10 +19,10 @@ _NULL_ID = -(2**63)
 
 
 def _rounds(docs: DataFrame, decode_docs, decode_part, cutter, width: int, gram: int, cells: tuple[int, ...], all_copies: bool) -> DataFrame:
-    """Repeated runs of windows (doc_id, start, nwin): blocks first, then ever smaller cells of what is left in doubt."""
+    """Repeated runs of windows (doc_id, row, start, nwin): blocks first, then ever smaller cells of what is left in doubt."""
     spark, gram = docs.sparkSession, min(gram, max(1, width // 2))
     cells = tuple(c for c in cells if c == 1 or c <= width // 2)
-    judged = stored(blocks.judge(blocks.blocks_of(docs, decode_docs, width, gram), all_copies), "judged")
+    judged = stored(blocks.judge(blocks.blocks_of(docs, decode_docs, width, gram, all_copies), all_copies), "judged")
     free_shuffles(spark)
     found = [judged.where(~F.col("doubt"))]
     doubt = judged.where("doubt")
@@ -30,7 +30,7 @@ def _rounds(docs: DataFrame, decode_docs, decode_part, cutter, width: int, gram:
     for cell in cells:
         fresh = blocks.cut_parts(docs, doubt, cutter, width) if parts is None else blocks.recut(parts, doubt, cutter, width)
         parts = stored(fresh, "parts") if cell != cells[-1] else fresh
-        judged = blocks.judge(blocks.finer(parts, decode_part, width, gram, cell), all_copies)
+        judged = blocks.judge(blocks.finer(parts, decode_part, width, gram, cell, all_copies), all_copies)
         judged = stored(judged if cell != cells[-1] else judged.where(~F.col("doubt")), "judged")
         free_shuffles(spark)
         found.append(judged.where(~F.col("doubt")))
@@ -38,12 +38,21 @@ def _rounds(docs: DataFrame, decode_docs, decode_part, cutter, width: int, gram:
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "start", "nwin")
+    return out.select("doc_id", "row", "start", "nwin")
 
 
-def _masked(docs: DataFrame, found: DataFrame, width: int) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id (null is the least), text and row: a hash of the text where rows share the id, otherwise 0."""
+    rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
+    shared = stored(rows.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("shared")), "shared-ids")
+    if not shared.limit(1).count():
+        return rows.withColumn("row", F.lit(0).cast("long"))
+    return rows.join(shared, "doc_id", "left").select("doc_id", "text", F.when(F.col("shared"), F.xxhash64("text")).otherwise(0).alias("row"))
+
+
+def _masked(docs: DataFrame, found: DataFrame, width: int, by: tuple[str, ...] = ("doc_id", "row")) -> DataFrame:
     """Documents with their repeated spans, as doc_id, text, spans (null for none)."""
-    return docs.join(blocks.spans(found, width), "doc_id", "left")
+    return docs.join(blocks.spans(found, width, by), list(by), "left")
 
 
 def _mask(n: int, spans: list | None) -> np.ndarray:
@@ -63,12 +72,12 @@ def repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 32, id_col: s
     same order of equality as a dense rank and needs no global numbering.
 
     Returns doc_id, text, spans. Null text counts as empty, null ids as the least id; rows that share an
-    id are one document: no row is an earlier copy of another, and all get the spans found for the id. Texts shorter than `length`
+    id hold no earlier copies of each other, and all get the spans found for the id. Texts shorter than `length`
     have no spans. Extra columns are ignored; an empty table gives no rows.
     """
-    rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
+    rows = _keyed(docs, id_col, text_col)
     found = _rounds(rows, words.decode_bytes, words.bytes_as_units, words.cut_bytes, length, gram, (8, 1), all_copies=False)
-    return _masked(rows, found, length)
+    return _masked(rows, found, length, ("doc_id",))
 
 
 def dedup_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -91,7 +100,10 @@ def dedup_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
 
 
 def strip_repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of docs, the text without what repeated_bytes finds; a character goes when all its bytes are in spans."""
+    """All columns of docs, the text without what repeated_bytes finds in it; a character goes when all its bytes are in spans.
+
+    Each row of a shared id loses the spans of its own text only, so equal rows of one id stay alike.
+    """
 
     @F.pandas_udf("string")
     def strip(text: pd.Series, spans: pd.Series) -> pd.Series:
@@ -105,10 +117,11 @@ def strip_repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
+    rows = _keyed(docs, id_col, text_col)
     found = blocks.spans(_rounds(rows, words.decode_bytes, words.bytes_as_units, words.cut_bytes, length, 32, (8, 1), all_copies=False), length)
-    found = found.select(F.col("doc_id").alias("id_"), F.col("spans").alias("spans_"))
-    joined = docs.join(found, F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID)) == F.col("id_"), "left")
+    found = found.select(F.col("doc_id").alias("id_"), F.col("row").alias("row_"), F.col("spans").alias("spans_"))
+    own = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    joined = docs.join(found, (F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID)) == F.col("id_")) & ((F.col("row_") == 0) | (F.col("row_") == own)), "left")
     return joined.select(*[strip(docs[c], F.col("spans_")).alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 
@@ -122,10 +135,10 @@ def repeated_words(docs: DataFrame, window: int = 35, gram: int = 12, id_col: st
     factor ends (a block whose gram is indexed with other content) each window is looked up by itself.
 
     Returns doc_id, text, spans (start and n in words). Null text has no words. Null ids count as the least
-    id; rows that share an id are different occurrences, and all get the spans found for the id. Documents with fewer words than the window
+    id; rows that share an id are different occurrences, each with its own spans. Documents with fewer words than the window
     have no spans. Extra columns are ignored; an empty table gives no rows.
     """
-    rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
+    rows = _keyed(docs, id_col, text_col)
     found = _rounds(rows, words.decode_words, words.words_as_units, words.cut_words, window, gram, (4, 1), all_copies=True)
     return _masked(rows, found, window)
 

@@ -218,6 +218,25 @@ def test_substrings_of_odd_tables(odd, nothing):
     assert sorted(substring_dedup.strip_repeated_bytes(odd, 20).columns) == sorted(odd.columns)
 
 
+def test_rows_that_share_an_id(spark, monkeypatch):
+    """No row is an earlier copy of another of its id, across lots and tasks, and each has its own places."""
+    r = np.random.RandomState(5)
+    prose = lambda n: " ".join("".join(map(chr, r.randint(97, 123, 6))) for _ in range(n))
+    same, passage, own = prose(40), prose(30), prose(50)
+    rows = [(5, same)] * 3 + [(5, own + passage), (5, passage + " tail " + passage), (6, same), (6, own), (7, passage), (None, prose(30)), (None, prose(4)), (8, "short")]
+    want = [(5, same)] * 3 + [(5, own + passage), (5, passage + " tail "), (6, ""), (6, ""), (7, "")] + rows[8:]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda x: (x[0] or 0, x[1])
+    for parts, records in ((1, 10000), (4, 10000), (4, 1)):
+        monkeypatch.setattr("lexgate.llm.blocks.BUFFER", 500) if records == 1 else None
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+        got = [(x.doc_id, x.text) for x in substring_dedup.strip_repeated_bytes(docs.repartition(parts), 100).collect()]
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted(got, key=key) == sorted(want, key=key)
+    twins = docs.where("doc_id = 5 and length(text) = " + str(len(same)))
+    assert [x.n_removed for x in substring_dedup.dedup_bytes(twins, 100).collect()] == [0, 0, 0]
+
+
 def test_stripping_keeps_characters(spark):
     docs = spark.createDataFrame([(1, "x" + "éa" * 80), (2, "y" + "éa" * 80)], "doc_id long, text string")
     rows = {r.doc_id: r.text for r in substring_dedup.strip_repeated_bytes(docs, 100).collect()}
