@@ -14,13 +14,11 @@ from .common import documents, run_starts, stored
 from .words import word_bounds, word_codes
 
 #: Longest byte context. A context starts at the separator before its word at the earliest; above it stands the whole word.
-ORDER = 4
+ORDER = 5
 #: Kinds of training text (languages, say) that get a trie of their own; rarer kinds share the last one.
 MAX_KINDS = 8
 #: Words so frequent that at most this many are as frequent are scored where they stand; all others by a join.
 FREQUENT = 1 << 18
-#: A trie of up to this many nodes (16 bytes each) is broadcast; a larger one is joined by context suffix.
-BROADCAST_NODES = 4_000_000
 #: Documents whose words are counted at once.
 LOT = 3000
 _START, _END = 0x20, b"\n"
@@ -205,22 +203,9 @@ def _arrow_columns(df: DataFrame) -> list[np.ndarray]:
     return [c.to_numpy() for c in df.toArrow().columns]
 
 
-def spelled_scores(words: DataFrame, nodes: DataFrame, kinds: int, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+def spelled_scores(words: DataFrame, nodes: DataFrame, kinds: int) -> DataFrame:
     """code and s0, s1, ...: log10 probability of a word's bytes and separator under each kind's trie."""
     spark, names = words.sparkSession, [f"s{z}" for z in range(kinds)]
-    if nodes.count() <= broadcast_nodes:
-        keys, counts = _arrow_columns(nodes.select("key", "n"))  # at most broadcast_nodes rows
-        trie = spark.sparkContext.broadcast(Trie(keys.view(np.uint64), counts))
-        schema = pa.schema([("code", pa.int64()), *((s, pa.float64()) for s in names)])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                key, order, word = node_keys(*_joined(batch.column(0).to_pylist()))
-                sums = [np.bincount(word, weights=trie.value.log10(of_kind(key, z), order), minlength=batch.num_rows) for z in range(kinds)]
-                yield pa.RecordBatch.from_arrays([batch.column(1), *map(pa.array, sums)], schema=schema)
-
-        return words.select("word", "code").mapInArrow(run, "code long, " + ", ".join(f"{s} double" for s in names))
-
     # the contexts of a symbol end in the same two bytes or lie in orders 0 and 1 (at most 257 * 257 nodes a kind, which
     # every group gets), so symbols meet the part of the trie that they need by that suffix
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +230,7 @@ def spelled_scores(words: DataFrame, nodes: DataFrame, kinds: int, broadcast_nod
     return spelled.join(rated, "key").groupBy("code").agg(*(F.sum(s).alias(s) for s in names))
 
 
-def word_scores(words: DataFrame, kinds: int, broadcast_nodes: int = BROADCAST_NODES) -> tuple[DataFrame, int]:
+def word_scores(words: DataFrame, kinds: int) -> tuple[DataFrame, int]:
     """code, n, base, p0, p1, ... (log10 probability of the word as a token of each kind), and the training tokens.
 
     The word's own count comes first, less a discount; the discounted share is the escape to the trie.
@@ -258,7 +243,7 @@ def word_scores(words: DataFrame, kinds: int, broadcast_nodes: int = BROADCAST_N
     row = words.agg(F.count_if(total > 0), *sums).first()
     tokens, distinct = sum(row[1 + 4 * z] or 0 for z in range(kinds)), row[0]
     nodes = stored(trie_nodes(words, kinds), "nodes")
-    joined = words.join(spelled_scores(words, nodes, kinds, broadcast_nodes), "code")
+    joined = words.join(spelled_scores(words, nodes, kinds), "code")
     chances = []
     for z in range(kinds):
         n_z, kinds_z, once, twice = (row[1 + 4 * z + i] or 0 for i in range(4))
@@ -271,7 +256,7 @@ def word_scores(words: DataFrame, kinds: int, broadcast_nodes: int = BROADCAST_N
     return stored(joined.select("code", total.cast("long").alias("n"), base.alias("base"), *chances), "word-scores"), tokens
 
 
-def score_texts(docs: DataFrame, held_out, kind_col: str | None = "lang", id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+def score_texts(docs: DataFrame, held_out, kind_col: str | None = "lang", id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, broadcast_nodes: int | None = None) -> DataFrame:
     """Scores of all texts under a model that learns from the rows where held_out (a function of the id column) is false.
 
     Texts are lower-cased (A-Z), cut into words and one end token. The model is a trie of contexts: the
@@ -279,7 +264,8 @@ def score_texts(docs: DataFrame, held_out, kind_col: str | None = "lang", id_col
     kind of training text (kind_col, where the table has it) has its own trie; a text's probability is
     the mean over kinds by their share of the training rows, whatever kind its own row names. Within a kind a
     word has one code length wherever it stands, so a text's length is a sum over its tokens. All training
-    words are counted; frequent ones are scored in place, the others by a join on a 64-bit code.
+    words are counted; frequent ones are scored in place, the others by a join on a 64-bit code. A trie of
+    any size is joined by context suffix, so broadcast_nodes, which older callers pass, has no effect.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null text counts as empty
     (one end token). A null id is a training row. Rows equal in id and text share one result
@@ -298,7 +284,7 @@ def score_texts(docs: DataFrame, held_out, kind_col: str | None = "lang", id_col
         number = F.when(F.col("kind").eqNullSafe(F.lit(name)), i).otherwise(number)
     rows = rows.select("doc_id", "text", "held_out", F.when(F.col("held_out"), None).otherwise(number).cast("int").alias("kind"), F.xxhash64("doc_id", "text").alias("row_id"))
     words = stored(word_table(rows.select("doc_id", "text", "kind"), kinds), "words")
-    scored, total = word_scores(words, kinds, broadcast_nodes)
+    scored, total = word_scores(words, kinds)
     values = ["base", *(f"p{z}" for z in range(kinds))]
     # the least count that at most `frequent` words reach; the table of counts has few rows and is read from the top
     tally, least, held = scored.groupBy("n").agg(F.count("*").alias("k")).where("n > 1").orderBy(F.desc("n")).limit(frequent).collect(), None, 0

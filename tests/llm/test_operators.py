@@ -363,6 +363,12 @@ def test_model_against_brute_force(docs, texts, corpus):
             assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-6)
 
 
+def test_a_context_reaches_five_bytes_back(spark):
+    rows = [(i, f"{i % 2}abcd{'xy'[i % 2]}") for i in range(20)] + [(100, "q0abcdx"), (101, "q1abcdx")]
+    got = by_id(lm_scoring.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), lambda c: c >= 100))
+    assert got[100].score > got[101].score + 0.3
+
+
 def test_probabilities_of_a_context_sum_to_one():
     words = [b"the", b"then", b"ant", "ré".encode(), b"a"]
     raw, starts, ends = lm_scoring._joined(words)
