@@ -1,343 +1,303 @@
-"""Language-model scoring by prediction by partial matching: a byte-context trie with escapes and exclusion."""
+"""Language-model scoring by prediction by partial matching: a byte-context trie with escapes and symbol exclusion."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, run_starts, stored
+from .common import documents, mix64, run_starts, stored
 from .words import word_bounds, word_codes
 
-#: Longest byte context. A context starts at the separator before its word at the earliest; above it stands the whole word.
+#: Longest byte context; contexts run across words. A key holds the context, nearest byte first, and the symbol in its last byte.
 ORDER = 5
-#: Kinds of training text (languages, say) that get a trie of their own; rarer kinds share the last one.
-MAX_KINDS = 8
-#: Words so frequent that at most this many are as frequent are scored where they stand; all others by a join.
-FREQUENT = 1 << 18
-#: Documents whose words are counted at once.
-LOT = 3000
-_START, _END = 0x20, b"\n"
+#: Text that is scored with one lookup table, in bytes (a longer text is a block of its own), and symbols that are keyed at once.
+BLOCK, LOT = 1 << 24, 1 << 20
+#: Text bytes for each part of the keys; a part is one group of counting.
+PART_BYTES = 1 << 22
+_END, _SPACE = b"\n", b" "
+#: Keys of words have the highest bit, keys of contexts and symbols have not; the end token is the word of all ones.
+_WORD, _END_KEY = np.uint64(1 << 63), np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-# ---- nodes: 8 * kind + order in the top byte, then up to ORDER context bytes and the symbol
+# ---- blocks of text
 
 
-def node_keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every symbol of some words: the key of its longest context and itself, its order, and its word.
+def coded(text: str, order: int) -> bytes:
+    """What is predicted: each word and a space, then the end; the context of the first byte is `order` ends."""
+    return _END * order + b"".join(w + _SPACE for w in text.encode().lower().split()) + _END  # bytes.lower() is A-Z only
 
-    A word's symbols are its bytes and a separator; the end token is the byte of _END alone.
-    """
-    sizes = ends - starts
-    plain = ~((sizes == 1) & (raw[np.minimum(starts, len(raw) - 1)] == _END[0]))
-    total = sizes + plain
-    word = np.repeat(np.arange(len(starts)), total)
-    at = np.arange(len(word)) - np.repeat(np.cumsum(total) - total, total)  # place in the word
-    place = starts[word] + at
-    symbol = np.where(at < sizes[word], raw[np.minimum(place, len(raw) - 1)], _START).astype(np.uint64)
-    order = np.minimum(at + 1, ORDER)
-    key = symbol
-    for k in range(1, ORDER + 1):
-        before = at - k
-        byte = np.where(before >= 0, raw[np.clip(place - k, 0, len(raw) - 1)], _START).astype(np.uint64)
-        key = np.where(before >= -1, key | (byte << np.uint64(8 * k)), key)
-    return key | (order.astype(np.uint64) << np.uint64(56)), order, word
-
-
-def shorter(key: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The node of the same symbol in the next shorter context (order 1 or more)."""
-    mask = (np.uint64(1) << (np.uint64(8) * order.astype(np.uint64))) - np.uint64(1)  # order - 1 context bytes and the symbol
-    return (key & mask) | (((key >> np.uint64(56)) - np.uint64(1)) << np.uint64(56))
-
-
-def of_kind(key: np.ndarray, kind: int) -> np.ndarray:
-    return key | np.uint64(kind << 59)
-
-
-class Trie:
-    """Nodes in key order with their counts, and what each context needs for escapes and exclusion."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        at = np.argsort(keys)
-        self.keys, self.counts = keys[at], counts[at].astype(np.float64)
-        context = self.keys >> np.uint64(8)
-        heads = run_starts(context)
-        self.contexts = context[heads]
-        if len(heads):
-            self.total = np.add.reduceat(self.counts, heads)
-            self.kinds = np.diff(np.append(heads, len(context))).astype(np.float64)
-        else:
-            self.total = self.kinds = np.empty(0)
-        # counts in the shorter context of the symbols that this context knows: they are excluded after an escape
-        order = ((self.keys >> np.uint64(56)) & np.uint64(7)).astype(np.int64)
-        inner = order > 0
-        shadow = np.zeros(len(self.keys))
-        if inner.any():
-            place = np.searchsorted(self.keys, shorter(self.keys[inner], order[inner]))
-            shadow[inner] = self.counts[np.minimum(place, len(self.keys) - 1)]
-        self.shadow = np.add.reduceat(shadow, heads) if len(heads) else np.empty(0)
-
-    def _find(self, sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(sorted_keys):
-            return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
-        place = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
-        return place, sorted_keys[place] == wanted
-
-    def log10(self, key: np.ndarray, order: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol after its longest context.
-
-        From the longest known context down: the symbol's share of the counts that are not excluded, or an
-        escape with the share of the number of kinds (method C), which excludes the context's symbols below. Under
-        order 0 the symbols that are left of 256 share evenly.
-        """
-        n = len(key)
-        out, open_ = np.zeros(n), np.ones(n, dtype=bool)
-        key, order = key.copy(), order.astype(np.int64).copy()
-        gone_count, gone_kinds = np.zeros(n), np.zeros(n)
-        for level in range(ORDER, -1, -1):
-            idx = np.flatnonzero(open_ & (order == level))
-            if not len(idx):
-                continue
-            c, there = self._find(self.contexts, key[idx] >> np.uint64(8))
-            known, c = idx[there], c[there]
-            mass, kinds = self.total[c] - gone_count[known], self.kinds[c] - gone_kinds[known]
-            node, hit = self._find(self.keys, key[known])
-            with np.errstate(divide="ignore", invalid="ignore"):
-                good = known[hit]
-                out[good] += np.log10(self.counts[node[hit]] / (mass[hit] + kinds[hit]))
-                open_[good] = False
-                miss, some = known[~hit], kinds[~hit] > 0.5
-                out[miss[some]] += np.log10(kinds[~hit][some] / (mass[~hit][some] + kinds[~hit][some]))
-            cm = c[~hit]
-            gone_count[miss], gone_kinds[miss] = self.shadow[cm], self.kinds[cm]
-            rest = idx[open_[idx]]
-            if level:
-                key[rest] = shorter(key[rest], order[rest])
-                order[rest] -= 1
-            else:
-                out[rest] += np.log10(1 / np.maximum(256 - gone_kinds[rest], 1))
-        return out
-
-
-def _joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    ends = np.cumsum(sizes)
-    return np.frombuffer(b"".join(words) or b"\0", dtype=np.uint8), ends - sizes, ends
-
-
-def word_table(rows: DataFrame, kinds: int) -> DataFrame:
-    """word, code and n0, n1, ... (training counts by kind) of all tokens, the end token included.
-
-    rows: doc_id, text, kind (null for rows that only get scores).
-    """
-    counts_of = [f"n{z}" for z in range(kinds)]
-    schema = pa.schema([("word", pa.binary()), ("code", pa.int64()), *((c, pa.int64()) for c in counts_of)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, LOT):
-                batch = whole.slice(at, LOT)
-                texts = [t.encode().lower() for t in batch.column(1).to_pylist()]
-                kind = np.array([-1 if k is None else k for k in batch.column(2).to_pylist()])
-                i = 0
-                while i < len(texts):
-                    j, held = i, 0
-                    while j < len(texts) and (j == i or held < 1 << 24):
-                        held += len(texts[j]) + 1
-                        j += 1
-                    raw = np.frombuffer(b"\n".join(texts[i:j]), dtype=np.uint8)
-                    starts, ends = word_bounds(raw)
-                    code = word_codes(raw, starts, ends)
-                    of = kind[i:j][np.searchsorted(np.cumsum([len(t) + 1 for t in texts[i:j]]), starts, "right")]
-                    _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-                    table = [np.append(np.bincount(inverse[of == z], minlength=len(first)), (kind[i:j] == z).sum()) for z in range(kinds)]
-                    data = raw.tobytes()
-                    words = [data[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array([*words, _END], pa.binary()), pa.array(np.append(code[first].view(np.int64), 0)), *map(pa.array, table)], schema=schema)
-                    i = j
-
-    found = rows.mapInArrow(run, "word binary, code long, " + ", ".join(f"{c} long" for c in counts_of))
-    return found.groupBy("word", "code").agg(*(F.sum(c).alias(c) for c in counts_of))
-
-
-def trie_nodes(words: DataFrame, kinds: int) -> DataFrame:
-    """key, n of all nodes of all orders and kinds.
-
-    Counts are updated with exclusion: the word is the longest context, so a word counts in the byte contexts
-    below only once, when it is new.
-    """
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+def text_blocks(rows: DataFrame, order: int) -> DataFrame:
+    """block, ids, held, sizes (lists with one entry a row) and body (compressed), for rows of doc_id, text and held_out."""
+    schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("raw_size", pa.int64()), ("body", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+        number = TaskContext.get().partitionId() << 32
+
+        def block(ids, held, texts):
+            body = b"".join(texts)
+            packed = pa.compress(body, codec="zstd", asbytes=True)
+            return pa.RecordBatch.from_pylist([{"block": number, "ids": ids, "held": held, "sizes": [len(t) for t in texts], "raw_size": len(body), "body": packed}], schema=schema)
+
+        ids, held, texts, size = [], [], [], 0
         for batch in batches:
-            spelled, order, word = node_keys(*_joined(batch.column(0).to_pylist()))
-            keys, counts = [held[0]], [held[1]]
-            for z in range(kinds):
-                own = batch.column(1 + z).to_numpy()[word] > 0
-                key, level = of_kind(spelled[own], z), order[own]
-                while len(key):
-                    keys.append(key)
-                    counts.append(np.ones(len(key), dtype=np.int64))
-                    more = level > 0
-                    key, level = shorter(key[more], level[more]), level[more] - 1
-            keys, counts = np.concatenate(keys), np.concatenate(counts)
-            at = np.argsort(keys)
-            keys, counts = keys[at], counts[at]
-            heads = run_starts(keys)
-            held = (keys[heads], np.add.reduceat(counts, heads) if len(heads) else counts)
-            if len(held[0]) > 500_000:
-                yield pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1])], schema=schema)
-                held = (held[0][:0], held[1][:0])
-        if len(held[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1])], schema=schema)
-
-    return words.select("word", *(f"n{z}" for z in range(kinds))).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _arrow_columns(df: DataFrame) -> list[np.ndarray]:
-    return [c.to_numpy() for c in df.toArrow().columns]
-
-
-def spelled_scores(words: DataFrame, nodes: DataFrame, kinds: int) -> DataFrame:
-    """code and s0, s1, ...: log10 probability of a word's bytes and separator under each kind's trie."""
-    spark, names = words.sparkSession, [f"s{z}" for z in range(kinds)]
-    # the contexts of a symbol end in the same two bytes or lie in orders 0 and 1 (at most 257 * 257 nodes a kind, which
-    # every group gets), so symbols meet the part of the trie that they need by that suffix
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for doc_id, text, out in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                one = coded(text.as_py(), order)
+                if texts and size + len(one) > BLOCK:
+                    yield block(ids, held, texts)
+                    ids, held, texts, size = [], [], [], 0
+                    number += 1
+                ids.append(doc_id.as_py())
+                held.append(out.as_py())
+                texts.append(one)
+                size += len(one)
+        if texts:
+            yield block(ids, held, texts)
+
+    return rows.mapInArrow(run, "block long, ids array<long>, held array<boolean>, sizes array<long>, raw_size long, body binary")
+
+
+class Block:
+    """The texts of one block and their symbols and words."""
+
+    def __init__(self, sizes: np.ndarray, raw_size: int, body: bytes, order: int):
+        self.raw = np.frombuffer(pa.decompress(body, decompressed_size=raw_size, codec="zstd", asbytes=True), dtype=np.uint8)
+        self.order, self.ends = order, np.cumsum(sizes)
+        self.starts = self.ends - sizes
+
+    def symbols(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys of all symbols, in lots, and the row of each."""
+        k = self.order
+        for at in range(0, len(self.raw), LOT):
+            place = np.arange(at, min(at + LOT, len(self.raw)))
+            row = np.searchsorted(self.ends, place, "right")
+            real = place - self.starts[row] >= k
+            place, row = place[real], row[real]
+            yield context_keys(self.raw[max(at - k, 0) : at + LOT], place - max(at - k, 0), k), row
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all words and ends, and the row of each."""
+        starts, ends = word_bounds(self.raw)
+        key = np.append((word_codes(self.raw, starts, ends) >> np.uint64(2)) | _WORD, np.full(len(self.ends), _END_KEY))
+        return key, np.append(np.searchsorted(self.ends, starts, "right"), np.arange(len(self.ends)))
+
+
+def context_keys(raw: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
+    """The `order` bytes before each place, nearest first, and the byte there."""
+    key = np.zeros(len(place), dtype=np.uint64)
+    for j in range(1, order + 1):
+        key = (key << np.uint64(8)) | raw[place - j].astype(np.uint64)
+    return (key << np.uint64(8)) | raw[place].astype(np.uint64)
+
+
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts."""
+    key, n = np.concatenate([np.empty(0, dtype=np.uint64), *keys]), np.concatenate([np.empty(0, dtype=np.int64), *counts])
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    heads = run_starts(key)
+    return key[heads], np.add.reduceat(n, heads) if len(heads) else n
+
+
+def tallied(key: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (all but the highest bit of a key are free) and how many of each are training ones."""
+    high = key & _WORD
+    both, n = np.unique((key << np.uint64(1)) | train.astype(np.uint64), return_counts=True)
+    plain = (both >> np.uint64(1)) | (high[0] if len(high) else np.uint64(0))
+    heads = run_starts(plain)
+    return plain[heads], np.add.reduceat(np.where(both & np.uint64(1), n, 0), heads) if len(heads) else n
+
+
+# ---- packed keys: a block's keys of one part, as the differences of their order
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def expand(packed: bytes, n: int, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=n * size, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(dtype).ravel()
+
+
+def squeezed_keys(keys: np.ndarray) -> bytes:
+    return squeeze(np.diff(keys, prepend=np.uint64(0)))
+
+
+def expanded_keys(packed: bytes, n: int) -> np.ndarray:
+    return np.cumsum(expand(packed, n, np.uint64), dtype=np.uint64)
+
+
+ASKED = "part long, block long, size long, keys binary, counts binary"
+
+
+def asked_keys(blocks: DataFrame, parts: int, order: int) -> DataFrame:
+    """Every distinct key of each block with its training count, dealt to parts by a hash of the key."""
+    schema = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("size", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, _, word = node_keys(*_joined(batch.column(0).to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(word)), pa.array(key.view(np.int64))], names=["code", "key"])
+            for number, held, sizes, raw_size, body in zip(*(batch.column(i) for i in range(5)), strict=True):
+                block, train = Block(np.array(sizes.as_py()), raw_size.as_py(), body.as_py(), order), ~np.array(held.as_py())
+                keys, counts = [], []
+                for key, row in block.symbols():
+                    if len(key):
+                        one = tallied(key, train[row])
+                        keys.append(one[0])
+                        counts.append(one[1])
+                key, row = block.words()
+                words, n = tallied(key[: -len(train)], train[row[: -len(train)]]) if len(key) > len(train) else (key[:0], row[:0])
+                key, n = merged([*keys, words, np.array([_END_KEY])], [*counts, n, np.array([train.sum()])])
+                part = (mix64(key) % np.uint64(parts)).astype(np.int64)
+                deal = np.argsort(part, kind="stable")
+                key, n, part = key[deal], n[deal], part[deal]
+                heads = run_starts(part)
+                out = [(part[s], number.as_py(), e - s, squeezed_keys(key[s:e]), squeeze(n[s:e])) for s, e in zip(heads.tolist(), [*heads[1:].tolist(), len(key)], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    return blocks.select("block", "held", "sizes", "raw_size", "body").mapInArrow(run, ASKED)
+
+
+def counted_keys(asked: DataFrame) -> DataFrame:
+    """part, key, n: all distinct keys with their training counts."""
+
+    def count(table: pa.Table) -> pa.Table:
+        packs = list(zip(table["size"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True))
+        key, n = merged([expanded_keys(k, m) for m, k, _ in packs], [expand(c, m, np.int64) for m, _, c in packs])
+        return pa.table({"part": pa.repeat(table["part"][0], len(key)), "key": key.view(np.int64), "n": n})
 
-    level = F.shiftrightunsigned("key", 56).bitwiseAND(F.lit(7))
-    low_keys, low_counts = _arrow_columns(nodes.where(level <= 1).select("key", "n"))
-    low = spark.sparkContext.broadcast((low_keys.view(np.uint64), low_counts))
-    suffix = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(0xFFFF))
+    return asked.groupBy("part").applyInArrow(count, "part long, key long, n long")
 
-    def rate(symbols: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        key = symbols["key"].to_numpy(np.int64).view(np.uint64)
-        trie = Trie(np.concatenate([low.value[0], part["key"].to_numpy(np.int64).view(np.uint64)]), np.concatenate([low.value[1], part["n"].to_numpy(np.int64)]))
-        order = (key >> np.uint64(56)).astype(np.int64)
-        return pd.DataFrame({"key": symbols["key"], **{f"s{z}": trie.log10(of_kind(key, z), order) for z in range(kinds)}})
 
-    spelled = words.select("word", "code").mapInArrow(spell, "code long, key long")
-    high = nodes.where(level >= 2).withColumn("suffix", suffix)
-    rated = spelled.select("key").distinct().withColumn("suffix", suffix).groupBy("suffix").cogroup(high.groupBy("suffix")).applyInPandas(rate, "key long, " + ", ".join(f"{s} double" for s in names))
-    return spelled.join(rated, "key").groupBy("code").agg(*(F.sum(s).alias(s) for s in names))
+# ---- the trie: one table of nodes and one of contexts for each order
 
 
-def word_scores(words: DataFrame, kinds: int) -> tuple[DataFrame, int]:
-    """code, n, base, p0, p1, ... (log10 probability of the word as a token of each kind), and the training tokens.
+def shorter(key: Column) -> Column:
+    """The same symbol after a context without its farthest byte."""
+    return F.shiftleft(F.shiftright(key, 16), 8).bitwiseOR(key.bitwiseAND(F.lit(255)))
 
-    The word's own count comes first, less a discount; the discounted share is the escape to the trie.
+
+def trie_contexts(leaves: DataFrame, order: int) -> list[DataFrame]:
+    """For each order, from 0: context, total, kinds, shadow and symbols (a map to counts, 256 entries at most).
+
+    Counts are updated with exclusion: a node of the longest order has its occurrences, any other counts once
+    for each longer context that it stands in. shadow is what the context's symbols count one order
+    below: they are excluded there after an escape.
+    """
+    key, nodes, out = F.col("key"), leaves.select("key", "n"), []
+    for k in range(order, -1, -1):
+        below = stored(nodes.groupBy(shorter(key).alias("short")).agg(F.count("*").alias("below")), "nodes") if k else None
+        rows = nodes.withColumn("short", shorter(key)).join(below, "short") if k else nodes.withColumn("below", F.lit(0).cast("long"))
+        entry = F.struct(key.bitwiseAND(F.lit(255)).cast("int"), F.col("n"))
+        grouped = rows.groupBy(F.shiftright(key, 8).alias("context"))
+        out.append(stored(grouped.agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("below").alias("shadow"), F.map_from_entries(F.collect_list(entry)).alias("symbols")), "contexts"))
+        nodes = below.select(F.col("short").alias("key"), F.col("below").alias("n")) if k else None
+    return out[::-1]
+
+
+def rated(grams: DataFrame, order: int) -> DataFrame:
+    """part, key and value, the log10 probability of each symbol after its context, for part, key and n (training count, maybe 0).
+
+    From the longest context down: a symbol of count n among a total T of the counts that are not excluded has
+    (n - 1/2) / T, and D kinds leave D / 2T for the escape (method D), which excludes the context's symbols
+    below. Under order 0 the symbols that are left of 256 share evenly.
     """
-    sums = []
-    for z in range(kinds):
-        n = F.col(f"n{z}")
-        sums += [F.sum(n), F.count_if(n > 0), F.count_if(n == 1), F.count_if(n == 2)]
-    total = sum((F.col(f"n{z}") for z in range(kinds)), F.lit(0))
-    row = words.agg(F.count_if(total > 0), *sums).first()
-    tokens, distinct = sum(row[1 + 4 * z] or 0 for z in range(kinds)), row[0]
-    nodes = stored(trie_nodes(words, kinds), "nodes")
-    joined = words.join(spelled_scores(words, nodes, kinds), "code")
-    chances = []
-    for z in range(kinds):
-        n_z, kinds_z, once, twice = (row[1 + 4 * z + i] or 0 for i in range(4))
-        discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-        own = F.greatest(F.col(f"n{z}") - F.lit(discount), F.lit(0.0)) / F.lit(float(max(n_z, 1)))
-        escape = discount * kinds_z / n_z if n_z else 1.0
-        spelled = F.log10(F.lit(escape)) + F.col(f"s{z}")  # of a long word it may be less than any double
-        chances.append(F.when(own > 0, F.log10(own + F.pow(F.lit(10.0), spelled))).otherwise(spelled).alias(f"p{z}"))
-    base = F.log10((total + 1) / F.lit(float(tokens + distinct + 1)))
-    return stored(joined.select("code", total.cast("long").alias("n"), base.alias("base"), *chances), "word-scores"), tokens
-
-
-def score_texts(docs: DataFrame, held_out, kind_col: str | None = "lang", id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, broadcast_nodes: int | None = None) -> DataFrame:
+    contexts = trie_contexts(grams.where("n > 0"), order)
+    key, zero = F.col("key"), F.lit(0).cast("long")
+    known = grams.where("n > 0").withColumn("context", F.shiftright(key, 8)).join(contexts[order].select("context", "total"), "context")
+    done = known.select("part", "key", F.log10((F.col("n") - 0.5) / F.col("total")).alias("value"))
+    open_ = grams.where("n = 0").select("part", "key", key.alias("at"), F.lit(0.0).alias("value"), zero.alias("gone"), zero.alias("gone_kinds"))
+    for k in range(order, -1, -1):
+        x = open_.withColumn("context", F.shiftright("at", 8)).join(contexts[k], "context", "left")
+        n = F.col("symbols")[F.col("at").bitwiseAND(F.lit(255)).cast("int")]
+        mass, kinds = F.col("total") - F.col("gone"), F.col("kinds") - F.col("gone_kinds")
+        step = F.when(n.isNotNull(), F.log10((n - 0.5) / mass)).when(kinds > 0, F.log10(kinds / 2 / mass)).otherwise(0.0)
+        x = x.select("part", "key", shorter(F.col("at")).alias("at"), (F.col("value") + step).alias("value"), n.isNotNull().alias("found"),
+                     F.coalesce("shadow", "gone").alias("gone"), F.coalesce("kinds", "gone_kinds").alias("gone_kinds"))
+        x = stored(x, "open")
+        done = done.unionByName(x.where("found").select("part", "key", "value"))
+        open_ = x.where("not found").drop("found")
+    return done.unionByName(open_.select("part", "key", (F.col("value") - F.log10(F.greatest(F.lit(256) - F.col("gone_kinds"), F.lit(1)))).alias("value")))
+
+
+# ---- answers, back to the blocks that asked
+
+
+def answered_keys(asked: DataFrame, values: DataFrame) -> DataFrame:
+    """block, size, keys and values of what each block asked."""
+
+    def answer(packs: pa.Table, table: pa.Table) -> pa.Table:
+        key, value = table["key"].to_numpy().view(np.uint64), table["value"].to_numpy()
+        order = np.argsort(key)
+        key, value, out = key[order], value[order], []
+        for size, keys in zip(packs["size"].to_pylist(), packs["keys"].to_pylist(), strict=True):
+            out.append(squeeze(np.ascontiguousarray(value[np.searchsorted(key, expanded_keys(keys, size))])))
+        return pa.table({"block": packs["block"], "size": packs["size"], "keys": packs["keys"], "values": pa.array(out, pa.binary())})
+
+    left = asked.select("part", "block", "size", "keys").groupBy("part")
+    return left.cogroup(values.groupBy("part")).applyInArrow(answer, "block long, size long, keys binary, values binary")
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def block_scores(blocks: DataFrame, answers: DataFrame, spread: float, order: int) -> DataFrame:
+    """Scores of the texts of all blocks; spread is N + V + 1 of the base score."""
+
+    def score(block: pa.Table, found: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        text, m = Block(np.array(row["sizes"]), row["raw_size"], row["body"], order), len(row["ids"])
+        sizes = found["size"].to_pylist()
+        key = np.concatenate([expanded_keys(k, n) for k, n in zip(found["keys"].to_pylist(), sizes, strict=True)])
+        value = np.concatenate([expand(v, n, np.float64) for v, n in zip(found["values"].to_pylist(), sizes, strict=True)])
+        at = np.argsort(key)
+        key, value = key[at], value[at]
+        cut = int(np.searchsorted(key, _WORD))
+        total = np.zeros(m)
+        for wanted, of in text.symbols():
+            total += np.bincount(of, weights=value[np.searchsorted(key[:cut], wanted)], minlength=m)
+        wanted, of = text.words()
+        count = value[cut + np.searchsorted(key[cut:], wanted)]
+        base = np.bincount(of, weights=np.log10((count + 1) / spread), minlength=m)
+        tokens, known = np.bincount(of, minlength=m), np.bincount(of[count > 0], minlength=m)
+        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()), "n_tokens": tokens.astype(np.int64), "n_known": known.astype(np.int64), "base_score": base, "score": total})
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORED)
+
+
+def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """Scores of all texts under a model that learns from the rows where held_out (a function of the id column) is false.
 
-    Texts are lower-cased (A-Z), cut into words and one end token. The model is a trie of contexts: the
-    whole word, then up to ORDER bytes back to the separator before it, with escapes and exclusion. Each
-    kind of training text (kind_col, where the table has it) has its own trie; a text's probability is
-    the mean over kinds by their share of the training rows, whatever kind its own row names. Within a kind a
-    word has one code length wherever it stands, so a text's length is a sum over its tokens. All training
-    words are counted; frequent ones are scored in place, the others by a join on a 64-bit code. A trie of
-    any size is joined by context suffix, so broadcast_nodes, which older callers pass, has no effect.
+    Texts are lower-cased (A-Z) and cut into words; each word and a space, then an end, are predicted byte by
+    byte from a trie of contexts of up to `order` bytes, which run across words but not across texts (pretrained
+    mode: all counts are those of the whole training set). Texts lie in blocks of about BLOCK bytes; a
+    block asks for each distinct context and symbol once, the parts of the key space count and rate them, and
+    the answers go back to the blocks, so one path serves all sizes and nothing is broadcast.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null text counts as empty
-    (one end token). A null id is a training row. Rows equal in id and text share one result
-    of their summed tokens. Extra columns are ignored; an empty table gives no rows.
+    (one end token). A null id is a training row. Rows that share an id, equal ones too, are texts of their
+    own with a result each. Ties do not occur. Extra columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    kind = F.col(kind_col).cast("string") if kind_col in docs.columns else F.lit(None).cast("string")
+    if not 1 <= order <= 6:
+        raise ValueError(f"order must lie between 1 and 6: {order}")
     text, key = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col).cast("long")
-    rows = docs.select(key.alias("doc_id"), text.alias("text"), F.coalesce(held_out(key), F.lit(False)).alias("held_out"), kind.alias("kind"))
-    share = [(r["kind"], r["k"]) for r in rows.where(~F.col("held_out")).groupBy("kind").agg(F.count("*").alias("k")).orderBy(F.desc("k"), "kind").limit(MAX_KINDS - 1).collect()]
-    every = rows.where(~F.col("held_out")).count()
-    weights = [k for _, k in share] + [every - sum(k for _, k in share)]
-    kinds = len(weights) if weights[-1] else max(len(weights) - 1, 1)
-    number = F.lit(min(len(share), kinds - 1))
-    for i, (name, _) in enumerate(share):
-        number = F.when(F.col("kind").eqNullSafe(F.lit(name)), i).otherwise(number)
-    rows = rows.select("doc_id", "text", "held_out", F.when(F.col("held_out"), None).otherwise(number).cast("int").alias("kind"), F.xxhash64("doc_id", "text").alias("row_id"))
-    words = stored(word_table(rows.select("doc_id", "text", "kind"), kinds), "words")
-    scored, total = word_scores(words, kinds)
-    values = ["base", *(f"p{z}" for z in range(kinds))]
-    # the least count that at most `frequent` words reach; the table of counts has few rows and is read from the top
-    tally, least, held = scored.groupBy("n").agg(F.count("*").alias("k")).where("n > 1").orderBy(F.desc("n")).limit(frequent).collect(), None, 0
-    for r in tally:
-        held += r.k
-        if held > frequent:
-            break
-        least = r.n
-    top = scored.where(F.col("n") >= least) if least else scored.limit(0)
-    columns = _arrow_columns(top.select("code", *values).orderBy("code"))  # at most `frequent` rows
-    table = spark.sparkContext.broadcast((columns[0], np.column_stack(columns[1:]) if len(columns[0]) else np.zeros((0, len(values)))))
-    schema = pa.schema([("doc_id", pa.int64()), ("row_id", pa.int64()), ("held_out", pa.bool_()), ("code", pa.int64()), ("tokens", pa.int64()), ("known", pa.int64()), *((v, pa.float64()) for v in values)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_codes, known_values = table.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                texts = [t.encode().lower() for t in batch.column(1).to_pylist()]
-                docs_here = len(texts)
-                raw = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
-                starts, ends = word_bounds(raw)
-                code = word_codes(raw, starts, ends).view(np.int64)
-                doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, "right")
-                code = np.append(code, np.zeros(docs_here, dtype=np.int64))  # the end tokens
-                doc = np.append(doc, np.arange(docs_here))
-                place = np.minimum(np.searchsorted(known_codes, code), max(len(known_codes) - 1, 0))
-                hit = known_codes[place] == code if len(known_codes) else np.zeros(len(code), dtype=bool)
-                sums = [np.bincount(doc[hit], weights=known_values[place[hit], i], minlength=docs_here) for i in range(len(values))]
-                rare_code, rare_doc = code[~hit], doc[~hit]
-                order = np.lexsort((rare_code, rare_doc))
-                rare_code, rare_doc = rare_code[order], rare_doc[order]
-                heads = run_starts(rare_doc, rare_code)
-                rare_n = np.diff(np.append(heads, len(rare_code)))
-                which = pa.array(np.append(np.arange(docs_here), rare_doc[heads]))
-                blank, in_place = np.zeros(len(heads)), np.bincount(doc[hit], minlength=docs_here)
-                mask = np.append(np.ones(docs_here, dtype=bool), np.zeros(len(heads), dtype=bool))
-                out = [batch.column(i).take(which) for i in (0, 3, 2)]
-                out.append(pa.array(np.append(np.zeros(docs_here, dtype=np.int64), rare_code[heads]), mask=mask))
-                out += [pa.array(np.append(in_place, rare_n).astype(np.int64)), pa.array(np.append(in_place, np.zeros(len(heads))).astype(np.int64))]
-                out += [pa.array(np.append(s, blank)) for s in sums]
-                yield pa.RecordBatch.from_arrays(out, schema=schema)
-
-    kinds_of = "doc_id long, row_id long, held_out boolean, code long, tokens long, known long, " + ", ".join(f"{v} double" for v in values)
-    parts = stored(rows.select("doc_id", "text", "held_out", "row_id").mapInArrow(run, kinds_of), "token-parts")
-    rare = parts.where(F.col("code").isNotNull()).select("doc_id", "row_id", "held_out", "code", "tokens").join(scored, "code")
-    rare = rare.select("doc_id", "row_id", "held_out", "tokens", F.when(F.col("n") > 0, F.col("tokens")).otherwise(0).alias("known"), *((F.col("tokens") * F.col(v)).alias(v) for v in values))
-    summed = parts.where(F.col("code").isNull()).drop("code").unionByName(rare).groupBy("doc_id", "row_id", "held_out").agg(*(F.sum(c).alias(c) for c in ("tokens", "known", *values)))
-    priors = [float(np.log10(max(w, 1e-300) / max(every, 1))) if every else 0.0 for w in weights[:kinds]]
-    under = [F.col(f"p{z}") + F.lit(p) for z, p in enumerate(priors)]
-    best = F.greatest(*under) if kinds > 1 else under[0]
-    score = best + F.log10(sum((F.pow(F.lit(10.0), u - best) for u in under), F.lit(0.0)))
-    return summed.select("doc_id", "held_out", F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), score.alias("score"))
+    rows = docs.select(key.alias("doc_id"), text.alias("text"), F.coalesce(held_out(key), F.lit(False)).alias("held_out"))
+    blocks = stored(text_blocks(rows, order), "blocks")
+    parts = max(8, int((blocks.agg(F.sum("raw_size")).first()[0] or 0) // PART_BYTES))
+    asked = stored(asked_keys(blocks, parts, order), "asked")
+    counts = stored(counted_keys(asked), "counts")
+    words = counts.where("key < 0")
+    tokens, distinct = (v or 0 for v in words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first())
+    values = rated(counts.where("key >= 0"), order).unionByName(words.select("part", "key", F.col("n").cast("double").alias("value")))
+    out = block_scores(blocks, answered_keys(asked, values), float(tokens + distinct + 1), order)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

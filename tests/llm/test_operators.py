@@ -306,61 +306,55 @@ def test_lines_of_odd_tables(odd, nothing):
 # ---- 7
 
 
-def test_model_against_brute_force(docs, texts, corpus):
+def brute_model(tokens, held, order):
+    """log10 probability of each text: every longer context of a symbol counts once below, method D, exclusion."""
+    coded = {d: "\n" * order + "".join(w if w == "\n" else w + " " for w in ws) for d, ws in tokens.items()}
+    coded = {d: t.encode() for d, t in coded.items()}
+    trie = [defaultdict(Counter) for _ in range(order + 1)]
+    for d, b in coded.items():
+        if not held[d]:
+            for i in range(order, len(b)):
+                trie[order][b[i - order : i]][b[i]] += 1
+    for k in range(order, 0, -1):
+        for context, symbols in trie[k].items():
+            for s in symbols:
+                trie[k - 1][context[1:]][s] += 1
+
+    def symbol(context, s):
+        out, gone = 0.0, set()
+        for k in range(order, -1, -1):
+            live = {a: n for a, n in trie[k].get(context[len(context) - k :], {}).items() if a not in gone}
+            if s in live:
+                return out + math.log10((live[s] - 0.5) / sum(live.values()))
+            if live:
+                out += math.log10(len(live) / 2 / sum(live.values()))
+                gone |= set(live)
+        return out + math.log10(1 / (256 - len(gone)))
+
+    return {d: sum(symbol(b[i - order : i], b[i]) for i in range(order, len(b))) for d, b in coded.items()}, symbol
+
+
+@pytest.mark.parametrize(("order", "block", "parts"), [(5, 1 << 24, 1 << 22), (5, 900, 500), (2, 5000, 3000)])
+def test_model_against_brute_force(docs, texts, monkeypatch, order, block, parts):
+    """Blocks and parts of any size give the same scores."""
+    monkeypatch.setattr(lm_scoring, "BLOCK", block)
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", parts)
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
-    kind = {r[0]: r[3] for r in corpus}
     tokens = {d: WORD.findall(lower(t)) + ["\n"] for d, t in texts.items()}
     counts = Counter(w for d, ws in tokens.items() if not held[d] for w in ws)
     total, distinct = sum(counts.values()), len(counts)
-
-    def spelled(w):
-        s = " " + (w if w == "\n" else w + " ")
-        b = s.encode()
-        return [(b[max(0, i - lm_scoring.ORDER) : i], b[i]) for i in range(1, len(b))]
-
-    models = []
-    for z in set(kind.values()):
-        own = Counter(w for d, ws in tokens.items() if not held[d] and kind[d] == z for w in ws)
-        trie = defaultdict(Counter)
-        for w in own:
-            for context, s in spelled(w):
-                for k in range(len(context) + 1):
-                    trie[context[len(context) - k :]][s] += 1
-
-        def spell(w, trie=trie):
-            out = 0.0
-            for context, s in spelled(w):
-                gone = set()
-                for k in range(len(context), -1, -1):
-                    live = {a: n for a, n in trie.get(context[len(context) - k :], {}).items() if a not in gone}
-                    mass = sum(live.values()) + len(live)
-                    if s in live:
-                        out += math.log10(live[s] / mass)
-                        break
-                    if live:
-                        out += math.log10(len(live) / mass)
-                        gone |= set(live)
-                else:
-                    out += math.log10(1 / (256 - len(gone)))
-            return out
-
-        n, once, twice = sum(own.values()), sum(c == 1 for c in own.values()), sum(c == 2 for c in own.values())
-        less = min(0.95, max(0.05, once / (once + 2 * twice)))
-        prior = math.log10(sum(not held[d] and kind[d] == z for d in texts) / sum(not h for h in held.values()))
-        models.append((prior, lambda w, own=own, n=n, less=less, spell=spell: math.log10((own[w] - less) / n + less * len(own) / n * 10 ** spell(w)) if own[w] else math.log10(less * len(own) / n) + spell(w)))
-    hold = lambda c: c.cast("string").cast("binary")
     from pyspark.sql import functions as F
 
-    for frequent, nodes in ((1 << 18, 4_000_000), (5, 1)):  # the second takes the joins
-        got = {r.doc_id: r for r in lm_scoring.score_texts(docs, lambda c: F.crc32(hold(c)) % 7 == 2, frequent=frequent, broadcast_nodes=nodes).collect()}
-        assert set(got) == set(texts)
-        for d, ws in tokens.items():
-            r = got[d]
-            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[d], len(ws), sum(w in counts for w in ws), total)
-            base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in ws)
-            each = [p + sum(m(w) for w in ws) for p, m in models]
-            score = max(each) + math.log10(sum(10 ** (e - max(each)) for e in each))
-            assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-6)
+    got = {r.doc_id: r for r in lm_scoring.score_texts(docs, lambda c: F.crc32(c.cast("string").cast("binary")) % 7 == 2, order=order).collect()}
+    want, symbol = brute_model(tokens, held, order)
+    assert set(got) == set(texts) and any(held.values())
+    for d, ws in tokens.items():
+        r = got[d]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[d], len(ws), sum(w in counts for w in ws), total)
+        base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in ws)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(want[d], rel=1e-9)
+    for context in (b"\n\n\n\n\n", b"onti ", b"zzzzz", b"he an"):
+        assert sum(10 ** symbol(context[5 - order :], s) for s in range(256)) == pytest.approx(1.0)
 
 
 def test_a_context_reaches_five_bytes_back(spark):
@@ -369,33 +363,33 @@ def test_a_context_reaches_five_bytes_back(spark):
     assert got[100].score > got[101].score + 0.3
 
 
-def test_probabilities_of_a_context_sum_to_one():
-    words = [b"the", b"then", b"ant", "ré".encode(), b"a"]
-    raw, starts, ends = lm_scoring._joined(words)
-    key, order, _ = lm_scoring.node_keys(raw, starts, ends)
-    keys, counts = [], []
-    while len(key):
-        keys.append(key)
-        counts.append(np.ones(len(key)))
-        more = order > 0
-        key, order = lm_scoring.shorter(key[more], order[more]), order[more] - 1
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    at = np.argsort(keys)
-    heads = np.flatnonzero(np.append(True, keys[at][1:] != keys[at][:-1]))
-    trie = lm_scoring.Trie(keys[at][heads], np.add.reduceat(counts[at], heads))
-    for context in (b" ", b" t", b" the", b"zzzz"):
-        n = len(context)
-        all_ = np.array([(n << 56) | int.from_bytes(context + bytes([s]), "big") for s in range(256)], dtype=np.uint64)
-        assert 10 ** trie.log10(all_, np.full(256, n)) @ np.ones(256) == pytest.approx(1.0)
-
-
-def test_model_of_odd_tables(odd, nothing):
+def test_contexts_cross_words(spark):
+    rows = [(i, "ab cd ef gh"[:: 1 if i % 2 else -1]) for i in range(40)] + [(100, "ab cd ef gh"), (101, "cd ab gh ef")]
+    got = by_id(lm_scoring.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), lambda c: c >= 100))
+    assert got[100].base_score == pytest.approx(got[101].base_score) and got[100].score > got[101].score + 3
+
+
+def test_held_out_text_of_the_same_kind_scores_better(spark):
+    r = np.random.RandomState(6)
+    parts = ["an", "the", "ti", "on", "ing", "re", "es"]
+    text = lambda: " ".join("".join(r.choice(parts, r.randint(1, 4))) for _ in range(200))
+    rows = [(i, text()) for i in range(60)] + [(100, text()), (101, text()[::-1])]
+    got = by_id(lm_scoring.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), lambda c: c >= 100))
+    assert got[100].score > got[101].score + 100
+
+
+def test_model_of_odd_tables(spark, odd, nothing):
     from pyspark.sql import functions as F
 
     hold = lambda c: F.lit(False)
     assert lm_scoring.score_texts(nothing, hold).count() == 0
     rows = lm_scoring.score_texts(odd, hold).collect()
-    assert sorted(r.n_tokens for r in rows) == [1, 3, 7, 14]
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in rows) == [(0, 7), (5, 3), (5, 7), (5, 7), (7, 1)]
+    assert all(r.held_out for r in lm_scoring.score_texts(odd, lambda c: F.lit(True)).collect())
+    untrained = lm_scoring.score_texts(odd, lambda c: F.lit(True)).where("doc_id = 7").first()
+    assert (untrained.train_tokens, untrained.n_known) == (0, 0) and untrained.score == pytest.approx(math.log10(1 / 256))
+    with pytest.raises(ValueError):
+        lm_scoring.score_texts(odd, hold, order=9)
 
 
 # ---- 9
