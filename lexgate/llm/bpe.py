@@ -18,9 +18,11 @@ from .common import documents, keyed_text
 #: Fixed value: how byte-level BPE of this family splits text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fixed value: white space as the tokenizer's pattern has it.
-_WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 #: A worker keeps the ids of so many different pieces of text, then starts anew.
 CACHE = 300_000
+#: Bytes of a piece whose matches are held at once.
+STRETCH = 1 << 13
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -58,8 +60,9 @@ class Bpe:
         for i, token in tokens.items():
             self.matcher.add_word(token.decode("latin-1"), (len(token), i))
         self.matcher.make_automaton()
-        self.pieces = regex.compile(SPLIT.replace(r"\s", f"[{_WHITE}]").replace(rf"[^[{_WHITE}]", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]"))
+        self.pieces = regex.compile(SPLIT.replace(r"\s", f"[{WHITE}]").replace(rf"[^[{WHITE}]", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]"))
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.longest = max(map(len, tokens.values()))
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[str, bytes] = {}
         self.flat = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
@@ -93,22 +96,33 @@ class Bpe:
         self.fits[key] = ok
         return ok
 
+    def _starting(self, raw: str, first: int) -> list[list[tuple[int, int]]]:
+        """Tokens that start at each of STRETCH places, shortest first."""
+        at: list[list[tuple[int, int]]] = [[] for _ in range(min(STRETCH, len(raw) - first))]
+        for end, (length, token) in self.matcher.iter(raw[first : first + len(at) + self.longest - 1]):
+            if end + 1 - length < len(at):
+                at[end + 1 - length].append((length, token))  # ends rise, so the longest match comes last
+        return at
+
     def encode_piece(self, piece: str) -> list[int]:
-        """Ids of one piece: longest matches first, shorter ones or a step back where neighbours are not compatible."""
+        """Ids of one piece: longest matches first, shorter ones or a step back where neighbours are not compatible.
+
+        Matches are looked up for one stretch of a long piece at a time.
+        """
         raw = piece.encode().decode("latin-1")
-        n = len(raw)
-        at: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        for end, (length, token) in self.matcher.iter(raw):
-            at[end + 1 - length].append((length, token))  # ends rise, so the longest match comes last
+        n, first, at = len(raw), 0, self._starting(raw, 0)
         ids: list[int] = []
         sizes: list[int] = []
-        choice = [len(a) - 1 for a in at]
         dead = bytearray(n + 1)
         pos = 0
         while pos < n:
-            i, last = choice[pos], ids[-1] if ids else -1
+            if not first <= pos < first + len(at):
+                first = pos - pos % STRETCH
+                at = self._starting(raw, first)
+            here, last = at[pos - first], ids[-1] if ids else -1
+            i = len(here) - 1
             while i >= 0:
-                length, token = at[pos][i]
+                length, token = here[i]
                 if not dead[pos + length] and (last < 0 or self.compatible(last, token)):
                     break
                 i -= 1
@@ -187,7 +201,11 @@ def bpe_encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
 
 
 def bpe_decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids and text of a table of doc_id and ids; null ids count as none."""
+    """doc_id, ids and text of a table of doc_id and ids.
+
+    Null ids count as none and give the empty text; doc_id may be null or repeat, each row is decoded by itself. Extra
+    columns are ignored; an empty table gives no rows.
+    """
     path = path or default_path()
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
 

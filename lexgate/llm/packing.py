@@ -10,17 +10,18 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import default_path, load
+from .bpe import WHITE, default_path, load
 from .common import documents, keyed_text, stored
 
 CAPACITY = 1024
 #: Windows that one group of pieces fills, about; groups are dealt by hash, so none grows with the table.
 GROUP_WINDOWS = 512
-#: A document's rest is cut to pieces of at most COARSE tokens; every FINE_EVERY-th rest is cut to FINE tokens, to even out the windows.
-COARSE, FINE, FINE_EVERY = 384, 24, 8
+#: How far the window count may rise over the least possible one before what still exceeds a window is cut.
+RISE = 0.004
 
 
 def kk_partition(sizes: list[int], k: int) -> list[list[int]]:
@@ -59,25 +60,51 @@ def kk_partition(sizes: list[int], k: int) -> list[list[int]]:
     return bins + [[] for _ in range(k - len(bins))]
 
 
-def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
-    """The fewest windows whose near-equal partition holds the capacity: the count rises whenever one is exceeded."""
+def windows_of(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
+    """Windows of near-equal fill as lists of (item, first token, tokens).
+
+    The window count rises whenever capacity is exceeded, up to RISE over the least possible count; of
+    windows that exceed it even then, the tail of an item is cut off and fills windows with room, the
+    emptiest first.
+    """
     total = sum(sizes)
-    k = max(1, -(-total // capacity))
-    while True:
+    if not total:
+        return []
+    least = -(-total // capacity)
+    for k in range(least, least + int(least * RISE) + 1):
         bins = kk_partition(sizes, k)
-        most = max(sum(sizes[i] for i in b) for b in bins)
-        if most <= capacity:
-            return [b for b in bins if b]
-        over = most - total / k
-        k = max(k + 1, min(int(np.ceil(total / max(capacity - over, capacity / 2))), 2 * k))
-
-
-def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY, group_windows: int = GROUP_WINDOWS) -> DataFrame:
-    """Add sequence_id and offset to a table with piece_id (unique long) and length (1 to capacity).
-
-    Pieces of exactly one window are sequences of their own. The others are dealt by a hash of piece_id
-    into groups of about group_windows windows, and each group is packed by differencing. Sequences of a
-    group are numbered inside it; offsets follow piece_id. Pieces of no length are dropped.
+        loads = [sum(sizes[i] for i in b) for b in bins]
+        if max(loads) <= capacity:
+            break
+    windows = [[(i, 0, sizes[i]) for i in b] for b in bins]
+    room = [(load, w) for w, load in enumerate(loads) if load < capacity]
+    heapq.heapify(room)
+    for w, load in enumerate(loads):
+        while load > capacity:
+            held, other = heapq.heappop(room)
+            n = min(load - capacity, capacity - held)
+            at = max(range(len(windows[w])), key=lambda x: windows[w][x][2])
+            item, start, length = windows[w].pop(at)
+            n = min(n, length)
+            if n < length:
+                windows[w].append((item, start, length - n))
+            windows[other].append((item, start + length - n, n))
+            load -= n
+            if held + n < capacity:
+                heapq.heappush(room, (held + n, other))
+    return [w for w in windows if w]
+
+
+PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+
+
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_windows: int = GROUP_WINDOWS) -> DataFrame:
+    """Place pieces (piece_id, doc_id, start, length, ids_crc32, doc_tokens, ids) in sequences.
+
+    Pieces of a whole window stand alone. The rests, whose ids are at hand, are dealt by a hash of piece_id
+    into groups of about group_windows windows, and each group is packed by differencing; a rest that is cut
+    gives several pieces. Sequences are numbered inside their group. Pieces of no length are dropped;
+    rows that are alike but for piece_id are pieces of their own; an empty table gives no rows.
     """
     total = pieces.where(F.col("length") < capacity).agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (capacity * group_windows)))
@@ -85,25 +112,19 @@ def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY, group_windows: int
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("piece_id", ignore_index=True)
-        bins = windows_of(pdf["length"].tolist(), capacity)
-        window = np.empty(len(pdf), dtype=np.int64)
-        for w, items in enumerate(bins):
-            window[items] = w
-        out = pdf[["piece_id"]].assign(sequence_id=2 * ((int(pdf["group"].iloc[0]) << 24) + window))
-        out["offset"] = pdf["length"].groupby(window).cumsum() - pdf["length"]
-        return out
-
-    dealt = rest.select("piece_id", "length", F.pmod(F.xxhash64("piece_id"), F.lit(groups)).alias("group"))
-    placed = dealt.groupBy("group").applyInPandas(pack, "piece_id long, sequence_id long, offset long")
-    full = pieces.where(F.col("length") == capacity).select("piece_id", (2 * F.col("piece_id") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return pieces.join(placed.unionByName(full), "piece_id")
-
+        first, ids, rows = (int(pdf["group"].iloc[0]) << 24), pdf["ids"].tolist(), []
+        docs, starts, tokens = (pdf[c].tolist() for c in ("doc_id", "start", "doc_tokens"))
+        for w, window in enumerate(windows_of(pdf["length"].tolist(), capacity)):
+            offset = 0
+            for item, at, n in window:
+                rows.append((docs[item], starts[item] + at, n, zlib.crc32(ids[item][4 * at : 4 * (at + n)]), tokens[item], 2 * (first + w), offset))
+                offset += n
+        out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+        return out.astype({"doc_id": "Int64"})
 
-def cut_points(n: int, capacity: int, doc_key: int) -> list[int]:
-    """Lengths of the pieces of a document of n tokens: whole windows, then a rest in smaller pieces."""
-    whole, rest = divmod(n, capacity)
-    size = FINE if doc_key % FINE_EVERY == 0 else COARSE
-    return [capacity] * whole + [size] * (rest // size) + ([rest % size] if rest % size else [])
+    dealt = rest.select("piece_id", "doc_id", "start", "length", "doc_tokens", "ids", F.pmod(F.xxhash64("piece_id"), F.lit(groups)).alias("group"))
+    full = pieces.where(F.col("length") == capacity).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (2 * F.col("piece_id") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return full.unionByName(dealt.groupBy("group").applyInPandas(pack, PLACED))
 
 
 @lru_cache(maxsize=2)
@@ -119,38 +140,68 @@ def fast_encoder(path: str):
     return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=bpe.special)
 
 
+#: Runs of white space so long are pieces by themselves: the compiled splitter would step back over each of their signs.
+LONG_BLANK = regex.compile(f"[{WHITE}]{{2000,}}")
+
+
+def encoded(text: str, path: str) -> list[int]:
+    """Ids of a whole text. A long blank run but for its last sign is one piece of the splitter, whatever stands around it."""
+    encoder = fast_encoder(path)
+    if not LONG_BLANK.search(text):
+        return encoder.encode(text, allowed_special="all")
+    bpe, ids = load(path), []
+    for k, part in enumerate(bpe.parts.split(text) if bpe.parts else (text,)):
+        if k % 2:
+            ids.append(bpe.special[part])
+            continue
+        at = 0
+        for run in LONG_BLANK.finditer(part):
+            end = run.end() if run.end() == len(part) else run.end() - 1
+            ids += encoder.encode(part[at : run.start()], disallowed_special=())
+            ids += bpe.encode_piece(part[run.start() : end])
+            at = end
+        ids += encoder.encode(part[at:], disallowed_special=())
+    return ids
+
+
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+
+
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of tokenised documents: doc_id, start, length, ids_crc32, doc_tokens.
+    """Pieces of tokenised documents: doc_id, start, length, ids_crc32, doc_tokens, ids.
 
-    A document's ids are followed by end_id, so a null or empty text is one id. Each row is one document.
+    Whole windows of a document have a checksum and no ids, its rest has its ids (32 bits each). A document's
+    ids are followed by end_id, so a null or empty text is one id. Each row is one document, also where
+    ids are null or repeat. Extra columns are ignored; an empty table gives no rows.
     """
     path = path or default_path()
-    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
+    schema = pa.schema([*((c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = fast_encoder(path)
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encoder.encode(text.as_py(), allowed_special="all"), end_id], dtype="<u4")
-                at = 0
-                for n in cut_points(len(ids), capacity, zlib.crc32(str(doc_id).encode())):
-                    rows.append((doc_id, at, n, zlib.crc32(ids[at : at + n].tobytes()), len(ids)))
-                    at += n
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 5, schema=schema)
+        for whole in batches:
+            for first in range(0, whole.num_rows, 1024):
+                batch, rows = whole.slice(first, 1024), []
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    ids = np.array([*encoded(text.as_py(), path), end_id], dtype="<u4")
+                    cut = len(ids) - len(ids) % capacity
+                    rows += [(doc_id, at, capacity, zlib.crc32(ids[at : at + capacity].tobytes()), len(ids), None) for at in range(0, cut, capacity)]
+                    if cut < len(ids):
+                        rows.append((doc_id, cut, len(ids) - cut, None, len(ids), ids[cut:].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return keyed_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return keyed_text(docs, id_col, text_col).mapInArrow(run, PIECES)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of all documents with their place: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every id lies in exactly one piece, no sequence holds more than capacity ids, and windows of a group
-    are near equal, so padding to capacity is small. Null text counts as empty; null ids stay null; rows
+    are near equal, so padding to capacity is small. A document is cut into whole windows and a rest; a rest
+    is cut only where its window overflows. Null text counts as empty; null ids stay null; rows
     that repeat an id are documents of their own. Extra columns are ignored; an empty table gives no rows.
     """
     pieces = stored(token_pieces(docs, path, capacity, 0, id_col, text_col).withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
-    return pack_lengths(pieces, capacity).drop("piece_id")
+    return pack_pieces(pieces, capacity)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
