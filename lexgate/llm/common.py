@@ -6,25 +6,26 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What separates words everywhere in this subpackage: space and the controls 9 to 13.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+_LOCAL: dict[str, str] = {}
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a folder of this machine serves a local master (tests) only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        context = spark.sparkContext
-        if context._jsc.sc().getCheckpointDir().isEmpty():
-            context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="lexgate-"))
-        folder = context._jsc.sc().getCheckpointDir().get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = _LOCAL.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.gettempdir() + f"/lexgate-{uuid.uuid4().hex}")
     return folder
 
 
@@ -42,6 +43,23 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.coalesce(text, F.lit("")) if null_as_empty else text).alias("text"))
 
 
+def row_hash(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A 64-bit name of a row's id and text: rows that share an id have names of their own, equal rows share one."""
+    text = F.col(text_col).cast("string")
+    return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(text, F.lit("")), text.isNull())
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores until the table has none of them (letter case aside)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply and shift), for whole arrays."""
     x = x.astype(np.uint64, copy=True)

@@ -16,43 +16,37 @@ from .common import documents, keyed_text, mix64
 
 #: Least hashes of 32 bits that make a fingerprint; 8 hex digits each.
 SIGNATURE = 128
-#: The phrase dictionary starts anew after so many characters, which bounds memory for very long texts.
-RESET = 1 << 22
+#: Text bytes of a range of ids, about, where there are more than two ranges for each shuffle partition.
+RANGE_BYTES = 1 << 27
 _NULL_ID = -(2**63)
 
 
 class Parse:
-    """The state of an LZ78 parse: phrases so far, the open phrase, and the lengths of closed phrases."""
+    """The state of an LZ78 parse: phrases so far, the open phrase, and the lengths of closed phrases.
+
+    The dictionary is that of the whole text; it takes about eight bytes for each of its characters.
+    """
 
     def __init__(self) -> None:
         self.seen: set[str] = set()
-        self.open, self.lengths, self.done = "", [], 0
+        self.open, self.lengths = "", []
 
     def copy(self) -> Parse:
         twin = Parse()
-        twin.seen, twin.open, twin.lengths, twin.done = self.seen.copy(), self.open, self.lengths.copy(), self.done
+        twin.seen, twin.open, twin.lengths = self.seen.copy(), self.open, self.lengths.copy()
         return twin
 
     def feed(self, text: str) -> Parse:
         """A phrase is the longest known one and one more character."""
-        at = 0
-        while at < len(text):
-            n = RESET - self.done % RESET
-            part, open_, seen, lengths = text[at : at + n], self.open, self.seen, self.lengths
-            add, close = seen.add, lengths.append
-            for char in part:
-                open_ += char
-                if open_ not in seen:
-                    add(open_)
-                    close(len(open_))
-                    open_ = ""
-            self.open = open_
-            self.done += len(part)
-            at += len(part)
-            if self.done % RESET == 0:
-                if open_:
-                    close(len(open_))
-                self.open, self.seen = "", set()
+        open_, seen = self.open, self.seen
+        add, close = seen.add, self.lengths.append
+        for char in text:
+            open_ += char
+            if open_ not in seen:
+                add(open_)
+                close(len(open_))
+                open_ = ""
+        self.open = open_
         return self
 
 
@@ -71,7 +65,7 @@ def signature(text: str, parse: Parse) -> np.ndarray:
         found = mix64(roll.stretch(starts[i:j] - starts[i], ends[i:j] - starts[i]) + (ends[i:j] - starts[i:j]).astype(np.uint64))
         hashes[i:j] = (found >> np.uint64(32)).astype(np.uint32)
         i = j
-    if len(hashes) > 4 * SIGNATURE:  # repeated phrases occur at resets only, so few hashes are equal
+    if len(hashes) > 4 * SIGNATURE:  # closed phrases differ, so few hashes are equal
         least = np.unique(np.partition(hashes, 2 * SIGNATURE)[: 2 * SIGNATURE])
         if len(least) >= SIGNATURE:
             return least[:SIGNATURE]
@@ -91,7 +85,11 @@ def as_text(sig: np.ndarray) -> str:
 
 
 def lz_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint of each whole text. Equal texts have equal fingerprints; null counts as empty."""
+    """doc_id and fingerprint of each whole text.
+
+    Equal texts have equal fingerprints. Null counts as empty, the empty text has the empty fingerprint. Ids may be
+    null or repeat, each row is taken by itself. Extra columns are ignored; an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +138,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // RANGE_BYTES))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

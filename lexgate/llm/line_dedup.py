@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, stored
+from .common import documents, row_hash, stored, unused
 
 #: Lines on so many sites or more are boilerplate.
 MIN_SITES = 10
@@ -15,7 +15,7 @@ _SPACES = " \t\n\x0b\x0c\r"
 
 
 def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """Lines (by 64-bit hash of the stripped line) on min_sites distinct sites or more: key, first doc_id and line_no.
+    """Lines (by 64-bit hash of the stripped line) on min_sites distinct sites or more: key, first doc_id, row and line_no.
 
     A sketch of the sites of each line is merged by aggregation, so a line on a third of all rows
     costs one sketch a task. Lines whose estimate lies within ERRORS standard errors (1 at least) of the
@@ -25,7 +25,7 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str =
     width = max(1.0, ERRORS * 1.04 / (2 ** (LG_K / 2)) * min_sites)
     spread = stored(
         lines.groupBy("key")
-        .agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"), F.min(F.struct("doc_id", "line_no")).alias("first"))
+        .agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"), F.min(F.struct("doc_id", "row", "line_no")).alias("first"))
         .select("key", F.hll_sketch_estimate("sketch").alias("sites"), "first")
         .where(F.col("sites") >= min_sites - width),
         "spread",
@@ -37,39 +37,39 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str =
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """doc_id, line_no (from 0), site, key of each line that holds a word."""
+    """doc_id, row (see row_hash), line_no (from 0), site, key of each line that holds a word."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     site = F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit("n"))
-    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), site.alias("site"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
+    lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_hash(id_col, text_col).alias("row"), site.alias("site"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
     bare = F.trim("line", F.lit(_SPACES))
-    return lines.select("doc_id", "line_no", "site", bare.alias("bare")).where(F.col("bare") != "").select("doc_id", "line_no", "site", F.xxhash64("bare").alias("key"))
+    return lines.select("doc_id", "row", "line_no", "site", bare.alias("bare")).where(F.col("bare") != "").select("doc_id", "row", "line_no", "site", F.xxhash64("bare").alias("key"))
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """All columns of the input, the text without boilerplate lines, and n_lines_, n_removed_.
+    """All columns of the input, the text without boilerplate lines, and n_lines_, n_removed_ (with more underscores where taken).
 
-    The first place of a boilerplate line in the corpus (least id, then line) stays, so nothing that only
+    The first place of a boilerplate line in the corpus (least id, null ids first, then line) stays, so nothing that only
     copies hold is lost. Lines compare without the spaces around them; lines without a word stay. Null
-    text stays null and has 0 lines; a text that loses all its lines becomes empty. Null ids come first in
-    the order of places and keep their lines. Rows that share an id lose the lines with the numbers found
-    for any of them only where the line itself is boilerplate. An empty table gives no rows.
+    text stays null and has 0 lines; a text that loses all its lines becomes empty. Rows that share an id
+    each lose lines of their own text only, and of those that hold a line first the one of the least hash
+    of its text keeps it; rows equal in id and text are treated alike. An empty table gives no rows.
     """
     marked = boilerplate_lines(docs, min_sites, id_col, text_col, site_col)
+    row, drop, n_lines, n_removed = unused(docs, "row", "drop", "n_lines_", "n_removed_")
     found = (
         line_table(docs, id_col, text_col, site_col)
-        .join(marked.select("key", F.col("doc_id").alias("first_doc"), F.col("line_no").alias("first_line")), "key")
-        .where(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))))
-        .groupBy("doc_id")
-        .agg(F.collect_set("line_no").alias("drop_"))
-        .withColumnRenamed("doc_id", "id_")
+        .join(marked.select("key", F.col("doc_id").alias("first_doc"), F.col("row").alias("first_row"), F.col("line_no").alias("first_line")), "key")
+        .where(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("row") == F.col("first_row")) & (F.col("line_no") == F.col("first_line"))))
+        .groupBy(F.col("row").alias(row))
+        .agg(F.collect_set("line_no").alias(drop))
     )
-    joined = docs.join(found, docs[id_col].cast("long") == found["id_"], "left")
+    joined = docs.withColumn(row, row_hash(id_col, text_col)).join(found, row, "left")
     lines = F.split(F.col(text_col).cast("string"), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col("drop_"), i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col(drop), i)), "\n")
     return joined.select(
-        *[(F.when(F.col("drop_").isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c]) for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines_"),
-        F.coalesce(F.size("drop_"), F.lit(0)).cast("long").alias("n_removed_"),
+        *[(F.when(F.col(drop).isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns],
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(n_lines),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias(n_removed),
     )
 
 

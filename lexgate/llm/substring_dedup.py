@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import blocks, words
-from .common import documents, free_shuffles, keyed_text, stored
+from .common import documents, free_shuffles, keyed_text, stored, unused
 
 #: Ids may be null; they are processed as the least id.
 _NULL_ID = -(2**63)
@@ -50,9 +50,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.join(shared, "doc_id", "left").select("doc_id", "text", F.when(F.col("shared"), F.xxhash64("text")).otherwise(0).alias("row"))
 
 
-def _masked(docs: DataFrame, found: DataFrame, width: int, by: tuple[str, ...] = ("doc_id", "row")) -> DataFrame:
+def _masked(docs: DataFrame, found: DataFrame, width: int) -> DataFrame:
     """Documents with their repeated spans, as doc_id, text, spans (null for none)."""
-    return docs.join(blocks.spans(found, width, by), list(by), "left")
+    return docs.join(blocks.spans(found, width), ["doc_id", "row"], "left")
 
 
 def _mask(n: int, spans: list | None) -> np.ndarray:
@@ -64,12 +64,10 @@ def _mask(n: int, spans: list | None) -> np.ndarray:
 def repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Byte spans of `length`-byte strings that also start earlier (smaller id, or earlier in the document).
 
-    Prefix doubling over sampled positions: positions carry a name of their prefix, Spark sorts (name of
-    the prefix, name at the next offset) pairs, equal pairs are one rank, and positions of unique rank are
-    dropped before the next round. The first round ranks one anchor position for each block by its gram of
-    `gram` bytes, the second by the block's content, the third by cores of length - 7 bytes and the last by
-    whole strings of `length` bytes. The rank of a position is the hash of its prefix, which gives the
-    same order of equality as a dense rank and needs no global numbering.
+    Content-defined blocks in place of prefix doubling over all positions (a row for each would exceed any disk): rounds
+    of sorted names at growing lengths. The first names one anchor position for each block by its gram of
+    `gram` bytes and by the block's content, the second compares cores of length - 7 bytes, the last the pair of names
+    of a string's halves at an offset, as a doubling round does; what has no equal name is dropped between rounds.
 
     Returns doc_id, text, spans. Null text counts as empty, null ids as the least id; rows that share an
     id hold no earlier copies of each other, and all get the spans found for the id. Texts shorter than `length`
@@ -77,11 +75,14 @@ def repeated_bytes(docs: DataFrame, length: int = 100, gram: int = 32, id_col: s
     """
     rows = _keyed(docs, id_col, text_col)
     found = _rounds(rows, words.decode_bytes, words.bytes_as_units, words.cut_bytes, length, gram, (8, 1), all_copies=False)
-    return _masked(rows, found, length, ("doc_id",))
+    return _masked(rows, found, length)
 
 
 def dedup_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary) after removal of repeated byte strings."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary) after removal of repeated byte strings.
+
+    Rows as in repeated_bytes: null text counts as empty, null ids stay null, rows that share an id have results of their own.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +103,8 @@ def dedup_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
 def strip_repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of docs, the text without what repeated_bytes finds in it; a character goes when all its bytes are in spans.
 
-    Each row of a shared id loses the spans of its own text only, so equal rows of one id stay alike.
+    Each row of a shared id loses the spans of its own text only, so equal rows of one id stay alike. Null ids count as
+    the least; null and empty texts stay as they are. Other columns stay, whatever their names; an empty table gives no rows.
     """
 
     @F.pandas_udf("string")
@@ -119,10 +121,11 @@ def strip_repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_
 
     rows = _keyed(docs, id_col, text_col)
     found = blocks.spans(_rounds(rows, words.decode_bytes, words.bytes_as_units, words.cut_bytes, length, 32, (8, 1), all_copies=False), length)
-    found = found.select(F.col("doc_id").alias("id_"), F.col("row").alias("row_"), F.col("spans").alias("spans_"))
-    own = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    joined = docs.join(found, (F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID)) == F.col("id_")) & ((F.col("row_") == 0) | (F.col("row_") == own)), "left")
-    return joined.select(*[strip(docs[c], F.col("spans_")).alias(c) if c == text_col else docs[c] for c in docs.columns])
+    id_, row, spans = unused(docs, "id", "row", "spans")
+    found = found.select(F.col("doc_id").alias(id_), F.col("row").alias(row), F.col("spans").alias(spans))
+    own, key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))), F.coalesce(docs[id_col].cast("long"), F.lit(_NULL_ID))
+    joined = docs.join(found, (key == F.col(id_)) & ((F.col(row) == 0) | (F.col(row) == own)), "left")
+    return joined.select(*[strip(F.col(f"`{c}`"), F.col(spans)).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_words(docs: DataFrame, window: int = 35, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,7 +147,10 @@ def repeated_words(docs: DataFrame, window: int = 35, gram: int = 12, id_col: st
 
 
 def dedup_words(docs: DataFrame, window: int = 35) -> DataFrame:
-    """doc_id, n_words, n_removed, n_factors (runs of removed words), kept_sha256, kept text after removal."""
+    """doc_id, n_words, n_removed, n_factors (runs of removed words), kept_sha256, kept text after removal.
+
+    Rows as in repeated_words: null text has no words, null ids stay null, rows that share an id have results of their own.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("n_factors", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
