@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexgate.llm.common import stored
 from lexgate.llm.line_dedup import dedup_lines
-from lexgate.llm.near_dedup import near_duplicates
+from lexgate.llm.near_dedup import drop_near_copies
 from lexgate.llm.packing import pack_documents
 from lexgate.llm.quality_rules import keep_quality
 from lexgate.llm.substring_dedup import strip_repeated_bytes
@@ -31,10 +31,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the least id, of each group of near-duplicates (five words, similarity 0.8)."""
-    groups = near_duplicates(docs)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One document, the one of the least id (null ids first), of each group of near-duplicates (five words, similarity 0.8).
+
+    Documents without words all stay; rows that share an id are judged each by its own text.
+    """
+    return drop_near_copies(docs).select(*docs.columns)
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

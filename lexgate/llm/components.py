@@ -8,11 +8,29 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: A node of more than one in so many edges is joined by a broadcast of such nodes, of which there are no more than that.
+HUBS = 512
+
+
+def hub_join(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """Rows joined with a table of one row for each key, which also holds the number of rows with it (k).
+
+    Keys with more than total / HUBS rows, HUBS at most, go out by broadcast, so no key fills a task; the
+    others are shuffled. total: the rows of all keys.
+    """
+    hubs = table.where(F.col("k") > F.lit(total / HUBS)).drop("k")
+    others = [c for c in hubs.columns if c != key]
+    seen = rows.join(F.broadcast(hubs.withColumn("hub_", F.lit(True))), key, "left")
+    rest = seen.where(F.col("hub_").isNull()).select(*rows.columns).join(table.drop("k"), key)
+    return seen.where("hub_").select(*rows.columns, *others).unionByName(rest.select(*rows.columns, *others))
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Each node ties its larger neighbours to the least of its neighbourhood."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("k"))
+    tied = hub_join(both.where(F.col("v") > F.col("u")), least, "u", 2 * n)
+    return tied.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -36,6 +54,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if tuple(mark) == seen or not mark[0]:
             break
         seen = tuple(mark)
-        state = stored(_small_star(_large_star(state)), "edges")
+        state = stored(_small_star(_large_star(state, mark[0])), "edges")
     roots = state.select(F.col("v").alias("u"), "v")
     return state.select("u", "v").union(roots).distinct().select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def with_new_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) after more links (a, b): only the components that they tie are worked on again."""
+
+    def named(df: DataFrame, column: str) -> DataFrame:
+        of = labels.select(F.col("node").alias(column), F.col("component").alias("c_"))
+        return df.join(of, column, "left").withColumn(column, F.coalesce("c_", column)).drop("c_")
+
+    tied = stored(connected_components(named(named(links, "a"), "b")), "tied")
+    moved = labels.join(tied.select(F.col("node").alias("component"), F.col("component").alias("to_")), "component", "left")
+    return moved.select("node", F.coalesce("to_", "component").alias("component")).unionByName(tied.join(labels, "node", "left_anti"))

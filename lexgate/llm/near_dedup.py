@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents, free_shuffles, keyed_text, mix64, stored
-from .components import connected_components
+from .common import documents, free_shuffles, mix64, row_hash, stored, unused
+from .components import connected_components, hub_join, with_new_links
 from .words import codes_of_texts
 
 #: Hash minima of a set (more only where the threshold needs more bands), the most of a band, and the chance at most that a pair at the threshold shares no band.
@@ -93,8 +93,8 @@ def most_difference(n_a, n_b, percent: int):
 
 
 def signatures(rows: DataFrame, width: int, bands: int, per_band: int) -> DataFrame:
-    """doc_id, n (set size), same (128-bit name of the set), bands (keys), cells (histogram), for doc_id and text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64())), ("cells", pa.binary())])
+    """row, doc_id, n (set size), same (128-bit name of the set), bands (keys), cells (histogram), for row, text and doc_id."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64())), ("cells", pa.binary())])
     a, b = _universal(bands * per_band)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,9 +106,9 @@ def signatures(rows: DataFrame, width: int, bands: int, per_band: int) -> DataFr
                 same.append(xxhash.xxh3_128_digest(shingles.tobytes()) if some else None)
                 keys.append(band_keys(minima(shingles, a, b), per_band) if some else [])
                 cells.append(histogram(shingles).tobytes() if some else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(cells, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(same, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(cells, pa.binary())], schema=schema)
 
-    return rows.mapInArrow(run, "doc_id long, n long, same binary, bands array<long>, cells binary")
+    return rows.select("row", "text", "doc_id").mapInArrow(run, "row long, doc_id long, n long, same binary, bands array<long>, cells binary")
 
 
 def _may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -194,45 +194,36 @@ def _compared(open_: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
                 found.append(np.stack([np.minimum(doc[at], doc[i]), np.maximum(doc[at], doc[i])], axis=1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-    return everyone.unionByName(centres).groupBy("bucket", "block").applyInPandas(compare, "a long, b long").distinct()
+    # little data, much work: as many tasks as any shuffle has
+    parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return everyone.unionByName(centres).repartition(parts, "bucket", "block").groupBy("bucket", "block").applyInPandas(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Groups of documents linked by a Jaccard similarity of word shingles of percent / 100 or more.
-
-    Returns doc_id, n_shingles, component_id (the least id that is reachable by links).
-
-    Documents with equal sets are one class with its least id as representative. Representatives meet in
-    buckets of equal band keys. First each member is held against the bucket's least member and its
-    neighbour in the order of another band. In buckets that then still have several components, the members
-    outside the largest one are compared with all members of other components, CENTRES of a bucket in each round,
-    until none is left: every pair of a bucket ends in one component or has been compared, and no bucket
-    is cut. Bands follow percent, so a pair at the threshold shares none with chance MISSED at most. Links are confirmed on full sets.
-
-    Null or empty text and text without words: an empty set, linked with nothing. Null ids count as the
-    least id. Rows that share an id are grouped each by its own text. Extra columns are ignored; an
-    empty table gives no rows.
-    """
+def near_members(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """row (see row_hash), doc_id (null: the least), n, component_id and head of each row: the least (doc_id, row) that is reachable by links."""
     spark = docs.sparkSession
-    rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
+    rows = docs.select(row_hash(id_col, text_col).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc_id"))
     bands, per_band = banding(percent)
     named = stored(signatures(rows, width, bands, per_band), "signatures")
-    classes = named.where("n > 0").groupBy("same").agg(F.min(F.struct("doc_id", "n", "bands", "cells")).alias("r")).select("same", "r.*")
-    classes = stored(classes, "classes")
+    # nodes are the rows that stand for a class of equal sets; doc_id names them by their row from here on
+    classes = named.where("n > 0").groupBy("same").agg(F.min(F.struct("doc_id", "row", "n", "bands", "cells")).alias("r"))
+    classes = stored(classes.select("same", F.col("r.doc_id").alias("least"), F.col("r.row").alias("doc_id"), "r.n", "r.bands", "r.cells"), "classes")
     following = F.concat(F.slice("bands", 2, bands - 1), F.slice("bands", 1, 1))
     buckets = classes.select("doc_id", "n", F.posexplode(F.arrays_zip(F.col("bands").alias("bucket"), following.alias("next"))).alias("band", "k"))
     buckets = buckets.select("doc_id", "n", "band", "k.bucket", "k.next")
     busy = buckets.groupBy("bucket").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "n")).alias("h")).where("m > 1")
     members = stored(buckets.join(busy, "bucket").select("bucket", "band", "next", "doc_id", "n", "m", F.col("h.doc_id").alias("head"), F.col("h.n").alias("head_n")), "members")
     sketches = classes.select("doc_id", "n", "cells")
-    wanted = members.select("doc_id").distinct()
+    wanted = members.select(F.col("doc_id").alias("row")).distinct()
+    twice = named.groupBy("row").count().where("count > 1").select("row")  # rows equal in id and text: one set is enough
+    chosen = rows.join(wanted.join(twice, "row", "left_anti"), "row", "left_semi").unionByName(rows.join(wanted.join(twice, "row"), "row", "left_semi").dropDuplicates(["row"]))
 
     def set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s.tobytes() for s in _sets(batch.column(1).to_pylist(), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
-    sets = stored(rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(set_bytes, "doc_id long, shingles binary"), "sets")
+    sets = stored(chosen.select("row", "text").mapInArrow(set_bytes, "doc_id long, shingles binary"), "sets")
     free_shuffles(spark)
     links = stored(_verified(_may_link(_neighbours(members, percent), sketches, percent), sets, percent), "links")
     labels = stored(connected_components(links), "components")
@@ -255,15 +246,51 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
             break
         fresh = stored(_verified(_compared(state, chosen, percent), sets, percent), "links")
         if fresh.limit(1).count():
-            links = links.unionByName(fresh)
-            labels = stored(connected_components(links), "components")
+            labels = stored(with_new_links(labels, fresh), "components")
         after = chosen.groupBy("bucket").agg(F.max("doc_id").alias("mark"), F.count("*").alias("k")).where(F.col("k") == CENTRES).drop("k")
         open_ = state.drop("component", "main", "mark").join(after, "bucket")
-    chosen = classes.select("same", F.col("doc_id").alias("head"))
-    out = named.select("doc_id", "n", "same").join(chosen, "same", "left").join(labels, F.col("head") == labels["node"], "left")
-    component = F.coalesce("component", "head", "doc_id")
-    real = lambda c: F.nullif(c, F.lit(_NULL_ID))
-    return out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(component).alias("component_id"))
+    rooted = labelled(classes.select("same", "doc_id", "least"), "doc_id", "root").select("same", "root", F.struct("least", F.col("doc_id").alias("row")).alias("own"))
+    first = rooted.groupBy("root").agg(F.min("own").alias("head"), F.count("*").alias("k"))
+    heads = hub_join(rooted.select("same", "root"), first, "root", classes.count()).select("same", "head")
+    out = named.select("row", "doc_id", "n", "same").join(heads, "same", "left")
+    return out.select("row", "doc_id", "n", F.coalesce("head.least", "doc_id").alias("component_id"), F.coalesce("head.row", "row").alias("head"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Groups of documents linked by a Jaccard similarity of word shingles of percent / 100 or more.
+
+    Returns doc_id, n_shingles, component_id (the least id that is reachable by links).
+
+    Rows with equal sets are one class with the row of the least id as representative. Representatives meet in
+    buckets of equal band keys. First each member is held against the bucket's least member and its
+    neighbour in the order of another band. In buckets that then still have several components, the members
+    outside the largest one are compared with all members of other components, CENTRES of a bucket in each round,
+    until none is left: every pair of a bucket ends in one component or has been compared, and no bucket
+    is cut. Bands follow percent, so a pair at the threshold shares none with chance MISSED at most. Links are confirmed on full sets.
+
+    Null or empty text and text without words: an empty set, linked with nothing. Null ids count as the
+    least id. Rows that share an id are grouped each by its own text. Extra columns are ignored; an
+    empty table gives no rows.
+    """
+    found = near_members(docs, width, percent, id_col, text_col)
+    real = lambda c: F.nullif(F.col(c), F.lit(_NULL_ID))
+    return found.select(real("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real("component_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs without near-duplicates: of each group of near_duplicates the row of the least id stays.
+
+    Null ids count as the least; of several rows of that id the one of the least hash of its text stays, and of
+    rows equal in id and text any one. Rows without words all stay. All columns are kept, whatever their names; an
+    empty table gives no rows.
+    """
+    found = stored(near_members(docs, width, percent, id_col, text_col).where("n > 0").select("row", "head"), "near-members")
+    (row,) = unused(docs, "row")
+    keyed = docs.withColumn(row, row_hash(id_col, text_col))
+    gone = found.where("row != head").select(F.col("row").alias(row)).distinct()
+    many = found.where("row = head").groupBy(F.col("row").alias(row)).count().where("count > 1").select(row)
+    once = keyed.join(gone.unionByName(many), row, "left_anti")
+    return once.unionByName(keyed.join(many, row, "left_semi").dropDuplicates([row])).drop(row)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
