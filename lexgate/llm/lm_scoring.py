@@ -16,7 +16,7 @@ from .words import word_bounds, word_codes
 #: Longest byte context; contexts run across words. A key holds the context, nearest byte first, and the symbol in its last byte.
 ORDER = 5
 #: Text that is scored with one lookup table, in bytes (a longer text is a block of its own), and symbols that are keyed at once.
-BLOCK, LOT = 1 << 24, 1 << 20
+BLOCK, LOT = 1 << 25, 1 << 20
 #: Text bytes for each part of the keys; a part is one group of counting.
 PART_BYTES = 1 << 22
 _END, _SPACE = b"\n", b" "
@@ -80,11 +80,12 @@ class Block:
             place, row = place[real], row[real]
             yield context_keys(self.raw[max(at - k, 0) : at + LOT], place - max(at - k, 0), k), row
 
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of all words and ends, and the row of each."""
+    def words(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys of all words, in lots, and the row of each; the end of each text, a word too, is left to the caller."""
         starts, ends = word_bounds(self.raw)
-        key = np.append((word_codes(self.raw, starts, ends) >> np.uint64(2)) | _WORD, np.full(len(self.ends), _END_KEY))
-        return key, np.append(np.searchsorted(self.ends, starts, "right"), np.arange(len(self.ends)))
+        for at in range(0, len(starts), LOT >> 2):
+            first, last = starts[at : at + (LOT >> 2)], ends[at : at + (LOT >> 2)]
+            yield (word_codes(self.raw, first, last) >> np.uint64(2)) | _WORD, np.searchsorted(self.ends, first, "right")
 
 
 def context_keys(raw: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
@@ -146,15 +147,14 @@ def asked_keys(blocks: DataFrame, parts: int, order: int) -> DataFrame:
         for batch in batches:
             for number, held, sizes, raw_size, body in zip(*(batch.column(i) for i in range(5)), strict=True):
                 block, train = Block(np.array(sizes.as_py()), raw_size.as_py(), body.as_py(), order), ~np.array(held.as_py())
-                keys, counts = [], []
-                for key, row in block.symbols():
-                    if len(key):
-                        one = tallied(key, train[row])
-                        keys.append(one[0])
-                        counts.append(one[1])
-                key, row = block.words()
-                words, n = tallied(key[: -len(train)], train[row[: -len(train)]]) if len(key) > len(train) else (key[:0], row[:0])
-                key, n = merged([*keys, words, np.array([_END_KEY])], [*counts, n, np.array([train.sum()])])
+                keys, counts = [np.array([_END_KEY])], [np.array([train.sum()])]
+                for lots in (block.symbols(), block.words()):
+                    for key, row in lots:
+                        if len(key):
+                            one = tallied(key, train[row])
+                            keys.append(one[0])
+                            counts.append(one[1])
+                key, n = merged(keys, counts)
                 part = (mix64(key) % np.uint64(parts)).astype(np.int64)
                 deal = np.argsort(part, kind="stable")
                 key, n, part = key[deal], n[deal], part[deal]
@@ -165,7 +165,7 @@ def asked_keys(blocks: DataFrame, parts: int, order: int) -> DataFrame:
     return blocks.select("block", "held", "sizes", "raw_size", "body").mapInArrow(run, ASKED)
 
 
-def counted_keys(asked: DataFrame) -> DataFrame:
+def counted_keys(asked: DataFrame, tasks: int) -> DataFrame:
     """part, key, n: all distinct keys with their training counts."""
 
     def count(table: pa.Table) -> pa.Table:
@@ -173,7 +173,7 @@ def counted_keys(asked: DataFrame) -> DataFrame:
         key, n = merged([expanded_keys(k, m) for m, k, _ in packs], [expand(c, m, np.int64) for m, _, c in packs])
         return pa.table({"part": pa.repeat(table["part"][0], len(key)), "key": key.view(np.int64), "n": n})
 
-    return asked.groupBy("part").applyInArrow(count, "part long, key long, n long")
+    return asked.repartition(tasks, "part").groupBy("part").applyInArrow(count, "part long, key long, n long")
 
 
 # ---- the trie: one table of nodes and one of contexts for each order
@@ -230,7 +230,7 @@ def rated(grams: DataFrame, order: int) -> DataFrame:
 # ---- answers, back to the blocks that asked
 
 
-def answered_keys(asked: DataFrame, values: DataFrame) -> DataFrame:
+def answered_keys(asked: DataFrame, values: DataFrame, tasks: int) -> DataFrame:
     """block, size, keys and values of what each block asked."""
 
     def answer(packs: pa.Table, table: pa.Table) -> pa.Table:
@@ -241,15 +241,15 @@ def answered_keys(asked: DataFrame, values: DataFrame) -> DataFrame:
             out.append(squeeze(np.ascontiguousarray(value[np.searchsorted(key, expanded_keys(keys, size))])))
         return pa.table({"block": packs["block"], "size": packs["size"], "keys": packs["keys"], "values": pa.array(out, pa.binary())})
 
-    left = asked.select("part", "block", "size", "keys").groupBy("part")
-    return left.cogroup(values.groupBy("part")).applyInArrow(answer, "block long, size long, keys binary, values binary")
+    dealt = [df.repartition(tasks, "part").groupBy("part") for df in (asked.select("part", "block", "size", "keys"), values)]
+    return dealt[0].cogroup(dealt[1]).applyInArrow(answer, "block long, size long, keys binary, values binary")
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def block_scores(blocks: DataFrame, answers: DataFrame, spread: float, order: int) -> DataFrame:
-    """Scores of the texts of all blocks; spread is N + V + 1 of the base score."""
+def block_scores(blocks: DataFrame, answers: DataFrame, spread: float, order: int, tasks: int) -> DataFrame:
+    """Scores of the texts of all blocks; spread is N + V + 1 of the base score. The end token has the greatest key."""
 
     def score(block: pa.Table, found: pa.Table) -> pa.Table:
         row = block.to_pylist()[0]
@@ -263,13 +263,16 @@ def block_scores(blocks: DataFrame, answers: DataFrame, spread: float, order: in
         total = np.zeros(m)
         for wanted, of in text.symbols():
             total += np.bincount(of, weights=value[np.searchsorted(key[:cut], wanted)], minlength=m)
-        wanted, of = text.words()
-        count = value[cut + np.searchsorted(key[cut:], wanted)]
-        base = np.bincount(of, weights=np.log10((count + 1) / spread), minlength=m)
-        tokens, known = np.bincount(of, minlength=m), np.bincount(of[count > 0], minlength=m)
-        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()), "n_tokens": tokens.astype(np.int64), "n_known": known.astype(np.int64), "base_score": base, "score": total})
+        tokens, known, base = np.ones(m, dtype=np.int64), np.full(m, value[-1] > 0, dtype=np.int64), np.full(m, np.log10((value[-1] + 1) / spread))
+        for wanted, of in text.words():
+            count = value[cut + np.searchsorted(key[cut:], wanted)]
+            base += np.bincount(of, weights=np.log10((count + 1) / spread), minlength=m)
+            tokens += np.bincount(of, minlength=m)
+            known += np.bincount(of[count > 0], minlength=m)
+        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()), "n_tokens": tokens, "n_known": known, "base_score": base, "score": total})
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORED)
+    dealt = [df.repartition(tasks, "block").groupBy("block") for df in (blocks, answers)]
+    return dealt[0].cogroup(dealt[1]).applyInArrow(score, SCORED)
 
 
 def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
@@ -287,16 +290,21 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     """
     if not 1 <= order <= 6:
         raise ValueError(f"order must lie between 1 and 6: {order}")
+    spark = docs.sparkSession
     text, key = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col).cast("long")
     rows = docs.select(key.alias("doc_id"), text.alias("text"), F.coalesce(held_out(key), F.lit(False)).alias("held_out"))
     blocks = stored(text_blocks(rows, order), "blocks")
-    parts = max(8, int((blocks.agg(F.sum("raw_size")).first()[0] or 0) // PART_BYTES))
+    size, n_blocks = blocks.agg(F.sum("raw_size"), F.count("*")).first()
+    parts, least = max(8, int((size or 0) // PART_BYTES)), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, parts // 8)  # a task takes some parts, or some blocks, whatever the size
     asked = stored(asked_keys(blocks, parts, order), "asked")
-    counts = stored(counted_keys(asked), "counts")
+    counts = stored(counted_keys(asked, tasks), "counts")
     words = counts.where("key < 0")
     tokens, distinct = (v or 0 for v in words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first())
-    values = rated(counts.where("key >= 0"), order).unionByName(words.select("part", "key", F.col("n").cast("double").alias("value")))
-    out = block_scores(blocks, answered_keys(asked, values), float(tokens + distinct + 1), order)
+    # 24 bits of a value are enough, and the rest of its bytes packs to nothing
+    values = rated(counts.where("key >= 0"), order).withColumn("value", F.col("value").cast("float").cast("double"))
+    values = values.unionByName(words.select("part", "key", F.col("n").cast("double").alias("value")))
+    out = block_scores(blocks, answered_keys(asked, values, tasks), float(tokens + distinct + 1), order, max(least, n_blocks // 2))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
