@@ -159,7 +159,7 @@ def redact_secrets(spark, sf_dir):
 _N = lambda pattern, c="md": f"CAST(len(regexp_extract_all({c}, '{pattern}')) AS BIGINT)"
 _HEAD, _QUES = "(?m)^#{1,6}[ \\t]+[^\\s]+", "(?m)^[ \\t]*(?:第[ \\t]*\\d+[ \\t]*题|[0-9]{1,4}[.、．][ \\t]*[^\\s])"
 _TAB = fx.TABLE_RULE
-_URL = "(?i)https?://[^\\s<>()\\[\\]\"''‘’]+".replace("‘’", "")
+_URL = "(?i)" + fx.URL.replace("'", "''")
 
 
 @query(f"{DOCS} SELECT doc_id, {_N(_HEAD)} AS headings, {_N(_QUES)} AS questions, {_N(_URL)} AS urls, {_N(_TAB)} AS tables FROM src")
@@ -167,7 +167,7 @@ def structure_counts(spark, sf_dir):
     return md_source(spark, sf_dir).select("doc_id", tx.heading_count("md").alias("headings"), tx.question_count("md").alias("questions"), tx.url_count("md").alias("urls"), tx.table_count("md").alias("tables"))
 
 
-@query()
+@query(f"{DOCS} SELECT doc_id, {_N(chr(92) + 'b' + chr(92) + 'd+(?:' + chr(92) + '.' + chr(92) + 'd+)?(?:%' + chr(92) + 'B|' + chr(92) + 'b)')} AS numbers FROM src")
 def number_count(spark, sf_dir):
     return md_source(spark, sf_dir).select("doc_id", tx.number_count("md").alias("numbers"))
 
@@ -177,7 +177,7 @@ def protected_values(spark, sf_dir):
     return md_source(spark, sf_dir).select("doc_id", F.array_join(protected_values_of("md"), "|").alias("protected"))
 
 
-_AD = "(?i)(" + "|".join(p.replace(r"\s", "[\\s]") for p in fx.ADS) + ")"
+_AD = "(?i)(" + "|".join(fx.ADS) + ")"
 
 
 @query(f"{DOCS} SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS kept FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM (SELECT doc_id, string_split(rtrim(md, chr(10)), chr(10)) AS lines FROM src)) WHERE NOT regexp_matches(line, '{_AD}') GROUP BY doc_id")
@@ -191,7 +191,7 @@ def ad_signal_hits(spark, sf_dir):
     return md_source(spark, sf_dir).select("doc_id", hits.cast("long").alias("hits"))
 
 
-@query()
+@query(f"{DOCS} SELECT doc_id, array_to_string(" + " || ".join(f"list_transform(regexp_extract_all(md, '(?i){p}'), lambda s: trim(s))" for p in fx.ADS) + ", '|') AS signals FROM src")
 def ad_signals(spark, sf_dir):
     return md_source(spark, sf_dir).select("doc_id", F.array_join(tx.ad_signals("md"), "|").alias("signals"))
 
@@ -222,11 +222,11 @@ def length_ratios(spark, sf_dir):
 _LOST = lambda p, least, share: f"({_N(p)} >= {least} AND {_N(p, 'reply')} < {_N(p)} * CAST({share} AS DOUBLE))"
 
 
-@query(f"{DOCS} SELECT doc_id, {_LOST(_HEAD, 3, 0.5)} AS headings_lost, {_LOST(_QUES, 3, 0.7)} AS questions_lost, {_LOST(_TAB, 1, 0.5)} AS tables_lost FROM pairs")
+@query(f"{DOCS} SELECT doc_id, {_LOST(_HEAD, 3, 0.5)} AS headings_lost, {_LOST(_QUES, 3, 0.7)} AS questions_lost, {_LOST(_TAB, 2, 0.5)} AS tables_lost FROM pairs")
 def structure_retention(spark, sf_dir):
     x = quality.counted(md_pairs(spark, sf_dir), "md", "reply")
     gone = lambda what, least, share: quality.lost(F.col(f"input_{what}"), F.col(f"output_{what}"), least, share).alias(f"{what}_lost")
-    return x.select("doc_id", gone("headings", 3, 0.5), gone("questions", 3, 0.7), gone("tables", 1, 0.5))
+    return x.select("doc_id", gone("headings", 3, 0.5), gone("questions", 3, 0.7), gone("tables", 2, 0.5))
 
 
 @query()
@@ -244,9 +244,9 @@ def html_error_pages(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", validation.is_html(F.col("html")).alias("is_html"))
 
 
-@query("""SELECT event_id, regexp_matches(props, '(?s)^\\s*\\{.*\\}\\s*$') AND (contains(lower(props), '"error"') OR contains(lower(props), '"message"') OR contains(lower(props), '"content"') OR contains(lower(props), '"choices"') OR contains(lower(props), '"response"') OR contains(lower(props), '"output"')) AS is_api_json FROM events WHERE props IS NOT NULL""")
+@query("""SELECT event_id, regexp_matches(props, '(?s)^\\s*\\{.*\\}\\s*$') AND (contains(lower(props), '"error"') OR contains(lower(props), '"message"') OR contains(lower(props), '"content"') OR contains(lower(props), '"choices"') OR contains(lower(props), '"response"') OR contains(lower(props), '"output"')) AS is_api_json FROM (SELECT event_id, coalesce(props, '') AS props FROM events)""")
 def json_like_reply(spark, sf_dir):
-    return _table(spark, sf_dir, "events").where("props is not null").select("event_id", validation.is_api_json(F.col("props")).alias("is_api_json"))
+    return _table(spark, sf_dir, "events").select("event_id", validation.is_api_json(F.coalesce("props", F.lit(""))).alias("is_api_json"))
 
 
 def _reply_of() -> Column:
@@ -293,11 +293,11 @@ def md_block_kinds(spark, sf_dir):
 
 @query(f"{DOCS} SELECT doc_id, sha256(md) AS source_sha256, true AS lossless FROM src")
 def chunk_lossless(spark, sf_dir):
-    """Pieces of 2000 characters joined again; the SQL side knows only the source, so a lost character shows in the hash."""
+    """Pieces of 2000 characters joined again; the SQL side knows only the source, so a lost character or an uncut text shows."""
     parts, errors = md_chunks(md_source(spark, sf_dir), 2000, "md", ("doc_id", "md"))
     joined = parts.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part_number", "chunk"))), lambda p: p["chunk"]), "").alias("text"), F.max(F.length("chunk")).alias("most"))
     whole = joined.select("doc_id", tx.sha256("text").alias("source_sha256"), (F.col("most") <= 2000).alias("lossless"))
-    return whole.unionByName(errors.select("doc_id", tx.sha256("md").alias("source_sha256"), F.lit(True).alias("lossless")))
+    return whole.unionByName(errors.select("doc_id", F.lit(None).cast("string").alias("source_sha256"), F.lit(False).alias("lossless")))
 
 
 @query()
@@ -347,10 +347,14 @@ def cache_pending(spark, sf_dir):
 _REVIEW = f"({_KEPT} != 'ok' OR {_GROWN} != 'ok' OR doc_id % 11 = 0)"
 
 
-def _gate(spark: SparkSession, sf_dir: str, thresholds: dict[str, float]) -> DataFrame:
+def _review(thresholds: dict[str, float]) -> Column:
     r, n = quality.retained("md", "reply"), F.length("md")
     bands = [quality.band(r, n, thresholds, kind) != "ok" for kind in ("retained", "expansion")]
-    review = bands[0] | bands[1] | (F.col("doc_id") % 11 == 0)
+    return bands[0] | bands[1] | (F.col("doc_id") % 11 == 0)
+
+
+def _gate(spark: SparkSession, sf_dir: str, thresholds: dict[str, float]) -> DataFrame:
+    review = _review(thresholds)
     return md_pairs(spark, sf_dir).select("doc_id", review.alias("review"), tx.artifact_status(review, F.col("doc_id") % 2 == 0).alias("status"))
 
 
@@ -374,10 +378,10 @@ def gate_vs_labels(spark, sf_dir):
 
 @query(f"{DOCS}, both_ AS (SELECT doc_id, {_REVIEW} AS before, ({_KEPT.replace('0.7 ', '0.5 ')} != 'ok' OR {_GROWN.replace('> 1.5', '> 1.8')} != 'ok' OR doc_id % 11 = 0) AS after FROM pairs) SELECT before, after, count(*) AS n FROM both_ GROUP BY 1, 2")
 def policy_reclassify(spark, sf_dir):
-    """The same replies under two policies: nothing is sent again."""
+    """The same replies under two policies, judged in one pass: nothing is sent again."""
     other = fx.THRESHOLDS | {"review_min_retained_ratio": 0.5, "warning_max_expansion_ratio": 1.8}
-    x = _gate(spark, sf_dir, fx.THRESHOLDS).select("doc_id", F.col("review").alias("before"))
-    return x.join(_gate(spark, sf_dir, other).select("doc_id", F.col("review").alias("after")), "doc_id").groupBy("before", "after").agg(F.count("*").alias("n"))
+    both = [_review(t).alias(name) for t, name in ((fx.THRESHOLDS, "before"), (other, "after"))]
+    return md_pairs(spark, sf_dir).select(*both).groupBy("before", "after").agg(F.count("*").alias("n"))
 
 
 # ---- batches
@@ -444,3 +448,6 @@ def clean_batch_status(spark, sf_dir):
     sources = table_sources(md_source(spark, sf_dir), _rel_path(), F.col("md"))
     config = clean_batch.Config(store=temporary_store(spark), prompt_sha256=prompt_identity("clean")[1], strict=False, max_chars=4000, workers=4)
     return clean_batch.run(spark, sources, config, transport.Identity())["documents"].groupBy("status").agg(F.count("*").alias("n"), F.sum("part_count").alias("parts"))
+
+
+from . import catalog_rules  # noqa: E402, F401 (registers more queries)

@@ -11,35 +11,61 @@ from pyspark.sql import types as T
 
 from . import fixed as fx
 
-_ADS = [fx.compiled(p, True) for p in fx.ADS]
-_VALUES = [(fx.compiled(fx.PROTECTED_NUMBER), False), (fx.compiled(fx.UNIT, True), False), (fx.compiled(fx.STANDARD_ID, True), False), (fx.compiled(fx.URL, True), True)]
+_ADS, _AD_SIGN = [fx.compiled(p, True) for p in fx.ADS], re.compile(fx.AD_SIGN)
+
+
+def _values(pattern: str, signs: str, ignore_case: bool) -> re.Pattern[str]:
+    """The pattern with a look ahead at the signs that it can start with, behind its look back."""
+    back = pattern.index(")") + 1 if pattern.startswith("(?<!") else 0
+    return fx.compiled(f"{pattern[:back]}(?=[{signs}]){pattern[back:]}", ignore_case)
+
+
+_VALUES = [
+    (fx.compiled(fx.PROTECTED_NUMBER), False),
+    (_values(fx.UNIT, fx.UNIT_SIGNS, True), False),
+    (_values(fx.STANDARD_ID, fx.STANDARD_SIGNS, True), False),
+    (fx.compiled(fx.URL, True), True),
+]
 ANCHOR, ANCHORS = 24, 200
+URLS, SIGNALS, SHOWN = 1000, 20, 100
 _COMPARED = T.StructType().add("changed", T.BooleanType())
 for _name in ("anchors", "anchors_shown", "kept", "removed", "grown"):
     _COMPARED = _COMPARED.add(_name, T.DoubleType())
+for _name in ("removed_urls", "ad_signals"):
+    _COMPARED = _COMPARED.add(_name, T.ArrayType(T.StringType()))
 
 
 def without_ads(text: str) -> str:
-    return "\n".join(line for line in text.splitlines() if not any(p.search(line) for p in _ADS))
+    if not _AD_SIGN.search(text):
+        return "\n".join(text.splitlines())
+    return "\n".join(line for line in text.splitlines() if not (_AD_SIGN.search(line) and any(p.search(line) for p in _ADS)))
+
+
+def _nfkc(text: str) -> str:
+    return text if text.isascii() else unicodedata.normalize("NFKC", text)
 
 
 def protected_values(text: str) -> list[str]:
     """Numbers, units, standard ids and links of a text without ad lines, in text order, in normal form."""
-    body, found = without_ads(text), []
+    return _values_of(without_ads(text))
+
+
+def _values_of(body: str) -> list[str]:
+    found = []
     for pattern, is_url in _VALUES:
         for m in pattern.finditer(body):
-            value = m[0].rstrip(fx.URL_TAIL) if is_url else unicodedata.normalize("NFKC", m[0]).replace(",", "")
+            value = m[0].rstrip(fx.URL_TAIL) if is_url else _nfkc(m[0]).replace(",", "")
             found.append((m.start(), value.lower()))
     return [v for _, v in sorted(found, key=lambda f: f[0])]
 
 
-def _bare(text: str) -> str:
-    return re.sub(r"\s+", "", unicodedata.normalize("NFKC", without_ads(text))).lower()
-
-
 def anchor_ratio(given: str, reply: str) -> float:
     """The share of evenly spread strings of ANCHOR characters of the source that the reply holds."""
-    source, other = _bare(given), _bare(reply)
+    return _anchor_ratio(without_ads(given), without_ads(reply))
+
+
+def _anchor_ratio(given: str, reply: str) -> float:
+    source, other = ("".join(_nfkc(t).split()).lower() for t in (given, reply))  # split() knows all white space
     last = len(source) - ANCHOR
     if last < 0:
         return float(source == other)
@@ -53,12 +79,33 @@ def protected_values_of(text: pd.Series) -> pd.Series:
     return pd.Series([protected_values(t or "") for t in text], dtype=object)
 
 
+def urls_missing(text: str, other: str) -> list[str]:
+    """The first links of one text that the other lacks, as text.urls_missing_in has them."""
+    own, known = (list(dict.fromkeys(_VALUES[3][0].findall(t)))[:URLS] for t in (text, other))
+    normal = lambda u: u.rstrip(fx.URL_TAIL).lower()
+    known = set(map(normal, known))
+    return [u for u in own if normal(u) not in known][:SIGNALS]
+
+
+def ad_signals(text: str) -> list[str]:
+    """Advertising phrases, as text.ad_signals has them."""
+    if not _AD_SIGN.search(text):
+        return []
+    found = (m[0].strip() for p in _ADS for m in p.finditer(text))
+    return list(dict.fromkeys(s if len(s) <= SHOWN else s[:SHOWN] + "……" for s in found if s))[:SIGNALS]
+
+
 @F.pandas_udf(_COMPARED)
 def compared(given: pd.Series, reply: pd.Series, compared_reply: pd.Series) -> pd.DataFrame:
-    """Whether protected values differ, the anchor ratio, and the ratios as reports show them (four places)."""
+    """What needs both texts without their ad lines, which are found once: whether protected values differ, the anchor
+
+    ratio, the ratios as reports show them (four places), removed links, and the reply's advertising phrases.
+    """
     rows = []
     for x, y, z in zip(given, reply, compared_reply, strict=True):
         x, y, z = x or "", y or "", z or ""
-        ratio, anchors = (len(y) / len(x) if x else 1.0), anchor_ratio(x, z)
-        rows.append((protected_values(x) != protected_values(z), anchors, round(anchors, 4), round(ratio, 4), round(max(0.0, 1.0 - ratio) if x else 0.0, 4), round(ratio, 4)))
-    return pd.DataFrame(rows, columns=["changed", "anchors", "anchors_shown", "kept", "removed", "grown"])
+        given_body, body = without_ads(x), without_ads(z)
+        ratio, anchors = (len(y) / len(x) if x else 1.0), _anchor_ratio(given_body, body)
+        shown = (round(anchors, 4), round(ratio, 4), round(max(0.0, 1.0 - ratio) if x else 0.0, 4), round(ratio, 4))
+        rows.append((_values_of(given_body) != _values_of(body), anchors, *shown, urls_missing(given_body, body), ad_signals(y)))
+    return pd.DataFrame(rows, columns=["changed", "anchors", "anchors_shown", "kept", "removed", "grown", "removed_urls", "ad_signals"])

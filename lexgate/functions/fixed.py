@@ -18,6 +18,10 @@ ADS = [
     r"(?:加群|入群|进群).{0,15}(?:学习|领取|资料|交流)?",
     r"(?:淘宝|拼多多|闲鱼|抖音|快手|小红书).{0,20}(?:购买|店铺|搜索|关注)",
 ]
+# the signs that those phrases, units and standard ids can start with (letters in either case)
+AD_SIGN = "[扫关添免限购报咨微客老助加入进淘拼闲抖快小]"
+UNIT_SIGNS = "°℃KkMmPpGgCcNnLlWwVvAaHhDdSsμµ\u212a\u017f"
+STANDARD_SIGNS = "GgAaHhJjSsDdNn\u017f"
 HEADING = r"(?m)^#{1,6}[ \t]+\S+"
 QUESTION = r"(?m)^[ \t]*(?:第[ \t]*\d+[ \t]*题|[0-9]{1,4}[.、．][ \t]*\S)"
 NUMBER = r"(?<![A-Za-z0-9_])\d+(?:\.\d+)?%?(?![A-Za-z0-9_])"
@@ -44,6 +48,18 @@ BATCH_ID = r"^[0-9]{8}T[0-9]{12}Z-[0-9a-f]{12}$"
 YEAR = r"\d{4}(?:\s*[-–—/]\s*\d{4})?"
 URL_TAIL = ".,;:，。；：)]}）】》」』"
 
+# lines of Markdown: ends, fences, list items, quotes, headings, table rules, front matter; ends of sentences
+LINE_END = r"(?:\r\n|\n|\r)\Z"
+LINE_BREAK = r"\r\n|\n|\r"
+FENCE = r" {0,3}(`{3,}|~{3,})"
+LIST_ITEM = r"([ \t]*)(?:[-+*]|\d{1,9}[.)])(?=[ \t])"
+QUOTE = r" {0,3}>[ \t]?"
+ATX_HEADING = r" {0,3}#{1,6}(?:[ \t]|\Z)"
+TABLE_LINE = r"[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*"
+FRONT_MATTER_LINE = "\ufeff?---[ \t]*"
+SENTENCE_END = r"[。！？；.!?;][ \t]*"
+BLANK_LINE_END = r"[ \t]*(?:\r\n|\n|\r)"
+
 JSON_KEYS = ['"error"', '"message"', '"content"', '"choices"', '"response"', '"output"']
 EXPLANATIONS = [
     "以下是清洗后的内容", "以下是清洗后的 Markdown", "以下是处理后的内容", "以下是整理后的内容", "以下是转换后的内容",
@@ -71,6 +87,7 @@ FIELD_STATUS = "OCR清洗完成"
 FILE_STATUSES = ["pending", "running", "succeeded", "failed", "skipped", "interrupted"]
 BATCH_STATUSES = ["running", "completed", "completed_with_failures", "incomplete", "stopped"]
 SELECTION_SOURCES = ["scan", "selection_file", "resume", "retry_failed"]
+SHOWN_FOLDER, SHOWN_PATH = "<项目目录>", "<路径>"
 NORMALIZATION = "preserve-outer-fence-v1"
 PROMPT_VERSION = 2
 MAX_CHARS = 12_000
@@ -119,6 +136,22 @@ SAYS = {
     "later": "后续分片意外包含 YAML Front Matter，合并完整文档时可能产生重复 YAML",
     "several": "输出中检测到多个疑似 YAML Front Matter，请检查是否发生重复",
     "short": "输出长度不到输入的 50%，请检查是否发生内容截断",
+    "field_missing": "YAML 缺少字段：{}",
+    "field_kind": "YAML 字段 {} 必须是字符串、数字或 null，不能是列表或对象",
+    "title_kind": "YAML 字段 title 必须是字符串或 null",
+    "title_blank": "YAML 字段 title 不能为空字符串",
+    "title_long": "YAML 字段 title 异常过长",
+    "subject": "subject 不在允许范围内：{}",
+    "status": "status 不符合要求，应为：OCR清洗完成",
+    "year_flag": "YAML 字段 year 不能是布尔值",
+    "year_number": "YAML 字段 year 疑似无效：{}",
+    "year_text": "YAML 字段 year 格式需要复核：{}",
+    "year_kind": "YAML 字段 year 必须是年份字符串、整数或 null",
+    "text_kind": "YAML 字段 {} 必须是字符串或 null",
+    "yaml_absent": "PyYAML 不可用，无法可靠解析 YAML Front Matter",
+    "yaml_fails": "YAML 解析失败：",
+    "yaml_empty": "YAML Front Matter 为空",
+    "yaml_kind": "YAML Front Matter 必须是键值对象，不能是列表、字符串或其他类型",
     "fence": "输出仍以代码围栏开头，请检查模型是否使用了不受支持的围栏类型",
 }
 

@@ -15,16 +15,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_EOL = re.compile(r"(?:\r\n|\n|\r)\Z")
-_BREAK = re.compile(r"\r\n|\n|\r")
-_FENCE = re.compile(r" {0,3}(`{3,}|~{3,})")
-_ITEM = re.compile(r"([ \t]*)(?:[-+*]|\d{1,9}[.)])(?=[ \t])")
-_QUOTE = re.compile(r" {0,3}>[ \t]?")
-_HEADING = re.compile(r" {0,3}#{1,6}(?:[ \t]|\Z)")
-_TABLE = re.compile(r"[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*")
-_OPEN = re.compile("\ufeff?---[ \t]*")
-_SENTENCE = re.compile(r"[。！？；.!?;][ \t]*")
-_BEFORE_EOL = re.compile(r"[ \t]*(?:\r\n|\n|\r)")
+from . import fixed as fx
+
+_EOL, _BREAK, _FENCE, _ITEM, _QUOTE = (re.compile(p) for p in (fx.LINE_END, fx.LINE_BREAK, fx.FENCE, fx.LIST_ITEM, fx.QUOTE))
+_HEADING, _TABLE, _OPEN, _SENTENCE, _BEFORE_EOL = (re.compile(p) for p in (fx.ATX_HEADING, fx.TABLE_LINE, fx.FRONT_MATTER_LINE, fx.SENTENCE_END, fx.BLANK_LINE_END))
 
 #: Kinds that are never cut inside.
 WHOLE = {"fenced_code", "indented_code", "table", "list_item", "blockquote", "front_matter"}
@@ -213,6 +207,12 @@ def chunks(text: str, size: int) -> list[str]:
     return [*out, held] if held else out
 
 
+def is_fenced(block: str) -> bool:
+    """Whether a block opens with a fence."""
+    lines = block.splitlines()
+    return bool(lines) and Line(lines[0]).fence != ""
+
+
 def md_blocks(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("rel_path",)) -> DataFrame:
     """One row for each block: the keys, block_no, kind, text. Null text has no blocks."""
 

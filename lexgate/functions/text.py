@@ -108,7 +108,8 @@ def urls_missing_in(c: Column | str, other: Column | str, limit: int = 20) -> Co
 
 
 def is_ad_line(c: Column | str) -> Column:
-    return reduce(lambda a, b: a | b, (col(c).rlike(fx.java(p, True)) for p in fx.ADS))
+    """Whether an advertising pattern matches; the cheap test of their first signs spares most lines the patterns."""
+    return F.when(col(c).rlike(fx.AD_SIGN), reduce(lambda a, b: a | b, (col(c).rlike(fx.java(p, True)) for p in fx.ADS))).otherwise(F.lit(False))
 
 
 #: Line ends of str.splitlines().
@@ -123,7 +124,8 @@ def split_lines(c: Column | str) -> Column:
 
 def protected_text(c: Column | str) -> Column:
     """The text without advertising lines, lines joined by \\n."""
-    return F.array_join(F.filter(split_lines(c), lambda line: ~is_ad_line(line)), "\n")
+    lines = split_lines(c)
+    return F.array_join(F.when(col(c).rlike(fx.AD_SIGN), F.filter(lines, lambda line: ~is_ad_line(line))).otherwise(lines), "\n")
 
 
 def ad_signals(c: Column | str, limit: int = 20) -> Column:
@@ -134,7 +136,8 @@ def ad_signals(c: Column | str, limit: int = 20) -> Column:
         return F.when(F.length(s) > 100, F.concat(F.substring(s, 1, 100), F.lit("……"))).otherwise(s)
 
     found = F.concat(*(F.transform(all_matches(c, p, True), short) for p in fx.ADS))
-    return F.slice(F.array_distinct(F.filter(found, lambda s: s != "")), 1, limit)
+    some = F.slice(F.array_distinct(F.filter(found, lambda s: s != "")), 1, limit)
+    return F.when(col(c).rlike(fx.AD_SIGN), some).otherwise(F.array().cast("array<string>"))
 
 
 def token_estimate(c: Column | str) -> Column:
@@ -166,3 +169,26 @@ def received_size(n: Column | str) -> Column:
     """Bytes as B, KB or MB; null and negative sizes count as none."""
     n = F.greatest(F.coalesce(col(n).cast("long"), F.lit(0)), F.lit(0))
     return F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B"))).when(n < 1024 * 1024, F.format_string("%.1f KB", n / 1024)).otherwise(F.format_string("%.1f MB", n / (1024 * 1024)))
+
+
+def relative_name(path: Column | str, folder: str) -> Column:
+    """A posix path below the folder, or the bare name of a path that lies elsewhere."""
+    path, top = col(path), folder.rstrip("/") + "/"
+    return F.when(F.startswith(path, F.lit(top)), F.substring(path, F.lit(len(top) + 1), F.length(path))).otherwise(F.regexp_extract(path, r"([^/]*)\z", 1))
+
+
+def shown_error(c: Column | str, folder: str, limit: int = 240) -> Column:
+    """An error for people: secrets masked, one line, neither the folder nor a drive's path in it."""
+    text = F.replace(compact_error(c, limit), F.lit(folder), F.lit(fx.SHOWN_FOLDER))
+    return F.regexp_replace(text, r"(?i)[A-Z]:[\\/][^\s;，。；]+", fx.SHOWN_PATH)
+
+
+def with_schema(record: dict[str, Column], schema: str, version: int) -> Column:
+    """A struct that names its format and version last."""
+    return F.struct(*(c.alias(n) for n, c in record.items()), F.lit(schema).alias("schema"), F.lit(version).alias("schema_version"))
+
+
+def is_schema(record: Column | str, schema: str, least: int = 1) -> Column:
+    """Whether a struct has this format in a version that is new enough; false where either is null."""
+    record = col(record)
+    return F.coalesce((record["schema"] == schema) & (record["schema_version"] >= least), F.lit(False))

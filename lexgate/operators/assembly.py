@@ -45,3 +45,11 @@ def gated(documents: DataFrame, strict: bool, quality: str = "quality") -> DataF
 def review_queue(finals: DataFrame) -> DataFrame:
     """What people must look at: derived from the documents, so it is in step with them by construction."""
     return finals.where("review_required").select("rel_path", "status", "source_sha256", "output_sha256", "quality", "part_warnings")
+
+
+def in_review_step(finals: DataFrame, review: DataFrame) -> DataFrame:
+    """Documents whose review copy is in step: none where no review is due, otherwise one of the same status, source and output."""
+    held = review.select("rel_path", F.col("status").alias("r_status"), F.col("source_sha256").alias("r_source"), F.col("output_sha256").alias("r_output"))
+    same = (F.col("r_status") == "review_required") & F.col("r_source").eqNullSafe(F.col("source_sha256")) & F.col("r_output").eqNullSafe(F.col("output_sha256"))
+    fine = F.when(F.col("review_required"), F.coalesce(same, F.lit(False))).otherwise(F.col("r_status").isNull())
+    return finals.join(held, "rel_path", "left").where(fine).select(*finals.columns)

@@ -48,8 +48,8 @@ def retryable(files: DataFrame) -> DataFrame:
 
 
 def not_retryable(requested: DataFrame, files: DataFrame) -> DataFrame:
-    """Requested paths that did not fail; must be empty."""
-    return requested.join(files.where(F.col("status") == "failed").select("path"), "path", "left_anti")
+    """Requested paths (each once) that did not fail in the batch; a retry of such a path is refused."""
+    return requested.select("path").distinct().join(files.where(F.col("status") == "failed").select("path"), "path", "left_anti")
 
 
 def limited(files: DataFrame, n: int) -> DataFrame:
@@ -80,22 +80,49 @@ def faults(files: DataFrame) -> DataFrame:
     return files.withColumn("faults", bad).where(F.size("faults") > 0)
 
 
-def moved(files: DataFrame, new_status: Column, error: Column, at: Column) -> DataFrame:
-    """Files after a change of status: running starts and counts an attempt and clears the error, ends finish, successes clear it."""
+def moved(files: DataFrame, new_status: Column, error: Column, at: Column, where: Column | None = None) -> DataFrame:
+    """Files after a change of status: running starts and counts an attempt and clears the error, ends finish, successes clear it.
+
+    Rows outside `where` stay as they are, and so do rows that stay pending.
+    """
     ends = new_status.isin("succeeded", "failed", "skipped", "interrupted")
+    where = F.lit(True) if where is None else where
+    only = lambda new, old: F.when(where, new).otherwise(F.col(old))
     return files.withColumns({
-        "attempts": F.when(new_status == "running", F.col("attempts") + 1).otherwise(F.col("attempts")),
-        "started_at": F.when(new_status == "running", at).otherwise(F.col("started_at")),
-        "finished_at": F.when(ends, at).when(new_status == "running", None).otherwise(F.col("finished_at")),
-        "error": F.when(new_status.isin("running", "succeeded", "skipped"), None).when(error.isNotNull(), tx.compact_error(error)).otherwise(F.col("error")),
-        "status": new_status,
+        "attempts": only(F.when(new_status == "running", F.col("attempts") + 1).otherwise(F.col("attempts")), "attempts"),
+        "started_at": only(F.when(new_status == "running", at).otherwise(F.col("started_at")), "started_at"),
+        "finished_at": only(F.when(ends, at).when(new_status == "running", None).otherwise(F.col("finished_at")), "finished_at"),
+        "error": only(F.when(new_status.isin("running", "succeeded", "skipped"), None).when(error.isNotNull(), tx.compact_error(error)).otherwise(F.col("error")), "error"),
+        "status": only(new_status, "status"),
     })
 
 
+def carried(files: DataFrame, previous: DataFrame) -> DataFrame:
+    """The files of a batch that goes on: rows of before with their numbers, attempts and times, and the hash of now.
+
+    Running files are interrupted; files that are not worked on again stay as they were.
+    """
+    now = files.select("path", F.col("source_sha256").alias("sha_"))
+    old = resumed(previous).join(now, "path", "left")
+    names = [c for c in files.columns if c != "source_sha256"]
+    return old.select(*names, F.coalesce("sha_", "source_sha256").alias("source_sha256")).select(*files.columns)
+
+
+def piece_stats(pieces: DataFrame, judged: DataFrame, replies: DataFrame, key: str = "rel_path") -> DataFrame:
+    """total, success, failed and skipped (reused, part of success) pieces of each file; sum them for a batch."""
+    total = pieces.groupBy(key).agg(F.count("*").alias("total"))
+    good = F.col("failure_stage").isNull()
+    seen = judged.groupBy(key).agg(F.count_if(good).alias("success"), F.count_if(~good).alias("refused"), F.count_if(good & ~F.col("fresh")).alias("skipped"))
+    lost = replies.groupBy(key).agg(F.count_if(F.col("error").isNotNull() & (F.coalesce("stage", F.lit("")) != "stopped")).alias("lost"))
+    x = total.join(seen, key, "left").join(lost, key, "left").fillna(0, ["success", "refused", "skipped", "lost"])
+    return x.select(key, "total", "success", (F.col("refused") + F.col("lost")).alias("failed"), "skipped")
+
+
 def cancelled(files: DataFrame) -> DataFrame:
     """Running files back to pending, as if they had not begun."""
     was = F.col("status") == "running"
-    return files.withColumns({"attempts": F.when(was, F.greatest(F.col("attempts") - 1, F.lit(0))).otherwise(F.col("attempts")), "status": F.when(was, "pending").otherwise(F.col("status"))})
+    cleared = {c: F.when(~was, F.col(c)) for c in ("error", "started_at", "finished_at")}
+    return files.withColumns({"attempts": F.when(was, F.greatest(F.col("attempts") - 1, F.lit(0))).otherwise(F.col("attempts")), **cleared, "status": F.when(was, "pending").otherwise(F.col("status"))})
 
 
 def resumed(files: DataFrame, message: str = "interrupted by the end of an earlier run") -> DataFrame:

@@ -58,9 +58,9 @@ def accepted_candidates(chunks: DataFrame, failed: DataFrame, prompt: str, polic
 
 
 def current_documents(plans: DataFrame, finals: DataFrame, keys: list[str]) -> DataFrame:
-    """Plans with is_current: a stored document exists, equals the plan in all keys (null-safe), and its body has its hash."""
-    stored = finals.select("rel_path", *(F.col(k).alias(f"f_{k}") for k in keys), "body", "output_sha256")
-    same = (tx.py_strip("body") != "") & (tx.sha256("body") == F.col("output_sha256"))
+    """Plans with is_current: a stored document exists, equals the plan in all keys (null-safe), and its text has its hash."""
+    stored = finals.select("rel_path", *(F.col(k).alias(f"f_{k}") for k in keys), "text", "output_sha256")
+    same = (tx.py_strip("text") != "") & (tx.sha256("text") == F.col("output_sha256"))
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"f_{k}"))
     return plans.join(stored, "rel_path", "left").withColumn("is_current", F.coalesce(same, F.lit(False))).select(*plans.columns, "is_current")

@@ -75,7 +75,7 @@ def _said(rules: list[tuple[Column, str]]) -> Column:
 def assess(df: DataFrame, given: str = "input_text", reply: str = "output_text", thresholds: dict[str, float] | None = None, name: str = "quality") -> DataFrame:
     """Add a struct of 23 report fields. Null texts count as empty.
 
-    Counts, links, ads and bands are native; one Arrow UDF gives what needs NFKC, match offsets or exact rounding.
+    Counts, added links and bands are native; one Arrow UDF gives what needs the texts without ad lines, NFKC, match offsets or exact rounding.
     """
     t = thresholds or load_thresholds()
     own = df.columns
@@ -84,11 +84,10 @@ def assess(df: DataFrame, given: str = "input_text", reply: str = "output_text",
     x = counted(x, "in_", "out_").withColumns({
         "c_": compared("in_", "out_", "seen_"),
         "added_": tx.urls_missing_in("seen_", "in_"),
-        "removed_": tx.urls_missing_in(tx.protected_text("in_"), tx.protected_text("seen_")),
-        "ads_": tx.ad_signals("out_"),
         "n_": F.length("in_"),
         "r_": retained("in_", "out_"),
     })
+    x = x.withColumns({"removed_": F.col("c_.removed_urls"), "ads_": F.col("c_.ad_signals")})
     n, r = F.col("n_"), F.col("r_")
     kept, grown = band(r, n, t, "retained"), band(r, n, t, "expansion")
     percent = lambda key: f"{t[key]:.0%}"

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import datetime
 import json
+import math
 import random
 import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from email.utils import parsedate_to_datetime
+from typing import ClassVar
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed as fx
 from ..functions import text as tx
 
 OVERHEAD_TOKENS, SAFETY_TOKENS = 64, 1024
@@ -21,6 +26,20 @@ ATTEMPTS, WAIT, MOST_WAIT = 3, 5.0, 300.0
 REPLY_CHARS, EVENT_CHARS = 200_000, 2_000_000
 
 
+@dataclass(frozen=True)
+class Budget:
+    """What a request may hold, in tokens; 0 for no limit."""
+
+    window: int = 0
+    output: int = 0
+    margin: int = SAFETY_TOKENS
+    limit_name: str = "max_tokens"
+
+    def __post_init__(self) -> None:
+        if min(self.window, self.output, self.margin) < 0 or self.limit_name not in ("max_tokens", "max_completion_tokens"):
+            raise ValueError("a budget has no negative sizes, and its limit is max_tokens or max_completion_tokens")
+
+
 def budget(chunks: DataFrame, prompt_tokens: int, window: int = 0, reserved: int = 0, margin: int = SAFETY_TOKENS, text: str = "chunk") -> DataFrame:
     """Add input_tokens, remaining_tokens (null without a window) and fits, so that pieces too large never reach the network."""
     need = tx.token_estimate(text) + F.lit(prompt_tokens + OVERHEAD_TOKENS)
@@ -28,6 +47,18 @@ def budget(chunks: DataFrame, prompt_tokens: int, window: int = 0, reserved: int
     return chunks.withColumns({"input_tokens": need, "remaining_tokens": left.cast("long")}).withColumn("fits", F.coalesce(F.col("remaining_tokens") >= 0, F.lit(True)))
 
 
+def with_message(chunks: DataFrame) -> DataFrame:
+    tag = F.substring(F.sha2(F.concat("chunk_sha256", F.col("part_number").cast("string")), 256), 1, 32)
+    return chunks.withColumn("message_", message(F.col("chunk"), F.col("part_number"), F.col("total_parts"), tag))
+
+
+def budgeted(chunks: DataFrame, limits: Budget, prompt_tokens: int = 0) -> DataFrame:
+    """Pieces with their message_ and, where the request exceeds the window, over_budget_ (a text)."""
+    x = budget(with_message(chunks), prompt_tokens, limits.window, limits.output, limits.margin, "message_")
+    said = F.format_string("the request needs about %d tokens, %d more than the window of %d leaves", "input_tokens", -F.col("remaining_tokens"), F.lit(limits.window))
+    return x.select(*chunks.columns, "message_", F.when(~F.col("fits"), said).alias("over_budget_"))
+
+
 def message(chunk: Column, part: Column, total: Column, tag: Column) -> Column:
     """The user's message: the piece between tagged marks, with what holds for a first or later part."""
     rule = F.when(part == 1, "This is the first part; begin with the front matter.").otherwise("This is a later part; write no front matter.")
@@ -111,9 +142,27 @@ def with_retries(call: Callable[[], str], sleep: Callable[[float], None] = time.
     return None, "no attempt was made", partial, 0
 
 
+def retry_after(value: str, now: datetime.datetime | None = None) -> float | None:
+    """Seconds that a Retry-After header asks for: a number, or a date (without a zone: UTC); None for anything else."""
+    value = value.strip()
+    try:
+        seconds = float(value)
+        return max(0.0, seconds) if math.isfinite(seconds) else None
+    except ValueError:
+        pass
+    try:
+        at = parsedate_to_datetime(value)
+    except (TypeError, ValueError, OverflowError):
+        return None
+    at = at if at.tzinfo else at.replace(tzinfo=datetime.UTC)
+    return max(0.0, (at - (now or datetime.datetime.now(datetime.UTC))).total_seconds())
+
+
 @dataclass(frozen=True)
 class Transport:
-    """What turns a message into a reply. Subclasses must be picklable."""
+    """What turns a message into a reply. Subclasses must be picklable. limited: calls at once are to be bounded."""
+
+    limited: ClassVar[bool] = False
 
     def reply(self, chunk: str, message: str) -> str:
         raise NotImplementedError
@@ -141,6 +190,7 @@ class Scripted(Transport):
 class Http(Transport):
     """A streaming chat-completions endpoint; needs only the standard library. https, or http on this host."""
 
+    limited: ClassVar[bool] = True
     url: str = ""
     model: str = ""
     key: str = ""
@@ -163,24 +213,48 @@ class Http(Transport):
                 return read_events(line.decode("utf-8") for line in response)
         except urllib.error.HTTPError as e:
             if e.code in RETRYABLE or e.code >= 500:
-                after = e.headers.get("Retry-After", "")
-                raise Retryable(f"status {e.code}", float(after) if after.isdigit() else None) from e
+                raise Retryable(f"status {e.code}", retry_after(e.headers.get("Retry-After", ""))) from e
             raise RuntimeError(f"status {e.code}") from e
         except (urllib.error.URLError, TimeoutError, ConnectionError) as e:
             raise Retryable(f"network: {e}") from e
 
 
+#: What a sender adds to a piece.
+SENT = "reply string, error string, partial string, attempts int, stage string"
+
+
+def sender(transport: Transport, attempts: int = ATTEMPTS) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Pieces with message_ and over_budget_ to pieces with SENT, one call after another."""
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        row = 0
+        for batch in batches:
+            out = []
+            for chunk, text, over in zip(batch["chunk"], batch["message_"], batch["over_budget_"], strict=True):
+                if over is not None:
+                    out.append((None, over, None, 0, "budget"))
+                elif row >= fx.MAX_FAILURES_IN_A_ROW:
+                    out.append((None, f"not sent after {row} failures in a row", None, 0, "stopped"))
+                else:
+                    reply, error, partial, n = with_retries(lambda c=chunk, t=text: transport.reply(c, t), attempts=attempts)
+                    row = row + 1 if error is not None else 0
+                    out.append((reply, error, partial or None, n, None if error is None else "request"))
+            done = pd.DataFrame(out, columns=["reply", "error", "partial", "attempts", "stage"], dtype=object)
+            yield pd.concat([batch.drop(columns=["message_", "over_budget_"]).reset_index(drop=True), done], axis=1)
+
+    return call
+
+
 def clean(chunks: DataFrame, transport: Transport, workers: int = 1, attempts: int = ATTEMPTS) -> DataFrame:
-    """Add reply, error, partial and attempts, with at most `workers` calls at once (one for each partition).
+    """Add reply, error, partial, attempts and stage (null, budget, request or stopped) to pieces.
 
+    A transport with a limit has at most `workers` senders, one for each partition; others take the pieces where they
+    lie. A sender that meets MAX_FAILURES_IN_A_ROW failures in a row sends nothing more: its other pieces
+    have the stage stopped and no attempt. Pieces that budgeted() found too large are not sent.
     A repeated task repeats its calls, so store the result before anything reads it twice.
     """
-
-    @F.pandas_udf("struct<reply:string,error:string,partial:string,attempts:int>")
-    def call(chunk: pd.Series, text: pd.Series) -> pd.DataFrame:
-        rows = [with_retries(lambda c=c, t=t: transport.reply(c, t), attempts=attempts) for c, t in zip(chunk, text, strict=True)]
-        return pd.DataFrame(rows, columns=["reply", "error", "partial", "attempts"])
-
-    tag = F.substring(F.sha2(F.concat("chunk_sha256", F.col("part_number").cast("string")), 256), 1, 32)
-    text = message(F.col("chunk"), F.col("part_number"), F.col("total_parts"), tag)
-    return chunks.repartition(workers).withColumn("r_", call.asNondeterministic()("chunk", text)).select(*chunks.columns, "r_.*")
+    ready = chunks if "message_" in chunks.columns else budgeted(chunks, Budget())
+    if transport.limited:
+        ready = ready.repartition(workers)
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema if f.name not in ("message_", "over_budget_"))
+    return ready.mapInPandas(sender(transport, attempts), f"{own}, {SENT}")

@@ -66,66 +66,73 @@ def _text_of(value) -> str:
     return ("true" if value else "false") if isinstance(value, bool) else str(value).strip()
 
 
-def field_problems(fields: dict) -> tuple[list[str], list[str]]:
-    """(problems, remarks) of front-matter fields; problems are errors in strict mode, remarks never are."""
-    bad, notes = [], []
+def field_findings(fields: dict) -> list[tuple[bool, str]]:
+    """(is a problem, message) of front-matter fields in their order; problems are errors in strict mode, remarks never are."""
+    out, say = [], fx.SAYS
+    bad, note = lambda m: out.append((True, m)), lambda m: out.append((False, m))
     for name in fx.REQUIRED_FIELDS:
         if name not in fields:
-            bad.append(f"YAML 缺少字段：{name}")
+            bad(say["field_missing"].format(name))
         elif fields[name] is not None and not isinstance(fields[name], str | int | float):
-            bad.append(f"YAML 字段 {name} 必须是字符串、数字或 null，不能是列表或对象")
+            bad(say["field_kind"].format(name))
     title = fields.get("title")
     if title is not None:
         if not isinstance(title, str):
-            bad.append("YAML 字段 title 必须是字符串或 null")
+            bad(say["title_kind"])
         elif not title.strip():
-            bad.append("YAML 字段 title 不能为空字符串")
+            bad(say["title_blank"])
         elif len(title.strip()) > 500:
-            notes.append("YAML 字段 title 异常过长")
-    for name, allowed, message in (("subject", fx.SUBJECTS, "subject 不在允许范围内：{}"), ("status", [fx.FIELD_STATUS], f"status 不符合要求，应为：{fx.FIELD_STATUS}")):
+            note(say["title_long"])
+    for name, allowed in (("subject", fx.SUBJECTS), ("status", [fx.FIELD_STATUS])):
         value = _text_of(fields.get(name))
         if value and value.lower() != "null" and value not in allowed:
-            bad.append(message.format(value))
+            bad(say[name].format(value))
     year = fields.get("year")
     if isinstance(year, bool):
-        bad.append("YAML 字段 year 不能是布尔值")
+        bad(say["year_flag"])
     elif isinstance(year, int):
         if not 1000 <= year <= 9999:
-            notes.append(f"YAML 字段 year 疑似无效：{year}")
+            note(say["year_number"].format(year))
     elif isinstance(year, str):
         if year.strip() and year.strip().lower() != "null" and not re.fullmatch(fx.YEAR, year.strip()):
-            notes.append(f"YAML 字段 year 格式需要复核：{year.strip()}")
+            note(say["year_text"].format(year.strip()))
     elif year is not None:
-        bad.append("YAML 字段 year 必须是年份字符串、整数或 null")
+        bad(say["year_kind"])
     for name in ("source", "type"):
         if fields.get(name) is not None and not isinstance(fields[name], str):
-            bad.append(f"YAML 字段 {name} 必须是字符串或 null")
-    return bad, notes
+            bad(say["text_kind"].format(name))
+    return out
 
 
 def read_fields(matter: str) -> tuple[dict, str | None]:
     if yaml is None:
-        return {}, "PyYAML 不可用，无法可靠解析 YAML Front Matter"
+        return {}, fx.SAYS["yaml_absent"]
     try:
         data = yaml.safe_load(matter)
     except Exception as e:  # any fault of the text is a finding about the text
         said = str(e).replace("\r", " ").replace("\n", " ")
-        return {}, "YAML 解析失败：" + (said if len(said) <= 300 else said[:300] + "……")
+        return {}, fx.SAYS["yaml_fails"] + (said if len(said) <= 300 else said[:300] + "……")
     if data is None:
-        return {}, "YAML Front Matter 为空"
-    return (data, None) if isinstance(data, dict) else ({}, "YAML Front Matter 必须是键值对象，不能是列表、字符串或其他类型")
+        return {}, fx.SAYS["yaml_empty"]
+    return (data, None) if isinstance(data, dict) else ({}, fx.SAYS["yaml_kind"])
 
 
-@F.pandas_udf(T.StructType().add("problems", T.ArrayType(T.StringType())).add("remarks", T.ArrayType(T.StringType())))
+_LISTS = T.StructType()
+for _name in ("problems", "remarks", "both"):
+    _LISTS = _LISTS.add(_name, T.ArrayType(T.StringType()))
+
+
+@F.pandas_udf(_LISTS)
 def matter_findings(matter: pd.Series) -> pd.DataFrame:
+    """Problems, remarks, and both in the order of the fields (what a lenient run lists)."""
     rows = []
     for m in matter:
-        if m is None:
-            rows.append(([], []))
-            continue
-        fields, error = read_fields(m)
-        rows.append(([error], []) if error else field_problems(fields))
-    return pd.DataFrame(rows, columns=["problems", "remarks"])
+        found = []
+        if m is not None:
+            fields, error = read_fields(m)
+            found = [(True, error)] if error else field_findings(fields)
+        rows.append(([t for bad, t in found if bad], [t for bad, t in found if not bad], [t for _, t in found]))
+    return pd.DataFrame(rows, columns=_LISTS.names)
 
 
 def validate(df: DataFrame, reply: str = "reply", given: str = "chunk", part: str = "part_number", strict: Column | bool = True) -> DataFrame:
@@ -147,7 +154,7 @@ def validate(df: DataFrame, reply: str = "reply", given: str = "chunk", part: st
     )
     warnings = F.concat(
         one(phrase.isNotNull() & ~short, F.concat(F.lit(fx.SAYS["service_long"]), phrase)), one(c("prefix_").isNotNull(), F.concat(F.lit(fx.SAYS["explained"]), c("prefix_"))),
-        one(absent & opens & ~must, fx.SAYS["unclosed"]), one(absent & ~opens & isfirst & ~must, fx.SAYS["missing"]), F.when(~must, c("f_.problems")).otherwise(none), c("f_.remarks"),
+        one(absent & opens & ~must, fx.SAYS["unclosed"]), one(absent & ~opens & isfirst & ~must, fx.SAYS["missing"]), F.when(~must, c("f_.both")).otherwise(c("f_.remarks")),
         one(~absent & ~isfirst, fx.SAYS["later"]), one(rule_pairs(r) > 1, fx.SAYS["several"]),
         one((F.length(given) >= 200) & (F.length(r) < F.length(given) * F.lit(0.5)), fx.SAYS["short"]), one(r.startswith("```"), fx.SAYS["fence"]),
     )
@@ -163,7 +170,7 @@ def drop_repeated_matter(text: pd.Series, part: pd.Series) -> pd.Series:
         found = pattern.match(t or "") if n > 1 else None
         if found:
             fields, error = read_fields(found[2])
-            if error is None and not field_problems(fields)[0]:
+            if error is None and not any(bad for bad, _ in field_findings(fields)):
                 t = found[1] + t[found.end() :]
         out.append(t)
     return pd.Series(out, dtype=object)

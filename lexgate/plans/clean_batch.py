@@ -1,19 +1,21 @@
-"""The whole batch: sources, pieces, reuse, cleaning, validation, quality, assembly, gate, state tables."""
+"""The whole batch: sources, pieces, reuse, pruning, cleaning, validation, quality, assembly, gate, state tables."""
 
 from __future__ import annotations
 
 import datetime
 import secrets
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed as fx
 from ..functions import text as tx
 from ..functions.markdown import md_chunks
 from ..operators import assembly, batches, cache, quality, transport, validation
-from ..sources.sinks import write_version
+from ..sources.sinks import newest, read_versions, write_version
 
 
 def new_batch_id(now: datetime.datetime | None = None, tail: str | None = None) -> str:
@@ -30,10 +32,12 @@ class Config:
     base_url: str = "https://localhost"
     prompt_sha256: str = ""
     prompt_aliases: list[str] = field(default_factory=list)
+    prompt_tokens: int = 0
     strict: bool = True
     max_chars: int = fx.MAX_CHARS
     max_files: int = 0
     workers: int = 1
+    budget: transport.Budget = field(default_factory=transport.Budget)
     thresholds: dict[str, float] = field(default_factory=lambda: dict(fx.THRESHOLDS))
 
     def __post_init__(self) -> None:
@@ -43,88 +47,219 @@ class Config:
             raise ValueError("max_chars must lie between 1 and 1000000")
 
 
+@dataclass(frozen=True)
+class Selection:
+    """Where a batch's files come from; previous holds the files of a batch that goes on."""
+
+    source: str = "scan"
+    file: str | None = None
+    parent_batch_id: str | None = None
+    previous: DataFrame | None = None
+
+    def __post_init__(self) -> None:
+        if self.source not in fx.SELECTION_SOURCES:
+            raise ValueError(f"unknown selection source {self.source}")
+
+
 RESULTS = (
     "source_file string, source_sha256 string, chunk_sha256 string, model string, base_url string, part_number int, total_parts int, strict_validation boolean, "
     "normalization_policy string, rel_path string, chunk string, body string, output_sha256 string, warnings array<string>, prompt_sha256 string, prompt_identity_version int, quality_policy_sha256 string"
 )
+FINALS = (
+    "rel_path string, source_sha256 string, part_count int, text string, output_sha256 string, status string, review_required boolean, prompt_sha256 string, prompt_identity_version int, "
+    "model string, base_url string, strict_validation boolean, normalization_policy string, quality_policy_sha256 string"
+)
+REVIEW = "rel_path string, status string, source_sha256 string, output_sha256 string"
+FILES = "batch_id string, ord long, path string, status string, source_sha256 string, error string, attempts int, started_at timestamp, finished_at timestamp"
+HEADER = (
+    "batch_id string, created_at timestamp, updated_at timestamp, completed_at timestamp, status string, workers int, selection_source string, selection_file string, parent_batch_id string"
+)
+FAILED = f"{RESULTS.split(', rel_path')[0]}, rel_path string, failure_stage string, failure_reason string, body string, prompt_sha256 string, quality_policy_sha256 string"
+#: What a stored document must equal to be current, beside its prompt and its own hash.
+CURRENT = ["status", "source_sha256", "part_count", "model", "base_url", "strict_validation", "normalization_policy", "quality_policy_sha256"]
 
 
 def stored_results(spark: SparkSession, config: Config) -> DataFrame:
-    """All accepted replies of earlier runs, each identity once; an empty table before the first run."""
-    try:
-        found = spark.read.schema(RESULTS).parquet(f"{config.store}/chunk_results/version=*")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], RESULTS)
-    return found.dropDuplicates([*cache.IDENTITY, "prompt_sha256"])
+    """All accepted replies of earlier runs, the newest of each identity and prompt; an empty table before the first run."""
+    return newest(read_versions(spark, f"{config.store}/chunk_results", RESULTS), [*cache.IDENTITY, "prompt_sha256"])
+
+
+def failed_candidates(spark: SparkSession, config: Config) -> DataFrame:
+    """Stored replies that were refused, the newest of each identity, prompt and policy; a later accepted reply clears them."""
+    keys = [*cache.IDENTITY, "prompt_sha256"]
+    found = newest(read_versions(spark, f"{config.store}/failed_candidates", FAILED).where("body is not null"), [*keys, "quality_policy_sha256"], keep_version=True)
+    done = newest(read_versions(spark, f"{config.store}/chunk_results", RESULTS), keys, keep_version=True).select(*keys, F.col("version").alias("done_"))
+    same = F.col("done_") > found["version"]
+    for k in keys:
+        same &= found[k].eqNullSafe(done[k])
+    return found.join(done, same, "left_anti").drop("version")
+
+
+def stored_documents(spark: SparkSession, config: Config) -> DataFrame:
+    """The newest published version of each document."""
+    return newest(read_versions(spark, f"{config.store}/final_documents", FINALS), ["rel_path"])
+
+
+def stored_review(spark: SparkSession, config: Config) -> DataFrame:
+    """The review copy that belongs to each document's newest version (none where that needs no review)."""
+    marks = newest(read_versions(spark, f"{config.store}/final_documents", FINALS), ["rel_path"], keep_version=True).select("rel_path", "version")
+    return read_versions(spark, f"{config.store}/review", REVIEW).join(marks, ["rel_path", "version"], "left_semi").drop("version")
 
 
 def judged(replies: DataFrame, config: Config) -> DataFrame:
-    """Replies with errors, warnings and quality; failure_stage says where a piece stopped (null for none)."""
+    """Replies with errors, warnings and quality; failure_stage says where a piece stopped (null for none).
+
+    The warnings of a piece are those of the rules and then those of its report, each once.
+    """
     checked = validation.validate(replies.where("error is null"), "reply", "chunk", "part_number", config.strict)
     scored = quality.assess(checked, "chunk", "reply", config.thresholds)
     stage = F.when(F.size("errors") > 0, "validation").when(F.size("quality.severe_errors") > 0, "quality")
-    return scored.withColumn("failure_stage", stage)
+    return scored.withColumn("failure_stage", stage).withColumn("warnings", F.array_distinct(F.concat("warnings", "quality.warnings")))
 
 
-def failed_candidates(spark: SparkSession, config: Config) -> DataFrame:
-    """Stored replies that were refused, the newest of each identity."""
-    found = spark.read.parquet(f"{config.store}/failed_candidates/version=*").where("body is not null")
-    return found.dropDuplicates([*cache.IDENTITY, "prompt_sha256", "quality_policy_sha256"])
+def planned(sources: DataFrame, parts: DataFrame) -> DataFrame:
+    """One row for each source that has a plan: ord, rel_path, source_sha256, part_count (0 for blank texts)."""
+    counts = parts.groupBy("rel_path").agg(F.count("*").cast("int").alias("part_count"))
+    return sources.select("ord", "rel_path", "source_sha256").join(counts, "rel_path", "left").fillna(0, ["part_count"])
+
 
+def needing_work(plans: DataFrame, todo: DataFrame, finals: DataFrame, review: DataFrame, config: Config) -> DataFrame:
+    """Plans with a piece to send, or without a current document and review copy; blank texts always count."""
+    expected = plans.withColumns({
+        "model": F.lit(config.model), "base_url": F.lit(config.base_url.rstrip("/")), "strict_validation": F.lit(config.strict),
+        "normalization_policy": F.lit(fx.NORMALIZATION), "quality_policy_sha256": F.lit(quality.policy_sha256(config.thresholds)),
+    })
+    fits = cache.prompt_fits(F.col("prompt_sha256"), F.col("prompt_identity_version"), config.prompt_sha256, config.prompt_aliases)
+    sound = finals.where(fits & (F.col("status") == tx.artifact_status("review_required", F.lit(config.strict))))
+    current = cache.current_documents(expected, sound, [k for k in CURRENT if k != "status"]).where("is_current").select("rel_path")
+    current = assembly.in_review_step(finals.join(current, "rel_path", "left_semi"), review).select("rel_path")
+    open_ = todo.select("rel_path").distinct().withColumn("sends_", F.lit(True))
+    marked = plans.join(open_, "rel_path", "left").join(current.withColumn("done_", F.lit(True)), "rel_path", "left")
+    return marked.where(F.col("sends_").isNotNull() | F.col("done_").isNull()).select(*plans.columns)
 
-def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.Transport, batch_id: str | None = None, accept_failed: bool = False) -> dict[str, DataFrame]:
+
+def ordered(sources: DataFrame) -> DataFrame:
+    """Sources with ord: given by their reader, or ascending in the order of their lower-case paths."""
+    if "ord" in sources.columns:
+        return sources.withColumn("ord", F.col("ord").cast("long"))
+    lower = F.lower("rel_path")
+    return sources.repartitionByRange(lower, "rel_path").sortWithinPartitions(lower, "rel_path").withColumn("ord", F.monotonically_increasing_id())
+
+
+def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.Transport, batch_id: str | None = None, accept_failed: bool = False,
+        selection: Selection | None = None, rehash: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Clean the sources and store every table as a version of its own under config.store.
 
-    Returns files (one row for each source with its status), results, failed, documents and review. Pieces
-    whose identity has a stored reply are not sent again; their replies are judged anew under the current
-    thresholds. With accept_failed nothing is sent: refused replies of the same work, prompt and policy stand,
-    marked for review, and pieces without one fail.
+    Sources are stored first, so that all steps see the same bytes. Files whose pieces all have a stored reply and
+    whose document and review copy are current are skipped; of the others the first max_files (by ord) are
+    worked on, the rest stays pending. Pieces over the budget fail before the network. A sender that meets
+    five failures in a row sends no more; its files stay pending and the batch is stopped. Stored replies are judged anew
+    under the current thresholds and not stored again. Before documents are published, rehash (paths to
+    rel_path, source_sha256) tells sources that have changed since; these fail. With accept_failed nothing is sent:
+    refused replies of the same work, prompt and policy stand, marked for review, and pieces without one fail.
+
+    Returns files (one row for each source with its status), header, stats, and of this run results, failed, published
+    and review; documents are those that now stand for files that succeeded or were skipped.
     """
-    batch_id, policy = batch_id or new_batch_id(), quality.policy_sha256(config.thresholds)
-    keep = lambda df, name: spark.read.schema(df.schema).parquet(write_version(df, f"{config.store}/{name}", batch_id))
+    selection, version = selection or Selection(), new_batch_id()
+    batch_id, policy, began = batch_id or version, quality.policy_sha256(config.thresholds), F.lit(datetime.datetime.now())
+    keep = lambda df, name, step="": spark.read.schema(df.schema).parquet(write_version(df, f"{config.store}/{name}", version + step))
+    shaped = lambda df, schema: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)])
+
+    sources = keep(ordered(sources).select("ord", "rel_path", "size", "source_sha256", "text", "source_chars", "plan_error"), "sources")
     good = sources.where("plan_error is null")
-    if config.max_files:
-        good = good.orderBy(F.lower("rel_path"), "rel_path").limit(config.max_files)
+    known = stored_results(spark, config)
     parts, errors = md_chunks(good, config.max_chars, "text", ("rel_path", "source_sha256"))
     chunks = keep(cache.with_identity(parts, config.model, config.base_url, config.strict), "chunks")
-    known = stored_results(spark, config)
+    errors = keep(errors.select("rel_path", F.col("plan_error").alias("error")), "plan_errors")
+    plans = planned(good.join(errors, "rel_path", "left_anti"), chunks)
     todo = cache.pending(chunks, known, config.prompt_sha256, config.prompt_aliases)
+    needs = needing_work(plans, todo, stored_documents(spark, config), stored_review(spark, config), config)
+    picked = keep(batches.limited(needs, config.max_files), "picked")
+
+    files = sources.select(F.lit(batch_id).alias("batch_id"), "ord", F.col("rel_path").alias("path"), F.lit("pending").alias("status"), "source_sha256", F.lit(None).cast("string").alias("error"),
+                           F.lit(0).alias("attempts"), F.lit(None).cast("timestamp").alias("started_at"), F.lit(None).cast("timestamp").alias("finished_at"))
+    if selection.previous is not None:
+        files = batches.carried(files, selection.previous)
+    files = files.join(picked.select(F.col("rel_path").alias("path"), F.lit(True).alias("picked_")), "path", "left")
+    files = batches.moved(files, F.lit("running"), F.lit(None).cast("string"), began, F.coalesce("picked_", F.lit(False)))
+    files = keep(files.select("picked_", *[f.name for f in T.StructType.fromDDL(FILES)]), "batch_files", "-0")
+    head = lambda status, done: spark.range(1).select(F.lit(batch_id).alias("batch_id"), F.try_to_timestamp(F.substring(F.lit(batch_id), 1, 15), F.lit("yyyyMMdd'T'HHmmss")).alias("created_at"), F.current_timestamp().alias("updated_at"),
+        F.when(done, F.current_timestamp()).alias("completed_at"), status.alias("status"), F.lit(config.workers).alias("workers"), F.lit(selection.source).alias("selection_source"),
+        F.lit(selection.file).cast("string").alias("selection_file"), F.lit(selection.parent_batch_id).cast("string").alias("parent_batch_id"))
+    keep(shaped(head(F.lit("running"), F.lit(False)), HEADER), "batches", "-0")
+
+    work = todo.join(picked.select("rel_path"), "rel_path", "left_semi").select(*chunks.columns)
     if accept_failed:
-        taken = cache.accepted_candidates(todo, failed_candidates(spark, config), config.prompt_sha256, policy)
+        taken = cache.accepted_candidates(work, failed_candidates(spark, config), config.prompt_sha256, policy)
         found = keep(taken.select(*cache.IDENTITY, F.col("body").alias("reply")), "accepted")
-        replies = todo.join(found, cache._same(todo, found), "left").select(*(todo[c] for c in todo.columns), "reply", F.when(F.col("reply").isNull(), "no candidate to accept").alias("error"), F.lit(None).cast("string").alias("partial"))
-        replies = keep(replies, "replies")
+        replies = work.join(found, cache._same(work, found), "left").select(*(work[c] for c in work.columns), "reply", F.when(F.col("reply").isNull(), "no candidate to accept").alias("error"),
+                                                                            F.lit(None).cast("string").alias("partial"), F.lit(None).cast("string").alias("stage"))
     else:
-        replies = keep(transport.clean(todo, how, config.workers), "replies")
+        replies = transport.clean(transport.budgeted(work, config.budget, config.prompt_tokens), how, config.workers)
+    replies = keep(replies, "replies")
     identity = [c for c in chunks.columns if c != "chunk"]
     usable = cache.usable(known, config.prompt_sha256, config.prompt_aliases).select(*cache.IDENTITY, F.col("body").alias("reply")).dropDuplicates(cache.IDENTITY)
-    reused = chunks.join(usable, cache._same(chunks, usable)).select(*(chunks[c] for c in chunks.columns), "reply", F.lit(None).cast("string").alias("error"))
-    seen = judged(replies.select(*chunks.columns, "reply", "error").unionByName(reused), config)
+    mine = chunks.join(picked.select("rel_path"), "rel_path", "left_semi").select(*chunks.columns)
+    reused = mine.join(usable, cache._same(mine, usable)).select(*(mine[c] for c in mine.columns), "reply", F.lit(None).cast("string").alias("error"))
+    seen = judged(replies.where("stage is null or stage != 'stopped'").select(*chunks.columns, "reply", "error").withColumn("fresh", F.lit(True)).unionByName(reused.withColumn("fresh", F.lit(False))), config)
     if accept_failed:
-        seen = seen.withColumn("warnings", F.when(F.col("failure_stage").isNotNull(), F.array_append("warnings", F.lit("accepted by a user"))).otherwise(F.col("warnings"))).withColumn("failure_stage", F.lit(None).cast("string"))
+        stands = F.when(F.col("failure_stage").isNotNull(), F.array_append("warnings", F.lit("accepted by a user"))).otherwise(F.col("warnings"))
+        seen = seen.withColumn("warnings", stands).withColumn("failure_stage", F.lit(None).cast("string"))
     seen = keep(seen, "judged")
     passed = seen.where("failure_stage is null")
-    results = passed.select(*identity, "chunk", F.col("reply").alias("body"), tx.sha256("reply").alias("output_sha256"), "warnings", F.lit(config.prompt_sha256).alias("prompt_sha256"), F.lit(fx.PROMPT_VERSION).alias("prompt_identity_version"), F.lit(policy).alias("quality_policy_sha256"), F.col("quality.review_required").alias("review_required"))
-    keep(results.select(*[f.name for f in spark.createDataFrame([], RESULTS).schema]), "chunk_results")
-    calls = replies.where("error is not null").select(*identity, F.lit("request").alias("failure_stage"), tx.compact_error("error").alias("failure_reason"), F.col("partial").alias("body"))
+    results = passed.select(*identity, "chunk", "fresh", F.col("reply").alias("body"), tx.sha256("reply").alias("output_sha256"), "warnings", F.lit(config.prompt_sha256).alias("prompt_sha256"),
+                            F.lit(fx.PROMPT_VERSION).alias("prompt_identity_version"), F.lit(policy).alias("quality_policy_sha256"), F.col("quality.review_required").alias("review_required"))
+    keep(shaped(results.where("fresh"), RESULTS), "chunk_results")
+    calls = replies.where("error is not null and stage != 'stopped'").select(*identity, F.col("stage").alias("failure_stage"), tx.compact_error("error").alias("failure_reason"), F.col("partial").alias("body"))
     refused = seen.where("failure_stage is not null").select(*identity, "failure_stage", F.array_join(F.concat("errors", "quality.severe_errors"), "; ").alias("failure_reason"), F.col("reply").alias("body"))
-    failed = keep(calls.unionByName(refused).withColumns({"prompt_sha256": F.lit(config.prompt_sha256), "quality_policy_sha256": F.lit(policy)}), "failed_candidates")
+    partial = calls.where("body is not null").withColumn("time", F.current_timestamp())
+    keep(partial, "partial_responses")
+    failed = refused.unionByName(calls.withColumn("body", F.lit(None).cast("string"))).withColumns({"prompt_sha256": F.lit(config.prompt_sha256), "quality_policy_sha256": F.lit(policy)})
+    failed = keep(shaped(failed, FAILED), "failed_candidates")
+
     whole = assembly.assemble(results).join(good.select("rel_path", "source_sha256", F.col("text").alias("source_text")), "rel_path")
     scored = assembly.gated(quality.assess(whole, "source_text", "text", config.thresholds), config.strict)
-    documents = scored.where(F.size("quality.severe_errors") == 0).drop("source_text").withColumn("output_sha256", tx.sha256("text"))
-    documents = keep(documents, "final_documents")
-    planned = errors.select("rel_path", F.col("plan_error").alias("error")).unionByName(sources.where("plan_error is not null").select("rel_path", F.col("plan_error").alias("error")))
-    blank = good.where((tx.py_strip("text") == "") | F.col("text").isNull()).select("rel_path").withColumn("blank", F.lit(True))
-    status = F.when(F.col("error").isNotNull(), "failed").when(F.col("done") | F.col("blank"), "succeeded").when(~F.col("picked"), "pending").otherwise("failed")
-    files = (
-        sources.select("rel_path").join(planned, "rel_path", "left").join(documents.select("rel_path", F.lit(True).alias("done")), "rel_path", "left")
-        .join(blank, "rel_path", "left").join(good.select("rel_path", F.lit(True).alias("picked")), "rel_path", "left")
-        .fillna(False, ["done", "blank", "picked"]).select(F.lit(batch_id).alias("batch_id"), F.col("rel_path").alias("path"), status.alias("status"), tx.compact_error("error").alias("error"))
+    ready = scored.drop("source_text").withColumns({
+        "output_sha256": tx.sha256("text"), "prompt_sha256": F.lit(config.prompt_sha256), "prompt_identity_version": F.lit(fx.PROMPT_VERSION), "model": F.lit(config.model),
+        "base_url": F.lit(config.base_url.rstrip("/")), "strict_validation": F.lit(config.strict), "normalization_policy": F.lit(fx.NORMALIZATION), "quality_policy_sha256": F.lit(policy),
+    })
+    ready = keep(ready, "assembled")
+    sound = ready.where(F.size("quality.severe_errors") == 0)
+    changed = spark.createDataFrame([], "rel_path string")
+    if rehash is not None:
+        now = rehash(sound.select("rel_path")).select("rel_path", F.col("source_sha256").alias("now_"))
+        changed = keep(sound.select("rel_path", "source_sha256").join(now, "rel_path", "left").where(~F.col("source_sha256").eqNullSafe(F.col("now_"))).select("rel_path"), "changed")
+    documents = keep(sound.join(changed, "rel_path", "left_anti"), "final_documents")
+    review = keep(assembly.review_queue(documents), "review")
+
+    stats = batches.piece_stats(mine, seen, replies)
+    reasons = errors.unionByName(sources.where("plan_error is not null").select("rel_path", F.col("plan_error").alias("error"))).unionByName(changed.withColumn("error", F.lit("the source changed during the run")))
+    severe = ready.where(F.size("quality.severe_errors") > 0).select("rel_path", F.array_join("quality.severe_errors", "; ").alias("error"))
+    pieces = failed.groupBy("rel_path").agg(F.min_by("failure_reason", "part_number").alias("error"))
+    reasons = reasons.unionByName(severe).unionByName(pieces).groupBy(F.col("rel_path").alias("path")).agg(F.max("error").alias("why_"))
+    cut = replies.where("stage = 'stopped'").select(F.col("rel_path").alias("path")).distinct().withColumn("cut_", F.lit(True))
+    blank = good.where((tx.py_strip(F.coalesce("text", F.lit(""))) == "")).select(F.col("rel_path").alias("path")).withColumn("blank_", F.lit(True))
+    done = documents.select(F.col("rel_path").alias("path")).withColumn("done_", F.lit(True))
+    fine = plans.select(F.col("rel_path").alias("path"), F.lit(True).alias("planned_"))
+    x = files
+    for other in (reasons, cut, blank, done, fine, needs.select(F.col("rel_path").alias("path"), F.lit(True).alias("needed_"))):
+        x = x.join(other, "path", "left")
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    mine_now = F.col("status").isin("pending", "running") if selection.previous is None else F.col("status").isin("pending", "running", "interrupted")
+    ended = (
+        F.when(~mine_now, F.col("status")).when(yes("picked_") & yes("cut_"), "pending").when(yes("picked_") & (yes("done_") | yes("blank_")), "succeeded").when(yes("picked_"), "failed")
+        .when(~yes("planned_"), "failed").when(~yes("needed_"), "skipped").otherwise("pending")
     )
-    return {"files": keep(files, "batch_files"), "results": results, "failed": failed, "documents": documents, "review": assembly.review_queue(documents)}
+    final = batches.moved(x, ended, F.col("why_"), F.current_timestamp(), mine_now)
+    final = keep(shaped(final, FILES), "batch_files", "-1")
+    stopped = replies.where("stage = 'stopped'").limit(1).count() > 0
+    rolled = summary(final, stopped).first()
+    header = keep(shaped(head(F.lit(rolled.batch_status if rolled else "completed"), F.lit(bool(rolled is None or rolled.is_complete))), HEADER), "batches", "-1")
+    fine = final.where(F.col("status").isin("succeeded", "skipped")).select(F.col("path").alias("rel_path"))
+    standing = stored_documents(spark, config).join(fine, "rel_path", "left_semi")
+    return {"files": final, "header": header, "stats": stats, "results": results, "failed": failed, "published": documents, "documents": standing, "review": review}
 
 
-def summary(files: DataFrame) -> DataFrame:
-    return batches.progress(batches.rollup_status(batches.status_counts(files)))
+def summary(files: DataFrame, stopped: bool = False) -> DataFrame:
+    return batches.progress(batches.rollup_status(batches.status_counts(files), stopped))

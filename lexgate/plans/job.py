@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import ipaddress
 import json
+import os
 import re
 from pathlib import Path
 from urllib.parse import urlsplit, urlunsplit
@@ -13,10 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed as fx
-from ..operators import batches
+from ..functions import text as tx
+from ..functions.markdown import md_chunks
+from ..operators import batches, quality, transport
 from ..sources import files
+from ..sources.sinks import append_log, export_documents, log_rows, newest, read_versions
+from . import clean_batch
 
-SELECTION_SCHEMA = "lexgate/selection"
+#: Environment names of a connection and its limits; the thresholds have QUALITY_<NAME>.
+ENVIRONMENT = {"key": "OPENAI_API_KEY", "base_url": "OPENAI_BASE_URL", "model": "OPENAI_MODEL"}
+LIMITS = {"window": "OPENAI_CONTEXT_WINDOW", "output": "OPENAI_MAX_OUTPUT_TOKENS", "margin": "OPENAI_SAFETY_MARGIN_TOKENS"}
+LIMIT_NAME = "OPENAI_TOKEN_PARAMETER"
 
 
 def base_url(value: str) -> str:
@@ -40,6 +48,25 @@ def base_url(value: str) -> str:
     return urlunsplit((parts.scheme, parts.netloc, parts.path.rstrip("/"), "", ""))
 
 
+def connection(env: dict[str, str]) -> dict[str, str]:
+    """key, base_url and model from the environment, the address checked."""
+    found = {name: (env.get(variable) or "").strip() for name, variable in ENVIRONMENT.items()}
+    return found | {"base_url": base_url(found["base_url"])}
+
+
+def limits(env: dict[str, str]) -> transport.Budget:
+    """The token budget from the environment."""
+    sizes = {}
+    for name, variable in LIMITS.items():
+        raw = (env.get(variable) or "").strip()
+        if raw and not raw.isdigit():
+            raise ValueError(f"{variable} must be a whole number, 0 or more: {raw}")
+        if raw:
+            sizes[name] = int(raw)
+    named = (env.get(LIMIT_NAME) or "").strip()
+    return transport.Budget(**sizes, **({"limit_name": named} if named else {}))
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m lexgate", description="Clean a folder of Markdown files as a Spark job.")
     p.add_argument("--base-dir", default=".", help="holds input/, store/, output/ and prompt.md")
@@ -54,7 +81,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-chars", type=int, default=fx.MAX_CHARS)
     p.add_argument("--max-file-size", type=int, default=fx.MAX_FILE_BYTES)
     p.add_argument("--base-url", default="")
-    p.add_argument("--model", default="identity", help="identity gives every piece back")
+    p.add_argument("--model", default="")
     return p
 
 
@@ -80,60 +107,84 @@ def checked(o: argparse.Namespace) -> argparse.Namespace:
 
 
 def stored_files(spark: SparkSession, store: str, batch: str) -> DataFrame:
-    """The files of a stored batch (or the latest), in the order of their paths."""
-    found = spark.read.parquet(f"{store}/batch_files/version=*")
+    """The files of a stored batch (or of the one written last) as they were last written."""
+    found = read_versions(spark, f"{store}/batch_files", clean_batch.FILES)
     if batch == "latest":
-        batch = found.agg(F.max("batch_id")).first()[0]  # ids start with the time
-    own = found.where(F.col("batch_id") == batch)
+        last = batches.latest(read_versions(spark, f"{store}/batches", clean_batch.HEADER)).first()
+        batch = last.batch_id if last else ""
+    own = newest(found.where(F.col("batch_id") == batch), ["batch_id", "path"])
     if own.limit(1).count() == 0:
         raise ValueError(f"no batch {batch}")
+    bad = batches.faults(own).limit(1).collect()
+    if bad:
+        raise ValueError(f"batch {batch} is damaged: {bad[0].path}: {', '.join(bad[0].faults)}")
     return own
 
 
-def chosen_paths(spark: SparkSession, o: argparse.Namespace, folder: str, store: str) -> list[str]:
-    """One source of paths: a selection list, a stored batch's open or failed files, or the whole folder."""
-    if o.selection_file:
-        return files.read_selection(str(Path(o.base_dir) / o.selection_file), SELECTION_SCHEMA)
-    if o.resume_batch or o.retry_failed:
-        own = stored_files(spark, store, o.resume_batch or o.retry_failed)
-        picked = batches.resumable(batches.resumed(own)) if o.resume_batch else own.where("status = 'failed'")
-        return [r.path for r in picked.select("path").distinct().orderBy(F.lower("path"), "path").toLocalIterator()]
-    return files.list_markdown(folder)
+def _paths(rows: DataFrame) -> list[str]:
+    return [r.path for r in rows.select("path", "ord").orderBy("ord").toLocalIterator()]
 
 
-def main(arguments: list[str] | None = None) -> int:
-    """0: done, 1: could not start, 2: some files failed."""
-    from ..operators import transport
-    from ..sources.sinks import export_documents
-    from . import clean_batch
+def chosen(spark: SparkSession, o: argparse.Namespace, folder: str, store: str) -> tuple[list[str], clean_batch.Selection, str | None]:
+    """One source of paths: a selection list, a stored batch's open or failed files, or the whole folder.
 
+    Returns the paths, the selection and the id of a batch that goes on. A retry is a new batch that names its
+    parent; its rows stay as they are.
+    """
+    if o.selection_file:
+        named = files.read_selection(str(Path(o.base_dir) / o.selection_file), base=o.base_dir)
+        return files.resolved_paths(named, folder), clean_batch.Selection("selection_file", o.selection_file), None
+    if o.resume_batch:
+        own = stored_files(spark, store, o.resume_batch)
+        return _paths(batches.resumable(batches.resumed(own))), clean_batch.Selection("resume", previous=own), own.first().batch_id
+    if o.retry_failed:
+        own = stored_files(spark, store, o.retry_failed)
+        child = clean_batch.new_batch_id()
+        found = files.resolved_paths(_paths(batches.retry_child(own, child)), folder)
+        return found, clean_batch.Selection("retry_failed", parent_batch_id=own.first().batch_id), child
+    return files.list_markdown(folder), clean_batch.Selection(), None
+
+
+def main(arguments: list[str] | None = None, env: dict[str, str] | None = None) -> int:
+    """0: done, 1: could not start, 2: some files failed."""
+    env = dict(os.environ) if env is None else env
     try:
         o = checked(parser().parse_args(arguments))
+        given = connection(env)
+        o.base_url, o.model = o.base_url or given["base_url"], o.model or given["model"] or "identity"
+        budget, thresholds = limits(env), quality.load_thresholds(env)
+        if o.base_url and not given["key"] and not (o.dry_run or o.batch_status):
+            raise ValueError(f"{ENVIRONMENT['key']} is not set")
     except ValueError as e:
         print(e)
         return 1
     spark = SparkSession.builder.appName("lexgate").getOrCreate()
     base = Path(o.base_dir).resolve()
     folder, store = str(base / "input"), str(base / "store")
-    if o.batch_status:
-        print(json.dumps([r.asDict() for r in clean_batch.summary(stored_files(spark, store, "latest")).collect()]))
-        return 0
-    paths = chosen_paths(spark, o, folder, store)
+    try:
+        if o.batch_status:
+            print(json.dumps([r.asDict() for r in clean_batch.summary(stored_files(spark, store, "latest")).collect()]))
+            return 0
+        paths, selection, batch_id = chosen(spark, o, folder, store)
+    except ValueError as e:
+        print(e)
+        return 1
     if not paths:
         return 0
     prompt = base / "prompt.md"
     text, sha, aliases = files.prompt_identity(prompt.read_text(encoding="utf-8-sig") if prompt.exists() else "")
-    config = clean_batch.Config(store=store, model=o.model, base_url=o.base_url, prompt_sha256=sha, prompt_aliases=aliases, strict=o.strict, max_chars=o.max_chars, max_files=o.max_files, workers=o.workers)
+    tokens = spark.range(1).select(tx.token_estimate(F.lit(text))).first()[0]
+    config = clean_batch.Config(store=store, model=o.model, base_url=o.base_url, prompt_sha256=sha, prompt_aliases=aliases, prompt_tokens=tokens, strict=o.strict, max_chars=o.max_chars, max_files=o.max_files,
+                                workers=o.workers, budget=budget, thresholds=thresholds)
     sources = files.read_sources(spark, folder, paths, o.max_file_size)
     if o.dry_run:
-        from ..functions.markdown import md_chunks
-
         parts, errors = md_chunks(sources.where("plan_error is null"), o.max_chars)
         print(json.dumps({"files": len(paths), "pieces": parts.count(), "errors": errors.count()}))
         return 0
-    how = transport.Http(url=o.base_url, model=o.model, system=text) if o.base_url else transport.Identity()
-    done = clean_batch.run(spark, sources, config, how, accept_failed=o.accept_failed)
-    written = export_documents(done["documents"], str(base / "output")).count()
+    how = transport.Http(url=o.base_url, model=o.model, key=given["key"], system=text, limit_name=budget.limit_name, limit=budget.output) if o.base_url else transport.Identity()
+    done = clean_batch.run(spark, sources, config, how, batch_id, o.accept_failed, selection, files.hashes_now(spark, folder, o.max_file_size))
+    written = export_documents(done["published"], str(base / "output")).count()
+    append_log(log_rows(done["files"], "path", "status", "error"), str(base / "log"))
     counts = clean_batch.summary(done["files"]).first()
     print(json.dumps(counts.asDict() | {"written": written}))
     return 2 if counts.failed else 0

@@ -20,6 +20,10 @@ from ..functions import fixed as fx
 SOURCES = "rel_path string, size long, content binary, source_sha256 string, text string, source_chars int, plan_error string"
 
 
+#: Files that one task reads.
+FILES_A_TASK = 64
+
+
 def decode_text(raw: bytes) -> str | None:
     """The first codec that reads all bytes, or None. Line ends stay."""
     for codec in fx.CODECS:
@@ -54,40 +58,55 @@ def list_markdown(folder: str) -> list[str]:
     return sorted(out, key=lambda p: (p.lower(), p))
 
 
-def read_sources(spark: SparkSession, folder: str, paths: list[str], max_bytes: int = fx.MAX_FILE_BYTES) -> DataFrame:
-    """One row for each path, read once in the tasks: hash, text and error come from the same bytes.
+SOURCES = "ord long, " + SOURCES
+
+
+def read_sources(spark: SparkSession, folder: str, paths: list[str] | DataFrame, max_bytes: int = fx.MAX_FILE_BYTES, with_text: bool = True) -> DataFrame:
+    """One row for each path, read once in the tasks: hash, text and error come from the same bytes. ord is the path's place.
 
-    The folder must be reachable from the executors. Missing, large or undecodable files are rows with
-    plan_error; they never fail the job.
+    Paths are a list, or a table of ord and rel_path for folders that no driver should hold. The folder must be
+    reachable from the executors. Missing, large or undecodable files are rows with plan_error; they never
+    fail the job. Without with_text only hashes are kept. One task reads about FILES_A_TASK files.
     """
-    listed = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "ord int, rel_path string")
+    if isinstance(paths, list):
+        listed = spark.createDataFrame(pd.DataFrame({"ord": pd.Series(range(len(paths)), dtype="int64"), "rel_path": pd.Series(paths, dtype=str)}), "ord long, rel_path string")
+        count = len(paths)
+    else:
+        listed, count = paths.select(F.col("ord").cast("long"), "rel_path"), paths.count()
+    schema = pa.schema([("ord", pa.int64()), ("rel_path", pa.string()), ("size", pa.int64()), ("content", pa.binary()), ("source_sha256", pa.string()), ("text", pa.string()), ("source_chars", pa.int32()), ("plan_error", pa.string())])
+
+    def row_of(number: int, rel: str) -> dict:
+        path, row = Path(folder) / rel, {"ord": number, "rel_path": rel}
+        try:
+            row["size"] = path.stat().st_size
+            if not inside(path, Path(folder)):
+                return row | {"plan_error": "the path leaves the input folder"}
+            if row["size"] > max_bytes:
+                return row | {"plan_error": f"the file has {row['size']} bytes, more than {max_bytes}"}
+            raw = path.read_bytes()
+        except OSError as e:
+            return row | {"plan_error": f"cannot read: {e.strerror}"}
+        row |= {"size": len(raw), "source_sha256": hashlib.sha256(raw).hexdigest()}
+        if not with_text:
+            return row
+        row |= {"content": raw, "text": decode_text(raw)}
+        if row["text"] is None:
+            return row | {"plan_error": "no codec reads the file"}
+        if len(raw) > max_bytes:
+            return row | {"plan_error": f"the file has {len(raw)} bytes, more than {max_bytes}"}
+        return row | {"source_chars": len(row["text"])}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rel in batch.column(1).to_pylist():
-                path, row = Path(folder) / rel, {"rel_path": rel}
-                try:
-                    row["size"] = path.stat().st_size
-                    if not inside(path, Path(folder)):
-                        row["plan_error"] = "the path leaves the input folder"
-                    elif row["size"] > max_bytes:
-                        row["plan_error"] = f"the file has {row['size']} bytes, more than {max_bytes}"
-                    else:
-                        raw = path.read_bytes()
-                        row |= {"size": len(raw), "content": raw, "source_sha256": hashlib.sha256(raw).hexdigest(), "text": decode_text(raw)}
-                        if row["text"] is None:
-                            row["plan_error"] = "no codec reads the file"
-                        elif len(raw) > max_bytes:
-                            row["plan_error"] = f"the file has {len(raw)} bytes, more than {max_bytes}"
-                        else:
-                            row["source_chars"] = len(row["text"])
-                except OSError as e:
-                    row["plan_error"] = f"cannot read: {e.strerror}"
-                names = ["rel_path", "size", "content", "source_sha256", "text", "source_chars", "plan_error"]
-                types = [pa.string(), pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array([row.get(n)], t) for n, t in zip(names, types, strict=True)], names=names)
-
-    return listed.repartition(max(1, min(len(paths), 200)), "ord").mapInArrow(read, SOURCES)
+            for number, rel in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_pylist([row_of(number, rel)], schema=schema)
+
+    return listed.repartition(max(1, -(-count // FILES_A_TASK)), "ord").mapInArrow(read, SOURCES)
+
+
+def hashes_now(spark: SparkSession, folder: str, max_bytes: int = fx.MAX_FILE_BYTES):
+    """A function from a table of rel_path to rel_path and the hash that each file has now (null: it cannot be read)."""
+    return lambda paths: read_sources(spark, folder, paths.select(F.lit(0).alias("ord"), "rel_path"), max_bytes, with_text=False).select("rel_path", "source_sha256")
 
 
 def table_sources(df: DataFrame, path, text) -> DataFrame:
@@ -100,12 +119,61 @@ def safe_relative(path: str) -> bool:
     return not ("\\" in path or path.startswith("/") or re.match(r"[A-Za-z]:", path) or any(p in ("", ".", "..") for p in parts))
 
 
-def read_selection(file: str, schema_id: str) -> list[str]:
-    """Paths of a selection list: UTF-8 JSON of a closed schema, each path once, in order. Raises ValueError for any fault."""
-    data = json.loads(Path(file).read_bytes().decode("utf-8-sig"))
-    if not isinstance(data, dict) or set(data) != {"schema", "version", "source", "paths"}:
-        raise ValueError("a selection has schema, version, source and paths")
-    if data["schema"] != schema_id or type(data["version"]) is not int or data["version"] != 1:
+def without_links(folder: str, path: str) -> bool:
+    """Whether neither the folder nor any part of the path below it is a symbolic link."""
+    at = Path(folder)
+    if at.is_symlink():
+        return False
+    for part in path.split("/"):
+        at /= part
+        if at.is_symlink():
+            return False
+    return True
+
+
+def resolved_paths(paths: list, folder: str) -> list[str]:
+    """Relative paths of Markdown files inside the folder, each file once, in order. Raises ValueError for any that is unsafe.
+
+    Paths must be normal, hold no links, end in .md and be no cleaned output; what exists must be a file. Files
+    are told apart by their resolved path, so two spellings of one file count once. Missing files pass:
+    they fail by themselves when they are read.
+    """
+    found: dict[str, str] = {}
+    for p in paths:
+        if not isinstance(p, str) or not p or not safe_relative(p):
+            raise ValueError(f"unsafe path: {p!r}")
+        if not p.lower().endswith(".md") or PurePosixPath(p).stem.lower().endswith("_cleaned"):
+            raise ValueError(f"no source file: {p!r}")
+        if not without_links(folder, p):
+            raise ValueError(f"the path holds a link: {p!r}")
+        target = Path(folder) / p
+        if not inside(target, Path(folder)):
+            raise ValueError(f"the path leaves the folder: {p!r}")
+        if target.exists() and not target.is_file():
+            raise ValueError(f"no regular file: {p!r}")
+        found.setdefault(os.path.normcase(str(target.resolve())), p)
+    return list(found.values())
+
+
+def read_selection(file: str, schema_id: str | None = None, base: str | None = None) -> list[str]:
+    """Paths of a selection list: UTF-8 JSON of a closed schema, in order. Raises ValueError for any fault.
+
+    The list must be a file, and inside `base` where that is given. Without a schema_id any name of the form
+    <tool>/selection is taken, so lists that other tools of this contract wrote can be read.
+    """
+    path = Path(file)
+    if not path.is_file():
+        raise ValueError(f"no selection list: {file}")
+    if base is not None and not inside(path, Path(base)):
+        raise ValueError(f"the selection list leaves the folder: {file}")
+    try:
+        data = json.loads(path.read_bytes().decode("utf-8-sig"))
+    except ValueError as e:
+        raise ValueError(f"the selection list is no UTF-8 JSON: {e}") from None
+    if not isinstance(data, dict) or not {"schema", "schema_version", "source", "paths"} <= set(data):
+        raise ValueError("a selection has schema, schema_version, source and paths")
+    named = data["schema"] == schema_id if schema_id else isinstance(data["schema"], str) and re.fullmatch(r"[a-z0-9-]+/selection", data["schema"])
+    if not named or type(data["schema_version"]) is not int or data["schema_version"] != 1:
         raise ValueError("unknown selection schema")
     if data["source"] != {"kind": "files", "root": None} or not isinstance(data["paths"], list):
         raise ValueError("a selection names files by paths")

@@ -8,28 +8,51 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 
 
-def log_rows(df: DataFrame, file: str, status: str, detail: str) -> DataFrame:
-    """Event rows with secrets masked: time, file, status, detail."""
-    return df.select(F.current_timestamp().alias("time"), tx.redact(file).alias("file"), F.col(status).alias("status"), tx.compact_error(detail).alias("detail"))
+def log_rows(df: DataFrame, file: str, status: str, detail: str, more: tuple[str, ...] = ()) -> DataFrame:
+    """Event rows with secrets masked: time, file, status, detail, and more columns as they are."""
+    return df.select(*more, F.current_timestamp().alias("time"), tx.redact(file).alias("file"), F.col(status).alias("status"), tx.compact_error(detail).alias("detail"))
 
 
 def append_log(events: DataFrame, path: str) -> None:
     events.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
-def write_version(df: DataFrame, root: str, run_id: str) -> str:
-    """A table version of its own; readers switch by the pointer, so a failed run leaves the last version whole."""
-    path = f"{root.rstrip('/')}/version={run_id}"
+def write_version(df: DataFrame, root: str, version: str) -> str:
+    """A table version of its own. Readers take the newest rows of all versions, so a failed run leaves the last state."""
+    path = f"{root.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
 
+def read_versions(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """All versions of a table with their version (ids ascend with time); an empty table where there is none.
+
+    A version shows its files when its job commits. What is there is listed now, so later versions do not appear.
+    """
+    schema = f"{schema}, version string"
+    try:
+        return spark.read.schema(schema).option("basePath", root).parquet(f"{root.rstrip('/')}/version=*")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def newest(versions: DataFrame, keys: list[str], keep_version: bool = False) -> DataFrame:
+    """The row of the newest version for each combination of keys (nulls are equal)."""
+    others = [c for c in versions.columns if c not in (*keys, "version")]
+    rows = versions.groupBy(*keys).agg(F.max_by(F.struct(*others), "version").alias("r_"), F.max("version").alias("version"))
+    held = [F.col(c) if c in keys else F.col("version") if c == "version" else F.col(f"r_.{c}").alias(c) for c in versions.columns if c != "version" or keep_version]
+    return rows.select(*held)
+
+
 def export_documents(finals: DataFrame, folder: str) -> DataFrame:
     """Write each document to <folder>/<its own folder>/<name>_cleaned.md, by rename; one row with the path for each.
 

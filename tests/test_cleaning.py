@@ -116,10 +116,10 @@ def test_sources(spark, tmp_path):
     got = {r.rel_path: r for r in files.read_sources(spark, str(base), [*paths, "gone.md"], 40).collect()}
     assert got["sub/c.md"].text == "安全\r\n" and got["g.md"].text == "安全" and got["_a.md"].source_chars == 1
     assert all(got[p].plan_error for p in ("h.md", "big.md", "gone.md")) and files.list_markdown(str(base / "none")) == []
-    good = {"schema": "s", "version": 1, "source": {"kind": "files", "root": None}, "paths": ["b.md", "a.md", "b.md"]}
+    good = {"schema": "s", "schema_version": 1, "source": {"kind": "files", "root": None}, "paths": ["b.md", "a.md", "b.md"]}
     (tmp_path / "l.json").write_text(json.dumps(good))
     assert files.read_selection(str(tmp_path / "l.json"), "s") == ["b.md", "a.md"]
-    for change in ({"version": True}, {"extra": 1}, {"paths": ["../x.md"]}, {"source": {"kind": "files"}}):
+    for change in ({"schema_version": True}, {"schema": "t"}, {"paths": ["../x.md"]}, {"source": {"kind": "files"}}):
         (tmp_path / "l.json").write_text(json.dumps(good | change))
         with pytest.raises(ValueError):
             files.read_selection(str(tmp_path / "l.json"), "s")
@@ -204,3 +204,174 @@ def test_job(spark, tmp_path, capsys):
     assert len(list((tmp_path / "output").rglob("*_cleaned.md"))) == 1
     (tmp_path / "input" / "b.md").write_text("now fine")
     assert job.main([*base, "--retry-failed"]) == 0 and job.main(["--workers", "0"]) == 1
+
+
+# ---- pruning, limits, stops, budgets, batches that go on
+
+
+def statuses(done):
+    return {r.path: r.status for r in done["files"].collect()}
+
+
+def as_sources(spark, rows):
+    return files.table_sources(spark.createDataFrame(rows, "p string, t string"), F.col("p"), F.col("t"))
+
+
+def test_files_without_work_are_skipped_before_the_limit(spark, tmp_path):
+    sources = as_sources(spark, [(f"{n}.md", f"text of {n} with some words") for n in "abcde"])
+    config = lambda **more: clean_batch.Config(store=str(tmp_path), prompt_sha256="p", strict=False, **more)
+    first = clean_batch.run(spark, sources, config(max_files=2), transport.Identity())
+    assert statuses(first) == {"a.md": "succeeded", "b.md": "succeeded", "c.md": "pending", "d.md": "pending", "e.md": "pending"}
+    assert first["header"].first().status == "incomplete" and first["header"].first().completed_at is None
+    assert {r.path: r.attempts for r in first["files"].collect()} == {"a.md": 1, "b.md": 1, "c.md": 0, "d.md": 0, "e.md": 0}
+    second = clean_batch.run(spark, sources, config(max_files=2), transport.Identity())
+    assert statuses(second) == {"a.md": "skipped", "b.md": "skipped", "c.md": "succeeded", "d.md": "succeeded", "e.md": "pending"}
+    third = clean_batch.run(spark, sources, config(), transport.Identity())
+    assert [p for p, s in statuses(third).items() if s == "succeeded"] == ["e.md"] and third["header"].first().status == "completed"
+    assert clean_batch.run(spark, sources, config(), transport.Identity())["results"].count() == 0
+    stored = sinks.read_versions(spark, f"{tmp_path}/chunk_results", clean_batch.RESULTS)
+    assert stored.count() == 5 and clean_batch.stored_documents(spark, config()).count() == 5  # a reused reply is not stored again
+    # another policy judges the stored replies anew and sends nothing; another text sends its file only
+    other = clean_batch.run(spark, sources, config(thresholds=fx.THRESHOLDS | {"review_min_retained_ratio": 0.6}), transport.Scripted(lambda chunk: 1 / 0))
+    assert set(statuses(other).values()) == {"succeeded"} and {r.skipped for r in other["stats"].collect()} == {1}
+    changed = as_sources(spark, [("a.md", "another text of a"), ("b.md", "text of b with some words")])
+    assert statuses(clean_batch.run(spark, changed, config(thresholds=fx.THRESHOLDS | {"review_min_retained_ratio": 0.6}), transport.Identity())) == {"a.md": "succeeded", "b.md": "skipped"}
+
+
+def test_a_lost_review_copy_or_document_is_made_again(spark, tmp_path):
+    import shutil
+
+    sources = as_sources(spark, [("a.md", "plain words"), ("b.md", "扫码关注领取资料\nwords")])
+    config = clean_batch.Config(store=str(tmp_path), prompt_sha256="p", strict=False)
+    first = clean_batch.run(spark, sources, config, transport.Identity())
+    assert [r.rel_path for r in first["review"].collect()] == [r.rel_path for r in clean_batch.stored_review(spark, config).collect()]
+    assert set(statuses(clean_batch.run(spark, sources, config, transport.Scripted(lambda chunk: 1 / 0))).values()) == {"skipped"}
+    shutil.rmtree(tmp_path / "review")
+    again = statuses(clean_batch.run(spark, sources, config, transport.Scripted(lambda chunk: 1 / 0)))
+    assert again["b.md"] == "succeeded"
+    shutil.rmtree(tmp_path / "final_documents")
+    assert set(statuses(clean_batch.run(spark, sources, config, transport.Scripted(lambda chunk: 1 / 0))).values()) == {"succeeded"}
+
+
+def test_warnings_are_those_of_rules_and_report(spark):
+    config = clean_batch.Config(store="", strict=False)
+    rows = [("c" * 250 + "\n", "扫码关注领取资料\n" + "c" * 90, 2, None)]
+    got = clean_batch.judged(spark.createDataFrame(rows, "chunk string, reply string, part_number int, error string"), config).first()
+    assert fx.SAYS["short"] in got.warnings and fx.SAYS["ads"] in got.warnings and fx.SAYS["kept_warning"].format("50%") in got.warnings
+    assert list(got.warnings).index(fx.SAYS["short"]) < list(got.warnings).index(fx.SAYS["ads"])
+
+
+def test_a_dead_endpoint_is_left_after_five_failures(spark, tmp_path):
+    class Dead(transport.Transport):
+        limited = True
+
+        def reply(self, chunk, message):
+            raise RuntimeError("status 401")
+
+    sources = as_sources(spark, [(f"{i:02}.md", f"text {i}") for i in range(12)])
+    done = clean_batch.run(spark, sources, clean_batch.Config(store=str(tmp_path), strict=False), Dead())
+    got = sorted(statuses(done).values())
+    assert got == ["failed"] * 5 + ["pending"] * 7 and done["header"].first().status == "stopped"
+    assert {r.failure_reason for r in done["failed"].collect()} == {"status 401"}
+
+
+def test_requests_over_the_budget_never_leave(spark, tmp_path):
+    sources = as_sources(spark, [("big.md", "words " * 2000), ("small.md", "few words")])
+    config = clean_batch.Config(store=str(tmp_path), strict=False, prompt_tokens=100, budget=transport.Budget(window=3000, output=500))
+    done = clean_batch.run(spark, sources, config, transport.Scripted(lambda chunk: chunk if len(chunk) < 100 else 1 / 0))
+    assert statuses(done) == {"big.md": "failed", "small.md": "succeeded"}
+    failed = done["failed"].first()
+    assert failed.failure_stage == "budget" and "3000" in failed.failure_reason
+    for bad in ({"window": -1}, {"limit_name": "size"}):
+        with pytest.raises(ValueError):
+            transport.Budget(**bad)
+
+
+def test_sources_that_change_are_not_published(spark, tmp_path):
+    sources = as_sources(spark, [("a.md", "text a"), ("b.md", "text b")])
+    rehash = lambda paths: paths.select("rel_path", F.when(F.col("rel_path") == "b.md", "other").otherwise(tx.sha256(F.lit("text a"))).alias("source_sha256"))
+    done = clean_batch.run(spark, sources, clean_batch.Config(store=str(tmp_path), strict=False), transport.Identity(), rehash=rehash)
+    assert statuses(done) == {"a.md": "succeeded", "b.md": "failed"} and [r.rel_path for r in done["documents"].collect()] == ["a.md"]
+    assert "changed" in done["files"].where("path = 'b.md'").first().error
+
+
+def test_failed_candidates_are_the_newest_and_cleared_by_success(spark, tmp_path):
+    sources = as_sources(spark, [("a.md", "the limit is 5 mg")])
+    config = clean_batch.Config(store=str(tmp_path), prompt_sha256="p", strict=False)
+    for number in ("6", "7"):
+        clean_batch.run(spark, sources, config, transport.Scripted(lambda chunk, n=number: chunk.replace("5", n)))
+    assert [r.body for r in clean_batch.failed_candidates(spark, config).collect()] == ["the limit is 7 mg"]
+    clean_batch.run(spark, sources, config, transport.Identity())
+    assert clean_batch.failed_candidates(spark, config).count() == 0
+
+
+def test_a_batch_goes_on_and_a_retry_names_its_parent(spark, tmp_path, capsys):
+    from lexgate.plans import job
+
+    (tmp_path / "input").mkdir()
+    for n in "abc":
+        (tmp_path / "input" / f"{n}.md").write_text(f"text {n}")
+    (tmp_path / "input" / "d.md").write_bytes(b"\xff\xff")
+    base, store = ["--base-dir", str(tmp_path), "--no-strict"], str(tmp_path / "store")
+    assert job.main([*base, "--max-files", "2"], {}) == 2
+    first = job.stored_files(spark, store, "latest")
+    batch = first.first().batch_id
+    assert {r.path: r.status for r in first.collect()} == {"a.md": "succeeded", "b.md": "succeeded", "c.md": "pending", "d.md": "failed"}
+    assert job.main([*base, "--resume-batch"], {}) == 2  # d.md stays failed
+    went_on = job.stored_files(spark, store, batch)
+    assert {r.path: (r.status, r.attempts) for r in went_on.collect()} == {"a.md": ("succeeded", 1), "b.md": ("succeeded", 1), "c.md": ("succeeded", 1), "d.md": ("failed", 0)}
+    (tmp_path / "input" / "d.md").write_text("now fine")
+    assert job.main([*base, "--retry-failed", batch], {}) == 0
+    header = sinks.newest(sinks.read_versions(spark, f"{store}/batches", clean_batch.HEADER), ["batch_id"]).orderBy("batch_id").collect()
+    assert [(h.selection_source, h.parent_batch_id, h.status) for h in header] == [("resume", None, "completed_with_failures"), ("retry_failed", batch, "completed")]
+    assert [(r.path, r.status) for r in job.stored_files(spark, store, "latest").collect()] == [("d.md", "succeeded")]
+    assert [r.status for r in job.stored_files(spark, store, batch).where("path = 'd.md'").collect()] == ["failed"]
+    log = [json.loads(line) for f in (tmp_path / "log").glob("*.json") for line in f.read_text().splitlines()]
+    assert {x["status"] for x in log} >= {"succeeded", "failed"} and all(set(x) == {"time", "file", "status", "detail"} for x in log)
+
+
+def test_selected_paths(spark, tmp_path):
+    base = tmp_path / "in"
+    (base / "sub").mkdir(parents=True)
+    (base / "a.md").write_text("x")
+    (base / "sub" / "b.md").write_text("x")
+    (base / "link").symlink_to(base / "sub")
+    assert files.resolved_paths(["sub/b.md", "a.md", "a.md", "gone.md"], str(base)) == ["sub/b.md", "a.md", "gone.md"]
+    (base / "dir.md").mkdir()
+    for bad in ("link/b.md", "../a.md", "a.txt", "x_cleaned.md", "dir.md", "", "C:/a.md", "a\\b.md", 3):
+        with pytest.raises(ValueError):
+            files.resolved_paths([bad], str(base))
+    (tmp_path / "l.json").write_bytes(b"\xef\xbb\xbf" + json.dumps({"schema": "some-tool/selection", "schema_version": 1, "source": {"kind": "files", "root": None}, "paths": ["a.md"]}).encode())
+    assert files.read_selection(str(tmp_path / "l.json"), base=str(tmp_path)) == ["a.md"]
+    for bad in (str(tmp_path / "none.json"), "/etc/hostname"):
+        with pytest.raises(ValueError):
+            files.read_selection(bad, base=str(tmp_path))
+    listed = spark.createDataFrame([(7, "a.md"), (3, "sub/b.md")], "ord int, rel_path string")
+    assert {r.rel_path: (r.ord, r.text) for r in files.read_sources(spark, str(base), listed).collect()} == {"a.md": (7, "x"), "sub/b.md": (3, "x")}
+
+
+def test_connection_and_limits():
+    from lexgate.plans import job
+
+    assert job.connection({"OPENAI_API_KEY": " k ", "OPENAI_BASE_URL": "https://h/v1/"}) == {"key": "k", "base_url": "https://h/v1", "model": ""}
+    assert job.limits({"OPENAI_CONTEXT_WINDOW": "8000", "OPENAI_TOKEN_PARAMETER": "max_completion_tokens"}) == transport.Budget(8000, 0, 1024, "max_completion_tokens")
+    for bad in ({"OPENAI_CONTEXT_WINDOW": "-1"}, {"OPENAI_MAX_OUTPUT_TOKENS": "x"}, {"OPENAI_TOKEN_PARAMETER": "y"}):
+        with pytest.raises(ValueError):
+            job.limits(bad)
+    assert job.main(["--base-url", "https://h"], {}) == 1 and job.main([], {"QUALITY_TABLE_RETAINED_RATIO": "x"}) == 1
+
+
+def test_retry_after():
+    import datetime
+
+    now = datetime.datetime(2026, 10, 21, 7, 27, 0, tzinfo=datetime.UTC)
+    assert [transport.retry_after(v, now) for v in ("30", "1.5", "-3", "Wed, 21 Oct 2026 07:28:00 GMT", "Wed, 21 Oct 2026 07:28:00", "Wed, 21 Oct 2020 07:28:00 GMT")] == [30, 1.5, 0, 60, 60, 0]
+    assert [transport.retry_after(v) for v in ("", "soon", "nan", "inf")] == [None] * 4
+
+
+def test_piece_sums(spark):
+    pieces = spark.createDataFrame([("a",)] * 4 + [("b",)], "rel_path string")
+    judged = spark.createDataFrame([("a", None, True), ("a", None, False), ("a", "quality", True)], "rel_path string, failure_stage string, fresh boolean")
+    replies = spark.createDataFrame([("a", "e", "request"), ("b", "e", "stopped"), ("a", None, None)], "rel_path string, error string, stage string")
+    got = {r.rel_path: (r.total, r.success, r.failed, r.skipped) for r in batches.piece_stats(pieces, judged, replies).collect()}
+    assert got == {"a": (4, 2, 2, 1), "b": (1, 0, 0, 0)}
