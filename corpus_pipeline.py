@@ -21,12 +21,20 @@ def _worded(docs: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; the rules learn from the labels of the same folder."""
+    """Documents that the quality rules keep; the rules learn from the labels of the same folder.
+
+    Null and empty texts fail the base rule and go. Rows that share an id are judged each by its own text; labels
+    of a null id are ignored. An empty table gives no rows; other columns stay, whatever their names.
+    """
     return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without cross-site boilerplate lines; texts without a word left go."""
+    """Texts without cross-site boilerplate lines; texts without a word left go, null ones too.
+
+    The first place of a line stays (null ids first); rows that share an id each lose lines of their own text. n_chars is that of
+    the new text, also where it was null. An empty table gives no rows.
+    """
     return _worded(dedup_lines(docs).select(*docs.columns))
 
 
@@ -39,12 +47,16 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without byte strings of 100 that start earlier; texts without a word left go."""
+    """Texts without byte strings of 100 that start earlier; texts without a word left go, null ones too.
+
+    A character goes when all its bytes do. Null ids count as the least; rows that share an id lose nothing to each other. An
+    empty table gives no rows.
+    """
     return _worded(strip_repeated_bytes(docs)).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents in sequences of at most 1024 tokens."""
+    """Pieces of the remaining documents in sequences of at most 1024 tokens; each row is a document, null text counts as empty."""
     return pack_documents(docs)
 
 

@@ -26,8 +26,23 @@ MULTIPLIER = 0x9E3779B97F4A7C15
 
 #: place packs the first window (high bits), the number of windows (16 bits) and the copies in one lot: 0 a later copy, 1, or 2 for more.
 #: row tells rows that share an id apart; rows equal in id and row are one document.
-BLOCKS = "gram long, content long, doc_id long, place long, row long"
-_ARROW = pa.schema([("gram", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("row", pa.int64())])
+_BLOCK_COLUMNS = ("gram", "content", "doc_id", "place", "row")
+#: Where all copies count, a block may name another place of its content (its source): a document and the first unit there.
+_SOURCE = ("source", "source_start")
+
+
+def ddl(columns: tuple[str, ...]) -> str:
+    return ", ".join(f"{c} long" for c in columns)
+
+
+def as_batch(columns: list, names: tuple[str, ...]) -> pa.RecordBatch:
+    """Numpy columns (a pair of values and a mask of nulls for a source) as a batch of longs."""
+    arrays = [pa.array(c[0], pa.int64(), mask=c[1]) if isinstance(c, tuple) else pa.array(c, pa.int64()) for c in columns]
+    return pa.RecordBatch.from_arrays(arrays, names=list(names))
+
+
+def block_columns(all_copies: bool) -> tuple[str, ...]:
+    return _BLOCK_COLUMNS + (_SOURCE if all_copies else ())
 
 
 def pack(start: np.ndarray, nwin: np.ndarray, copies: np.ndarray | int) -> np.ndarray:
@@ -117,7 +132,7 @@ def _pieces(docs: Iterator[tuple[int, np.ndarray]], width: int) -> Iterator[tupl
         yield ids, starts, parts
 
 
-def block_table(ids: np.ndarray, documents: Iterator[np.ndarray], width: int, gram: int, keys: np.ndarray | None = None, all_copies: bool = False) -> list[np.ndarray]:
+def block_table(ids: np.ndarray, documents: Iterator[np.ndarray], width: int, gram: int, keys: np.ndarray | None = None, all_copies: bool = False) -> list:
     """All blocks of some documents (keys: the row of each, 0 for none). Copies inside this lot are told at once, so a hot block sends one full row a lot."""
     lots: list[tuple[np.ndarray, ...]] = []
     keys = np.zeros(len(ids), dtype=np.int64) if keys is None else keys
@@ -133,18 +148,25 @@ def block_table(ids: np.ndarray, documents: Iterator[np.ndarray], width: int, gr
     return combine(lots, all_copies)
 
 
-def combine(lots: list[tuple[np.ndarray, ...]], all_copies: bool) -> list[np.ndarray]:
-    """Sort rows of one lot by content, and mark the copies in it."""
+def combine(lots: list[tuple[np.ndarray, ...]], all_copies: bool) -> list:
+    """Sort rows of one lot by content, and mark the copies in it; all_copies: with a source for each that has one in the lot."""
     if not lots:
-        return [np.empty(0, dtype=np.int64)] * 5
+        none = np.empty(0, dtype=np.int64)
+        return [none] * 5 + ([(none, none.astype(bool))] * 2 if all_copies else [])
     columns = [np.concatenate(c) for c in zip(*lots, strict=True)]
     order = np.lexsort((columns[3], columns[4], columns[2], columns[1]))
     columns = [c[order] for c in columns]
     heads = run_starts(*columns[:2])
+    sources = []
     if all_copies:
         later = np.ones(len(order), dtype=bool)
         later[heads] = False
-        columns[3][heads] |= np.minimum(np.diff(np.append(heads, len(later))), 2)
+        sizes = np.diff(np.append(heads, len(later)))
+        of = np.repeat(heads, sizes)  # the source of a later copy is the first one, the source of that is the second
+        of[heads] = np.minimum(heads + 1, len(later) - 1)
+        alone = np.repeat(sizes == 1, sizes)
+        sources = [(columns[2][of], alone), (unpack(columns[3])[0][of], alone)]
+        columns[3][heads] |= np.minimum(sizes, 2)
     else:
         later, first = later_copies(columns, heads)
         keep = later | first  # the same place of equal rows counts once
@@ -153,7 +175,7 @@ def combine(lots: list[tuple[np.ndarray, ...]], all_copies: bool) -> list[np.nda
     grams, content, doc, place, row = columns
     # a later copy needs no comparison: it is dealt out by its place, not to the task of its gram
     grams[later] = mix64(mix64(mix64(doc[later].view(np.uint64)) + place[later].view(np.uint64)) + row[later].view(np.uint64)).view(np.int64)
-    return [grams, content, doc, place, row]
+    return [grams, content, doc, place, row, *sources]
 
 
 def later_copies(columns: list[np.ndarray], heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,22 +201,23 @@ def blocks_of(docs: DataFrame, decode: Callable[[pa.RecordBatch], tuple[np.ndarr
         for batch in batches:
             columns = block_table(*decode(batch), width, gram, batch.column(2).to_numpy(), all_copies)
             if len(columns[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ARROW)
+                yield as_batch(columns, block_columns(all_copies))
 
-    return docs.mapInArrow(run, BLOCKS)
+    return docs.mapInArrow(run, ddl(block_columns(all_copies)))
 
 
 #: What judge() returns: rows whose whole block is repeated, and (doubt) those without an earlier copy whose gram has, or may have, other content too.
 JUDGED = "doc_id long, start long, nwin int, doubt boolean, row long"
-_JUDGED = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("nwin", pa.int32()), ("doubt", pa.bool_()), ("row", pa.int64())])
 
 
 def judge(blocks: DataFrame, all_copies: bool) -> DataFrame:
     """Compare blocks of the same gram in a sorted stream that carries two rows at most from batch to batch.
 
-    Repeated rows are those whose content also occurs elsewhere (all_copies) or earlier (otherwise, see
-    later_copies). Where several rows of one id hold a content first, all but one are in doubt in any case.
+    Repeated rows are those whose content also occurs elsewhere (all_copies, with source and source_start: where)
+    or earlier (otherwise, see later_copies). Where several rows of one id hold a content first, all but one are in
+    doubt in any case.
     """
+    names = ("doc_id", "start", "nwin", "doubt", "row") + (_SOURCE if all_copies else ())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None  # first block of the last content, and of its last row if that is another
@@ -202,23 +225,36 @@ def judge(blocks: DataFrame, all_copies: bool) -> DataFrame:
 
         def rows(columns: list[np.ndarray], pick: np.ndarray, doubt: bool) -> pa.RecordBatch:
             start, nwin, _ = unpack(columns[3][pick])
-            return pa.RecordBatch.from_arrays([pa.array(columns[2][pick]), pa.array(start), pa.array(nwin.astype(np.int32)), pa.array(np.full(len(start), doubt)), pa.array(columns[4][pick])], schema=_JUDGED)
+            out = [pa.array(columns[2][pick]), pa.array(start), pa.array(nwin.astype(np.int32)), pa.array(np.full(len(start), doubt)), pa.array(columns[4][pick])]
+            if all_copies:
+                blank = columns[7][pick] | doubt
+                out += [pa.array(columns[5][pick], pa.int64(), mask=blank), pa.array(columns[6][pick], pa.int64(), mask=blank)]
+            return pa.RecordBatch.from_arrays(out, names=list(names))
 
         for batch in batches:
-            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
             if not len(now[0]):
                 continue
+            if all_copies:  # sources as values and one mask of those that are not known yet
+                blank = np.asarray(batch.column(5).is_null())
+                now += [batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in (5, 6)] + [blank]
             fresh = np.arange(len(now[0]) + (len(held[0]) if held else 0)) >= (len(held[0]) if held else 0)
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now, strict=True)]
             heads = run_starts(*now[:2])
+            sizes = np.diff(np.append(heads, len(now[0])))
             if all_copies:
                 later, first = np.ones(len(now[0]), dtype=bool), None
                 later[heads] = False
+                of = np.repeat(heads, sizes)
+                of[heads] = np.minimum(heads + 1, len(later) - 1)
+                lacks = now[7] & np.repeat(sizes > 1, sizes)
+                now[5], now[6] = now[5].copy(), now[6].copy()
+                now[5][lacks], now[6][lacks] = now[2][of][lacks], unpack(now[3])[0][of][lacks]
+                now[7] = now[7] & ~lacks
             else:
                 later, first = later_copies(now, heads)
             later = (later | (now[3] & 3 == 0)) & fresh
-            sizes = np.diff(np.append(heads, len(later)))
             more = (sizes > 1) | (now[3][heads] & 3 > 1)
             more[0] |= many
             twin = now[0][heads][1:] == now[0][heads][:-1]
@@ -246,7 +282,8 @@ def judge(blocks: DataFrame, all_copies: bool) -> DataFrame:
             if known:
                 yield rows(held, np.array([0]), True)
 
-    return blocks.repartition("gram").sortWithinPartitions("gram", "content", "doc_id", "row", "place").mapInArrow(run, JUDGED)
+    schema = JUDGED + (f", {ddl(_SOURCE)}" if all_copies else "")
+    return blocks.repartition("gram").sortWithinPartitions("gram", "content", "doc_id", "row", "place").mapInArrow(run, schema)
 
 
 #: Parts of documents that need a finer look: first unit, and the units as bytes.
@@ -303,9 +340,9 @@ def finer(parts: DataFrame, decode: Callable[[bytes], np.ndarray], width: int, g
             if held:
                 lots.append(cells(owners, starts, codes, keys))
             if lots:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in combine(lots, all_copies)], schema=_ARROW)
+                yield as_batch(combine(lots, all_copies), block_columns(all_copies))
 
-    return parts.mapInArrow(run, BLOCKS)
+    return parts.mapInArrow(run, ddl(block_columns(all_copies)))
 
 
 def cut_parts(docs: DataFrame, places: DataFrame, cutter: Callable[[bytes, list[tuple[int, int]]], list[bytes]], width: int) -> DataFrame:
@@ -350,8 +387,9 @@ def recut(parts: DataFrame, places: DataFrame, cutter: Callable[[bytes, list[tup
 
 
 def spans(judged: DataFrame, width: int, by: tuple[str, ...] = ("doc_id", "row")) -> DataFrame:
-    """Repeated windows as unit spans of each document: doc_id, row, begins, lengths (arrays in no order)."""
-    return judged.groupBy(*by).agg(F.collect_list(F.struct("start", (F.col("nwin") + F.lit(width - 1)).alias("n"))).alias("spans"))
+    """Repeated windows as unit spans of each document: doc_id, row, spans (start, n, and the source where it is known; in no order)."""
+    more = [c for c in _SOURCE if c in judged.columns]
+    return judged.groupBy(*by).agg(F.collect_list(F.struct("start", (F.col("nwin") + F.lit(width - 1)).alias("n"), *more)).alias("spans"))
 
 
 def covered(n: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -360,3 +398,26 @@ def covered(n: int, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     np.add.at(change, np.clip(starts, 0, n), 1)
     np.add.at(change, np.clip(starts + lengths, 0, n), -1)
     return np.cumsum(change[:-1]) > 0
+
+
+def factors(found: list[dict]) -> list[tuple[int, int, int, int]]:
+    """Greedy parse of a document's repeated spans, from left to right: (start, n, source, source_start) of each factor.
+
+    A factor runs on as long as the next span continues the same stretch of the same source; where it ends the next one
+    begins, behind what is covered. Together the factors cover what the spans cover, and each repeats its source.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    begin = end = source = shift = None
+    for s in sorted(found, key=lambda s: (s["start"], -s["n"])):
+        start, stop, own = s["start"], s["start"] + s["n"], s["source_start"] - s["start"]
+        if end is not None and start <= end and s["source"] == source and own == shift:
+            end = max(end, stop)
+            continue
+        if end is not None:
+            out.append((begin, end - begin, source, begin + shift))
+            start = max(start, end)
+            if stop <= start:  # nothing new: the last factor stays open
+                out.pop()
+                continue
+        begin, end, source, shift = start, stop, s["source"], own
+    return [*out, (begin, end - begin, source, begin + shift)] if end is not None else out

@@ -221,6 +221,7 @@ def bpe_decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of all documents and of what they decode to; rows as in bpe_encode."""
     done = bpe_decode(bpe_encode(documents(spark, sf_dir)))
     return done.select(
         "doc_id",

@@ -169,4 +169,5 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts; rows as in fingerprint_edits."""
     return fingerprint_edits(documents(spark, sf_dir))

@@ -74,6 +74,7 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines on MIN_SITES sites or more; rows as in dedup_lines, a null text has no lines."""
     out = dedup_lines(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return out.select(
         "doc_id",

@@ -309,4 +309,5 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; those whose crc32 of the id is 2 modulo 7 are held out. Rows as in score_texts."""
     return score_texts(documents(spark, sf_dir), lambda doc_id: F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2)

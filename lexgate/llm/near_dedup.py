@@ -294,5 +294,6 @@ def drop_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents by three-word shingles at 0.85; rows as in near_duplicates."""
     found = near_duplicates(documents(spark, sf_dir), width=3, percent=85)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))

@@ -205,4 +205,5 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens; rows as in pack_documents."""
     return pack_documents(documents(spark, sf_dir)).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

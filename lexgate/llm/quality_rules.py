@@ -233,7 +233,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, that quality_rules keeps; texts are measured where they lie."""
+    """The rows of docs, with all their columns, that quality_rules keeps; texts are measured where they lie.
+
+    Null, empty and short texts go by the base rule; null ids stay as they are; rows that share an id are judged each by its
+    own text, and a label of their id counts for each of them. Without labels of both kinds the base rule alone
+    decides. Other columns stay, whatever their names; an empty table gives no rows.
+    """
     sample = stored(labelled_sample(labels), "labelled")
     chosen = keyed_text(docs, id_col, text_col).join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
     model = fit_from_labels(statistics(chosen), sample)
@@ -252,5 +257,6 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdicts on all documents; rows as in quality_rules."""
     out = quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return out.select("doc_id", *STATS, "base_failed", "kept", "quality_score")

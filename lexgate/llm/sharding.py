@@ -146,5 +146,6 @@ def shard_by_splitters(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_i
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near-equal bytes; rows as in shard_by_splitters."""
     out = shard_by_splitters(documents(spark, sf_dir), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -38,7 +38,7 @@ def _rounds(docs: DataFrame, decode_docs, decode_part, cutter, width: int, gram:
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "row", "start", "nwin")
+    return out.select("doc_id", "row", "start", "nwin", *(("source", "source_start") if all_copies else ()))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -131,13 +131,13 @@ def strip_repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_
 def repeated_words(docs: DataFrame, window: int = 35, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Word spans of windows whose word sequence also starts anywhere else, the same document included.
 
-    Relative Lempel-Ziv parsing against all documents: every document is cut into content-defined
-    reference blocks, the index holds each block of the whole corpus under its anchor gram, and a document is
-    factored greedily: as long as the next block is in the index the factor goes on, and each block holds
-    the words that its last window shares with the next, so no window is lost between two blocks. Where a
-    factor ends (a block whose gram is indexed with other content) each window is looked up by itself.
+    The matches of a relative Lempel-Ziv parse: every document is cut into content-defined reference blocks, and the
+    index holds each block of the whole corpus under its anchor gram. A block of a document that the index holds
+    elsewhere is a match with a source; it holds the words that its last window shares with the next, so no window is
+    lost between two blocks. At the borders of matches (blocks whose gram is indexed with other content) cells and
+    then single windows are looked up. factor_words() joins matches into factors.
 
-    Returns doc_id, text, spans (start and n in words). Null text has no words. Null ids count as the least
+    Returns doc_id, text, spans (start and n in words, source and source_start: a document and word where they are repeated). Null text has no words. Null ids count as the least
     id; rows that share an id are different occurrences, each with its own spans. Documents with fewer words than the window
     have no spans. Extra columns are ignored; an empty table gives no rows.
     """
@@ -146,8 +146,27 @@ def repeated_words(docs: DataFrame, window: int = 35, gram: int = 12, id_col: st
     return _masked(rows, found, window)
 
 
+def factor_words(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text and factors of each row: a greedy parse relative to all documents.
+
+    A factor (start, n, source, source_start; in words) repeats n words of another place, in the same document or in
+    one of the id source, and goes on from match to match as long as they follow each other there too; only
+    matches of `window` words or more begin one, so what factors cover is what repeated windows cover. Other words are
+    literals. Null ids count as the least id, also as a source. Rows as in repeated_words.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("factors", pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "n", "source", "source_start")])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parsed = [[dict(zip(("start", "n", "source", "source_start"), f, strict=True)) for f in blocks.factors(spans or [])] for spans in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parsed, schema.field("factors").type)], schema=schema)
+
+    found = repeated_words(docs, window, id_col=id_col, text_col=text_col).select("doc_id", "text", "spans")
+    return found.mapInArrow(run, "doc_id long, text string, factors array<struct<start:long,n:long,source:long,source_start:long>>")
+
+
 def dedup_words(docs: DataFrame, window: int = 35) -> DataFrame:
-    """doc_id, n_words, n_removed, n_factors (runs of removed words), kept_sha256, kept text after removal.
+    """doc_id, n_words, n_removed, n_factors (runs of removed words), kept_sha256, kept text without what factors cover, and factors.
 
     Rows as in repeated_words: null text has no words, null ids stay null, rows that share an id have results of their own.
     """
@@ -156,21 +175,24 @@ def dedup_words(docs: DataFrame, window: int = 35) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for doc_id, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 tokens = text.encode().split()  # bytes.split() parts at exactly these separators
-                mask = _mask(len(tokens), spans)
-                kept = b" ".join([t for t, out in zip(tokens, mask.tolist(), strict=True) if not out] if spans else tokens)
+                mask = _mask(len(tokens), found)
+                kept = b" ".join([t for t, out in zip(tokens, mask.tolist(), strict=True) if not out] if found else tokens)
                 runs = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if len(mask) else 0
                 rows.append((None if doc_id == _NULL_ID else doc_id, len(tokens), int(mask.sum()), runs, hashlib.sha256(kept).hexdigest(), kept.decode()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)] if rows else [pa.array([], f.type) for f in schema]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], names=[*schema.names, "factors"])
 
-    spans = repeated_words(docs, window).select("doc_id", "text", "spans")
-    return spans.mapInArrow(run, "doc_id long, n_words long, n_removed long, n_factors long, kept_sha256 string, kept string")
+    kinds = "doc_id long, n_words long, n_removed long, n_factors long, kept_sha256 string, kept string"
+    return factor_words(docs, window).mapInArrow(run, f"{kinds}, factors array<struct<start:long,n:long,source:long,source_start:long>>")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without words of windows of 35 that start elsewhere too; rows as in dedup_words."""
     return dedup_words(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256", "n_factors")
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without bytes of 100-byte strings that start earlier; rows as in dedup_bytes."""
     return dedup_bytes(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

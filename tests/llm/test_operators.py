@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lexgate.llm import bpe, components, fingerprints, line_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup
+from lexgate.llm import blocks, bpe, components, fingerprints, line_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -226,6 +226,38 @@ def test_word_windows(docs, texts, window):
     assert sum(w[1] > 0 for w in want.values()) > 10
 
 
+@pytest.mark.parametrize(("window", "records"), [(35, 10000), (13, 7)])
+def test_factors_repeat_their_sources(spark, docs, texts, window, records):
+    """Each factor repeats another place word for word, factors are disjoint, greedy, and cover what windows cover."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    got = {r.doc_id: r.factors for r in substring_dedup.factor_words(docs.repartition(5), window).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    words, want = {d: WORD.findall(t) for d, t in texts.items()}, brute_words(texts, window)
+    several = 0
+    for d, found in got.items():
+        covered = set()
+        for f in found:
+            assert (f.source, f.source_start) != (d, f.start) and f.n > 0 and not covered & set(range(f.start, f.start + f.n))
+            assert words[d][f.start : f.start + f.n] == words[f.source][f.source_start : f.source_start + f.n]
+            covered.update(range(f.start, f.start + f.n))
+        for f, g in zip(found, found[1:]):
+            assert f.start < g.start and not (g.start == f.start + f.n and g.source == f.source and g.source_start - g.start == f.source_start - f.start)
+        assert len(covered) == want[d][1]
+        several += len(found) > 1
+    copies = [d for d, t in texts.items() if t == texts[3]]
+    assert len(copies) > 5 and several and all(sum(f.n for f in got[d]) == len(words[d]) for d in copies)
+    if records > len(texts):  # one lot a task: a copy is one factor
+        assert all(len(got[d]) == 1 for d in copies)
+
+
+def test_greedy_parse():
+    span = lambda a, n, d, s: {"start": a, "n": n, "source": d, "source_start": s}
+    assert blocks.factors([]) == []
+    assert blocks.factors([span(5, 40, 9, 105), span(20, 40, 9, 120), span(61, 35, 9, 161)]) == [(5, 55, 9, 105), (61, 35, 9, 161)]
+    assert blocks.factors([span(0, 40, 9, 0), span(30, 40, 8, 30)]) == [(0, 40, 9, 0), (40, 30, 8, 40)]
+    assert blocks.factors([span(0, 80, 9, 0), span(10, 35, 8, 7), span(70, 40, 9, 70)]) == [(0, 110, 9, 0)]
+
+
 @pytest.mark.parametrize("length", [100, 40])
 def test_byte_strings(docs, texts, length):
     got = by_id(substring_dedup.dedup_bytes(docs, length))
@@ -235,8 +267,6 @@ def test_byte_strings(docs, texts, length):
 
 
 def test_pieces_of_long_texts(docs, texts, monkeypatch):
-    from lexgate.llm import blocks
-
     rows = [(d, t.encode()) for d, t in sorted(texts.items())]
     from lexgate.llm.words import bytes_as_units
 
