@@ -122,7 +122,7 @@ def with_next(rows: DataFrame, buckets: int) -> DataFrame:
 
     spread = rows.withColumn("bucket", bucket_of("doc_id")).withColumn("place", F.explode(places("doc_id", "bucket")))
     spread = spread.select("doc_id", "text", (F.col("place") < 0).alias("late"), F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")).alias("bucket"), F.xxhash64("text").alias("tie"))
-    return spread.repartition("bucket").sortWithinPartitions("bucket", "late", "doc_id", "tie").select("doc_id", "text", "late", "bucket")
+    return spread.repartition(buckets, "bucket").sortWithinPartitions("bucket", "late", "doc_id", "tie").select("doc_id", "text", "late", "bucket")
 
 
 EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
