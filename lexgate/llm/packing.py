@@ -124,7 +124,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_windows: int
 
     dealt = rest.select("piece_id", "doc_id", "start", "length", "doc_tokens", "ids", F.pmod(F.xxhash64("piece_id"), F.lit(groups)).alias("group"))
     full = pieces.where(F.col("length") == capacity).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (2 * F.col("piece_id") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return full.unionByName(dealt.groupBy("group").applyInPandas(pack, PLACED))
+    tasks = max(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")), groups // 16)  # some groups a task, whatever the size
+    return full.unionByName(dealt.repartition(tasks, "group").groupBy("group").applyInPandas(pack, PLACED))
 
 
 @lru_cache(maxsize=2)
