@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .hard_negatives import OP12_SQL
 from .line_dedup import OP6_SQL
+from .spelling import OP13_SQL
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -54,4 +56,4 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.d
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLES = {"op4_substring_dedup": OP4_SQL, "op6_line_dedup": OP6_SQL, "op8_suffix_array_dedup": OP8_SQL, "op9_near_dedup": OP9_SQL}
+ORACLES = {"op4_substring_dedup": OP4_SQL, "op6_line_dedup": OP6_SQL, "op8_suffix_array_dedup": OP8_SQL, "op9_near_dedup": OP9_SQL, "op12_hard_negatives": OP12_SQL, "op13_spelling_variants": OP13_SQL}

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_text, stored
+from .common import documents, keyed_text, run_starts, stored
 from .components import hub_join
 
 #: Text bytes and documents of one block; the pre-tokens of a block are listed together. A longer text is a block of its own.
@@ -64,24 +64,26 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-LISTED = "block long, piece string, docs binary, times binary, ids array<bigint>, sizes array<bigint>"
+LISTED = "block long, piece string, docs binary, times binary"
 
 
 def listed_pre_tokens(docs: DataFrame, path: str) -> DataFrame:
     """One row for each block of documents and pre-token in it: places of its documents (16 bits each) and how often it stands in each (32 bits).
 
-    A block has one more row without a pre-token, which holds the ids and UTF-8 sizes of its documents.
+    A block has one more row without a pre-token, which holds the ids (64 bits each, then a byte each that says whether
+    there is one) and the UTF-8 sizes of its documents.
     """
-    schema = pa.schema([("block", pa.int64()), ("piece", pa.string()), ("docs", pa.binary()), ("times", pa.binary()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))])
+    schema = pa.schema([("block", pa.int64()), ("piece", pa.string()), ("docs", pa.binary()), ("times", pa.binary())])
 
     def rows_of(block: int, known: dict[str, int], pieces: array, places: array, times: array, ids: list, sizes: list) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([None], pa.string()), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([ids], schema.field("ids").type), pa.array([sizes], schema.field("sizes").type)], schema=schema)
+        named = np.array([i or 0 for i in ids], dtype=np.int64).tobytes() + bytes(i is not None for i in ids)
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([None], pa.string()), pa.array([named]), pa.array([np.array(sizes, dtype=np.int64).tobytes()])], schema=schema)
         codes = np.frombuffer(pieces, dtype=np.int32) if len(pieces) else np.empty(0, dtype=np.int32)
         order = np.argsort(codes, kind="stable")
         ends = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(known)))]).astype(np.int64)
         by_piece = lambda a, kind: np.frombuffer(a, dtype=kind)[order] if len(order) else np.empty(0, dtype=kind)
         binary = lambda a: pa.Array.from_buffers(pa.binary(), len(known), [None, pa.py_buffer((ends * a.itemsize).astype(np.int32).tobytes()), pa.py_buffer(a.tobytes())])
-        whole = [pa.array(np.full(len(known), block)), pa.array(list(known), pa.string()), binary(by_piece(places, np.uint16)), binary(by_piece(times, np.int32)), pa.nulls(len(known), schema.field("ids").type), pa.nulls(len(known), schema.field("sizes").type)]
+        whole = [pa.array(np.full(len(known), block)), pa.array(list(known), pa.string()), binary(by_piece(places, np.uint16)), binary(by_piece(times, np.int32))]
         table = pa.RecordBatch.from_arrays(whole, schema=schema)
         yield from (table.slice(at, 10_000) for at in range(0, len(known), 10_000))
 
@@ -139,20 +141,34 @@ def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
 
     counted = stored(lists.groupBy("piece").agg(F.count("*").alias("k")).mapInArrow(count, "piece string, k long, n long"), "counts")
     total = counted.agg(F.sum("k")).first()[0] or 0
-    joined = hub_join(lists, counted, "piece", total).select("block", "docs", "times", "n", F.lit(None).cast("array<bigint>").alias("ids"), F.lit(None).cast("array<bigint>").alias("sizes"))
-    heads = listed.where(F.col("piece").isNull()).select("block", "docs", "times", F.lit(0).cast("long").alias("n"), "ids", "sizes")
-
-    def summed(table: pa.Table) -> pa.Table:
-        head = table.filter(pa.compute.is_valid(table["ids"]))
-        ids, sizes = head["ids"].combine_chunks().values, head["sizes"].combine_chunks().values
-        sums = np.zeros(len(ids), dtype=np.int64)
-        for batch in table.filter(pa.compute.is_valid(table["docs"])).to_batches():
-            lengths = pa.compute.binary_length(batch["docs"]).to_numpy(zero_copy_only=False) // 2
-            places, times = (np.frombuffer(b"".join(batch[c].to_pylist()), dtype=kind) for c, kind in (("docs", np.uint16), ("times", np.int32)))
-            np.add.at(sums, places, times * np.repeat(batch["n"].to_numpy(), lengths))
-        return pa.table({"doc_id": ids, "n_bytes": sizes, "n_tokens": pa.array(sums)})
-
-    return joined.unionByName(heads).groupBy("block").applyInArrow(summed, "doc_id long, n_bytes long, n_tokens long")
+    joined = hub_join(lists, counted, "piece", total).select("block", "docs", "times", "n")
+    heads = listed.where(F.col("piece").isNull()).select("block", "docs", "times", F.lit(-1).cast("long").alias("n"))
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, sizes, sums = None, None, None, None
+        done = lambda: pa.RecordBatch.from_arrays([ids, sizes, pa.array(sums)], names=["doc_id", "n_bytes", "n_tokens"])
+        for batch in batches:
+            blocks = batch["block"].to_numpy()
+            starts = run_starts(blocks)
+            for first, end in zip(starts, [*starts[1:], len(blocks)], strict=True):
+                rows = batch.slice(first, end - first)
+                if blocks[first] != block:
+                    if block is not None:
+                        yield done()
+                    block, sizes = blocks[first], pa.array(np.frombuffer(rows["times"][0].as_py(), dtype=np.int64))
+                    sums, named = np.zeros(len(sizes), dtype=np.int64), np.frombuffer(rows["docs"][0].as_py(), dtype=np.uint8)
+                    ids = pa.array(named[: 8 * len(sizes)].view(np.int64), mask=named[8 * len(sizes) :] == 0)
+                    rows = rows.slice(1)
+                if not rows.num_rows:
+                    continue
+                places, times = (np.frombuffer(b"".join(rows[c].to_pylist()), dtype=kind) for c, kind in (("docs", np.uint16), ("times", np.int32)))
+                lengths = np.fromiter(map(len, rows["docs"].to_pylist()), dtype=np.int64) // 2
+                sums += np.bincount(places, weights=times * np.repeat(rows["n"].to_numpy(), lengths), minlength=len(sums)).astype(np.int64)
+        if block is not None:
+            yield done()
+
+    dealt = joined.unionByName(heads).repartition("block").sortWithinPartitions("block", F.col("n") >= 0)
+    return dealt.mapInArrow(summed, "doc_id long, n_bytes long, n_tokens long")
 
 
 #: Tokens above which a document is over the limit of op11_token_counts.
