@@ -10,15 +10,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, keyed_text, run_starts, stored
-from .components import hub_join
 
 #: Text bytes and documents of one block; the pre-tokens of a block are listed together. A longer text is a block of its own.
-BLOCK, BLOCK_DOCS = 1 << 23, 1 << 16
+BLOCK, BLOCK_DOCS = 1 << 24, 1 << 16
+#: Text bytes for each part of all pre-tokens; a part's pre-tokens meet in one group and are encoded there.
+PART_BYTES = 1 << 24
 #: Fixed value: what the piece library writes for a space, and puts before a text.
 SPACE_SIGN = "▁"
 
@@ -64,28 +66,45 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-LISTED = "block long, piece string, docs binary, times binary"
+def _squeezed(a: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(a).tobytes(), codec="zstd", asbytes=True) if len(a) else b""
 
 
-def listed_pre_tokens(docs: DataFrame, path: str) -> DataFrame:
-    """One row for each block of documents and pre-token in it: places of its documents (16 bits each) and how often it stands in each (32 bits).
+def _expanded(raw: bytes, size: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw, size * np.dtype(kind).itemsize, codec="zstd", asbytes=True), dtype=kind) if size else np.empty(0, dtype=kind)
 
-    A block has one more row without a pre-token, which holds the ids (64 bits each, then a byte each that says whether
-    there is one) and the UTF-8 sizes of its documents.
+
+LISTED = "block long, part int, n int, bytes int, lengths binary, pieces binary, entries int, held binary, places binary, times binary"
+_LISTED = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("bytes", pa.int32()), ("lengths", pa.binary()), ("pieces", pa.binary()), ("entries", pa.int32()), ("held", pa.binary()), ("places", pa.binary()), ("times", pa.binary())])
+
+
+def listed_pre_tokens(docs: DataFrame, path: str, parts: int) -> DataFrame:
+    """A row for each block of documents and part: its distinct pre-tokens (n, lengths, bytes) and where they stand.
+
+    held has for each pre-token the number of its documents, places their numbers in the block, times how often each holds
+    it. Part -1 of a block holds its documents instead: their ids (lengths), whether they have one (held) and sizes (times).
     """
-    schema = pa.schema([("block", pa.int64()), ("piece", pa.string()), ("docs", pa.binary()), ("times", pa.binary())])
 
-    def rows_of(block: int, known: dict[str, int], pieces: array, places: array, times: array, ids: list, sizes: list) -> Iterator[pa.RecordBatch]:
-        named = np.array([i or 0 for i in ids], dtype=np.int64).tobytes() + bytes(i is not None for i in ids)
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([None], pa.string()), pa.array([named]), pa.array([np.array(sizes, dtype=np.int64).tobytes()])], schema=schema)
-        codes = np.frombuffer(pieces, dtype=np.int32) if len(pieces) else np.empty(0, dtype=np.int32)
+    def rows_of(block: int, known: dict[str, int], pieces: array, places: array, times: array, ids: list, sizes: list) -> pa.RecordBatch:
+        named = [np.array([i or 0 for i in ids], dtype=np.int64), np.array([i is not None for i in ids], dtype=np.uint8), np.array(sizes, dtype=np.int64)]
+        out = [(block, -1, len(ids), 0, _squeezed(named[0]), b"", 0, _squeezed(named[1]), b"", _squeezed(named[2]))]
+        raw = [p.encode() for p in known]
+        part = np.fromiter((xxhash.xxh3_64_intdigest(p) for p in raw), dtype=np.uint64, count=len(raw)) % np.uint64(parts) if raw else np.empty(0, dtype=np.uint64)
+        by_part = np.argsort(part, kind="stable")
+        rank = np.empty(len(raw), dtype=np.int64)
+        rank[by_part] = np.arange(len(raw))
+        codes = rank[np.frombuffer(pieces, dtype=np.int32)] if len(pieces) else np.empty(0, dtype=np.int64)
         order = np.argsort(codes, kind="stable")
-        ends = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(known)))]).astype(np.int64)
-        by_piece = lambda a, kind: np.frombuffer(a, dtype=kind)[order] if len(order) else np.empty(0, dtype=kind)
-        binary = lambda a: pa.Array.from_buffers(pa.binary(), len(known), [None, pa.py_buffer((ends * a.itemsize).astype(np.int32).tobytes()), pa.py_buffer(a.tobytes())])
-        whole = [pa.array(np.full(len(known), block)), pa.array(list(known), pa.string()), binary(by_piece(places, np.uint16)), binary(by_piece(times, np.int32))]
-        table = pa.RecordBatch.from_arrays(whole, schema=schema)
-        yield from (table.slice(at, 10_000) for at in range(0, len(known), 10_000))
+        held = np.bincount(codes, minlength=len(raw)).astype(np.int32)
+        ends = np.concatenate([[0], np.cumsum(held)])
+        place, time = (np.frombuffer(a, dtype=kind)[order] if len(order) else np.empty(0, dtype=kind) for a, kind in ((places, np.uint16), (times, np.int32)))
+        starts = run_starts(part[by_part])
+        for first, end in zip(starts, [*starts[1:], len(raw)], strict=True):
+            own = [raw[i] for i in by_part[first:end]]
+            text, at, to = b"".join(own), ends[first], ends[end]
+            out.append((block, int(part[by_part[first]]), len(own), len(text), _squeezed(np.fromiter(map(len, own), dtype=np.int32, count=len(own))), _squeezed(np.frombuffer(text, dtype=np.uint8)),
+                        int(to - at), _squeezed(held[first:end]), _squeezed(place[at:to]), _squeezed(time[at:to])))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _LISTED, strict=True)], schema=_LISTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, block = load(path).pre_tokens, TaskContext.get().partitionId() << 32
@@ -101,7 +120,7 @@ def listed_pre_tokens(docs: DataFrame, path: str) -> DataFrame:
                 text = text.as_py()
                 size = len(text.encode())
                 if state[4] and (held + size > BLOCK or len(state[4]) >= BLOCK_DOCS):
-                    yield from rows_of(block, *state)
+                    yield rows_of(block, *state)
                     held, state, block = 0, fresh(), block + 1
                 known, pieces, places, times, ids, sizes = state
                 found = Counter(cut(text))
@@ -112,7 +131,7 @@ def listed_pre_tokens(docs: DataFrame, path: str) -> DataFrame:
                 sizes.append(size)
                 held += size
         if state[4]:
-            yield from rows_of(block, *state)
+            yield rows_of(block, *state)
 
     return docs.mapInArrow(run, LISTED)
 
@@ -121,54 +140,45 @@ def count_tokens(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
     """doc_id, n_bytes and n_tokens of each whole text, as the piece library counts them without begin and end.
 
     A pre-token is a run of spaces with what follows it; no piece of the vocabulary crosses its borders, so
-    the pieces of a text are those of its pre-tokens. Each distinct pre-token of the table is encoded once and
-    only its count is kept; counts are joined to the lists of the blocks, and each block sums its documents.
-    Pre-tokens that stand in more than 1/512 of all lists, 512 at most, get their counts by broadcast.
+    the pieces of a text are those of its pre-tokens. Blocks of documents list their distinct pre-tokens with the
+    frequencies in their documents. The lists of all blocks meet by parts of a hash, where each distinct pre-token of the
+    table is encoded once and only its count is kept; counts are joined to the lists of their block, which
+    sums its documents. A list names a pre-token once, so a frequent one weighs no more than a row a block.
 
     A null text counts as empty and has no tokens; ids may be null or repeat, each row is counted by itself.
     Names of special tokens in a text are ordinary text. Extra columns are ignored; an empty table gives no
     rows. A vocabulary whose pieces cross spaces, or that rewrites texts, is refused.
     """
-    path = path or default_path()
-    listed = stored(listed_pre_tokens(keyed_text(docs, id_col, text_col), path), "pretokens")
-    lists = listed.where(F.col("piece").isNotNull()).select("block", "piece", "docs", "times")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(path)
-        for batch in batches:
-            n = pieces.counts(batch.column(0).to_pylist()) if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["piece", "k", "n"])
-
-    counted = stored(lists.groupBy("piece").agg(F.count("*").alias("k")).mapInArrow(count, "piece string, k long, n long"), "counts")
-    total = counted.agg(F.sum("k")).first()[0] or 0
-    joined = hub_join(lists, counted, "piece", total).select("block", "docs", "times", "n")
-    heads = listed.where(F.col("piece").isNull()).select("block", "docs", "times", F.lit(-1).cast("long").alias("n"))
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, ids, sizes, sums = None, None, None, None
-        done = lambda: pa.RecordBatch.from_arrays([ids, sizes, pa.array(sums)], names=["doc_id", "n_bytes", "n_tokens"])
-        for batch in batches:
-            blocks = batch["block"].to_numpy()
-            starts = run_starts(blocks)
-            for first, end in zip(starts, [*starts[1:], len(blocks)], strict=True):
-                rows = batch.slice(first, end - first)
-                if blocks[first] != block:
-                    if block is not None:
-                        yield done()
-                    block, sizes = blocks[first], pa.array(np.frombuffer(rows["times"][0].as_py(), dtype=np.int64))
-                    sums, named = np.zeros(len(sizes), dtype=np.int64), np.frombuffer(rows["docs"][0].as_py(), dtype=np.uint8)
-                    ids = pa.array(named[: 8 * len(sizes)].view(np.int64), mask=named[8 * len(sizes) :] == 0)
-                    rows = rows.slice(1)
-                if not rows.num_rows:
-                    continue
-                places, times = (np.frombuffer(b"".join(rows[c].to_pylist()), dtype=kind) for c, kind in (("docs", np.uint16), ("times", np.int32)))
-                lengths = np.fromiter(map(len, rows["docs"].to_pylist()), dtype=np.int64) // 2
-                sums += np.bincount(places, weights=times * np.repeat(rows["n"].to_numpy(), lengths), minlength=len(sums)).astype(np.int64)
-        if block is not None:
-            yield done()
-
-    dealt = joined.unionByName(heads).repartition("block").sortWithinPartitions("block", F.col("n") >= 0)
-    return dealt.mapInArrow(summed, "doc_id long, n_bytes long, n_tokens long")
+    path, rows = path or default_path(), keyed_text(docs, id_col, text_col)
+    parts = max(8, int((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES))
+    listed = stored(listed_pre_tokens(rows, path, parts), "pretokens")
+
+    def count(packs: pa.Table) -> pa.Table:
+        names, sizes = [], packs["n"].to_pylist()
+        for n, size, lengths, pieces in zip(sizes, packs["bytes"].to_pylist(), packs["lengths"].to_pylist(), packs["pieces"].to_pylist(), strict=True):
+            ends = np.concatenate([[0], np.cumsum(_expanded(lengths, n, np.int32))]).astype(np.int32)
+            names.append(pa.StringArray.from_buffers(n, pa.py_buffer(ends.tobytes()), pa.py_buffer(_expanded(pieces, size, np.uint8).tobytes())))
+        coded = pa.concat_arrays(names).dictionary_encode()
+        n = np.array(load(path).counts(coded.dictionary.to_pylist()), dtype=np.int32)[coded.indices.to_numpy()]
+        return pa.table({"block": packs["block"], "part": packs["part"], "counts": pa.array([_squeezed(x) for x in np.split(n, np.cumsum(sizes)[:-1])], pa.binary())})
+
+    asked = listed.where("part >= 0").select("block", "part", "n", "bytes", "lengths", "pieces")
+    counted = asked.groupBy("part").applyInArrow(count, "block long, part int, counts binary")
+
+    def summed(lists: pa.Table, counts: pa.Table) -> pa.Table:
+        of, sums = dict(zip(counts["part"].to_pylist(), counts["counts"].to_pylist(), strict=True)), None
+        for row in sorted(lists.to_pylist(), key=lambda r: r["part"]):
+            if row["part"] < 0:
+                size = row["n"]
+                ids, named, sizes = _expanded(row["lengths"], size, np.int64), _expanded(row["held"], size, np.uint8), _expanded(row["times"], size, np.int64)
+                sums = np.zeros(size, dtype=np.int64)
+                continue
+            n = np.repeat(_expanded(of[row["part"]], row["n"], np.int32).astype(np.int64), _expanded(row["held"], row["n"], np.int32))
+            np.add.at(sums, _expanded(row["places"], row["entries"], np.uint16), n * _expanded(row["times"], row["entries"], np.int32))
+        return pa.table({"doc_id": pa.array(ids, mask=named == 0), "n_bytes": sizes, "n_tokens": sums})
+
+    own = listed.select("block", "part", "n", F.when(F.col("part") < 0, F.col("lengths")).alias("lengths"), "entries", "held", "places", "times")
+    return own.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(summed, "doc_id long, n_bytes long, n_tokens long")
 
 
 #: Tokens above which a document is over the limit of op11_token_counts.
