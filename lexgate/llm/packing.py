@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,8 +21,9 @@ from .common import documents, keyed_text, stored
 CAPACITY = 1024
 #: Windows that one group of pieces fills, about; groups are dealt by hash, so none grows with the table.
 GROUP_WINDOWS = 512
-#: How far the window count may rise over the least possible one before what still exceeds a window is cut.
-RISE = 0.004
+#: One rest in so many is cut into crumbs of CRUMB tokens before differencing; where windows still exceed their capacity
+#: with a count RISES over the least possible one, more rests are, at last all.
+CRUMBLED, CRUMB, RISES = (10, 3, 1), 48, (0.016, 0.024)
 
 
 def kk_partition(sizes: list[int], k: int) -> list[list[int]]:
@@ -60,39 +62,43 @@ def kk_partition(sizes: list[int], k: int) -> list[list[int]]:
     return bins + [[] for _ in range(k - len(bins))]
 
 
+def crumbled(sizes: list[int], every: int) -> list[tuple[int, int, int]]:
+    """Items as (item, first token, tokens), every so many cut into crumbs."""
+    return [(i, at, min(CRUMB, s - at)) for i, s in enumerate(sizes) if i % every == 0 for at in range(0, s, CRUMB)] + [(i, 0, s) for i, s in enumerate(sizes) if i % every]
+
+
 def windows_of(sizes: list[int], capacity: int) -> list[list[tuple[int, int, int]]]:
     """Windows of near-equal fill as lists of (item, first token, tokens).
 
-    The window count rises whenever capacity is exceeded, up to RISE over the least possible count; of
-    windows that exceed it even then, the tail of an item is cut off and fills windows with room, the
-    emptiest first.
+    The window count rises whenever a window exceeds its capacity. Few items a window cannot be made equal, so
+    one item in ten is cut into crumbs, which differencing merges last and levels windows with. Where even a count
+    2.4 % over the least possible one is exceeded (items of a little over half a window), a third of the items are cut, then all;
+    crumbs alone fit, whatever the sizes, and the count rises until they do. Neighbours that meet again are one piece.
     """
     total = sum(sizes)
     if not total:
         return []
     least = -(-total // capacity)
-    for k in range(least, least + int(least * RISE) + 1):
-        bins = kk_partition(sizes, k)
-        loads = [sum(sizes[i] for i in b) for b in bins]
-        if max(loads) <= capacity:
-            break
-    windows = [[(i, 0, sizes[i]) for i in b] for b in bins]
-    room = [(load, w) for w, load in enumerate(loads) if load < capacity]
-    heapq.heapify(room)
-    for w, load in enumerate(loads):
-        while load > capacity:
-            held, other = heapq.heappop(room)
-            n = min(load - capacity, capacity - held)
-            at = max(range(len(windows[w])), key=lambda x: windows[w][x][2])
-            item, start, length = windows[w].pop(at)
-            n = min(n, length)
-            if n < length:
-                windows[w].append((item, start, length - n))
-            windows[other].append((item, start + length - n, n))
-            load -= n
-            if held + n < capacity:
-                heapq.heappush(room, (held + n, other))
-    return [w for w in windows if w]
+    few = (0,) if least < 64 else ()
+    for every in CRUMBLED:
+        items = crumbled(sizes, every)
+        counts = sorted({least + -int(-least * r // 1) for r in (*few, *RISES)})
+        for k in counts if every > 1 else itertools.count(counts[0]):
+            bins = [[items[i] for i in b] for b in kk_partition([n for *_, n in items], k)]
+            if max(sum(n for *_, n in b) for b in bins) <= capacity:
+                return [_joined(b) for b in bins if b]
+    raise AssertionError("crumbs fit at some count")
+
+
+def _joined(window: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Pieces of a window with neighbours of one item put together."""
+    out: list[tuple[int, int, int]] = []
+    for item, at, n in sorted(window):
+        if out and out[-1][0] == item and out[-1][1] + out[-1][2] == at:
+            out[-1] = (item, out[-1][1], out[-1][2] + n)
+        else:
+            out.append((item, at, n))
+    return out
 
 
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -197,8 +203,8 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
     """Pieces of all documents with their place: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every id lies in exactly one piece, no sequence holds more than capacity ids, and windows of a group
-    are near equal, so padding to capacity is small. A document is cut into whole windows and a rest; a rest
-    is cut only where its window overflows. Null text counts as empty; null ids stay null; rows
+    are near equal, so padding to capacity is small. A document is cut into whole windows and a rest; one rest
+    in ten is cut further, more only where sizes forbid near-equal windows. Null text counts as empty; null ids stay null; rows
     that repeat an id are documents of their own. Extra columns are ignored; an empty table gives no rows.
     """
     pieces = stored(token_pieces(docs, path, capacity, 0, id_col, text_col).withColumn("piece_id", F.monotonically_increasing_id()), "pieces")
