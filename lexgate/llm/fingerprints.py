@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -99,29 +100,34 @@ def lz_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return keyed_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint string")
 
 
-def with_next(rows: DataFrame, buckets: int) -> DataFrame:
-    """Rows of doc_id and text dealt to ranges of ids and sorted there, each range with the next range's first row (late).
+#: Rows that are drawn for each boundary between ranges.
+DRAWN = 32
 
-    After the last range comes the first. Only the boundaries and the least id of each range go through
-    the driver.
-    """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    bounds = np.array(sorted(set(rows.approxQuantile("doc_id", probabilities, 0.1 / buckets)) if probabilities else []), dtype=np.float64)
-
-    @F.pandas_udf("int")
-    def bucket_of(doc_id: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, doc_id.to_numpy(np.float64), "right").astype(np.int32))
 
-    dealt = rows.withColumn("bucket", bucket_of("doc_id"))
-    least = sorted((r["first"], r["bucket"]) for r in dealt.groupBy("bucket").agg(F.min("doc_id").alias("first")).collect())
-    before = {least[i][0]: least[i - 1][1] for i in range(len(least))}
+def with_next(rows: DataFrame, buckets: int, count: int) -> DataFrame:
+    """Rows of doc_id and text dealt to ranges and sorted there, each range with the next range's first row (late).
 
-    @F.pandas_udf("array<int>")
-    def places(doc_id: pd.Series, bucket: pd.Series) -> pd.Series:
-        return pd.Series([[b, -1 - before[d]] if d in before else [b] for d, b in zip(doc_id, bucket, strict=True)])
+    The order is by id and a hash of the text; boundaries also know a row's place, so that rows of one id, and equal ones
+    too, are dealt to as many ranges as their number asks for. After the last range comes the first. Only drawn rows (DRAWN for
+    each boundary, by a hash of the row) and the key of each range's first row go through the driver, without their texts.
+    """
+    rows = rows.withColumns({"tie": F.xxhash64("text"), "place": F.xxhash64(F.monotonically_increasing_id())})
+    share = max(1, count // (buckets * DRAWN))
+    drawn = sorted(map(tuple, rows.where(F.pmod(F.xxhash64("place"), F.lit(share)) == 0).select("doc_id", "tie", "place").collect())) if buckets > 1 else []
+    bounds = [drawn[len(drawn) * i // buckets] for i in range(1, buckets)] if drawn else []
 
-    spread = rows.withColumn("bucket", bucket_of("doc_id")).withColumn("place", F.explode(places("doc_id", "bucket")))
-    spread = spread.select("doc_id", "text", (F.col("place") < 0).alias("late"), F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")).alias("bucket"), F.xxhash64("text").alias("tie"))
+    @F.pandas_udf("int")
+    def bucket(doc_id: pd.Series, tie: pd.Series, place: pd.Series) -> pd.Series:
+        return pd.Series([bisect.bisect_right(bounds, key) for key in zip(doc_id.tolist(), tie.tolist(), place.tolist(), strict=True)], dtype=np.int32)
+
+    dealt = rows.withColumn("bucket", bucket("doc_id", "tie", "place")).drop("place")
+    firsts = dealt.groupBy("bucket").agg(F.min(F.struct("doc_id", "tie")).alias("first")).select("bucket", "first.*").collect()
+    used = sorted(r["bucket"] for r in firsts)
+    before = dict(zip(used, [*used[-1:], *used[:-1]], strict=True))
+    least = rows.sparkSession.createDataFrame([(r["bucket"], r["doc_id"], r["tie"], before[r["bucket"]]) for r in firsts], "bucket int, doc_id long, tie long, before int")
+    # a row a range; of equal rows any will do
+    late = dealt.join(F.broadcast(least), ["bucket", "doc_id", "tie"]).dropDuplicates(["bucket"]).select("doc_id", "text", "tie", F.col("before").alias("bucket"), F.lit(True).alias("late"))
+    spread = dealt.withColumn("late", F.lit(False)).unionByName(late)
     return spread.repartition(buckets, "bucket").sortWithinPartitions("bucket", "late", "doc_id", "tie").select("doc_id", "text", "late", "bucket")
 
 
@@ -138,8 +144,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     rows = keyed_text(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // RANGE_BYTES))
+    size, count = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), int((size or 0) // RANGE_BYTES))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +171,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return with_next(rows, buckets).mapInArrow(run, EDITED)
+    return with_next(rows, buckets, count).mapInArrow(run, EDITED)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
