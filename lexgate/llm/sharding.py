@@ -16,8 +16,9 @@ RANGE_ROWS = 4_000_000
 SAMPLES_PER_RANGE = 50
 #: A range with more than this many times the mean bytes is divided again.
 OVERFULL = 1.75
-#: Groups of equal texts under this share of a shard stay whole, so that shards stay within it of each other.
-WHOLE_GROUP = 0.02
+#: How far shards may differ for the sake of whole groups: a group of equal texts up to this share of a shard is not
+#: cut at a boundary, so each boundary moves by half of it at most. A larger group is cut where the boundary falls.
+WHOLE_GROUP = 0.1
 _LEAST = -(2**63)
 
 
