@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lexgate.llm import blocks, bpe, components, fingerprints, line_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, substring_dedup
+from lexgate.llm import blocks, bpe, components, fingerprints, hard_negatives, line_dedup, lm_scoring, near_dedup, packing, quality_rules, sharding, spelling, substring_dedup, token_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -130,7 +130,17 @@ def test_differencing():
     sizes = r.randint(1, 1024, 900).tolist()
     windows = packing.windows_of(sizes, 1024)
     pieces = sorted(x for w in windows for x in w)
-    assert max(sum(n for _, _, n in w) for w in windows) <= 1024 and sum(sizes) / 1024 / len(windows) > 0.99 and len(pieces) < 1.3 * len(sizes)
+    assert max(sum(n for _, _, n in w) for w in windows) <= 1024 and sum(sizes) / 1024 / len(windows) > 0.97 and len(pieces) < 2.5 * len(sizes)
+    # the count rises until differencing fits, whatever the sizes: nothing is cut afterwards
+    for sizes in ([400] * 400, [600] * 300, [1000] * 60, [513] * 200, [3] * 10, [1023, 5]):
+        windows = packing.windows_of(sizes, 1024)
+        loads, least = [sum(n for _, _, n in w) for w in windows], -(-sum(sizes) // 1024)
+        assert max(loads) <= 1024 and sum(loads) == sum(sizes) and least <= len(windows) <= max(least + 1, 1.026 * least + 1)
+        items = packing.crumbled(sizes, 10)
+        fits = [max(sum(items[i][2] for i in b) for b in packing.kk_partition([n for *_, n in items], k)) <= 1024 for k in (least, len(windows))]
+        assert len(windows) == least or not fits[0]
+    sizes = r.randint(1, 1024, 900).tolist()
+    pieces = sorted(x for w in packing.windows_of(sizes, 1024) for x in w)
     for i, size in enumerate(sizes):
         own = [(a, n) for j, a, n in pieces if j == i]
         assert [a for a, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) == size
@@ -617,3 +627,147 @@ def test_quality_without_labels_and_odd_tables(spark, odd, nothing):
     assert [r.kept for r in quality_rules.quality_rules(odd, none).collect()] == [False] * 5
     assert quality_rules.keep_quality(odd, none).count() == 0
     assert json.dumps(quality_rules.FEATURES)
+
+
+def test_hot_ids_and_equal_rows_are_dealt_to_many_ranges(spark, tmp_path):
+    rows = [(None, "a text that many rows share")] * 600 + [(None, f"text {i}") for i in range(300)] + [(5, "end")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    assert fingerprints.fingerprint_edits(docs).count() == len(rows)
+    keyed = bpe.keyed_text(docs).fillna(fingerprints._NULL_ID, ["doc_id"])
+    most = max(r["count"] for r in fingerprints.with_next(keyed, 8, len(rows)).groupBy("bucket").count().collect())
+    assert most < len(rows) / 3
+
+
+def test_a_very_long_text_loses_many_lines(spark, tmp_path):
+    """20 MB in one text, half of its lines boilerplate: neither hashing nor removal looks at the text once a line."""
+    long = "\n".join("the same line on all sites" if i % 2 else f"line {i} of its own, with some more words" for i in range(600_000))
+    rows = [(0, long, "s0")] + [(i, "the same line on all sites\nother", f"s{i}") for i in range(1, 12)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "t"))
+    out = line_dedup.dedup_lines(spark.read.parquet(str(tmp_path / "t")))
+    got = {r.doc_id: (r.n_lines_, r.n_removed_) for r in out.select("doc_id", "n_lines_", "n_removed_").collect()}
+    assert len(long) > 19_000_000 and got == {0: (600_000, 299_999), 1: (2, 1)} | {i: (2, 2) for i in range(2, 12)}
+    plan = line_dedup.line_table(spark.read.parquet(str(tmp_path / "t")), "doc_id", "text", "source")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate", 1)
+    assert "xxhash64(coalesce" not in above and "xxhash64(coalesce" in below  # the row is named before its lines part
+
+
+# ---- 11
+
+
+def test_token_counts(docs, odd, nothing, texts, spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=token_counts.default_path())
+    got = by_id(token_counts.count_tokens(docs))
+    assert {d: (r.n_bytes, r.n_tokens) for d, r in got.items()} == {d: (len(t.encode()), len(model.encode(t))) for d, t in texts.items()}
+    assert token_counts.count_tokens(nothing).count() == 0
+    rows = sorted((r.doc_id or 0, r.n_tokens) for r in token_counts.count_tokens(odd).collect())
+    same, other = (len(model.encode(t)) for t in ("the same words stand here again", "other words"))
+    assert rows == sorted([(0, same), (5, same), (5, same), (5, other), (7, 0)])
+    strange = ["", " ", "  ", " a", "a ", "▁a ▁", "\n\na\n b", "\t", "<s> </s><unk>", "①ﬁ\x00x", "a\u3000b", "<0x0A>", "x" * 100_000, " " * 5000, "é é", "\r\n.", "😀 👍🏽"]
+    frame = spark.createDataFrame(list(enumerate(strange)), "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame).collect()} == {i: len(model.encode(t)) for i, t in enumerate(strange)}
+
+
+def test_pre_tokens_are_encoded_once_each(docs, texts):
+    pieces = token_counts.load(token_counts.default_path())
+    for t in texts.values():
+        parts = pieces.pre_tokens(t)
+        assert "".join(parts) == (" " + t if t else "") and sum(pieces.counts(parts) if parts else []) == len(pieces.model.encode(t))
+
+
+# ---- 12
+
+
+def brute_negatives(rows, every=100, k=5):
+    rows = sorted(set(rows))
+    out = []
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=False))
+    for i, label, vec in rows:
+        if i % every:
+            continue
+        scored = sorted(((-dot(vec, v), j, other) for j, other, v in rows), key=lambda x: x[:2])
+        for p, pos, _ in [s for s in scored if s[2] == label and s[1] != i][:k]:
+            fits = [(-n, j) for n, j, other in scored if other != label and 80 * -p <= 100 * -n <= 100 * -p]
+            out += [(i, pos, rank, j, -p, n) for rank, (n, j) in enumerate(fits[:k], 1)]
+    return sorted(out)
+
+
+def mined(rows, spark, **more):
+    frame = spark.createDataFrame(rows, "vec_id long, label long, vec array<bigint>")
+    return sorted(tuple(r) for r in hard_negatives.hard_negatives(frame, **more).collect())
+
+
+def test_hard_negatives(spark):
+    r = np.random.RandomState(5)
+    centres = r.randint(-90, 90, (6, 9))
+    rows = [(i, int(r.randint(4)), tuple(map(int, centres[r.randint(6)] + r.randint(-9, 9, 9)))) for i in range(700)]
+    rows += [(1000 + i, i % 3, rows[0][2]) for i in range(150)]  # copies of an anchor's vector: ties
+    rows += [(2000, 1, (0,) * 9), (2100, 2, (1, 2)), (2101, 2, ()), rows[5], rows[100], (7, 3, rows[9][2])]
+    wanted = brute_negatives([(i, label, v + (0,) * (9 - len(v))) for i, label, v in rows])
+    for more in ({}, {"page": 40, "sample": 256}, {"page": 7, "sample": 4096}):
+        assert mined(rows, spark, **more) == wanted
+    assert mined([], spark) == [] and mined([(0, 1, (5, 5))], spark) == []
+    huge = [(0, 1, (1 << 28, 3)), (1, 1, (1 << 28, 2)), (2, 2, ((1 << 28) - 1, 0)), (3, 2, (1 << 27, 9))]
+    assert mined(huge, spark) == brute_negatives(huge)
+
+
+def test_vectors_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, 1, [0.5, -0.001]), (2, None, [1.0]), (3, 1, None), (4, 1, [None, 1.0]), (5, 1, [nan]), (6, 1, [-inf]), (None, 1, [1.0]), (7, 1, [3e38] * 4), (8, 2, [])]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").selectExpr("*", "'x' AS vec", "1 AS v_x")
+    assert sorted((r.vec_id, r.label, list(r.vec)) for r in hard_negatives.quantised(frame).collect()) == [(1, 1, [128, -1]), (8, 2, [])]
+
+
+# ---- 13
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def test_spelling_variants(spark):
+    r = np.random.RandomState(3)
+    words = {"".join(r.choice(list("abé"), r.randint(1, 9))): int(r.randint(1, 400)) for _ in range(350)}
+    words |= {"prefix" + "".join(r.choice(list("abcdz"), 5)): int(r.randint(1, 90)) for _ in range(250)}
+    table = spark.createDataFrame(list(words.items()), "word string, n long")
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    forms = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-words[v], v), default=None)
+        forms[w] = best if best is not None and words[best] >= 5 * words[w] else None
+
+    def root(w):
+        while forms[w] is not None:
+            w = forms[w]
+        return w
+
+    wanted = sorted((w, n, len(near[w]), forms[w], words.get(forms[w]), root(w)) for w, n in words.items())
+    for block in (4, 30, 10_000):
+        assert sorted((x.word, x.n, x.n_near, x.form, x.form_n, x.root) for x in spelling.spelling_variants(table, block=block).collect()) == wanted
+    assert spelling.spelling_variants(table.limit(0)).count() == 0
+
+
+def test_words_of_texts(spark, docs, odd, nothing, texts, monkeypatch):
+    def brute(rows, least_length, least):
+        found = Counter()
+        for i, t in rows:
+            for w in re.findall("[A-Za-zÀ-ÿ]+", lower(t or "")):
+                found[spelling.altered(i, w)] += 1
+        return {w: n for w, n in found.items() if len(w) >= least_length and n >= least}
+
+    for limits in ((6, 5), (1, 1)):
+        got = {r.word: r.n for r in spelling.word_counts(docs, least_length=limits[0], least=limits[1]).collect()}
+        assert got == brute(texts.items(), *limits)
+    assert any(spelling.altered(i, w) != w for i, t in texts.items() for w in set(lower(t).split()) if w)
+    odd_rows = [(r.doc_id, r.text) for r in odd.collect()]
+    assert {r.word: r.n for r in spelling.word_counts(odd, least_length=1, least=1).collect()} == brute(odd_rows, 1, 1)
+    assert spelling.word_counts(nothing).count() == 0
+    assert spelling.altered(None, "word") == "word"
+    long = spark.createDataFrame([(1, "ab " * 900_000 + "x" * 3_000_000)], "doc_id long, text string")
+    assert {r.word: r.n for r in spelling.word_counts(long, least_length=1, least=1).collect()} == brute([(1, long.first().text)], 1, 1)
