@@ -11,20 +11,21 @@ from .validation import drop_repeated_matter
 SEPARATOR = "\n\n"
 
 
-def assemble(results: DataFrame, key: str = "rel_path", part: str = "part_number", total: str = "total_parts", body: str = "body", drop_matter: bool = True) -> DataFrame:
+def assemble(results: DataFrame, key: str = "rel_path", part: str = "part_number", total: str = "total_parts", body: str = "body", drop_matter: bool = True, given: str | None = None) -> DataFrame:
     """One row for each document whose parts are all there and not blank: key, part_count, text, part_warnings, parts_review.
 
     Later parts lose a repeated front matter, parts that get empty by that are left out, and the rest is joined
-    in order. `results` may have warnings (array) and review_required. One shuffle by the key.
+    in order. `results` may have warnings (array) and review_required. A blank part counts where given, its source, is
+    blank and equal; it is left out as well. One shuffle by the key.
     """
     has = set(results.columns)
     later = drop_repeated_matter(body, part) if drop_matter else F.col(body)
     rows = results.select(
         key, F.col(part).alias("n_"), F.col(total).alias("total_"), F.col(body).alias("raw_"), later.alias("text_"),
         (F.col("warnings") if "warnings" in has else F.array().cast("array<string>")).alias("w_"),
-        (F.col("review_required") if "review_required" in has else F.lit(False)).alias("flag_"),
+        (F.col("review_required") if "review_required" in has else F.lit(False)).alias("flag_"), (F.lit(False) if given is None else F.col(given).eqNullSafe(F.col(body))).alias("same_"),
     )
-    done = F.count_if(tx.py_strip("raw_") != "")
+    done = F.count_if((tx.py_strip("raw_") != "") | F.col("same_"))
     grouped = rows.groupBy(key).agg(
         F.max("total_").alias("part_count"), done.alias("done_"), F.count_distinct("n_").alias("seen_"),
         F.sort_array(F.collect_list(F.struct("n_", "text_", "w_"))).alias("parts_"), F.bool_or("flag_").alias("flag_"),

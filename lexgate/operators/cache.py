@@ -12,6 +12,11 @@ from ..functions import text as tx
 IDENTITY = ["source_file", "source_sha256", "chunk_sha256", "model", "base_url", "part_number", "total_parts", "strict_validation", "normalization_policy"]
 
 
+def work_id(columns: list[str] = IDENTITY) -> Column:
+    """The identity in one value, for tables that are dealt by it."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).cast("binary"), 256)
+
+
 def with_identity(chunks: DataFrame, model: str, base_url: str, strict: bool) -> DataFrame:
     """Add the configuration's part of the identity to rows of rel_path, source_sha256 and pieces."""
     return chunks.withColumns({
@@ -59,8 +64,9 @@ def accepted_candidates(chunks: DataFrame, failed: DataFrame, prompt: str, polic
 
 def current_documents(plans: DataFrame, finals: DataFrame, keys: list[str]) -> DataFrame:
     """Plans with is_current: a stored document exists, equals the plan in all keys (null-safe), and its text has its hash."""
-    stored = finals.select("rel_path", *(F.col(k).alias(f"f_{k}") for k in keys), "text", "output_sha256")
-    same = (tx.py_strip("text") != "") & (tx.sha256("text") == F.col("output_sha256"))
+    sound = (tx.py_strip("text") != "") & (tx.sha256("text") == F.col("output_sha256"))
+    stored = finals.select("rel_path", *(F.col(k).alias(f"f_{k}") for k in keys), sound.alias("sound_"))  # texts stay where they are
+    same = F.col("sound_")
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"f_{k}"))
     return plans.join(stored, "rel_path", "left").withColumn("is_current", F.coalesce(same, F.lit(False))).select(*plans.columns, "is_current")

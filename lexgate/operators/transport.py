@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
 from typing import ClassVar
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -160,9 +161,13 @@ def retry_after(value: str, now: datetime.datetime | None = None) -> float | Non
 
 @dataclass(frozen=True)
 class Transport:
-    """What turns a message into a reply. Subclasses must be picklable. limited: calls at once are to be bounded."""
+    """What turns a message into a reply. Subclasses must be picklable.
+
+    limited: calls at once are to be bounded. wave: pieces that are sent before their replies are committed.
+    """
 
     limited: ClassVar[bool] = False
+    wave: ClassVar[int] = 1_000_000
 
     def reply(self, chunk: str, message: str) -> str:
         raise NotImplementedError
@@ -191,6 +196,7 @@ class Http(Transport):
     """A streaming chat-completions endpoint; needs only the standard library. https, or http on this host."""
 
     limited: ClassVar[bool] = True
+    wave: ClassVar[int] = 1_000
     url: str = ""
     model: str = ""
     key: str = ""
@@ -223,15 +229,29 @@ class Http(Transport):
 SENT = "reply string, error string, partial string, attempts int, stage string"
 
 
-def sender(transport: Transport, attempts: int = ATTEMPTS) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Pieces with message_ and over_budget_ to pieces with SENT, one call after another."""
+def is_blank(chunk: Column) -> Column:
+    """A piece without a sign: it needs no call, and stands for itself."""
+    return tx.py_strip(chunk) == ""
+
+
+def sender(transport: Transport, attempts: int = ATTEMPTS, per_file: bool = True, failures: int = 0) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Pieces with message_ and over_budget_, in the order in which they are to be sent, to pieces with SENT, one call after another.
+
+    Failures in a row count inside a file (per_file, by rel_path where there is one), or go on from file to file,
+    from `failures` at the start. Blank pieces are their own replies, without a call.
+    """
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        row = 0
+        row, file = failures, None
         for batch in batches:
             out = []
-            for chunk, text, over in zip(batch["chunk"], batch["message_"], batch["over_budget_"], strict=True):
-                if over is not None:
+            files = batch["rel_path"] if "rel_path" in batch else [None] * len(batch)
+            for rel, chunk, text, over in zip(files, batch["chunk"], batch["message_"], batch["over_budget_"], strict=True):
+                if per_file and rel != file:
+                    row, file = 0, rel
+                if not chunk.strip():
+                    out.append((chunk, None, None, 0, None))
+                elif over is not None:
                     out.append((None, over, None, 0, "budget"))
                 elif row >= fx.MAX_FAILURES_IN_A_ROW:
                     out.append((None, f"not sent after {row} failures in a row", None, 0, "stopped"))
@@ -245,16 +265,51 @@ def sender(transport: Transport, attempts: int = ATTEMPTS) -> Callable[[Iterator
     return call
 
 
-def clean(chunks: DataFrame, transport: Transport, workers: int = 1, attempts: int = ATTEMPTS) -> DataFrame:
+def sequential(transport: Transport, workers: int) -> bool:
+    """One sender for all files: then failures in a row go on from file to file."""
+    return transport.limited and workers == 1
+
+
+def clean(chunks: DataFrame, transport: Transport, workers: int = 1, attempts: int = ATTEMPTS, failures: int = 0) -> DataFrame:
     """Add reply, error, partial, attempts and stage (null, budget, request or stopped) to pieces.
 
-    A transport with a limit has at most `workers` senders, one for each partition; others take the pieces where they
-    lie. A sender that meets MAX_FAILURES_IN_A_ROW failures in a row sends nothing more: its other pieces
-    have the stage stopped and no attempt. Pieces that budgeted() found too large are not sent.
-    A repeated task repeats its calls, so store the result before anything reads it twice.
+    A transport with a limit has at most `workers` senders, one for each partition. A file's pieces are sent by one sender in
+    their order; after MAX_FAILURES_IN_A_ROW failures in a row it sends no more of that file (a sender that is alone: no
+    more at all, counting from `failures`): those pieces have the stage stopped and no attempt. Pieces that budgeted()
+    found too large are not sent. A repeated task repeats its calls, so store the result before anything reads it twice.
     """
     ready = chunks if "message_" in chunks.columns else budgeted(chunks, Budget())
-    if transport.limited:
+    order = [c for c in ("ord", "rel_path", "part_number") if c in ready.columns]
+    if "rel_path" in order:
+        ready = (ready.repartition(workers, "rel_path") if transport.limited else ready.repartition("rel_path")).sortWithinPartitions(*order)
+    elif transport.limited:
         ready = ready.repartition(workers)
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema if f.name not in ("message_", "over_budget_"))
-    return ready.mapInPandas(sender(transport, attempts), f"{own}, {SENT}")
+    return ready.mapInPandas(sender(transport, attempts, not sequential(transport, workers), failures), f"{own}, {SENT}")
+
+
+def waves(work: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """Pieces (with ord and rel_path) dealt to waves of about `size` in the order of their files, and the number of waves.
+
+    A file is whole in one wave. Only the boundaries, one for each wave, come to the driver.
+    """
+    n = work.count()
+    number = max(1, -(-n // size))
+    cuts = sorted(set(work.approxQuantile("ord", [i / number for i in range(1, number)], 0.1 / number))) if number > 1 else []
+
+    @F.pandas_udf("int")
+    def wave_of(ord_: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(cuts), ord_.to_numpy(dtype=float), "left").astype(np.int32))
+
+    return work.withColumn("wave", wave_of("ord") if cuts else F.lit(0)), len(cuts) + 1
+
+
+def trailing_failures(sent: DataFrame) -> int:
+    """Failures in a row at the end of what a single sender has sent, as far as they matter."""
+    last = sent.where("attempts > 0 or stage = 'stopped'").orderBy(F.desc("ord"), F.desc("rel_path"), F.desc("part_number")).select("error").limit(fx.MAX_FAILURES_IN_A_ROW).collect()
+    run = 0
+    for r in last:
+        if r.error is None:
+            break
+        run += 1
+    return run

@@ -15,7 +15,8 @@ from ..functions import fixed as fx
 from ..functions import text as tx
 from ..functions.markdown import md_chunks
 from ..operators import assembly, batches, cache, quality, transport, validation
-from ..sources.sinks import newest, read_versions, write_version
+from ..sources import state
+from ..sources.sinks import write_version
 
 
 def new_batch_id(now: datetime.datetime | None = None, tail: str | None = None) -> str:
@@ -37,6 +38,7 @@ class Config:
     max_chars: int = fx.MAX_CHARS
     max_files: int = 0
     workers: int = 1
+    wave: int = 0
     budget: transport.Budget = field(default_factory=transport.Budget)
     thresholds: dict[str, float] = field(default_factory=lambda: dict(fx.THRESHOLDS))
 
@@ -45,6 +47,8 @@ class Config:
             raise ValueError("workers must lie between 1 and 10")
         if not 1 <= self.max_chars <= 1_000_000:
             raise ValueError("max_chars must lie between 1 and 1000000")
+        if self.wave < 0:
+            raise ValueError("wave must not be negative")
 
 
 @dataclass(frozen=True)
@@ -63,8 +67,11 @@ class Selection:
 
 RESULTS = (
     "source_file string, source_sha256 string, chunk_sha256 string, model string, base_url string, part_number int, total_parts int, strict_validation boolean, "
-    "normalization_policy string, rel_path string, chunk string, body string, output_sha256 string, warnings array<string>, prompt_sha256 string, prompt_identity_version int, quality_policy_sha256 string"
+    "normalization_policy string, rel_path string, chunk string, body string, output_sha256 string, warnings array<string>, prompt_sha256 string, prompt_identity_version int, quality_policy_sha256 string, work string"
 )
+#: Keys of stored replies, and by what their snapshots are dealt.
+REPLY_KEYS, REPLY_BUCKETS = ["work", "prompt_sha256"], ("work", 64)
+SENT = "work string, prompt_sha256 string, ord long, rel_path string, part_number int, reply string, error string, partial string, attempts int, stage string"
 FINALS = (
     "rel_path string, source_sha256 string, part_count int, text string, output_sha256 string, status string, review_required boolean, prompt_sha256 string, prompt_identity_version int, "
     "model string, base_url string, strict_validation boolean, normalization_policy string, quality_policy_sha256 string"
@@ -74,44 +81,97 @@ FILES = "batch_id string, ord long, path string, status string, source_sha256 st
 HEADER = (
     "batch_id string, created_at timestamp, updated_at timestamp, completed_at timestamp, status string, workers int, selection_source string, selection_file string, parent_batch_id string"
 )
-FAILED = f"{RESULTS.split(', rel_path')[0]}, rel_path string, failure_stage string, failure_reason string, body string, prompt_sha256 string, quality_policy_sha256 string"
+FAILED = f"{RESULTS.split(', rel_path')[0]}, rel_path string, failure_stage string, failure_reason string, body string, prompt_sha256 string, quality_policy_sha256 string, work string"
+FAILED_KEYS = [*REPLY_KEYS, "quality_policy_sha256"]
 #: What a stored document must equal to be current, beside its prompt and its own hash.
 CURRENT = ["status", "source_sha256", "part_count", "model", "base_url", "strict_validation", "normalization_policy", "quality_policy_sha256"]
 
 
-def stored_results(spark: SparkSession, config: Config) -> DataFrame:
-    """All accepted replies of earlier runs, the newest of each identity and prompt; an empty table before the first run."""
-    return newest(read_versions(spark, f"{config.store}/chunk_results", RESULTS), [*cache.IDENTITY, "prompt_sha256"])
+def stored_results(spark: SparkSession, config: Config, columns: list[str] | None = None) -> DataFrame:
+    """All accepted replies of earlier runs, the newest of each piece of work and prompt; an empty table before the first run."""
+    return state.current(spark, f"{config.store}/chunk_results", RESULTS, REPLY_KEYS, columns)
 
 
 def failed_candidates(spark: SparkSession, config: Config) -> DataFrame:
-    """Stored replies that were refused, the newest of each identity, prompt and policy; a later accepted reply clears them."""
-    keys = [*cache.IDENTITY, "prompt_sha256"]
-    found = newest(read_versions(spark, f"{config.store}/failed_candidates", FAILED).where("body is not null"), [*keys, "quality_policy_sha256"], keep_version=True)
-    done = newest(read_versions(spark, f"{config.store}/chunk_results", RESULTS), keys, keep_version=True).select(*keys, F.col("version").alias("done_"))
-    same = F.col("done_") > found["version"]
-    for k in keys:
-        same &= found[k].eqNullSafe(done[k])
-    return found.join(done, same, "left_anti").drop("version")
+    """Stored replies that were refused, the newest of each piece of work, prompt and policy; a later accepted reply clears them."""
+    found = state.current(spark, f"{config.store}/failed_candidates", FAILED, FAILED_KEYS, keep_version=True).where("body is not null")
+    done = state.current(spark, f"{config.store}/chunk_results", RESULTS, REPLY_KEYS, REPLY_KEYS, keep_version=True).withColumnRenamed("version", "done_")
+    held = found.join(done, REPLY_KEYS, "left")
+    return held.where(F.col("done_").isNull() | (F.col("done_") <= F.col("version"))).select(*[c for c in found.columns if c != "version"])
 
 
-def stored_documents(spark: SparkSession, config: Config) -> DataFrame:
+def stored_documents(spark: SparkSession, config: Config, columns: list[str] | None = None, keep_version: bool = False) -> DataFrame:
     """The newest published version of each document."""
-    return newest(read_versions(spark, f"{config.store}/final_documents", FINALS), ["rel_path"])
+    return state.current(spark, f"{config.store}/final_documents", FINALS, ["rel_path"], columns, keep_version)
 
 
 def stored_review(spark: SparkSession, config: Config) -> DataFrame:
     """The review copy that belongs to each document's newest version (none where that needs no review)."""
-    marks = newest(read_versions(spark, f"{config.store}/final_documents", FINALS), ["rel_path"], keep_version=True).select("rel_path", "version")
-    return read_versions(spark, f"{config.store}/review", REVIEW).join(marks, ["rel_path", "version"], "left_semi").drop("version")
+    marks = stored_documents(spark, config, ["rel_path"], keep_version=True)
+    return state.current(spark, f"{config.store}/review", REVIEW, ["rel_path"], keep_version=True).join(marks, ["rel_path", "version"], "left_semi").drop("version")
+
+
+def compact_store(spark: SparkSession, config: Config, most: int = state.MOST_VERSIONS) -> list[str]:
+    """Fold what has come since the last snapshots; the names of the tables that got one. Replies are dealt by their work."""
+    tables = [("chunk_results", RESULTS, REPLY_KEYS, REPLY_BUCKETS), ("failed_candidates", FAILED, FAILED_KEYS, None), ("final_documents", FINALS, ["rel_path"], None), ("review", REVIEW, ["rel_path"], None)]
+    return [name for name, schema, keys, bucket in tables if state.compact(spark, f"{config.store}/{name}", schema, keys, most, bucket)]
+
+
+def paid_replies(spark: SparkSession, config: Config) -> DataFrame:
+    """Replies that runs without an end have received and committed, one for each piece of work and prompt."""
+    root = f"{config.store}/paid_replies"
+    left = state.unfinished(spark, config.store, root)
+    if not left:
+        return spark.createDataFrame([], SENT)
+    rows = spark.read.schema(f"{SENT}, version string").option("basePath", root).parquet(*(f"{root}/{n}" for n in left))
+    return rows.where("error is null and reply is not null").dropDuplicates(REPLY_KEYS).drop("version")
+
+
+def send(spark: SparkSession, work: DataFrame, config: Config, how: transport.Transport, run_id: str) -> DataFrame:
+    """Pieces (with ord) with what a sender adds, sent in waves that are committed one by one.
+
+    A piece that a run without an end has paid for is not sent again: its reply is taken. Between waves a stop that was asked
+    for, or a lone sender that has met too many failures in a row, ends the sending; what is left has the stage stopped.
+    """
+    paid = paid_replies(spark, config).where(F.col("prompt_sha256").isin(config.prompt_sha256, *config.prompt_aliases)).select("work", "reply", "error", "partial", "attempts", "stage")
+    paid = paid.dropDuplicates(["work"])
+    taken = work.join(paid, "work")
+    dealt, number = transport.waves(work.join(paid, "work", "left_anti"), config.wave or how.wave)
+    dealt = state.stored_version(dealt, f"{config.store}/waves", run_id, "wave")
+    alone, failures, ended = transport.sequential(how, config.workers), 0, None
+    root, sent = f"{config.store}/paid_replies", []
+    for i in range(number):
+        if state.stop_asked(spark, config.store, run_id):
+            ended = "not sent: the batch was stopped"
+        elif failures >= fx.MAX_FAILURES_IN_A_ROW:
+            ended = f"not sent after {failures} failures in a row"
+        if ended:
+            break
+        ready = transport.budgeted(dealt.where(F.col("wave") == i).drop("wave"), config.budget, config.prompt_tokens)
+        done = transport.clean(ready, how, config.workers, failures=failures).withColumn("prompt_sha256", F.lit(config.prompt_sha256))
+        done = state.stored_version(done.select(*[c.split()[0] for c in SENT.split(", ")]), root, f"{run_id}.w{i:06}")
+        sent.append(f"{root}/version={run_id}.w{i:06}")
+        failures = transport.trailing_failures(done) if alone else 0
+    answers = spark.read.schema(SENT).parquet(*sent) if sent else spark.createDataFrame([], SENT)
+    answers = answers.select("work", "reply", "error", "partial", "attempts", "stage").dropDuplicates(["work"])
+    out = taken.select(*work.columns, *[c.split()[0] for c in transport.SENT.split(", ")]).unionByName(work.join(answers, "work"))
+    if ended:
+        rest = dealt.where(F.col("wave") >= len(sent)).drop("wave")
+        blank = transport.is_blank(F.col("chunk"))
+        rest = rest.withColumns({"reply": F.when(blank, F.col("chunk")), "error": F.when(~blank, F.lit(ended)), "partial": F.lit(None).cast("string"), "attempts": F.lit(0), "stage": F.when(~blank, F.lit("stopped"))})
+        out = out.unionByName(rest)
+    return out
 
 
 def judged(replies: DataFrame, config: Config) -> DataFrame:
     """Replies with errors, warnings and quality; failure_stage says where a piece stopped (null for none).
 
-    The warnings of a piece are those of the rules and then those of its report, each once.
+    The warnings of a piece are those of the rules and then those of its report, each once. A blank piece that stands for
+    itself breaks no rule: a text may end in line ends that no other piece has room for.
     """
     checked = validation.validate(replies.where("error is null"), "reply", "chunk", "part_number", config.strict)
+    itself = transport.is_blank(F.col("chunk")) & (F.col("chunk") == F.col("reply"))
+    checked = checked.withColumns({c: F.when(itself, F.array().cast("array<string>")).otherwise(F.col(c)) for c in ("errors", "warnings")})
     scored = quality.assess(checked, "chunk", "reply", config.thresholds)
     stage = F.when(F.size("errors") > 0, "validation").when(F.size("quality.severe_errors") > 0, "quality")
     return scored.withColumn("failure_stage", stage).withColumn("warnings", F.array_distinct(F.concat("warnings", "quality.warnings")))
@@ -132,28 +192,42 @@ def needing_work(plans: DataFrame, todo: DataFrame, finals: DataFrame, review: D
     fits = cache.prompt_fits(F.col("prompt_sha256"), F.col("prompt_identity_version"), config.prompt_sha256, config.prompt_aliases)
     sound = finals.where(fits & (F.col("status") == tx.artifact_status("review_required", F.lit(config.strict))))
     current = cache.current_documents(expected, sound, [k for k in CURRENT if k != "status"]).where("is_current").select("rel_path")
-    current = assembly.in_review_step(finals.join(current, "rel_path", "left_semi"), review).select("rel_path")
+    current = assembly.in_review_step(finals.drop("text").join(current, "rel_path", "left_semi"), review).select("rel_path")
     open_ = todo.select("rel_path").distinct().withColumn("sends_", F.lit(True))
     marked = plans.join(open_, "rel_path", "left").join(current.withColumn("done_", F.lit(True)), "rel_path", "left")
     return marked.where(F.col("sends_").isNotNull() | F.col("done_").isNull()).select(*plans.columns)
 
 
 def ordered(sources: DataFrame) -> DataFrame:
-    """Sources with ord: given by their reader, or ascending in the order of their lower-case paths."""
+    """Sources with ord: given by their reader, or ascending in the order of their lower-case paths (see dense)."""
     if "ord" in sources.columns:
         return sources.withColumn("ord", F.col("ord").cast("long"))
     lower = F.lower("rel_path")
     return sources.repartitionByRange(lower, "rel_path").sortWithinPartitions(lower, "rel_path").withColumn("ord", F.monotonically_increasing_id())
 
 
+def dense(stored: DataFrame) -> DataFrame:
+    """A stored table with ord (partition and place, as ordered() gives it) as 0, 1, 2 and so on; a count for each partition comes to the driver."""
+    part = F.shiftright("ord", 33)
+    counts = sorted((r["part"], r["n"]) for r in stored.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
+    starts, n = [], 0
+    for p, k in counts:
+        starts.append((p, n - (p << 33)))
+        n += k
+    table = stored.sparkSession.createDataFrame(starts, "part_ long, shift_ long")
+    return stored.join(F.broadcast(table), part == F.col("part_")).withColumn("ord", F.col("ord") + F.col("shift_")).select(*stored.columns)
+
+
 def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.Transport, batch_id: str | None = None, accept_failed: bool = False,
         selection: Selection | None = None, rehash: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Clean the sources and store every table as a version of its own under config.store.
 
     Sources are stored first, so that all steps see the same bytes. Files whose pieces all have a stored reply and
     whose document and review copy are current are skipped; of the others the first max_files (by ord) are
-    worked on, the rest stays pending. Pieces over the budget fail before the network. A sender that meets
-    five failures in a row sends no more; its files stay pending and the batch is stopped. Stored replies are judged anew
+    worked on, the rest stays pending. Pieces over the budget fail before the network; blank pieces stand for themselves.
+    Replies are committed wave by wave, so a run that dies pays for no committed piece again (see send). After five failures in
+    a row a file (with a lone sender: the batch) is left; its files stay pending and the batch is stopped, as it is where
+    state.stop() asks for it. The store is claimed for the run: a second run on it is refused. Stored replies are judged anew
     under the current thresholds and not stored again. Before documents are published, rehash (paths to
     rel_path, source_sha256) tells sources that have changed since; these fail. With accept_failed nothing is sent:
     refused replies of the same work, prompt and policy stand, marked for review, and pieces without one fail.
@@ -161,20 +235,38 @@ def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.
     Returns files (one row for each source with its status), header, stats, and of this run results, failed, published
     and review; documents are those that now stand for files that succeeded or were skipped.
     """
-    selection, version = selection or Selection(), new_batch_id()
-    batch_id, policy, began = batch_id or version, quality.policy_sha256(config.thresholds), F.lit(datetime.datetime.now())
+    version = new_batch_id()
+    state.claim(spark, config.store, version)
+    try:
+        done = _run(spark, sources, config, how, batch_id or version, version, accept_failed, selection or Selection(), rehash)
+        state.finish(spark, config.store, version)
+        compact_store(spark, config)
+        return done
+    finally:
+        state.release(spark, config.store)
+
+
+def _run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.Transport, batch_id: str, version: str, accept_failed: bool, selection: Selection,
+         rehash: Callable[[DataFrame], DataFrame] | None) -> dict[str, DataFrame]:
+    policy, began = quality.policy_sha256(config.thresholds), F.lit(datetime.datetime.now())
     keep = lambda df, name, step="": spark.read.schema(df.schema).parquet(write_version(df, f"{config.store}/{name}", version + step))
     shaped = lambda df, schema: df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)])
 
-    sources = keep(ordered(sources).select("ord", "rel_path", "size", "source_sha256", "text", "source_chars", "plan_error"), "sources")
+    own = ordered(sources).select("ord", "rel_path", "size", "source_sha256", "text", "source_chars", "plan_error")
+    given, sources = "ord" in sources.columns, keep(own, "sources")
+    sources = sources if given else dense(sources)
     good = sources.where("plan_error is null")
-    known = stored_results(spark, config)
-    parts, errors = md_chunks(good, config.max_chars, "text", ("rel_path", "source_sha256"))
-    chunks = keep(cache.with_identity(parts, config.model, config.base_url, config.strict), "chunks")
+    parts, errors = md_chunks(good, config.max_chars, "text", ("rel_path", "source_sha256", "ord"))
+    parts = cache.with_identity(parts, config.model, config.base_url, config.strict).withColumn("work", cache.work_id())
+    chunks = keep(parts, "chunks")
     errors = keep(errors.select("rel_path", F.col("plan_error").alias("error")), "plan_errors")
     plans = planned(good.join(errors, "rel_path", "left_anti"), chunks)
-    todo = cache.pending(chunks, known, config.prompt_sha256, config.prompt_aliases)
-    needs = needing_work(plans, todo, stored_documents(spark, config), stored_review(spark, config), config)
+    blank_piece = transport.is_blank(F.col("chunk"))
+    fits = cache.prompt_fits(F.col("prompt_sha256"), F.col("prompt_identity_version"), config.prompt_sha256, config.prompt_aliases)
+    keys = stored_results(spark, config, [*REPLY_KEYS, "prompt_identity_version"]).where(fits)  # no body is read to tell what is there
+    todo = keep(chunks.where(~blank_piece).select("rel_path", "work").join(keys, "work", "left_anti"), "todo")
+    finals = stored_documents(spark, config)
+    needs = keep(needing_work(plans, todo, finals, stored_review(spark, config), config), "needs")
     picked = keep(batches.limited(needs, config.max_files), "picked")
 
     files = sources.select(F.lit(batch_id).alias("batch_id"), "ord", F.col("rel_path").alias("path"), F.lit("pending").alias("status"), "source_sha256", F.lit(None).cast("string").alias("error"),
@@ -189,19 +281,20 @@ def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.
         F.lit(selection.file).cast("string").alias("selection_file"), F.lit(selection.parent_batch_id).cast("string").alias("parent_batch_id"))
     keep(shaped(head(F.lit("running"), F.lit(False)), HEADER), "batches", "-0")
 
-    work = todo.join(picked.select("rel_path"), "rel_path", "left_semi").select(*chunks.columns)
+    mine = chunks.join(picked.select("rel_path"), "rel_path", "left_semi").select(*chunks.columns)
+    itself = mine.where(blank_piece).select(*mine.columns, F.col("chunk").alias("reply"))
+    usable = cache.usable(stored_results(spark, config, ["prompt_identity_version", "body", "output_sha256"]), config.prompt_sha256, config.prompt_aliases)
+    usable = usable.select("work", F.col("body").alias("reply")).dropDuplicates(["work"])
+    reused = keep(mine.where(~blank_piece).join(usable, "work").select(*mine.columns, "reply").unionByName(itself).withColumn("error", F.lit(None).cast("string")), "reused")
+    work = mine.join(reused.select("work"), "work", "left_anti").select(*mine.columns)
     if accept_failed:
         taken = cache.accepted_candidates(work, failed_candidates(spark, config), config.prompt_sha256, policy)
-        found = keep(taken.select(*cache.IDENTITY, F.col("body").alias("reply")), "accepted")
-        replies = work.join(found, cache._same(work, found), "left").select(*(work[c] for c in work.columns), "reply", F.when(F.col("reply").isNull(), "no candidate to accept").alias("error"),
-                                                                            F.lit(None).cast("string").alias("partial"), F.lit(None).cast("string").alias("stage"))
+        found = keep(taken.select("work", F.col("body").alias("reply")).dropDuplicates(["work"]), "accepted")
+        replies = work.join(found, "work", "left").select(*work.columns, "reply", F.when(F.col("reply").isNull(), "no candidate to accept").alias("error"), F.lit(None).cast("string").alias("partial"), F.lit(None).cast("string").alias("stage"))
     else:
-        replies = transport.clean(transport.budgeted(work, config.budget, config.prompt_tokens), how, config.workers)
+        replies = send(spark, work, config, how, version)
     replies = keep(replies, "replies")
-    identity = [c for c in chunks.columns if c != "chunk"]
-    usable = cache.usable(known, config.prompt_sha256, config.prompt_aliases).select(*cache.IDENTITY, F.col("body").alias("reply")).dropDuplicates(cache.IDENTITY)
-    mine = chunks.join(picked.select("rel_path"), "rel_path", "left_semi").select(*chunks.columns)
-    reused = mine.join(usable, cache._same(mine, usable)).select(*(mine[c] for c in mine.columns), "reply", F.lit(None).cast("string").alias("error"))
+    identity = [c for c in chunks.columns if c not in ("chunk", "ord")]
     seen = judged(replies.where("stage is null or stage != 'stopped'").select(*chunks.columns, "reply", "error").withColumn("fresh", F.lit(True)).unionByName(reused.withColumn("fresh", F.lit(False))), config)
     if accept_failed:
         stands = F.when(F.col("failure_stage").isNotNull(), F.array_append("warnings", F.lit("accepted by a user"))).otherwise(F.col("warnings"))
@@ -218,7 +311,7 @@ def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.
     failed = refused.unionByName(calls.withColumn("body", F.lit(None).cast("string"))).withColumns({"prompt_sha256": F.lit(config.prompt_sha256), "quality_policy_sha256": F.lit(policy)})
     failed = keep(shaped(failed, FAILED), "failed_candidates")
 
-    whole = assembly.assemble(results).join(good.select("rel_path", "source_sha256", F.col("text").alias("source_text")), "rel_path")
+    whole = assembly.assemble(results, given="chunk").join(good.select("rel_path", "source_sha256", F.col("text").alias("source_text")), "rel_path")
     scored = assembly.gated(quality.assess(whole, "source_text", "text", config.thresholds), config.strict)
     ready = scored.drop("source_text").withColumns({
         "output_sha256": tx.sha256("text"), "prompt_sha256": F.lit(config.prompt_sha256), "prompt_identity_version": F.lit(fx.PROMPT_VERSION), "model": F.lit(config.model),
