@@ -437,17 +437,5 @@ def failure_run_length(spark, sf_dir):
     return runs.groupBy("user_id").agg(F.max("run").cast("long").alias("longest"), F.min(F.when(F.col("run") >= 2, F.col("event_id"))).alias("stop_at"))
 
 
-# ---- the whole batch
 
-
-@query()
-def clean_batch_status(spark, sf_dir):
-    """Sources through pieces, the identity transport, rules, reports and assembly to a status for each document."""
-    from .plans.local_store import temporary_store
-
-    sources = table_sources(md_source(spark, sf_dir), _rel_path(), F.col("md"))
-    config = clean_batch.Config(store=temporary_store(spark), prompt_sha256=prompt_identity("clean")[1], strict=False, max_chars=4000, workers=4)
-    return clean_batch.run(spark, sources, config, transport.Identity())["documents"].groupBy("status").agg(F.count("*").alias("n"), F.sum("part_count").alias("parts"))
-
-
-from . import catalog_rules  # noqa: E402, F401 (registers more queries)
+from . import catalog_batches, catalog_rules  # noqa: E402, F401 (register more queries)

@@ -401,23 +401,6 @@ def log_lines(spark, sf_dir):
     return sinks.log_rows(events, "file", "status", "detail", ("event_id",)).drop("time")
 
 
-@query("SELECT 1 AS run, 'succeeded' AS status, least(25, count(*)) AS n FROM documents UNION ALL SELECT 1, 'pending', count(*) - 25 FROM documents HAVING count(*) > 25 UNION ALL SELECT 2, 'skipped', least(25, count(*)) FROM documents UNION ALL SELECT 2, 'succeeded', count(*) - 25 FROM documents HAVING count(*) > 25")
-def clean_batch_goes_on(spark, sf_dir):
-    """Two whole runs over one store: the first takes 25 files, the second skips them and takes the rest.
-
-    Pieces are as long as they may be: a shorter limit can leave a blank piece, whose blank reply fails its file.
-    """
-    path = F.concat(F.lit("in/"), F.col("source"), F.lit("/Doc "), doc_id().cast("string"), F.lit(".md"))
-    sources, store = files.table_sources(md_source(spark, sf_dir), path, F.col("md")), temporary_store(spark)
-    out = None
-    for i, limit in enumerate((25, 0), 1):
-        config = clean_batch.Config(store=store, prompt_sha256="p", strict=False, max_files=limit, max_chars=1_000_000)
-        done = clean_batch.run(spark, sources, config, transport.Identity())["files"].groupBy("status").agg(F.count("*").alias("n"))
-        done = done.select(F.lit(i).alias("run"), "status", "n")
-        out = done if out is None else out.unionByName(done)
-    return out
-
-
 # ---- requests
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -135,9 +137,8 @@ def retry_child(files: DataFrame, child_id: str) -> DataFrame:
     """The files of a new batch that retries the failures of another; the parent's rows stay as they are."""
     if not re.fullmatch(fx.BATCH_ID, child_id):
         raise ValueError(f"no batch id: {child_id}")
-    w = Window.partitionBy("batch_id").orderBy("ord")
-    fresh = retryable(files).withColumns({"parent_batch_id": F.col("batch_id"), "rn_": F.row_number().over(w)})
-    return fresh.withColumns({"batch_id": F.lit(child_id), "ord": F.col("rn_") - 1, "status": F.lit("pending"), "error": F.lit(None).cast("string"), "attempts": F.lit(0)}).drop("rn_")
+    fresh = ranked(retryable(files).withColumn("parent_batch_id", F.col("batch_id")), "batch_id", "ord", "rn_")
+    return fresh.withColumns({"batch_id": F.lit(child_id), "ord": F.col("rn_"), "status": F.lit("pending"), "error": F.lit(None).cast("string"), "attempts": F.lit(0)}).drop("rn_")
 
 
 def latest(pointers: DataFrame) -> DataFrame:
@@ -145,12 +146,53 @@ def latest(pointers: DataFrame) -> DataFrame:
     return pointers.agg(F.max_by("batch_id", "updated_at").alias("batch_id"), F.max("updated_at").alias("updated_at"))
 
 
-def failure_runs(rows: DataFrame, group: str, order: str, failed: Column) -> DataFrame:
-    """Add run: how many failures in a row end at each row; other rows have 0 and start the count anew."""
-    w = Window.partitionBy(group).orderBy(order)
-    island = rows.withColumn("failed_", failed.cast("int")).withColumn("island_", F.sum(1 - F.col("failed_")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(group, "island_").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return island.withColumn("run", F.sum("failed_").over(inside)).drop("failed_", "island_")
+#: Rows of one range, about, of what has to be looked at in order.
+RANGE_ROWS = 1 << 20
+
+
+def in_ranges(rows: DataFrame, order: str, per_range: int = RANGE_ROWS, name: str = "range_") -> DataFrame:
+    """Rows with the number of their range of a numeric order, so that no task has to hold all rows of a group; boundaries (one a range) come to the driver."""
+    number = max(1, -(-rows.count() // per_range))
+    cuts = sorted(set(rows.approxQuantile(order, [i / number for i in range(1, number)], 0.1 / number))) if number > 1 else []
+
+    @F.pandas_udf("int")
+    def range_of(o: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(cuts), o.to_numpy(dtype=float), "left").astype(np.int32))
+
+    return rows.withColumn(name, range_of(F.col(order).cast("double")) if cuts else F.lit(0))
+
+
+def ranked(rows: DataFrame, group: str, order: str, name: str, per_range: int = RANGE_ROWS) -> DataFrame:
+    """Add the place of each row in its group, from 0: places inside ranges, and a sum over the ranges before."""
+    dealt = in_ranges(rows, order, per_range)
+    sizes = dealt.groupBy(group, "range_").agg(F.count("*").alias("n_"))
+    before = Window.partitionBy(group).orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(group, "range_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("start_"))
+    inside = dealt.withColumn("at_", F.row_number().over(Window.partitionBy(group, "range_").orderBy(order)) - 1)
+    return inside.join(starts, [group, "range_"]).withColumn(name, F.col("at_") + F.col("start_")).drop("range_", "at_", "start_")
+
+
+def failure_runs(rows: DataFrame, group: str, order: str, failed: Column, per_range: int = RANGE_ROWS) -> DataFrame:
+    """Add run: how many failures in a row end at each row; other rows have 0 and start the count anew.
+
+    Two passes. Ranges of the order are looked at apart, also inside one group; each says how many failures end
+    it and whether it holds nothing else. From these few rows follows what each range carries in, which is added to
+    the failures at its start. Rows of equal order lie in one range.
+    """
+    dealt = in_ranges(rows, order, per_range).withColumn("failed_", failed.cast("int"))
+    w = Window.partitionBy(group, "range_").orderBy(order)
+    dealt = dealt.withColumn("island_", F.sum(1 - F.col("failed_")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = Window.partitionBy(group, "range_", "island_").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    dealt = dealt.withColumn("run_", F.sum("failed_").over(inside))
+    ends = dealt.groupBy(group, "range_").agg(F.max_by("run_", F.struct("island_", "run_")).alias("tail_"), F.max("island_").alias("fine_"))
+    over = Window.partitionBy(group).orderBy("range_")  # a row for each range of a group
+    ends = ends.withColumn("block_", F.sum(F.when(F.col("fine_") > 0, 1).otherwise(0)).over(over.rowsBetween(Window.unboundedPreceding, 0)))
+    summed = F.sum("tail_").over(Window.partitionBy(group, "block_").orderBy("range_").rowsBetween(Window.unboundedPreceding, 0))
+    ends = ends.withColumn("summed_", summed)
+    carried = ends.select(group, "range_", F.coalesce(F.lag("summed_").over(over), F.lit(0)).alias("carry_"))
+    out = dealt.join(carried, [group, "range_"])
+    run = F.col("run_") + F.when((F.col("island_") == 0) & (F.col("failed_") == 1), F.col("carry_")).otherwise(0)
+    return out.withColumn("run", run).select(*rows.columns, "run")
 
 
 def stop_points(rows: DataFrame, group: str, order: str, failed: Column, limit: int = fx.MAX_FAILURES_IN_A_ROW) -> DataFrame:
