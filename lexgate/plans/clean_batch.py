@@ -72,6 +72,7 @@ RESULTS = (
 #: Keys of stored replies, and by what their snapshots are dealt.
 REPLY_KEYS, REPLY_BUCKETS = ["work", "prompt_sha256"], ("work", 64)
 SENT = "work string, prompt_sha256 string, ord long, rel_path string, part_number int, reply string, error string, partial string, attempts int, stage string"
+USED = "work string, prompt_sha256 string"
 FINALS = (
     "rel_path string, source_sha256 string, part_count int, text string, output_sha256 string, status string, review_required boolean, prompt_sha256 string, prompt_identity_version int, "
     "model string, base_url string, strict_validation boolean, normalization_policy string, quality_policy_sha256 string"
@@ -113,18 +114,20 @@ def stored_review(spark: SparkSession, config: Config) -> DataFrame:
 
 def compact_store(spark: SparkSession, config: Config, most: int = state.MOST_VERSIONS) -> list[str]:
     """Fold what has come since the last snapshots; the names of the tables that got one. Replies are dealt by their work."""
-    tables = [("chunk_results", RESULTS, REPLY_KEYS, REPLY_BUCKETS), ("failed_candidates", FAILED, FAILED_KEYS, None), ("final_documents", FINALS, ["rel_path"], None), ("review", REVIEW, ["rel_path"], None)]
+    tables = [("chunk_results", RESULTS, REPLY_KEYS, REPLY_BUCKETS), ("failed_candidates", FAILED, FAILED_KEYS, None), ("final_documents", FINALS, ["rel_path"], None), ("review", REVIEW, ["rel_path"], None), ("replies_used", USED, REPLY_KEYS, None)]
     return [name for name, schema, keys, bucket in tables if state.compact(spark, f"{config.store}/{name}", schema, keys, most, bucket)]
 
 
 def paid_replies(spark: SparkSession, config: Config) -> DataFrame:
-    """Replies that runs without an end have received and committed, one for each piece of work and prompt."""
+    """Replies that runs without an end have received and committed, one for each piece of work and prompt, until a later run has used them."""
     root = f"{config.store}/paid_replies"
     left = state.unfinished(spark, config.store, root)
     if not left:
         return spark.createDataFrame([], SENT)
     rows = spark.read.schema(f"{SENT}, version string").option("basePath", root).parquet(*(f"{root}/{n}" for n in left))
-    return rows.where("error is null and reply is not null").dropDuplicates(REPLY_KEYS).drop("version")
+    used = state.current(spark, f"{config.store}/replies_used", USED, REPLY_KEYS, keep_version=True).withColumnRenamed("version", "used_")
+    rows = rows.where("error is null and reply is not null").join(used, REPLY_KEYS, "left").where(F.col("used_").isNull() | (F.col("used_") < F.col("version")))
+    return rows.dropDuplicates(REPLY_KEYS).select(*[c.split()[0] for c in SENT.split(", ")])
 
 
 def send(spark: SparkSession, work: DataFrame, config: Config, how: transport.Transport, run_id: str) -> DataFrame:
@@ -349,6 +352,7 @@ def _run(spark: SparkSession, sources: DataFrame, config: Config, how: transport
     stopped = replies.where("stage = 'stopped'").limit(1).count() > 0
     rolled = summary(final, stopped).first()
     header = keep(shaped(head(F.lit(rolled.batch_status if rolled else "completed"), F.lit(bool(rolled is None or rolled.is_complete))), HEADER), "batches", "-1")
+    keep(replies.where("stage is null or stage != 'stopped'").select("work", F.lit(config.prompt_sha256).alias("prompt_sha256")), "replies_used")
     fine = final.where(F.col("status").isin("succeeded", "skipped")).select(F.col("path").alias("rel_path"))
     standing = stored_documents(spark, config).join(fine, "rel_path", "left_semi")
     return {"files": final, "header": header, "stats": stats, "results": results, "failed": failed, "published": documents, "documents": standing, "review": review}
