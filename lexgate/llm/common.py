@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,13 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of fewer, so that what a worker makes of one batch stays small."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            yield whole.slice(at, rows)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let the cleaner drop shuffle files of finished steps whose results have been stored."""
     import gc

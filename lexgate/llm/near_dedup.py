@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents, free_shuffles, mix64, row_hash, stored, unused
+from .common import documents, free_shuffles, in_slices, mix64, row_hash, stored, unused
 from .components import connected_components, hub_join, with_new_links
 from .words import codes_of_texts
 
@@ -98,7 +98,7 @@ def signatures(rows: DataFrame, width: int, bands: int, per_band: int) -> DataFr
     a, b = _universal(bands * per_band)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             n, same, keys, cells = [], [], [], []
             for shingles in _sets(batch.column(1).to_pylist(), width):
                 some = len(shingles) > 0
@@ -219,7 +219,7 @@ def near_members(docs: DataFrame, width: int, percent: int, id_col: str, text_co
     chosen = rows.join(wanted.join(twice, "row", "left_anti"), "row", "left_semi").unionByName(rows.join(wanted.join(twice, "row"), "row", "left_semi").dropDuplicates(["row"]))
 
     def set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             sets = [s.tobytes() for s in _sets(batch.column(1).to_pylist(), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_text, mix64, stored
+from .common import documents, in_slices, keyed_text, mix64, stored
 from .words import word_bounds, word_codes
 
 #: At most so many labelled rows are used to fit the trees (drawn by a hash of the id); all other work covers all rows.
@@ -88,7 +88,7 @@ def statistics(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), *((s, pa.int64()) for s in STATS), ("features", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [measure(t.as_py()) for t in batch.column(1)]
             base = [pa.array([f[0][i] for f in found], pa.int64()) for i in range(len(STATS))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *base, pa.array([f[1] for f in found], pa.list_(pa.float64()))], schema=schema)
@@ -245,7 +245,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [measure(t.as_py()) for t in batch.column(at)]
             base = np.array([f[0] for f in found]).reshape(-1, len(STATS))
             good = (base[:, 0] >= 20) & (100 * base[:, 4] <= 30 * base[:, 0])
