@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import _table, md_source, query
-from .operators import batches, transport
+from .functions import fixed as fx
+from .operators import batches, manifests, transport
 from .plans import clean_batch
 from .plans.local_store import temporary_store
 from .sources import files, sinks, state
@@ -103,3 +104,30 @@ def failure_runs_of_one_batch(spark, sf_dir):
     """All events as one batch: ranges of its order are looked at apart."""
     rows = _table(spark, sf_dir, "events").select("event_id", F.lit("b").alias("batch_id"), "event_type")
     return batches.failure_runs(rows, "batch_id", "event_id", F.col("event_type") == "click", per_range=1000).select("event_id", "run")
+
+
+#: Damages to a manifest's text, each as a pattern with what takes its place, and the fault that they make.
+_DAMAGES = [
+    ("^$", "", ""), ('"total":', '"total":1', "counts"), (r"\A\{", '{"extra":1,', "keys"), (r'"batch_id":"2026', '"batch_id":"2027', "name"), ('"workers":1', '"workers":true', "workers"),
+    ('"attempts":0', '"attempts":"0"', "attempts"), ('"path":"p/', '"path":"../', "path"), ('"source_sha256":null', '"source_sha256":"xyz"', "sha256"), (r".\z", "", "json"),
+    (r',"parent_batch_id":null', "", "selection"), ('"path":"p/[0-9]+', '"path":"p/1', "repeated"), ('"error":null', '"error":7', "texts"), ('"created_at":"[^"]*"', '"created_at":""', "times"),
+]
+
+
+@query(f"SELECT user_id, CASE user_id % {len(_DAMAGES)} " + " ".join(f"WHEN {i} THEN '{fault}'" for i, (*_, fault) in enumerate(_DAMAGES) if fault != "repeated") + " ELSE CASE WHEN count(*) > 1 THEN 'repeated' ELSE '' END END AS faults FROM events GROUP BY user_id")
+def damaged_manifests(spark, sf_dir):
+    """A manifest for each user with a file for each of their events, written as JSON, damaged in one of twelve ways, and read back."""
+    events = _table(spark, sf_dir, "events")
+    user = F.lpad(F.col("user_id").cast("string"), 12, "0")
+    batch = F.concat(F.lit("20260101T000000"), F.substring(user, 7, 6), F.lit("Z-"), user)
+    nothing = F.lit(None).cast("string")
+    rows = events.select("user_id", batch.alias("batch_id"), F.col("event_id").alias("ord"), F.concat(F.lit("p/"), F.col("event_id").cast("string"), F.lit(".md")).alias("path"), F.element_at(F.array(*map(F.lit, fx.FILE_STATUSES)), (F.col("event_id") % 6 + 1).cast("int")).alias("status"),
+                         nothing.alias("source_sha256"), nothing.alias("error"), F.lit(0).alias("attempts"), nothing.alias("started_at"), nothing.alias("finished_at"))
+    heads = rows.select("user_id", "batch_id").distinct().select("*", F.lit("2026-01-01T00:00:00").alias("created_at"), F.lit("2026-01-01T00:00:00").alias("updated_at"), nothing.alias("completed_at"), F.lit("running").alias("status"),
+                                                                 F.lit(1).alias("workers"), F.lit("scan").alias("selection_source"), nothing.alias("selection_file"), nothing.alias("parent_batch_id"))
+    texts = manifests.manifest_texts(rows, heads.drop("user_id")).join(heads.select("user_id", "batch_id"), "batch_id")
+    damaged = F.col("text")
+    for i, (pattern, instead, _) in enumerate(_DAMAGES):
+        damaged = F.when(F.col("user_id") % len(_DAMAGES) == i, F.regexp_replace("text", pattern, instead)).otherwise(damaged)
+    found = manifests.read_manifests(texts.select(F.concat("batch_id", F.lit(".json")).alias("name"), damaged.cast("binary").alias("content")))
+    return found.select(F.substring(F.col("name"), 24, 12).cast("long").alias("user_id"), F.array_join("faults", "|").alias("faults"))
