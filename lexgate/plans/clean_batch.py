@@ -16,6 +16,7 @@ from ..functions import text as tx
 from ..functions.markdown import md_chunks
 from ..operators import assembly, batches, cache, quality, transport, validation
 from ..sources import state
+from ..sources.files import dense
 from ..sources.sinks import write_version
 
 
@@ -209,18 +210,6 @@ def ordered(sources: DataFrame) -> DataFrame:
     return sources.repartitionByRange(lower, "rel_path").sortWithinPartitions(lower, "rel_path").withColumn("ord", F.monotonically_increasing_id())
 
 
-def dense(stored: DataFrame) -> DataFrame:
-    """A stored table with ord (partition and place, as ordered() gives it) as 0, 1, 2 and so on; a count for each partition comes to the driver."""
-    part = F.shiftright("ord", 33)
-    counts = sorted((r["part"], r["n"]) for r in stored.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
-    starts, n = [], 0
-    for p, k in counts:
-        starts.append((p, n - (p << 33)))
-        n += k
-    table = stored.sparkSession.createDataFrame(starts, "part_ long, shift_ long")
-    return stored.join(F.broadcast(table), part == F.col("part_")).withColumn("ord", F.col("ord") + F.col("shift_")).select(*stored.columns)
-
-
 def run(spark: SparkSession, sources: DataFrame, config: Config, how: transport.Transport, batch_id: str | None = None, accept_failed: bool = False,
         selection: Selection | None = None, rehash: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Clean the sources and store every table as a version of its own under config.store.

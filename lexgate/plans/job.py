@@ -17,7 +17,7 @@ from ..functions import fixed as fx
 from ..functions import text as tx
 from ..functions.markdown import md_chunks
 from ..operators import batches, quality, transport
-from ..sources import files
+from ..sources import files, state
 from ..sources.sinks import append_log, export_documents, log_rows, newest, read_versions
 from . import clean_batch
 
@@ -73,7 +73,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--selection-file")
     for name, text in (("resume-batch", "go on with a batch"), ("retry-failed", "a new batch of a batch's failures")):
         p.add_argument(f"--{name}", nargs="?", const="latest", metavar="ID", help=text)
-    for name in ("accept-failed", "batch-status", "dry-run"):
+    for name in ("accept-failed", "batch-status", "dry-run", "stop", "force-unlock"):
         p.add_argument(f"--{name}", action="store_true")
     p.add_argument("--strict", action=argparse.BooleanOptionalAction, default=True)
     p.add_argument("--max-files", type=int, default=0)
@@ -121,14 +121,22 @@ def stored_files(spark: SparkSession, store: str, batch: str) -> DataFrame:
     return own
 
 
+def _listed(spark: SparkSession, folder: str, store: str) -> DataFrame:
+    """ord and rel_path of all files of the folder, listed and ordered in tasks."""
+    if not Path(folder).is_dir():
+        return spark.createDataFrame([], "ord long, rel_path string")
+    place = f"{store}/listings/{clean_batch.new_batch_id()}"
+    return files.ordered_paths(files.listed_folders(spark, folder, f"{place}/levels"), f"{place}/paths")
+
+
 def _paths(rows: DataFrame) -> list[str]:
     return [r.path for r in rows.select("path", "ord").orderBy("ord").toLocalIterator()]
 
 
-def chosen(spark: SparkSession, o: argparse.Namespace, folder: str, store: str) -> tuple[list[str], clean_batch.Selection, str | None]:
+def chosen(spark: SparkSession, o: argparse.Namespace, folder: str, store: str) -> tuple[list[str] | DataFrame, clean_batch.Selection, str | None]:
     """One source of paths: a selection list, a stored batch's open or failed files, or the whole folder.
 
-    Returns the paths, the selection and the id of a batch that goes on. A retry is a new batch that names its
+    Returns the paths (of a whole folder as a table), the selection and the id of a batch that goes on. A retry is a new batch that names its
     parent; its rows stay as they are.
     """
     if o.selection_file:
@@ -142,7 +150,7 @@ def chosen(spark: SparkSession, o: argparse.Namespace, folder: str, store: str)
         child = clean_batch.new_batch_id()
         found = files.resolved_paths(_paths(batches.retry_child(own, child)), folder)
         return found, clean_batch.Selection("retry_failed", parent_batch_id=own.first().batch_id), child
-    return files.list_markdown(folder), clean_batch.Selection(), None
+    return _listed(spark, folder, store), clean_batch.Selection(), None
 
 
 def main(arguments: list[str] | None = None, env: dict[str, str] | None = None) -> int:
@@ -162,6 +170,11 @@ def main(arguments: list[str] | None = None, env: dict[str, str] | None = None)
     base = Path(o.base_dir).resolve()
     folder, store = str(base / "input"), str(base / "store")
     try:
+        if o.stop:
+            print(json.dumps({"stopping": state.stop(spark, store)}))
+            return 0
+        if o.force_unlock:
+            state.release(spark, store)
         if o.batch_status:
             print(json.dumps([r.asDict() for r in clean_batch.summary(stored_files(spark, store, "latest")).collect()]))
             return 0
@@ -169,7 +182,8 @@ def main(arguments: list[str] | None = None, env: dict[str, str] | None = None)
     except ValueError as e:
         print(e)
         return 1
-    if not paths:
+    count = len(paths) if isinstance(paths, list) else paths.count()
+    if not count:
         return 0
     prompt = base / "prompt.md"
     text, sha, aliases = files.prompt_identity(prompt.read_text(encoding="utf-8-sig") if prompt.exists() else "")
@@ -179,10 +193,14 @@ def main(arguments: list[str] | None = None, env: dict[str, str] | None = None)
     sources = files.read_sources(spark, folder, paths, o.max_file_size)
     if o.dry_run:
         parts, errors = md_chunks(sources.where("plan_error is null"), o.max_chars)
-        print(json.dumps({"files": len(paths), "pieces": parts.count(), "errors": errors.count()}))
+        print(json.dumps({"files": count, "pieces": parts.count(), "errors": errors.count()}))
         return 0
     how = transport.Http(url=o.base_url, model=o.model, key=given["key"], system=text, limit_name=budget.limit_name, limit=budget.output) if o.base_url else transport.Identity()
-    done = clean_batch.run(spark, sources, config, how, batch_id, o.accept_failed, selection, files.hashes_now(spark, folder, o.max_file_size))
+    try:
+        done = clean_batch.run(spark, sources, config, how, batch_id, o.accept_failed, selection, files.hashes_now(spark, folder, o.max_file_size))
+    except ValueError as e:  # another run has the store
+        print(e)
+        return 1
     written = export_documents(done["published"], str(base / "output")).count()
     append_log(log_rows(done["files"], "path", "status", "error"), str(base / "log"))
     counts = clean_batch.summary(done["files"]).first()

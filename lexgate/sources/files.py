@@ -58,6 +58,70 @@ def list_markdown(folder: str) -> list[str]:
     return sorted(out, key=lambda p: (p.lower(), p))
 
 
+#: Folders that one task lists.
+FOLDERS_A_TASK = 32
+
+
+def listed_folders(spark: SparkSession, folder: str, store: str) -> DataFrame:
+    """rel_path of the Markdown files that list_markdown() finds, from one job for each level of folders.
+
+    A job lists the folders of a level in its tasks and stores what they hold under `store` (a new folder); the folders found
+    are the next level's table, so neither files nor folders lie on the driver. Links to folders are not followed,
+    unreadable folders hold nothing. The folder must be reachable from the executors.
+    """
+    base = str(Path(folder).resolve())
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for top in batch.column(0).to_pylist():
+                paths, folders = [], []
+                try:
+                    with os.scandir(os.path.join(base, top) if top else base) as entries:
+                        for e in entries:
+                            path = f"{top}/{e.name}" if top else e.name
+                            if e.is_symlink():
+                                continue
+                            if e.is_dir():
+                                folders.append(path)
+                            elif e.is_file() and Path(e.name).suffix.lower() == ".md" and not Path(e.name).stem.lower().endswith("_cleaned"):
+                                paths.append(path)
+                except OSError:
+                    continue
+                kinds = [True] * len(folders) + [False] * len(paths)
+                yield pa.RecordBatch.from_arrays([pa.array(folders + paths, pa.string()), pa.array(kinds, pa.bool_())], names=["rel_path", "is_folder"])
+
+    level, depth = spark.createDataFrame([("",)], "rel_path string"), 0
+    while True:
+        count = level.count()
+        if not count:
+            break
+        dealt = level.repartition(max(1, -(-count // FOLDERS_A_TASK)), "rel_path")
+        dealt.mapInArrow(look, "rel_path string, is_folder boolean").write.parquet(f"{store}/level={depth}")
+        level = spark.read.schema("rel_path string, is_folder boolean").parquet(f"{store}/level={depth}").where("is_folder").select("rel_path")
+        depth += 1
+    found = spark.read.schema("rel_path string, is_folder boolean, level int").option("basePath", store).parquet(*(f"{store}/level={i}" for i in range(depth)))
+    return found.where("NOT is_folder").select("rel_path")
+
+
+def ordered_paths(paths: DataFrame, store: str) -> DataFrame:
+    """ord and rel_path: places from 0 in the order of the lower-case path, then of the path, by a range sort that is stored under `store`."""
+    lower = F.lower("rel_path")
+    paths.repartitionByRange(lower, "rel_path").sortWithinPartitions(lower, "rel_path").select(F.monotonically_increasing_id().alias("ord"), "rel_path").write.parquet(store)
+    return dense(paths.sparkSession.read.schema("ord long, rel_path string").parquet(store))
+
+
+def dense(stored: DataFrame) -> DataFrame:
+    """A stored table whose ord is partition and place (monotonically_increasing_id) with 0, 1, 2 and so on; a count for each partition comes to the driver."""
+    part = F.shiftright("ord", 33)
+    counts = sorted((r["part"], r["n"]) for r in stored.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
+    starts, n = [], 0
+    for p, k in counts:
+        starts.append((p, n - (p << 33)))
+        n += k
+    table = stored.sparkSession.createDataFrame(starts, "part_ long, shift_ long")
+    return stored.join(F.broadcast(table), part == F.col("part_")).withColumn("ord", F.col("ord") + F.col("shift_")).select(*stored.columns)
+
+
 SOURCES = "ord long, " + SOURCES
 
 
