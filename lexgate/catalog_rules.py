@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .catalog import _AD, _FILES, _HEAD, _NORM, _QUES, _TAB, _URLS, DOCS, _files, _table, md_pairs, md_source, query
+from .catalog import _AD, _FILES, _HEAD, _NORM, _QUES, _TAB, _TOKENS_SQL, _URLS, DOCS, _files, _table, md_pairs, md_source, query
 from .functions import compare
 from .functions import fixed as fx
 from .functions import text as tx
@@ -171,12 +171,12 @@ def unit_values_and_standard_ids(spark, sf_dir):
 _ANCHORS = """SELECT doc_id, CASE WHEN last < 0 THEN CAST(src = other AS INTEGER)::DOUBLE ELSE len(list_filter(anchors, lambda a: contains(other, a)))::DOUBLE / len(anchors) END AS ratio FROM (
   SELECT *, list_distinct(list_transform(range(n), lambda i: substring(src, CAST(round(CASE WHEN n > 1 THEN i * last / CAST(n - 1 AS DOUBLE) ELSE 0 END) AS BIGINT) + 1, 24))) AS anchors FROM (
     SELECT *, length(src) - 24 AS last, greatest(least(200, length(src) - 23), 0) AS n FROM (
-      SELECT doc_id, lower(regexp_replace(text, '\\s+', '', 'g')) AS src, lower(regexp_replace(CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN substring(text, 1, length(text) // 2) ELSE 'other' END, '\\s+', '', 'g')) AS other FROM documents WHERE text IS NOT NULL)))"""
+      SELECT doc_id, lower(regexp_replace(text, '\\s+', '', 'g')) AS src, lower(regexp_replace(CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN substring(text, 1, length(text) // 2) ELSE 'other' END, '\\s+', '', 'g')) AS other FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))))"""
 
 
 @query(_ANCHORS)
 def anchor_ratio(spark, sf_dir):
-    docs = _docs(spark, sf_dir).where("text is not null")
+    docs = _docs(spark, sf_dir).withColumn("text", text())
     reply = F.when(doc_id() % 3 == 0, F.col("text")).when(doc_id() % 3 == 1, F.substring(F.col("text"), F.lit(1), F.floor(F.length("text") / 2).cast("int"))).otherwise("other")
     return docs.select("doc_id", compare.compared("text", reply, reply)["anchors"].alias("ratio"))
 
@@ -231,10 +231,10 @@ def front_matter_rules(spark, sf_dir):
     return validation.validate(docs, strict=F.col("strict")).select("doc_id", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
 
 
-@query(f"SELECT doc_id, CASE WHEN length(text) >= 200 AND doc_id % 2 = 0 THEN '{_S['short']}' ELSE '' END AS warnings FROM documents WHERE length(trim(text)) > 2")
+@query(f"SELECT doc_id, CASE WHEN length(coalesce(text, '')) >= 200 AND doc_id % 2 = 0 THEN '{_S['short']}' ELSE '' END AS warnings FROM documents")
 def short_replies(spark, sf_dir):
     """Later parts whose reply is under half of a piece of 200 characters or more."""
-    docs = _docs(spark, sf_dir).where("length(trim(text)) > 2")
+    docs = _docs(spark, sf_dir).withColumn("text", text())
     reply = F.when(doc_id() % 2 == 0, "r").otherwise(F.regexp_replace("text", r"[^a-z ]", "q"))
     seen = validation.validate(docs.select("doc_id", reply.alias("reply"), F.col("text").alias("chunk"), F.lit(2).alias("part_number")))
     return seen.select("doc_id", F.array_join(F.filter("warnings", lambda w: w == _S["short"]), "|").alias("warnings"))
@@ -299,18 +299,27 @@ def gated_reports(spark, sf_dir):
     return both[0].unionByName(both[1]).select("doc_id", "status")
 
 
-@query(f"SELECT sha256('{json.dumps({'version': fx.POLICY_VERSION, **fx.THRESHOLDS}, sort_keys=True, separators=(',', ':'))}') AS policy")
+_POLICY = json.dumps({"version": fx.POLICY_VERSION, **fx.THRESHOLDS, "table_retained_ratio": "?"}, sort_keys=True, separators=(",", ":")).split('"?"')
+
+
+@F.pandas_udf(T.StringType())
+def _policy(ratio: pd.Series) -> pd.Series:
+    return pd.Series([quality.policy_sha256(quality.load_thresholds({"QUALITY_TABLE_RETAINED_RATIO": repr(r)})) for r in ratio], dtype=object)
+
+
+@query(f"SELECT doc_id, sha256('{_POLICY[0]}' || CAST((doc_id % 40 + 10) / CAST(100 AS DOUBLE) AS VARCHAR) || '{_POLICY[1]}') AS policy FROM documents")
 def policy_identity(spark, sf_dir):
-    return spark.range(1).select(F.lit(quality.policy_sha256(quality.load_thresholds({"QUALITY_TABLE_RETAINED_RATIO": "0.5"}))).alias("policy"))
+    """The policy's identity where each row sets one threshold anew."""
+    return _docs(spark, sf_dir).select("doc_id", _policy((doc_id() % 40 + 10) / F.lit(100.0)).alias("policy"))
 
 
 # ---- reuse, assembly, batches
 
 
-@query("SELECT doc_id, doc_id % 5 = 0 OR (doc_id % 5 = 4 AND doc_id % 2 = 0) AS is_current FROM documents WHERE trim(coalesce(text, '')) != ''")
+@query("SELECT doc_id, full_ AND (doc_id % 5 = 0 OR (doc_id % 5 = 4 AND doc_id % 2 = 0)) AS is_current FROM (SELECT doc_id, trim(coalesce(text, '')) != '' AS full_ FROM documents)")
 def documents_current(spark, sf_dir):
     """Stored documents that stand (every fifth), with another source, a broken text, none, or a review copy out of step."""
-    docs = _docs(spark, sf_dir).where(tx.py_strip(text()) != "").select("doc_id", doc_id().cast("string").alias("rel_path"), F.lit("s").alias("source_sha256"), F.lit(1).alias("part_count"), text().alias("text"))
+    docs = _docs(spark, sf_dir).select("doc_id", doc_id().cast("string").alias("rel_path"), F.lit("s").alias("source_sha256"), F.lit(1).alias("part_count"), text().alias("text"))
     k = doc_id() % 5
     finals = docs.where(k != 3).select("rel_path", F.when(k == 1, "t").otherwise("s").alias("source_sha256"), "part_count", "text", F.when(k == 2, "broken").otherwise(tx.sha256("text")).alias("output_sha256"), (k == 4).alias("review_required"))
     review = docs.where(k == 4).select("rel_path", F.lit("review_required").alias("status"), F.lit("s").alias("source_sha256"), F.when(doc_id() % 2 == 0, tx.sha256("text")).otherwise("old").alias("output_sha256"))
@@ -401,6 +410,15 @@ def log_lines(spark, sf_dir):
     return sinks.log_rows(events, "file", "status", "detail", ("event_id",)).drop("time")
 
 
+@query("SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 2 ELSE 3 END AS n, sha256(CASE WHEN coalesce(text, '') = '' THEN chr(10) || chr(10) ELSE text || chr(10) END) AS first, sha256(coalesce(text, '') || chr(10) || chr(10) || '```' || chr(10) || '# x' || chr(10) || chr(10) || '```' || chr(10)) AS joined FROM documents")
+def paragraphs_of_texts(spark, sf_dir):
+    """Exact blocks of each text and a fence after it: the text, a blank line, the fence with a blank line of its own."""
+    md = F.concat(text(), F.lit("\n\n```\n# x\n\n```\n"))
+    found = md_blocks(_docs(spark, sf_dir).select("doc_id", md.alias("md")), "md", ("doc_id",))
+    parts = found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("block_no", "text"))).alias("b"))
+    return parts.select("doc_id", F.size("b").alias("n"), tx.sha256(F.col("b")[0]["text"]).alias("first"), tx.sha256(F.array_join("b.text", "")).alias("joined"))
+
+
 # ---- requests
 
 
@@ -420,11 +438,11 @@ def _streamed(text: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN sha256(text) WHEN 1 THEN sha256('again: ' || text) ELSE sha256('the reply ended by length') END AS reply FROM documents WHERE trim(text) != ''")
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN sha256(CASE WHEN trim(t) = '' THEN 'the reply is blank' ELSE t END) WHEN 1 THEN sha256('again: ' || t) ELSE sha256('the reply ended by length') END AS reply FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
 def reply_streams(spark, sf_dir):
     """Event streams that end well, break off, or were cut by the model's limit."""
-    docs = _docs(spark, sf_dir).where("trim(text) != ''")
-    return docs.select("doc_id", tx.sha256(_streamed("text", (doc_id() % 3).cast("int"))).alias("reply"))
+    docs = _docs(spark, sf_dir)
+    return docs.select("doc_id", tx.sha256(_streamed(text(), (doc_id() % 3).cast("int"))).alias("reply"))
 
 
 @query("""SELECT doc_id, sha256('Part ' || CAST(doc_id % 3 + 1 AS VARCHAR) || ' of 3 of document.md.' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN 'This is the first part; begin with the front matter.' ELSE 'This is a later part; write no front matter.' END || chr(10)
@@ -434,20 +452,23 @@ def request_messages(spark, sf_dir):
     return transport.with_message(pieces).select("doc_id", tx.sha256("message_").alias("message"))
 
 
-@query("SELECT doc_id, CASE WHEN length(coalesce(text, '')) > 4000 THEN 'budget' WHEN doc_id % 4 = 0 THEN 'request' END AS stage, length(coalesce(text, '')) <= 4000 AND doc_id % 4 != 0 AS replied FROM documents WHERE regexp_full_match(coalesce(text, ''), '[\\x00-\\x7f]*') AND (length(coalesce(text, '')) < 3500 OR length(coalesce(text, '')) > 4500)")
+_CALLS = f"""WITH src AS (SELECT doc_id, 'Part ' || CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 1 END || ' of 2 of document.md.' || chr(10) || CASE WHEN doc_id % 4 = 0 THEN 'This is a later part; write no front matter.' ELSE 'This is the first part; begin with the front matter.' END || chr(10)
+  || '<<' || repeat('0', 32) || '>>' || chr(10) || coalesce(text, '') || chr(10) || '<</' || repeat('0', 32) || '>>' AS md, trim(coalesce(text, '')) = '' AS blank FROM documents)
+SELECT doc_id, CASE WHEN blank THEN NULL WHEN {_TOKENS_SQL} > 1060 THEN 'budget' WHEN doc_id % 4 = 0 THEN 'request' END AS stage, blank OR ({_TOKENS_SQL} <= 1060 AND doc_id % 4 != 0) AS replied FROM src"""
+
+
+class Half(transport.Transport):
+    """Fails for later parts."""
+
+    def reply(self, chunk: str, message: str) -> str:
+        if "later part" in message:
+            raise RuntimeError("no")
+        return chunk
+
+
+@query(_CALLS)
 def requests_in_budget(spark, sf_dir):
-    """ASCII pieces under and over a window, and a transport that fails for every fourth."""
-    docs = _docs(spark, sf_dir).select("doc_id", text().alias("chunk"), tx.sha256(text()).alias("chunk_sha256"), F.when(doc_id() % 4 == 0, 2).otherwise(1).alias("part_number"), F.lit(2).alias("total_parts"))
-    n = F.length("chunk")
-    docs = docs.where(F.col("chunk").rlike(r"\A[\x00-\x7f]*\z") & ((n < 3500) | (n > 4500)))
-
-    class Half(transport.Transport):
-        def reply(self, chunk: str, message: str) -> str:
-            if "later part" in message:
-                raise RuntimeError("no")
-            return chunk
-
-    ready = transport.budgeted(docs, transport.Budget(window=1000 + 64 + 1024 + 60, margin=1024))
-    # one failure in four, so no sender meets five in a row but by the order of its rows: each row is a sender of its own here
-    done = ready.groupBy("doc_id").applyInPandas(lambda pdf: next(transport.sender(Half())(iter([pdf]))), "doc_id long, chunk string, chunk_sha256 string, part_number int, total_parts int, " + transport.SENT)
-    return done.select("doc_id", "stage", F.col("reply").isNotNull().alias("replied"))
+    """All texts as pieces of files of their own, under and over a window of 1060 tokens a message, and a transport that fails for every fourth."""
+    docs = _docs(spark, sf_dir).select("doc_id", doc_id().cast("string").alias("rel_path"), text().alias("chunk"), tx.sha256(text()).alias("chunk_sha256"), F.when(doc_id() % 4 == 0, 2).otherwise(1).alias("part_number"), F.lit(2).alias("total_parts"))
+    ready = transport.budgeted(docs, transport.Budget(window=1060 + 64 + 1024, margin=1024))
+    return transport.clean(ready, Half()).select("doc_id", "stage", F.col("reply").isNotNull().alias("replied"))

@@ -7,13 +7,16 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import fixed as fx
 
@@ -77,86 +80,174 @@ class Line:
         return not mark.lstrip(fence[0]).strip(" \t")
 
 
-def _first(lines: list[Line], at: int, stop) -> int:
-    """The first line from `at` that stops, or the end."""
-    while at < len(lines) and not stop(lines[at]):
-        at += 1
-    return at
+Block = tuple[str, str]
 
 
-def _code_end(lines: list[Line], at: int) -> int:
-    end = at
-    while at < len(lines) and (lines[at].blank or lines[at].indent >= 4):
-        at += 1
-        if not lines[at - 1].blank:
-            end = at
-    return end
+class Scanner:
+    """Blocks of lines that come one after another: what is carried from line to line is the open block and how it may end.
 
+    feed() takes a line (with its line end) and gives the blocks that it ends, finish() gives what is left. Lines of the open block
+    are held, blank ones apart while it is not known whether they belong to it.
+    """
+
+    def __init__(self) -> None:
+        self.kind, self.held, self.blanks, self.first = "", [], [], True
+        self.fence, self.base, self.is_table = "", 0, False
+
+    def feed(self, raw: str) -> list[Block]:
+        out: list[Block] = []
+        self._take(Line(raw), out)
+        self.first = False
+        return out
+
+    def finish(self) -> list[Block]:
+        out: list[Block] = []
+        self._end(out)
+        if self.blanks:
+            out.append(("blank", "".join(x.raw for x in self.blanks)))
+            self.blanks = []
+        return out
+
+    def _end(self, out: list[Block]) -> None:
+        """The open block ends before the blank lines that are held apart."""
+        if self.held:
+            out.append(("table" if self.is_table else self.kind, "".join(self.held)))
+        self.kind, self.held, self.is_table = "", [], False
+
+    def _again(self, line: Line, out: list[Block]) -> None:
+        """The open block ends, and the blank lines after it are a block of their own before the line."""
+        self._end(out)
+        blanks, self.blanks = self.blanks, []
+        for x in blanks:
+            self._take(x, out)
+        self._take(line, out)
+
+    def _hold(self, line: Line) -> None:
+        self.held += [x.raw for x in self.blanks]
+        self.held.append(line.raw)
+        self.blanks = []
+
+    def _take(self, line: Line, out: list[Block]) -> None:
+        getattr(self, f"_in_{self.kind}" if self.kind else "_begin")(line, out)
+
+    def _begin(self, line: Line, out: list[Block]) -> None:
+        if line.blank:
+            self.kind = "blank"
+        elif self.first and _OPEN.fullmatch(line.body):
+            self.kind = "front_matter"
+        elif line.fence:
+            self.kind, self.fence = "fenced_code", line.fence
+        elif line.indent >= 4:
+            self.kind = "indented_code"
+        elif line.item is not None and line.item <= 3:
+            self.kind, self.base = "list_item", line.item
+        elif line.quoted is not None:
+            self.kind, self.fence = "blockquote", ""
+            self._in_blockquote(line, out)
+            return
+        else:
+            self.kind = "normal"
+            self._in_normal(line, out, begins=True)
+            return
+        self.held.append(line.raw)
 
-def _item_ends(lines: list[Line], at: int) -> list[int]:
-    """Where the items of a run of list items with one indent end."""
-    base, ends = lines[at].item, []
-    at += 1
-    while at < len(lines):
-        line = lines[at]
+    def _in_blank(self, line: Line, out: list[Block]) -> None:
         if line.blank:
-            after = _first(lines, at, lambda x: not x.blank)
-            depth = -1 if after == len(lines) else lines[after].indent if lines[after].item is None else lines[after].item
-            if depth <= base:
-                break
-            at = after
-        elif line.item == base:
-            ends.append(at)
-        elif line.item is not None and line.item < base:
-            break
-        at += 1
-    return [*ends, at]
-
-
-def _quote_ends(lines: list[Line], at: int) -> list[int]:
-    """Where the paragraphs of a quote end: after quoted blank lines outside quoted fences, and at the quote's end."""
-    ends, fence = [], ""
-    while at < len(lines) and not lines[at].blank:
-        held = lines[at].quoted
-        if held is None:
-            if lines[at].starts_block:
-                break
-        elif fence:
-            fence = "" if Line(held).closes(fence) else fence
+            self.held.append(line.raw)
         else:
-            fence = Line(held).fence
-            if not held.strip(" \t"):
-                ends.append(at + 1)
-        at += 1
-    return ends if ends and ends[-1] == at else [*ends, at]
+            self._again(line, out)
 
+    def _in_front_matter(self, line: Line, out: list[Block]) -> None:
+        self.held.append(line.raw)
+        if line.body.startswith("---") and not line.body[3:].strip(" \t"):
+            self._end(out)
 
-def blocks(text: str) -> Iterator[tuple[str, str]]:
-    """Kind and exact text of each block."""
-    lines = [Line(raw) for raw in text.splitlines(keepends=True)]
-    at = 0
-    while at < len(lines):
-        line = lines[at]
+    def _in_fenced_code(self, line: Line, out: list[Block]) -> None:
+        self.held.append(line.raw)
+        if line.closes(self.fence):
+            self._end(out)
+
+    def _in_indented_code(self, line: Line, out: list[Block]) -> None:
         if line.blank:
-            kind, ends = "blank", [_first(lines, at, lambda x: not x.blank)]
-        elif at == 0 and _OPEN.fullmatch(line.body):
-            close = _first(lines, 1, lambda x: x.body.startswith("---") and not x.body[3:].strip(" \t"))
-            kind, ends = "front_matter", [min(close + 1, len(lines))]
-        elif line.fence:
-            close = _first(lines, at + 1, lambda x, fence=line.fence: x.closes(fence))
-            kind, ends = "fenced_code", [min(close + 1, len(lines))]
+            self.blanks.append(line)
         elif line.indent >= 4:
-            kind, ends = "indented_code", [_code_end(lines, at)]
-        elif line.item is not None and line.item <= 3:
-            kind, ends = "list_item", _item_ends(lines, at)
-        elif line.quoted is not None:
-            kind, ends = "blockquote", _quote_ends(lines, at)
+            self._hold(line)
         else:
-            ends = [_first(lines, at + 1, lambda x: x.blank or x.starts_block)]
-            kind = "table" if any(_TABLE.fullmatch(x) for row in lines[at : ends[0]] for x in row.raw.splitlines()) else "normal"
-        for end in ends:
-            yield kind, "".join(x.raw for x in lines[at:end])
-            at = end
+            self._again(line, out)
+
+    def _in_list_item(self, line: Line, out: list[Block]) -> None:
+        """One item of a run with one indent; deeper content after blank lines stays inside, anything else there ends the run."""
+        if line.blank:
+            self.blanks.append(line)
+        elif self.blanks:
+            if (line.indent if line.item is None else line.item) > self.base:
+                self._hold(line)
+            else:
+                self._again(line, out)
+        elif line.item == self.base:
+            self._end(out)
+            self.kind, self.held = "list_item", [line.raw]
+        elif line.item is not None and line.item < self.base:
+            self._again(line, out)
+        else:
+            self.held.append(line.raw)
+
+    def _in_blockquote(self, line: Line, out: list[Block]) -> None:
+        """A paragraph of a quote ends after a quoted blank line outside quoted fences; plain lines go on in it."""
+        quoted = None if line.blank else line.quoted
+        if line.blank or (quoted is None and line.starts_block):
+            self._again(line, out)
+            return
+        self.held.append(line.raw)
+        if quoted is None:
+            return
+        if self.fence:
+            self.fence = "" if Line(quoted).closes(self.fence) else self.fence
+            return
+        self.fence = Line(quoted).fence
+        if not quoted.strip(" \t"):
+            out.append(("blockquote", "".join(self.held)))
+            self.held = []
+
+    def _in_normal(self, line: Line, out: list[Block], begins: bool = False) -> None:
+        if not begins and (line.blank or line.starts_block):
+            self._again(line, out)
+            return
+        self.held.append(line.raw)
+        self.is_table = self.is_table or any(_TABLE.fullmatch(x) for x in line.raw.splitlines())
+
+
+#: Characters of a text whose lines are split at once.
+SLICE = 1 << 20
+
+
+def lines_of(slices: Iterable[str]) -> Iterator[str]:
+    """Lines with their ends of a text that comes in slices; a line, and a line end of two signs, may lie across slices."""
+    open_ = ""
+    for part in slices:
+        if not part:
+            continue
+        found = (open_ + part).splitlines(keepends=True)
+        # the last line may go on: it has no end yet, or ends in a return whose line feed is still to come
+        last = found[-1]
+        whole = len(last.splitlines()[0]) < len(last) and not last.endswith("\r")
+        open_ = "" if whole else found.pop()
+        yield from found
+    if open_:
+        yield open_
+
+
+def blocks_of(slices: Iterable[str]) -> Iterator[Block]:
+    """Kind and exact text of each block of a text that comes in slices; only the open block is held."""
+    scanner = Scanner()
+    for line in lines_of(slices):
+        yield from scanner.feed(line)
+    yield from scanner.finish()
+
+
+def blocks(text: str) -> Iterator[Block]:
+    """Kind and exact text of each block."""
+    return blocks_of(text[at : at + SLICE] for at in range(0, len(text), SLICE))
 
 
 def cut_at(text: str, size: int) -> int:
@@ -213,15 +304,26 @@ def is_fenced(block: str) -> bool:
     return bool(lines) and Line(lines[0]).fence != ""
 
 
-def md_blocks(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("rel_path",)) -> DataFrame:
-    """One row for each block: the keys, block_no, kind, text. Null text has no blocks."""
+def paragraphs(text: str) -> list[str]:
+    """Exact texts of all blocks; joined they are the text."""
+    return [t for _, t in blocks(text)]
 
-    @F.pandas_udf("array<struct<kind:string,text:string>>")
-    def scan(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"kind": k, "text": t} for k, t in blocks(x or "")] for x in texts], dtype=object)
 
-    found = df.select(*keys, F.posexplode(scan(text)).alias("block_no", "b"))
-    return found.select(*keys, F.col("block_no").cast("int"), F.col("b.kind").alias("kind"), F.col("b.text").alias("text"))
+def md_blocks(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("rel_path",)) -> DataFrame:
+    """One row for each block: the keys, block_no, kind, text. Null text has no blocks. Blocks leave as they are found, some hundreds at once."""
+    own = df.select(*keys, F.col(text).alias("text_"))
+    schema = T.StructType([*own.schema.fields[:-1], *T.StructType.fromDDL("block_no int, kind string, text string").fields])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = enumerate(blocks(batch.column(len(keys))[i].as_py() or ""))
+                while some := list(islice(found, 512)):
+                    named = batch.select(list(range(len(keys)))).take(pa.array([i] * len(some)))
+                    own = [pa.array([n for n, _ in some], pa.int32()), pa.array([k for _, (k, _) in some], pa.string()), pa.array([t for _, (_, t) in some], pa.string())]
+                    yield pa.RecordBatch.from_arrays([*named.columns, *own], names=[*keys, "block_no", "kind", "text"])
+
+    return own.mapInArrow(scan, schema)
 
 
 def md_chunks(df: DataFrame, size: int, text: str = "text", keys: tuple[str, ...] = ("rel_path",)) -> tuple[DataFrame, DataFrame]:

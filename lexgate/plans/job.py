@@ -48,6 +48,29 @@ def base_url(value: str) -> str:
     return urlunsplit((parts.scheme, parts.netloc, parts.path.rstrip("/"), "", ""))
 
 
+#: Names the base folder where no option does.
+HOME = "LEXGATE_HOME"
+
+
+def env_file(path: Path) -> dict[str, str]:
+    """Variables of a .env file: NAME=value lines, with or without export and quotes; # begins a comment. Without the file, none."""
+    if not path.is_file():
+        return {}
+    found = {}
+    for line in path.read_text(encoding="utf-8-sig").splitlines():
+        m = re.fullmatch(r"\s*(?:export\s+)?([A-Za-z_][A-Za-z0-9_]*)\s*=\s*(.*?)\s*", line)
+        if not m:
+            continue
+        value = m[2]
+        quoted = re.fullmatch(r"""(?:'([^']*)'|"((?:[^"\\]|\\.)*)")\s*(?:#.*)?""", value)
+        if quoted:
+            value = quoted[1] if quoted[1] is not None else quoted[2].replace('\\"', '"').replace("\\n", "\n")
+        else:
+            value = re.sub(r"(?:^|\s+)#.*", "", value)
+        found[m[1]] = value
+    return found
+
+
 def connection(env: dict[str, str]) -> dict[str, str]:
     """key, base_url and model from the environment, the address checked."""
     found = {name: (env.get(variable) or "").strip() for name, variable in ENVIRONMENT.items()}
@@ -69,7 +92,7 @@ def limits(env: dict[str, str]) -> transport.Budget:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m lexgate", description="Clean a folder of Markdown files as a Spark job.")
-    p.add_argument("--base-dir", default=".", help="holds input/, store/, output/ and prompt.md")
+    p.add_argument("--base-dir", help=f"holds input/, store/, output/, prompt.md and .env; else {HOME} names it, else it is the current folder")
     p.add_argument("--selection-file")
     for name, text in (("resume-batch", "go on with a batch"), ("retry-failed", "a new batch of a batch's failures")):
         p.add_argument(f"--{name}", nargs="?", const="latest", metavar="ID", help=text)
@@ -155,9 +178,11 @@ def chosen(spark: SparkSession, o: argparse.Namespace, folder: str, store: str)
 
 def main(arguments: list[str] | None = None, env: dict[str, str] | None = None) -> int:
     """0: done, 1: could not start, 2: some files failed."""
-    env = dict(os.environ) if env is None else env
+    env = dict(os.environ if env is None else env)
     try:
         o = checked(parser().parse_args(arguments))
+        o.base_dir = o.base_dir or (env.get(HOME) or "").strip() or "."
+        env |= env_file(Path(o.base_dir) / ".env")  # the file goes before the environment
         given = connection(env)
         o.base_url, o.model = o.base_url or given["base_url"], o.model or given["model"] or "identity"
         budget, thresholds = limits(env), quality.load_thresholds(env)

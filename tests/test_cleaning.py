@@ -361,6 +361,17 @@ def test_connection_and_limits():
     assert job.main(["--base-url", "https://h"], {}) == 1 and job.main([], {"QUALITY_TABLE_RETAINED_RATIO": "x"}) == 1
 
 
+def test_env_file_and_home(spark, tmp_path, capsys):
+    from lexgate.plans import job
+
+    (tmp_path / ".env").write_text("# all of it\nexport OPENAI_MODEL = 'm # 1'  # name\nOPENAI_BASE_URL=https://h/v1 # where\nA=\nB=\"x \\\"y\\\"\"\nnot a line\nQUALITY_TABLE_RETAINED_RATIO=x\n")
+    assert job.env_file(tmp_path / ".env") == {"OPENAI_MODEL": "m # 1", "OPENAI_BASE_URL": "https://h/v1", "A": "", "B": 'x "y"', "QUALITY_TABLE_RETAINED_RATIO": "x"}
+    assert job.env_file(tmp_path / "none") == {}
+    # the file of the home folder is read, and goes before the environment
+    assert job.main([], {"LEXGATE_HOME": str(tmp_path), "QUALITY_TABLE_RETAINED_RATIO": "0.5", "OPENAI_API_KEY": "k"}) == 1
+    assert "TABLE_RETAINED_RATIO" in capsys.readouterr().out.upper()
+
+
 def test_retry_after():
     import datetime
 

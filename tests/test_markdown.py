@@ -79,3 +79,35 @@ def test_table_functions(spark):
     parts, errors = md.md_chunks(df, 10)
     assert [(r.rel_path, r.part_number, r.total_parts) for r in parts.collect()] == [("a", 1, 1)]
     assert [r.rel_path for r in errors.collect()] == ["b"]
+
+
+def test_blocks_do_not_depend_on_how_a_text_comes(monkeypatch):
+    import random
+
+    r = random.Random(7)
+    lines = ["# h\n", "text\n", "text more\r\n", "\n", " \n", "\t\n", "- a\n", "  - b\n", "    code\n", "1. x\n", "   2) y\n", "> q\n", ">\n", "> ```\n", "```\n", "~~~\n", "````\n", "| a | b |\n", "| --- | --- |\n", "---\n", "a: b\n", "x\x0by\n", "* s\r", "lazy\r", "  \r\n", "plain", "\r"]
+    for _ in range(3000):
+        text = "".join(r.choice(lines) for _ in range(r.randint(0, 14)))
+        whole = list(md.blocks(text))
+        assert "".join(md.paragraphs(text)) == text and [t for _, t in whole] == md.paragraphs(text)
+        for size in (1, 2, 7):
+            assert list(md.blocks_of(text[i : i + size] for i in range(0, len(text), size))) == whole
+        scanner = md.Scanner()
+        fed = [b for line in text.splitlines(keepends=True) for b in scanner.feed(line)]
+        assert fed + scanner.finish() == whole
+        assert all(md.is_fenced(t) == (k == "fenced_code") for k, t in whole if k in ("fenced_code", "blank", "list_item", "blockquote"))
+
+
+def test_kinds_of_blocks_that_need_what_comes_later():
+    kinds = lambda text: [k for k, _ in md.blocks(text)]
+    assert kinds("- a\n\n  deeper\n- b\n\nend\n") == ["list_item", "list_item", "blank", "normal"]
+    assert kinds("    code\n\n    more\n\nend") == ["indented_code", "blank", "normal"]
+    assert kinds("> a\n>\n> b\nlazy\n# h\n") == ["blockquote", "blockquote", "normal"]
+    assert kinds("---\na: 1\n---\n---\n") == ["front_matter", "normal"] and kinds("```\nnever closed\n\n- a\n") == ["fenced_code"]
+    assert kinds("a | b\n| --- | --- |\n") == ["table"]
+
+
+def test_a_long_text_is_scanned_line_by_line(spark):
+    text = "- item of a list\n" * 200_000 + "\n```\n" + "code\n" * 200_000
+    rows = md.md_blocks(spark.createDataFrame([("a", text)], "rel_path string, text string")).groupBy("kind").count().collect()
+    assert {r.kind: r["count"] for r in rows} == {"list_item": 200_000, "blank": 1, "fenced_code": 1}
