@@ -96,10 +96,20 @@ def names_of_batches(spark, sf_dir):
 _NAMES = ['a/b: "c"  d', " ._ ", "x<y>|z?", "..a..", "tab\there", "plain"]
 
 
-@query(f"SELECT doc_id, {pick_sql(['a_b_c_d', 'unnamed', 'x_y_z', 'a', 'tab_here', 'plain'])} AS name FROM documents")
+def _with_text(values: list) -> Column:
+    """One of the literals before each whole text."""
+    return F.concat(pick(values), F.lit(" "), text())
+
+
+def _with_text_sql(values: list) -> str:
+    return f"({pick_sql(values)} || ' ' || coalesce(text, ''))"
+
+
+@query(rf"""SELECT doc_id, CASE WHEN name = '' THEN 'unnamed' ELSE name END AS name FROM (
+  SELECT doc_id, trim(regexp_replace(regexp_replace({_with_text_sql(_NAMES)}, '[\\/:*?"<>|]+', '_', 'g'), '\s+', '_', 'g'), ' ._') AS name FROM documents)""")
 def safe_names(spark, sf_dir):
-    name = tx.safe_name(pick(_NAMES))
-    return _docs(spark, sf_dir).select("doc_id", F.regexp_replace(name, "_+", "_").alias("name"))
+    """Names of whole texts after signs that no name may hold."""
+    return _docs(spark, sf_dir).select("doc_id", tx.safe_name(_with_text(_NAMES)).alias("name"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'in/' || CAST(doc_id AS VARCHAR) || '.md' ELSE CAST(doc_id AS VARCHAR) || '.md' END AS name, 'at <项目目录>/x and <路径>; Bearer ***' AS error, doc_id % 3 = 1 AS fits FROM documents")
@@ -114,9 +124,17 @@ def names_and_errors_for_people(spark, sf_dir):
 _SECRETS = ["x Bearer abcdefgh1 y", "api_key=abcdefghij, z", "Authorization: abcdefgh9", "sk-aaaaaaaaa", "key-bbbbbbbbb!", "short sk-aa"]
 
 
-@query(f"SELECT doc_id, {pick_sql(['x Bearer *** y', 'api_key=***, z', 'Authorization: ***', '***', '***!', 'short sk-aa'])} AS redacted FROM documents")
+def _redacted_sql(x: str) -> str:
+    for pattern, instead in fx.SECRETS:
+        x = f"regexp_replace({x}, {quoted(pattern)}, {quoted(instead.replace('$', chr(92)))}, 'g')"
+    return x
+
+
+@query(f"SELECT doc_id, sha256({_redacted_sql(_with_text_sql(_SECRETS))}) AS redacted, {_redacted_sql(pick_sql(_SECRETS))} = {pick_sql(['x Bearer *** y', 'api_key=***, z', 'Authorization: ***', '***', '***!', 'short sk-aa'])} AS as_told FROM documents")
 def secrets_of_all_kinds(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", tx.redact(pick(_SECRETS)).alias("redacted"))
+    """Secrets of each kind, and those of the texts after them."""
+    told = pick(["x Bearer *** y", "api_key=***, z", "Authorization: ***", "***", "***!", "short sk-aa"])
+    return _docs(spark, sf_dir).select("doc_id", tx.sha256(tx.redact(_with_text(_SECRETS))).alias("redacted"), (tx.redact(pick(_SECRETS)) == told).alias("as_told"))
 
 
 @query("SELECT doc_id, n, CASE WHEN n < 1024 THEN CAST(n AS VARCHAR) || ' B' WHEN n < 1048576 THEN printf('%.1f KB', n / 1024.0) ELSE printf('%.1f MB', n / 1048576.0) END AS shown FROM (SELECT doc_id, doc_id * doc_id * 7 AS n FROM documents)")
