@@ -19,8 +19,9 @@ from .words import codes_of_texts
 
 #: Hash minima of a set (more only where the threshold needs more bands), the most of a band, and the chance at most that a pair at the threshold shares no band.
 MINIMA, ROWS, MISSED = 256, 8, 4e-5
-#: Members of a bucket that are compared with all others of other components in one round, and members that one task group takes.
-CENTRES = BLOCK = 256
+#: Members of a bucket that are compared with all others of other components in the first round, by how much that number grows with
+#: each round, and members of either side that one task group takes.
+CENTRES, GROWTH, BLOCK = 256, 4, 256
 #: Cells of a set's histogram; see signatures().
 CELLS = 256
 _NULL_ID = -(2**63)
@@ -171,14 +172,14 @@ def _neighbours(members: DataFrame, percent: int) -> DataFrame:
 def _compared(open_: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of a chosen member and a member of another component that their histograms allow.
 
-    Members are dealt by hash into groups of about BLOCK, and the chosen members of a bucket go to each of its
-    groups. A pair counts in the first band that it shares only.
+    Members are dealt by hash into blocks of about BLOCK, chosen members by their rank into blocks of BLOCK, and each block of
+    either side meets each of the other in a task group of its own, all in one job. A pair counts in the first band that it shares only.
     """
-    columns = ["bucket", "block", "band", "doc_id", "n", "component", "bands", "cells"]
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    busy = open_.join(chosen.select("bucket").distinct(), "bucket", "left_semi")
-    everyone = busy.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).select(*columns, F.lit(False).alias("centre"))
-    centres = open_.join(chosen.select("bucket", "doc_id"), ["bucket", "doc_id"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*columns, F.lit(True).alias("centre"))
+    columns = ["bucket", "block", "turn", "band", "doc_id", "n", "component", "bands", "cells"]
+    blocks, turn = F.ceil(F.col("m") / BLOCK).cast("int"), F.floor((F.col("rank") - 1) / BLOCK).cast("int")
+    busy = open_.join(chosen.groupBy("bucket").agg(F.max(turn).alias("turns")), "bucket")
+    everyone = busy.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("turn", F.explode(F.sequence(F.lit(0), "turns"))).select(*columns, F.lit(False).alias("centre"))
+    centres = open_.join(chosen.select("bucket", "doc_id", turn.alias("turn")), ["bucket", "doc_id"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*columns, F.lit(True).alias("centre"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [np.empty((0, 2), dtype=np.int64)]
@@ -196,7 +197,7 @@ def _compared(open_: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
 
     # little data, much work: as many tasks as any shuffle has
     parts = int(open_.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return everyone.unionByName(centres).repartition(parts, "bucket", "block").groupBy("bucket", "block").applyInPandas(compare, "a long, b long").distinct()
+    return everyone.unionByName(centres).repartition(parts, "bucket", "block", "turn").groupBy("bucket", "block", "turn").applyInPandas(compare, "a long, b long").distinct()
 
 
 def near_members(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -236,18 +237,19 @@ def near_members(docs: DataFrame, width: int, percent: int, id_col: str, text_co
     mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("d", F.struct("k", -F.col("d"))).alias("anchor")).where("parts > 1").select("bucket", "anchor")
     short = F.transform("bands", lambda b: b.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("bands")
     open_ = members.select("bucket", "band", "doc_id", "n", "m").join(mixed, "bucket").join(classes.select("doc_id", short, "cells"), "doc_id")
-    open_ = open_.withColumn("mark", F.lit(None).cast("long"))
+    open_, most = open_.withColumn("mark", F.lit(None).cast("long")), CENTRES
     while True:
         state = stored(labelled(labelled(open_, "doc_id", "component"), "anchor", "main"), "state")
         order = Window.partitionBy("bucket").orderBy("doc_id")
         chosen = state.where((F.col("component") != F.col("main")) & (F.col("mark").isNull() | (F.col("doc_id") > F.col("mark")))).select("bucket", "doc_id")
-        chosen = stored(chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= CENTRES), "chosen")
+        chosen = stored(chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most), "chosen")
         if not chosen.limit(1).count():
             break
         fresh = stored(_verified(_compared(state, chosen, percent), sets, percent), "links")
         if fresh.limit(1).count():
             labels = stored(with_new_links(labels, fresh), "components")
-        after = chosen.groupBy("bucket").agg(F.max("doc_id").alias("mark"), F.count("*").alias("k")).where(F.col("k") == CENTRES).drop("k")
+        after = chosen.groupBy("bucket").agg(F.max("doc_id").alias("mark"), F.count("*").alias("k")).where(F.col("k") == most).drop("k")
+        most *= GROWTH  # few rounds, however large a bucket is
         open_ = state.drop("component", "main", "mark").join(after, "bucket")
     rooted = labelled(classes.select("same", "doc_id", "least"), "doc_id", "root").select("same", "root", F.struct("least", F.col("doc_id").alias("row")).alias("own"))
     first = rooted.groupBy("root").agg(F.min("own").alias("head"), F.count("*").alias("k"))
@@ -264,8 +266,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     Rows with equal sets are one class with the row of the least id as representative. Representatives meet in
     buckets of equal band keys. First each member is held against the bucket's least member and its
     neighbour in the order of another band. In buckets that then still have several components, the members
-    outside the largest one are compared with all members of other components, CENTRES of a bucket in each round,
-    until none is left: every pair of a bucket ends in one component or has been compared, and no bucket
+    outside the largest one are compared with all members of other components, CENTRES of a bucket in the first round and
+    GROWTH times as many in each that follows, until none is left: every pair of a bucket ends in one component or has been compared, and no bucket
     is cut. Bands follow percent, so a pair at the threshold shares none with chance MISSED at most. Links are confirmed on full sets.
 
     Null or empty text and text without words: an empty set, linked with nothing. Null ids count as the
