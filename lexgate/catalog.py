@@ -286,7 +286,22 @@ def validate_reply(spark, sf_dir):
 # ---- pieces and assembly
 
 
-@query()
+_LINES = lambda *lines: " || ".join(f"'{x}' || chr(10)" for x in lines)
+#: The blocks that md_source is made of; an empty text leaves one blank block where two would stand.
+_BLOCKS = f"""WITH parts AS (SELECT doc_id, unnest([
+  {{'kind': 'normal', 'text': '# Chapter ' || CAST(doc_id AS VARCHAR) || chr(10)}}, CASE WHEN doc_id % 2 = 0 THEN {{'kind': 'blank', 'text': chr(10)}} END,
+  CASE WHEN doc_id % 2 = 0 THEN {{'kind': 'normal', 'text': {_LINES('## Part A')}}} END, CASE WHEN doc_id % 2 = 0 THEN {{'kind': 'normal', 'text': {_LINES('### Part B')}}} END,
+  CASE WHEN t = '' THEN {{'kind': 'blank', 'text': chr(10) || chr(10) || chr(10)}} ELSE {{'kind': 'blank', 'text': chr(10)}} END,
+  CASE WHEN t != '' THEN {{'kind': 'normal', 'text': t || chr(10)}} END, CASE WHEN t != '' THEN {{'kind': 'blank', 'text': chr(10)}} END,
+  CASE WHEN doc_id % 3 = 0 THEN {{'kind': 'list_item', 'text': {_LINES('1. first', '2、second', '第 3 题 third')}}} END, CASE WHEN doc_id % 3 = 0 THEN {{'kind': 'blank', 'text': chr(10)}} END,
+  CASE WHEN doc_id % 4 = 0 THEN {{'kind': 'table', 'text': {_LINES('| a | b |', '| --- | --- |', '| 1 | 2 |')}}} END, CASE WHEN doc_id % 4 = 0 THEN {{'kind': 'blank', 'text': chr(10)}} END,
+  CASE WHEN doc_id % 5 = 0 OR doc_id % 6 = 0 OR doc_id % 7 = 0 THEN {{'kind': 'normal', 'text': CASE WHEN doc_id % 5 = 0 THEN 'See https://example.org/d/' || CAST(doc_id AS VARCHAR) || ' and http://Example.org/x).' || chr(10) ELSE '' END
+    || CASE WHEN doc_id % 6 = 0 THEN {_LINES('扫码关注领取资料', '微信号：abc')} ELSE '' END || CASE WHEN doc_id % 7 = 0 THEN {_LINES('安全生产管理')} ELSE '' END}} END]) AS b
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+SELECT doc_id, b.kind AS kind, count(*) AS n, CAST(sum(length(b.text)) AS BIGINT) AS chars FROM parts WHERE b IS NOT NULL GROUP BY 1, 2"""
+
+
+@query(_BLOCKS)
 def md_block_kinds(spark, sf_dir):
     return md_blocks(md_source(spark, sf_dir), "md", ("doc_id",)).groupBy("doc_id", "kind").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
