@@ -277,7 +277,17 @@ def front_matter_parts(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", validation.rule_pairs(r).alias("pairs"), validation.front_matter(r).alias("matter"))
 
 
-@query()
+_MISSING = "|".join(fx.SAYS["field_missing"].format(f) for f in fx.REQUIRED_FIELDS if f != "title")
+_RULES_OF_REPLIES = f"""WITH r AS (SELECT doc_id, doc_id % 2 = 0 AS isfirst, trim({_REPLY_OF}, ' ' || chr(9) || chr(10) || chr(13)) AS reply FROM documents),
+  x AS (SELECT *, {_first_sql("CASE WHEN length(reply) > 5000 THEN substring(lower(reply), 1, 1000) ELSE lower(reply) END", fx.SERVICE_ERRORS)} AS phrase,
+    CASE WHEN reply LIKE '---%' THEN NULL ELSE coalesce({_first_sql("substring(lower(reply), 1, 150)", fx.EXPLANATIONS)}, {_first_sql("substring(lower(reply), 1, 300)", fx.SUSPICIOUS)}) END AS prefix FROM r)
+SELECT doc_id, CASE WHEN reply = '' THEN '{fx.SAYS["blank"]}' ELSE array_to_string(list_filter([CASE WHEN length(reply) < 1000 THEN '{fx.SAYS["service_short"]}' || phrase END,
+    CASE WHEN isfirst AND doc_id % 5 != 2 THEN '{fx.SAYS["missing"]}' END, CASE WHEN isfirst AND doc_id % 5 = 2 THEN '{_MISSING}' END], lambda e: e IS NOT NULL), '|') END AS errors,
+  CASE WHEN reply = '' THEN '' ELSE array_to_string(list_filter([CASE WHEN length(reply) >= 1000 THEN '{fx.SAYS["service_long"]}' || phrase END, '{fx.SAYS["explained"]}' || prefix,
+    CASE WHEN NOT isfirst AND doc_id % 5 = 2 THEN '{_MISSING}|{fx.SAYS["later"]}' END], lambda e: e IS NOT NULL), '|') END AS warnings FROM x"""
+
+
+@query(_RULES_OF_REPLIES)
 def validate_reply(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", _reply_of().alias("reply"), F.col("text").alias("chunk"), (F.col("doc_id") % 2 + 1).alias("part_number"))
     return validation.validate(docs).select("doc_id", F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"))
