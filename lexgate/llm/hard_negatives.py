@@ -18,7 +18,7 @@ BUCKET = 64
 #: Vectors whose squared norm is larger take no part: their scores would not fit 64 bits.
 MOST_NORM = float(1 << 60)
 #: Distances are rounded, so bounds give way by this share of the largest.
-SLACK = 1e-7
+SLACK = 1e-5
 _LEAST, _MOST = -(1 << 62), 1 << 62
 
 
