@@ -16,8 +16,6 @@ from .functions import text as tx
 from .functions.compare import protected_values_of
 from .functions.markdown import md_blocks, md_chunks
 from .operators import assembly, batches, cache, quality, transport, validation
-from .plans import clean_batch
-from .sources.files import prompt_identity, table_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

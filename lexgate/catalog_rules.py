@@ -13,14 +13,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .catalog import _AD, _FILES, _HEAD, _NORM, _QUES, _TAB, _TOKENS_SQL, _URLS, DOCS, _files, _table, md_pairs, md_source, query
+from .catalog import _AD, _FILES, _HEAD, _NORM, _QUES, _TAB, _TOKENS_SQL, _URLS, DOCS, _files, _table, md_pairs, query
 from .functions import compare
 from .functions import fixed as fx
 from .functions import text as tx
 from .functions.markdown import md_blocks, md_chunks
 from .operators import assembly, batches, cache, quality, transport, validation
-from .plans import clean_batch
-from .plans.local_store import temporary_store
 from .sources import files, sinks
 
 
