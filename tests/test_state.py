@@ -190,3 +190,20 @@ def test_ords_are_dense(spark, tmp_path):
     sources.write.parquet(str(tmp_path / "s"))
     got = {x.rel_path: x.ord for x in clean_batch.dense(spark.read.parquet(str(tmp_path / "s"))).collect()}
     assert got == {p: i for i, p in enumerate(sorted((p for p, _ in rows), key=lambda p: (p.lower(), p)))}
+
+
+def test_a_folded_store_is_reused(spark, tmp_path):
+    """Snapshots of all tables after two runs: the third run finds replies, documents and review copies in them."""
+    sources = as_sources(spark, [("a.md", "text a"), ("b.md", "扫码关注领取资料\nwords")])
+    config = clean_batch.Config(store=str(tmp_path), prompt_sha256="p", strict=False)
+    clean_batch.run(spark, sources, config, transport.Identity())
+    assert "chunk_results" in clean_batch.compact_store(spark, config, most=0)
+    more = as_sources(spark, [("a.md", "text a"), ("b.md", "扫码关注领取资料\nwords"), ("c.md", "text c")])
+
+    def only_new(chunk):
+        if "c" not in chunk:
+            raise RuntimeError("sent twice")
+        return chunk
+
+    assert statuses(clean_batch.run(spark, more, config, transport.Scripted(only_new))) == {"a.md": "skipped", "b.md": "skipped", "c.md": "succeeded"}
+    assert {r.rel_path for r in clean_batch.stored_documents(spark, config).collect()} == {"a.md", "b.md", "c.md"}
