@@ -72,8 +72,8 @@ def _said(rules: list[tuple[Column, str]]) -> Column:
     return F.filter(F.array(*(F.when(condition, F.lit(text)) for condition, text in rules)), lambda m: m.isNotNull())
 
 
-def assess(df: DataFrame, given: str = "input_text", reply: str = "output_text", thresholds: dict[str, float] | None = None, name: str = "quality") -> DataFrame:
-    """Add a struct of 23 report fields. Null texts count as empty.
+def assess(df: DataFrame, given: str = "input_text", reply: str = "output_text", thresholds: dict[str, float] | None = None, name: str = "quality", joined: bool = False) -> DataFrame:
+    """Add a struct of 23 report fields. Null texts count as empty. joined: replies are documents joined of pieces, whose seams are no changes.
 
     Counts, added links and bands are native; one Arrow UDF gives what needs the texts without ad lines, NFKC, match offsets or exact rounding.
     """
@@ -82,7 +82,7 @@ def assess(df: DataFrame, given: str = "input_text", reply: str = "output_text",
     x = df.withColumns({"in_": F.coalesce(given, F.lit("")), "out_": F.coalesce(reply, F.lit(""))})
     x = x.withColumn("seen_", tx.compared_output("in_", "out_"))
     x = counted(x, "in_", "out_").withColumns({
-        "c_": compared("in_", "out_", "seen_"),
+        "c_": compared("in_", "out_", "seen_", F.lit(joined)),
         "added_": tx.urls_missing_in("seen_", "in_"),
         "n_": F.length("in_"),
         "r_": retained("in_", "out_"),

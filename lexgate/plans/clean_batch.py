@@ -304,7 +304,7 @@ def _run(spark: SparkSession, sources: DataFrame, config: Config, how: transport
     failed = keep(shaped(failed, FAILED), "failed_candidates")
 
     whole = assembly.assemble(results, given="chunk").join(good.select("rel_path", "source_sha256", F.col("text").alias("source_text")), "rel_path")
-    scored = assembly.gated(quality.assess(whole, "source_text", "text", config.thresholds), config.strict)
+    scored = assembly.gated(quality.assess(whole, "source_text", "text", config.thresholds, joined=True), config.strict)
     ready = scored.drop("source_text").withColumns({
         "output_sha256": tx.sha256("text"), "prompt_sha256": F.lit(config.prompt_sha256), "prompt_identity_version": F.lit(fx.PROMPT_VERSION), "model": F.lit(config.model),
         "base_url": F.lit(config.base_url.rstrip("/")), "strict_validation": F.lit(config.strict), "normalization_policy": F.lit(fx.NORMALIZATION), "quality_policy_sha256": F.lit(policy),

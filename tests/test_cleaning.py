@@ -56,6 +56,15 @@ def test_quality_report(spark):
     assert (got[6].retained_ratio, got[6].removed_ratio, got[6].expansion_ratio) == (1.0, 0.0, 1.0)
 
 
+def test_a_standard_id_across_a_seam_is_no_change(spark, tmp_path):
+    text = "A. " + "sh " * 400 + "sh\n\n" + "1. " + "first " * 150 + "\n"  # the first piece ends between sh and 1
+    source = spark.createDataFrame([("a.md", text)], "rel_path string, text string")
+    config = clean_batch.Config(store=f"file://{tmp_path}/store", prompt_sha256="p", strict=False, max_chars=1300)
+    done = clean_batch.run(spark, files.table_sources(source, F.col("rel_path"), F.col("text")), config, transport.Identity())
+    assert [(r.status, r.error) for r in done["files"].collect()] == [("succeeded", None)]
+    assert compare.values_differ("GB 1", "GB\n\n1") and not compare.values_differ("GB 1", "GB \n\n1", joined=True) and compare.values_differ("GB 1", "GB\n\n2", joined=True)
+
+
 def test_policy():
     t = quality.load_thresholds({"QUALITY_REVIEW_MIN_RETAINED_RATIO": "0.8"})
     assert t["review_min_retained_ratio"] == 0.8 and quality.policy_sha256(t) != quality.policy_sha256(fx.THRESHOLDS)
