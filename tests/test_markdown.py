@@ -2,9 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from lexgate.functions import markdown as md
+from lexgate.functions.rows import ROWS, by_rows
 
 
 def kinds(text):
@@ -111,3 +114,12 @@ def test_a_long_text_is_scanned_line_by_line(spark):
     text = "- item of a list\n" * 200_000 + "\n```\n" + "code\n" * 200_000
     rows = md.md_blocks(spark.createDataFrame([("a", text)], "rel_path string, text string")).groupBy("kind").count().collect()
     assert {r.kind: r["count"] for r in rows} == {"list_item": 200_000, "blank": 1, "fenced_code": 1}
+
+
+def test_plans_leave_a_slice_of_rows_at_a_time(spark):
+    n = 2 * ROWS + 1
+    texts = spark.range(n).repartition(1).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN repeat('ab. ', 10) ELSE repeat('x', 40) END AS text")
+    parts, errors = md.md_chunks(texts, 20, "text", ("doc_id",))
+    assert (parts.count(), errors.count()) == (2 * (ROWS + 1), ROWS)
+    column = by_rows(T.StringType())(lambda x: x)
+    assert [len(x) for x in column.func(iter([pa.array(["a"] * n)]))] == [ROWS, ROWS, 1]
