@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed as fx
+from ..functions.rows import by_rows
 
 SOURCES = "rel_path string, size long, content binary, source_sha256 string, text string, source_chars int, plan_error string"
 
@@ -34,9 +35,9 @@ def decode_text(raw: bytes) -> str | None:
     return None
 
 
-@F.pandas_udf(T.StringType())
-def decoded(raw: pd.Series) -> pd.Series:
-    return pd.Series([None if r is None else decode_text(bytes(r)) for r in raw], dtype=object)
+@by_rows(T.StringType())
+def decoded(raw: bytes | None) -> str | None:
+    return None if raw is None else decode_text(raw)
 
 
 def inside(path: Path, base: Path) -> bool:
