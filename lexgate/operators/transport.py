@@ -8,6 +8,7 @@ import math
 import random
 import re
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
@@ -15,11 +16,14 @@ from typing import ClassVar
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed as fx
 from ..functions import text as tx
+from ..functions.rows import ROWS
 
 OVERHEAD_TOKENS, SAFETY_TOKENS = 64, 1024
 RETRYABLE = {408, 409, 425, 429}
@@ -284,8 +288,26 @@ def clean(chunks: DataFrame, transport: Transport, workers: int = 1, attempts: i
         ready = (ready.repartition(workers, "rel_path") if transport.limited else ready.repartition("rel_path")).sortWithinPartitions(*order)
     elif transport.limited:
         ready = ready.repartition(workers)
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema if f.name not in ("message_", "over_budget_"))
-    return ready.mapInPandas(sender(transport, attempts, not sequential(transport, workers), failures), f"{own}, {SENT}")
+    own = [f for f in ready.schema if f.name not in ("message_", "over_budget_")]
+    named = [f.name for f in own]
+    call = sender(transport, attempts, not sequential(transport, workers), failures)
+    added = [("reply", pa.string()), ("error", pa.string()), ("partial", pa.string()), ("attempts", pa.int32()), ("stage", pa.string())]
+    read = [c for c in ("rel_path", "chunk", "message_", "over_budget_") if c in ready.columns]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices: deque[pa.RecordBatch] = deque()
+
+        def frames() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, ROWS):
+                    slices.append(batch.slice(at, ROWS))
+                    yield slices[-1].select(read).to_pandas()
+
+        for done in call(frames()):
+            rows = slices.popleft()
+            yield pa.RecordBatch.from_arrays([*rows.select(named).columns, *(pa.array(done[c].tolist(), kind) for c, kind in added)], names=[*named, *(c for c, _ in added)])
+
+    return ready.mapInArrow(send, T.StructType([*own, *T.StructType.fromDDL(SENT).fields]))
 
 
 def waves(work: DataFrame, size: int) -> tuple[DataFrame, int]:
