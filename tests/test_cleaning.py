@@ -2,12 +2,14 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lexgate.functions import compare
 from lexgate.functions import fixed as fx
 from lexgate.functions import text as tx
+from lexgate.functions.rows import ROWS
 from lexgate.operators import assembly, batches, quality, transport, validation
 from lexgate.plans import clean_batch
 from lexgate.sources import files, sinks
@@ -65,6 +67,17 @@ def test_a_standard_id_across_a_seam_is_no_change(spark, tmp_path):
     assert compare.values_differ("GB 1", "GB\n\n1") and not compare.values_differ("GB 1", "GB \n\n1", joined=True) and compare.values_differ("GB 1", "GB\n\n2", joined=True)
 
 
+def _slices(column, *values):
+    rows = 2 * ROWS + 1
+    arrays = tuple(pa.array([v] * rows) for v in values)
+    return [len(x) for x in column.func(iter([arrays if len(arrays) > 1 else arrays[0]]))]
+
+
+def test_reports_leave_a_slice_of_rows_at_a_time():
+    for column, values in ((compare.protected_values_of, ["GB 1"]), (compare.compared, ["GB 1", "GB 1", "GB 1", False])):
+        assert _slices(column, *values) == [ROWS, ROWS, 1]
+
+
 def test_policy():
     t = quality.load_thresholds({"QUALITY_REVIEW_MIN_RETAINED_RATIO": "0.8"})
     assert t["review_min_retained_ratio"] == 0.8 and quality.policy_sha256(t) != quality.policy_sha256(fx.THRESHOLDS)
@@ -395,3 +408,17 @@ def test_piece_sums(spark):
     replies = spark.createDataFrame([("a", "e", "request"), ("b", "e", "stopped"), ("a", None, None)], "rel_path string, error string, stage string")
     got = {r.rel_path: (r.total, r.success, r.failed, r.skipped) for r in batches.piece_stats(pieces, judged, replies).collect()}
     assert got == {"a": (4, 2, 2, 1), "b": (1, 0, 0, 0)}
+
+
+def test_decoded_texts_leave_a_slice_of_rows_at_a_time():
+    assert _slices(files.decoded, b"a") == [ROWS, ROWS, 1]
+
+
+def test_pieces_are_sent_a_slice_of_rows_at_a_time(spark):
+    n = 2 * ROWS + 1
+    pieces = spark.range(n).repartition(1).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("rel_path"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("kept"), F.when(F.col("id") % 3 == 0, " ").otherwise("x").alias("chunk"),
+                                                  F.lit("s").alias("chunk_sha256"), F.lit(1).alias("part_number"), F.lit(1).alias("total_parts"))
+    sent = transport.clean(pieces, transport.Identity())
+    assert "MapInArrow" in sent._jdf.queryExecution().toString()
+    rows = {r.rel_path: r for r in sent.collect()}
+    assert len(rows) == n and all(r.reply == r.chunk and r.error is None and r.attempts == (r.chunk == "x") and r.kept == (int(p[1:]) if int(p[1:]) % 2 == 0 else None) for p, r in rows.items())
