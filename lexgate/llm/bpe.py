@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,8 +22,6 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 WHITE = r"\t-\r\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 #: A worker keeps the ids of so many different pieces of text, then starts anew.
 CACHE = 300_000
-#: Bytes of a piece whose matches are held at once.
-STRETCH = 1 << 13
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -58,8 +57,14 @@ class Bpe:
             self.split[c], self.rank[c] = (a, b), rank
         self.matcher = ahocorasick.Automaton()
         for i, token in tokens.items():
-            self.matcher.add_word(token.decode("latin-1"), (len(token), i))
+            self.matcher.add_word(token.decode("latin-1"), i)
         self.matcher.make_automaton()
+        # shorter[i] is the longest token that token i starts with, other than itself; -1 for none
+        ids = {token: i for i, token in tokens.items()}
+        self.shorter = [-1] * size
+        for i, token in tokens.items():
+            self.shorter[i] = next((ids[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ids), -1)
+        self.size_of = [len(t) for t in self.bytes_of]
         self.pieces = regex.compile(SPLIT.replace(r"\s", f"[{WHITE}]").replace(rf"[^[{WHITE}]", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]"))
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.longest = max(map(len, tokens.values()))
@@ -96,44 +101,32 @@ class Bpe:
         self.fits[key] = ok
         return ok
 
-    def _starting(self, raw: str, first: int) -> list[list[tuple[int, int]]]:
-        """Tokens that start at each of STRETCH places, shortest first."""
-        at: list[list[tuple[int, int]]] = [[] for _ in range(min(STRETCH, len(raw) - first))]
-        for end, (length, token) in self.matcher.iter(raw[first : first + len(at) + self.longest - 1]):
-            if end + 1 - length < len(at):
-                at[end + 1 - length].append((length, token))  # ends rise, so the longest match comes last
-        return at
-
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of one piece: longest matches first, shorter ones or a step back where neighbours are not compatible.
 
-        Matches are looked up for one stretch of a long piece at a time.
+        The automaton gives the longest match at a place (each byte is a token, so there is one); shorter ones are its tokens' starts.
         """
         raw = piece.encode().decode("latin-1")
-        n, first, at = len(raw), 0, self._starting(raw, 0)
+        n, pos, last = len(raw), 0, -1
+        longest, match, fits, shorter, size_of = self.longest, self.matcher.iter_long, self.fits, self.shorter, self.size_of
         ids: list[int] = []
-        sizes: list[int] = []
         dead = bytearray(n + 1)
-        pos = 0
         while pos < n:
-            if not first <= pos < first + len(at):
-                first = pos - pos % STRETCH
-                at = self._starting(raw, first)
-            here, last = at[pos - first], ids[-1] if ids else -1
-            i = len(here) - 1
-            while i >= 0:
-                length, token = here[i]
-                if not dead[pos + length] and (last < 0 or self.compatible(last, token)):
-                    break
-                i -= 1
-            if i >= 0:
+            token = next(match(raw[pos : pos + longest]))[1]
+            while token >= 0:
+                if not dead[pos + size_of[token]]:
+                    ok = last < 0 or fits.get((last, token))
+                    if self.compatible(last, token) if ok is None else ok:
+                        break
+                token = shorter[token]
+            if token >= 0:
                 ids.append(token)
-                sizes.append(length)
-                pos += length
+                pos += size_of[token]
+                last = token
             else:
                 dead[pos] = 1
-                ids.pop()
-                pos -= sizes.pop()
+                pos -= size_of[ids.pop()]
+                last = ids[-1] if ids else -1
         return ids
 
     def packed(self, text: str) -> bytes:
@@ -146,7 +139,7 @@ class Bpe:
             for piece in self.pieces.findall(part):
                 ids = known.get(piece)
                 if ids is None:
-                    ids = np.array(self.encode_piece(piece), dtype=np.uint32).tobytes()
+                    ids = array("I", self.encode_piece(piece)).tobytes()
                     if len(piece) <= 64:
                         if len(known) >= CACHE:
                             known.clear()

@@ -771,3 +771,16 @@ def test_words_of_texts(spark, docs, odd, nothing, texts, monkeypatch):
     assert spelling.altered(None, "word") == "word"
     long = spark.createDataFrame([(1, "ab " * 900_000 + "x" * 3_000_000)], "doc_id long, text string")
     assert {r.word: r.n for r in spelling.word_counts(long, least_length=1, least=1).collect()} == brute([(1, long.first().text)], 1, 1)
+
+
+def test_bpe_knows_the_tokens_that_a_token_starts_with():
+    from lexgate.llm import bpe
+
+    own = bpe.load(bpe.default_path())
+    ids = {t: i for i, t in enumerate(own.bytes_of) if i not in own.special.values()}
+    for i in range(1000, 1200):
+        chain, at = [], own.shorter[i]
+        while at >= 0:
+            chain, at = [*chain, at], own.shorter[at]
+        token = own.bytes_of[i]
+        assert chain == [ids[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ids]
