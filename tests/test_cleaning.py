@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lexgate import catalog
 from lexgate.functions import compare
 from lexgate.functions import fixed as fx
 from lexgate.functions import text as tx
@@ -78,6 +79,20 @@ def test_reports_leave_a_slice_of_rows_at_a_time():
         assert _slices(column, *values) == [ROWS, ROWS, 1]
 
 
+def test_reports_without_a_word_on_seams_are_of_plain_texts(spark):
+    """A query gives three texts and no fourth value: its texts are no joined documents."""
+    df = spark.createDataFrame([("some sh\n1. first", "some sh\n\n1. first"), (None, "x")], "a string, b string")
+    seen = df.select(compare.compared("a", "b", "b").alias("c"), compare.compared("a", "b", "b", F.lit(True)).alias("j")).collect()
+    assert [(r.c.changed, r.c.anchors) for r in seen] == [(True, 1.0), (False, 0.0)] and [r.j.changed for r in seen] == [False, False]
+
+
+def test_anchor_ratio_runs(spark):
+    found = {r.doc_id: r.ratio for r in catalog.QUERIES["anchor_ratio"](spark, "/root/testdata/sf0.001").collect()}
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    replies = {i: (t, t[: len(t) // 2], "other")[i % 3] for i, t in texts.items()}
+    assert found == {i: compare.anchor_ratio(t, replies[i]) for i, t in texts.items()}
+
+
 def test_policy():
     t = quality.load_thresholds({"QUALITY_REVIEW_MIN_RETAINED_RATIO": "0.8"})
     assert t["review_min_retained_ratio"] == 0.8 and quality.policy_sha256(t) != quality.policy_sha256(fx.THRESHOLDS)
