@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from . import fixed as fx
 
-#: What Python's strip() removes, as a Java class.
+#: What Python's strip() removes, as a Java class, and sign by sign.
 SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def col(c: Column | str) -> Column:
@@ -19,7 +20,12 @@ def col(c: Column | str) -> Column:
 
 def py_strip(c: Column | str) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(F.regexp_replace(col(c), rf"\A{SPACE}+", ""), rf"{SPACE}+\z", "")
+    return F.btrim(col(c), F.lit(SPACES))
+
+
+def is_blank(c: Column | str) -> Column:
+    """Whether nothing but Unicode white space is there; the search ends at the first other sign."""
+    return ~col(c).rlike(rf"[^{SPACE[1:]}")
 
 
 def sha256(c: Column | str) -> Column:
@@ -81,11 +87,11 @@ def number_count(c):
 
 
 def url_count(c):
-    return count(c, fx.URL, True)
+    return F.when(~F.contains(col(c), F.lit("://")), F.lit(0).cast("long")).otherwise(count(c, fx.URL, True))
 
 
 def table_count(c):
-    return count(c, fx.TABLE_RULE)
+    return F.when(~F.contains(col(c), F.lit("---")), F.lit(0).cast("long")).otherwise(count(c, fx.TABLE_RULE))
 
 
 def all_matches(c: Column | str, pattern: str, ignore_case: bool = False) -> Column:
@@ -102,9 +108,10 @@ def urls(c: Column | str, limit: int = 1000) -> Column:
 
 
 def urls_missing_in(c: Column | str, other: Column | str, limit: int = 20) -> Column:
-    """Links of one text that the other lacks, but for signs at the end and letter case."""
+    """Links of one text that the other lacks, but for signs at the end and letter case. Equal texts, and texts without a link's sign, lack none."""
     known = F.transform(urls(other), normal_url)
-    return F.slice(F.filter(urls(c), lambda u: ~F.array_contains(known, normal_url(u))), 1, limit)
+    missing = F.slice(F.filter(urls(c), lambda u: ~F.array_contains(known, normal_url(u))), 1, limit)
+    return F.when((col(c) == col(other)) | (~F.contains(col(c), F.lit("://")) & col(other).isNotNull()), F.array().cast("array<string>")).otherwise(missing)
 
 
 def is_ad_line(c: Column | str) -> Column:
@@ -154,7 +161,7 @@ def has_front_matter(c: Column | str) -> Column:
 def compared_output(given: Column | str, reply: Column | str) -> Column:
     """The reply without a front matter that the input has not."""
     bare = F.regexp_replace(col(reply), "(?s)" + fx.FRONT_MATTER.replace(r"\Z", r"\z"), "")
-    return F.when(has_front_matter(given), col(reply)).otherwise(bare)
+    return F.when(~F.startswith(col(reply), F.lit("---")) | has_front_matter(given), col(reply)).otherwise(bare)
 
 
 def artifact_status(review: Column | str, strict: Column | str) -> Column:

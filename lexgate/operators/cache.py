@@ -32,7 +32,7 @@ def prompt_fits(sha: Column, version: Column, prompt: str, aliases: list[str]) -
 
 def usable(results: DataFrame, prompt: str, aliases: list[str]) -> DataFrame:
     """Stored results whose body is not blank and still has its hash, made with a fitting prompt."""
-    sound = (tx.py_strip("body") != "") & (tx.sha256("body") == F.col("output_sha256"))
+    sound = ~tx.is_blank("body") & (tx.sha256("body") == F.col("output_sha256"))
     return results.where(sound & prompt_fits(F.col("prompt_sha256"), F.col("prompt_identity_version"), prompt, aliases))
 
 
@@ -57,14 +57,14 @@ def pending(chunks: DataFrame, results: DataFrame, prompt: str, aliases: list[st
 
 def accepted_candidates(chunks: DataFrame, failed: DataFrame, prompt: str, policy_sha256: str) -> DataFrame:
     """Failed candidates that a user accepts: same identity, prompt and policy, and a body; the body's hash is not checked again."""
-    whole = failed.where((tx.py_strip("body") != "") & (F.col("prompt_sha256") == prompt) & (F.col("quality_policy_sha256") == policy_sha256))
+    whole = failed.where(~tx.is_blank("body") & (F.col("prompt_sha256") == prompt) & (F.col("quality_policy_sha256") == policy_sha256))
     body = whole.select(*IDENTITY, "body")
     return chunks.join(body, _same(chunks, body)).select(*(chunks[c] for c in chunks.columns), body["body"])
 
 
 def current_documents(plans: DataFrame, finals: DataFrame, keys: list[str]) -> DataFrame:
     """Plans with is_current: a stored document exists, equals the plan in all keys (null-safe), and its text has its hash."""
-    sound = (tx.py_strip("text") != "") & (tx.sha256("text") == F.col("output_sha256"))
+    sound = ~tx.is_blank("text") & (tx.sha256("text") == F.col("output_sha256"))
     stored = finals.select("rel_path", *(F.col(k).alias(f"f_{k}") for k in keys), sound.alias("sound_"))  # texts stay where they are
     same = F.col("sound_")
     for k in keys:

@@ -65,7 +65,9 @@ COUNTS = {"headings": tx.heading_count, "questions": tx.question_count, "numbers
 
 
 def counted(df: DataFrame, given: str, reply: str) -> DataFrame:
-    return df.withColumns({f"{side}_{name}": f(c) for name, f in COUNTS.items() for side, c in (("input", given), ("output", reply))})
+    """Both texts' counts; a reply that equals its source is not counted again."""
+    x = df.withColumns({f"input_{name}": f(given) for name, f in COUNTS.items()})
+    return x.withColumns({f"output_{name}": F.when(F.col(given) == F.col(reply), F.col(f"input_{name}")).otherwise(f(reply)) for name, f in COUNTS.items()})
 
 
 def _said(rules: list[tuple[Column, str]]) -> Column:
@@ -82,7 +84,7 @@ def assess(df: DataFrame, given: str = "input_text", reply: str = "output_text",
     x = df.withColumns({"in_": F.coalesce(given, F.lit("")), "out_": F.coalesce(reply, F.lit(""))})
     x = x.withColumn("seen_", tx.compared_output("in_", "out_"))
     x = counted(x, "in_", "out_").withColumns({
-        "c_": compared("in_", "out_", "seen_", F.lit(joined)),
+        "c_": compared("in_", "out_", F.when(F.col("seen_") != F.col("out_"), F.col("seen_")), F.lit(joined)),
         "added_": tx.urls_missing_in("seen_", "in_"),
         "n_": F.length("in_"),
         "r_": retained("in_", "out_"),

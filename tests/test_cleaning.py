@@ -93,6 +93,31 @@ def test_anchor_ratio_runs(spark):
     assert found == {i: compare.anchor_ratio(t, replies[i]) for i, t in texts.items()}
 
 
+def test_texts_are_stripped_and_held_against_each_other_without_a_search_of_every_place(spark):
+    spaces = [c for c in map(chr, range(0x3001)) if c.isspace()]
+    rows = [(t,) for t in ["", " ", "".join(spaces), "a", *(f"{c}a{c}b{c}" for c in spaces), "\u200ba", None]]
+    df = spark.createDataFrame(rows, "t string")
+    got = df.select("t", tx.py_strip("t").alias("s"), tx.is_blank("t").alias("b")).collect()
+    assert all(r.s == (r.t and r.t.strip()) if r.t is not None else r.s is None and r.b is None for r in got) and all(r.b == (not r.t.strip()) for r in got if r.t is not None)
+    assert "regexp" not in df.select(tx.py_strip("t"))._jdf.queryExecution().optimizedPlan().toString()
+    words = [f"word{i * 7919 % 1000} " for i in range(900)]
+    text, turned, part = "".join(words), "".join(words[450:] + words[:450]), "".join(words[::2])
+    bare = lambda t: "".join(t.split()).lower()
+    last = len(bare(text)) - compare.ANCHOR
+    anchors = {bare(text)[s : s + compare.ANCHOR] for s in (round(i * last / (compare.ANCHORS - 1)) for i in range(compare.ANCHORS))}
+    for other in (text, turned, part, part + turned, "x"):
+        assert compare.anchor_ratio(text, other) == sum(a in bare(other) for a in anchors) / len(anchors)
+    assert validation.first_phrase.__doc__ and one(spark, validation.explanation(F.col("v")), v="\u2003 好的，以下") == "好的，"
+
+
+def test_seams_between_words_change_no_value():
+    given = "GB 12. and 3.5 kg of http://e.org/a. More 1,000 mg/m3\nSH/T 3 end"
+    for seam in range(1, len(given)):
+        joined = given[:seam] + "\n\n" + given[seam:]
+        blanks = lambda t: [" ".join(v.split()) for v in compare.protected_values(t)]
+        assert compare.values_differ(given, joined, joined=True) == (blanks(given) != blanks(joined))
+
+
 def test_policy():
     t = quality.load_thresholds({"QUALITY_REVIEW_MIN_RETAINED_RATIO": "0.8"})
     assert t["review_min_retained_ratio"] == 0.8 and quality.policy_sha256(t) != quality.policy_sha256(fx.THRESHOLDS)
