@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .catalog import _table, md_source, query
 from .functions import fixed as fx
+from .functions.markdown import md_chunks
 from .operators import batches, manifests, transport
 from .plans import clean_batch
 from .plans.local_store import temporary_store
@@ -65,7 +66,7 @@ def clean_batch_survives(spark, sf_dir):
     sources, store = _sources(spark, sf_dir), temporary_store(spark)
     docs = _table(spark, sf_dir, "documents")
     middle = docs.selectExpr("CAST(percentile_disc(0.5) WITHIN GROUP (ORDER BY doc_id) AS BIGINT) AS m").first().m
-    pieces = clean_batch.md_chunks(sources, 2000, "text", ("rel_path",))[0].where(~transport.is_blank(F.col("chunk"))).count()
+    pieces = md_chunks(sources, 2000, "text", ("rel_path",))[0].where(~transport.is_blank(F.col("chunk"))).count()
     config = _config(store, wave=-(-pieces // 5), workers=4)
     try:
         clean_batch.run(spark, sources, config, Dying(f"# Chapter {middle}\n"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 from .validation import drop_repeated_matter
@@ -16,25 +17,32 @@ def assemble(results: DataFrame, key: str = "rel_path", part: str = "part_number
 
     Later parts lose a repeated front matter, parts that get empty by that are left out, and the rest is joined
     in order. `results` may have warnings (array) and review_required. A blank part counts where given, its source, is
-    blank and equal; it is left out as well. One shuffle by the key.
+    blank and equal; it is left out as well. given is a column with the source, or one that tells whether the two are equal. One shuffle by the key.
     """
     has = set(results.columns)
     later = drop_repeated_matter(body, part) if drop_matter else F.col(body)
     rows = results.select(
-        key, F.col(part).alias("n_"), F.col(total).alias("total_"), F.col(body).alias("raw_"), later.alias("text_"),
+        key, F.col(part).alias("n_"), F.col(total).alias("total_"), (~tx.is_blank(body) | _same(results, given, body)).alias("fine_"), later.alias("text_"),
         (F.col("warnings") if "warnings" in has else F.array().cast("array<string>")).alias("w_"),
-        (F.col("review_required") if "review_required" in has else F.lit(False)).alias("flag_"), (F.lit(False) if given is None else F.col(given).eqNullSafe(F.col(body))).alias("same_"),
+        (F.col("review_required") if "review_required" in has else F.lit(False)).alias("flag_"),
     )
-    done = F.count_if((tx.py_strip("raw_") != "") | F.col("same_"))
+    done = F.count_if(F.col("fine_"))
     grouped = rows.groupBy(key).agg(
-        F.max("total_").alias("part_count"), done.alias("done_"), F.count_distinct("n_").alias("seen_"),
+        F.max("total_").alias("part_count"), done.alias("done_"),
         F.sort_array(F.collect_list(F.struct("n_", "text_", "w_"))).alias("parts_"), F.bool_or("flag_").alias("flag_"),
     )
-    whole = grouped.where((F.col("done_") == F.col("part_count")) & (F.col("seen_") == F.col("part_count")))
-    texts = F.filter(F.transform("parts_", lambda p: p["text_"]), lambda t: tx.py_strip(t) != "")
+    seen = F.size(F.array_distinct(F.array_compact(F.transform("parts_", lambda p: p["n_"]))))  # a count of distinct values would deal the texts twice
+    whole = grouped.where((F.col("done_") == F.col("part_count")) & (seen == F.col("part_count")))
+    texts = F.filter(F.transform("parts_", lambda p: p["text_"]), lambda t: ~tx.is_blank(t))
     warned = F.transform(F.filter("parts_", lambda p: F.size(p["w_"]) > 0), lambda p: F.struct(p["n_"].alias("part"), p["w_"].alias("warnings")))
     out = whole.select(key, "part_count", F.array_join(texts, SEPARATOR).alias("text"), warned.alias("part_warnings"), (F.coalesce("flag_", F.lit(False)) | (F.size(warned) > 0)).alias("parts_review"))
-    return out.where(tx.py_strip("text") != "")
+    return out.where(~tx.is_blank("text"))
+
+
+def _same(results: DataFrame, given: str | None, body: str) -> Column:
+    if given is None:
+        return F.lit(False)
+    return F.col(given) if results.schema[given].dataType == T.BooleanType() else F.col(given).eqNullSafe(F.col(body))
 
 
 def gated(documents: DataFrame, strict: bool, quality: str = "quality") -> DataFrame:

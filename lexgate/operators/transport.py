@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from email.utils import parsedate_to_datetime
 from typing import ClassVar
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -235,7 +234,7 @@ SENT = "reply string, error string, partial string, attempts int, stage string"
 
 def is_blank(chunk: Column) -> Column:
     """A piece without a sign: it needs no call, and stands for itself."""
-    return tx.py_strip(chunk) == ""
+    return tx.is_blank(chunk)
 
 
 def sender(transport: Transport, attempts: int = ATTEMPTS, per_file: bool = True, failures: int = 0) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -274,20 +273,23 @@ def sequential(transport: Transport, workers: int) -> bool:
     return transport.limited and workers == 1
 
 
-def clean(chunks: DataFrame, transport: Transport, workers: int = 1, attempts: int = ATTEMPTS, failures: int = 0) -> DataFrame:
+def clean(chunks: DataFrame, transport: Transport, workers: int = 1, attempts: int = ATTEMPTS, failures: int = 0, limits: Budget | None = None, prompt_tokens: int = 0) -> DataFrame:
     """Add reply, error, partial, attempts and stage (null, budget, request or stopped) to pieces.
 
     A transport with a limit has at most `workers` senders, one for each partition. A file's pieces are sent by one sender in
     their order; after MAX_FAILURES_IN_A_ROW failures in a row it sends no more of that file (a sender that is alone: no
     more at all, counting from `failures`): those pieces have the stage stopped and no attempt. Pieces that budgeted()
     found too large are not sent. A repeated task repeats its calls, so store the result before anything reads it twice.
+    Pieces without a message get it, and are held against the limits, where they are sent: no message is dealt out beside its piece.
     """
-    ready = chunks if "message_" in chunks.columns else budgeted(chunks, Budget())
+    ready = chunks
     order = [c for c in ("ord", "rel_path", "part_number") if c in ready.columns]
     if "rel_path" in order:
         ready = (ready.repartition(workers, "rel_path") if transport.limited else ready.repartition("rel_path")).sortWithinPartitions(*order)
     elif transport.limited:
         ready = ready.repartition(workers)
+    if "message_" not in ready.columns:
+        ready = budgeted(ready, limits or Budget(), prompt_tokens)
     own = [f for f in ready.schema if f.name not in ("message_", "over_budget_")]
     named = [f.name for f in own]
     call = sender(transport, attempts, not sequential(transport, workers), failures)
@@ -310,20 +312,20 @@ def clean(chunks: DataFrame, transport: Transport, workers: int = 1, attempts: i
     return ready.mapInArrow(send, T.StructType([*own, *T.StructType.fromDDL(SENT).fields]))
 
 
-def waves(work: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """Pieces (with ord and rel_path) dealt to waves of about `size` in the order of their files, and the number of waves.
+def waves(work: DataFrame, size: int) -> list[tuple[int | None, int | None]]:
+    """Waves of about `size` pieces (with ord) in the order of their files: over which ord and up to which (None for no bound).
 
-    A file is whole in one wave. Only the boundaries, one for each wave, come to the driver.
+    A file is whole in one wave. Only the boundaries, one for each wave, come to the driver; pieces that are stored in
+    the order of ord are read for their wave only.
     """
     n = work.count()
     number = max(1, -(-n // size))
-    cuts = sorted(set(work.approxQuantile("ord", [i / number for i in range(1, number)], 0.1 / number))) if number > 1 else []
+    cuts = sorted({int(c) for c in work.approxQuantile("ord", [i / number for i in range(1, number)], 0.1 / number)}) if number > 1 else []
+    return list(zip([None, *cuts], [*cuts, None], strict=True))
 
-    @F.pandas_udf("int")
-    def wave_of(ord_: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(cuts), ord_.to_numpy(dtype=float), "left").astype(np.int32))
 
-    return work.withColumn("wave", wave_of("ord") if cuts else F.lit(0)), len(cuts) + 1
+def in_wave(over: int | None, upto: int | None = None) -> Column:
+    return (F.lit(True) if over is None else F.col("ord") > over) & (F.lit(True) if upto is None else F.col("ord") <= upto)
 
 
 def trailing_failures(sent: DataFrame) -> int:
