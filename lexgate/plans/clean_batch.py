@@ -211,6 +211,15 @@ def needing_work(plans: DataFrame, todo: DataFrame, finals: DataFrame, review: D
     return marked.where(F.col("sends_").isNotNull() | F.col("done_").isNull()).select(*plans.columns)
 
 
+def pieces_of(chunks: DataFrame, picked: DataFrame, others: DataFrame) -> DataFrame:
+    """Pieces of the files that are picked. Their texts meet the fewer of those files and of the others, which may go to all tasks, or none."""
+    left = others.count()
+    if not left:
+        return chunks
+    few, kind = (others, "left_anti") if left <= picked.count() else (picked, "left_semi")
+    return chunks.join(few, "rel_path", kind).select(*chunks.columns)
+
+
 def ordered(sources: DataFrame) -> DataFrame:
     """Sources with ord: given by their reader, or ascending in the order of their lower-case paths (see dense)."""
     if "ord" in sources.columns:
@@ -284,10 +293,7 @@ def _run(spark: SparkSession, sources: DataFrame, config: Config, how: transport
     keep(shaped(head(F.lit("running"), F.lit(False)), HEADER), "batches", "-0")
 
     others = keep(plans.select("rel_path").join(picked, "rel_path", "left_anti"), "others")
-    mine, left = chunks, others.count()
-    if left:  # texts meet the fewer of those that are picked and those that are not, or none
-        few, kind = (others, "left_anti") if left <= picked.count() else (picked.select("rel_path"), "left_semi")
-        mine = chunks.join(few, "rel_path", kind).select(*chunks.columns)
+    mine = pieces_of(chunks, picked.select("rel_path"), others)
     itself = mine.where(blank_piece).select(*mine.columns, F.col("chunk").alias("reply"))
     usable = cache.usable(stored_results(spark, config, ["prompt_identity_version", "body", "output_sha256"]), config.prompt_sha256, config.prompt_aliases)
     usable = usable.select("work", F.col("body").alias("reply")).dropDuplicates(["work"])

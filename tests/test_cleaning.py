@@ -129,6 +129,21 @@ def test_chunks_and_errors_come_of_one_cut(spark):
     assert both.where("plan_error is not null").select(*errors.columns).collect() == errors.collect() and both.count() == parts.count() + 1
 
 
+def test_texts_meet_the_fewer_files(spark, tmp_path):
+    """A second run leaves a few files out; a first one takes a few: in both, no text is dealt out for that."""
+    table = lambda df, name: spark.read.parquet(sinks.write_version(df, f"{tmp_path}/{name}", "1"))
+    paths = spark.range(2000).select(F.sha2(F.col("id").cast("string"), 256).alias("rel_path"), "id")
+    chunks = table(paths.select("rel_path", F.repeat("rel_path", 9).alias("chunk")), "chunks")
+    few, many, none = (table(paths.where(c).select("rel_path"), n) for n, c in (("few", "id < 25"), ("many", "id >= 25"), ("none", "id < 0")))
+    for picked, others, n in ((few, many, 25), (many, few, 1975), (table(paths.select("rel_path"), "all"), none, 2000)):
+        mine = clean_batch.pieces_of(chunks, picked, others)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+        try:
+            assert mine.select("*").count() == n and "SortMergeJoin" not in mine.select("*")._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_run_keeps_each_piece_once(spark, tmp_path):
     """Pieces lie in the table of pieces only, each reply is stored once beside its verdict and once as a result, and no shuffle files stay."""
     config = clean_batch.Config(store=str(tmp_path), prompt_sha256="p", strict=False, max_chars=60, wave=2)
